@@ -9,26 +9,70 @@ one; column names match.
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from martlet.operators.load import load_snapshot
-from martlet.operators.stats import max_cdc_date, table_stats
+from martlet.functions.calendar import month_window
+from martlet.functions.runlog import envelope, log_lines, status_events
+from martlet.functions.steps import with_steps
+from martlet.operators.compact import compact, compact_directory, compaction_plan
+from martlet.operators.load import force_load, load_snapshot
+from martlet.operators.partitions import apply_retention, partition_row_counts
+from martlet.operators.stats import (
+    load_stat_rows,
+    max_cdc_date,
+    publish_stats,
+    read_stats,
+    table_stats,
+)
 from martlet.plans.analogs import (
+    APP_ID,
+    ENTITY_ID,
     LOAD_DATE,
     LOADING_ID,
     lineitem_by_year,
+    log_records,
     merchant_source,
     payroll_source,
+    table,
 )
-from martlet.plans.spec import merchant_spec, payroll_spec
+from martlet.plans.spec import merchant_spec, payroll_spec, recreate, spec_for_frame
 from martlet.session import new_work_dir, unique_name
+from martlet.streaming.runlog_sinks import read_stream_like, stream_parquet
+
+# Fixed values of the test runs.
+EARLIER_DATE = _dt.date(2021, 10, 24)
+RETENTION_FROM = _dt.date(1996, 1, 1)
+RETENTION_TO = _dt.date(1999, 1, 1)
+COMPACT_FROM = _dt.date(1998, 1, 1)
+SMALL_FILES = 40  # input files per task layout of the many-small-files fixture
+TEST_TARGET_BYTES = 200_000  # small target so test partitions need more than one file
+
+
+# -- fixtures written by Spark from the given tables --------------------------
+def _year_mart(spark: SparkSession, sf_dir: str, label: str, small_files: bool = False):
+    """``lineitem`` by ship year as an external partitioned table; returns its spec."""
+    root = new_work_dir(spark, label)
+    df = lineitem_by_year(spark, sf_dir)
+    if small_files:
+        df = df.repartition(SMALL_FILES)
+    df.write.partitionBy("ctl_validfrom").parquet(f"{root}/{label}")
+    spec = spec_for_frame(df, unique_name(label), f"{root}/{label}")
+    recreate(spark, spec)
+    return spec
+
 
+def _payroll_mart(spark: SparkSession, label: str):
+    root = new_work_dir(spark, label)
+    return payroll_spec(unique_name(label), f"{root}/{label}")
 
+
+# -- loads ------------------------------------------------------------------------
 def q_mart_load_payroll(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = new_work_dir(spark, "payroll")
-    spec = payroll_spec(unique_name("payroll_mart"), f"{root}/payroll_mart")
+    spec = _payroll_mart(spark, "payroll_mart")
     load_snapshot(
         spark, spec, payroll_source(spark, sf_dir), loading_id=LOADING_ID, load_date=LOAD_DATE
     )
@@ -36,7 +80,7 @@ def q_mart_load_payroll(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_mart_load_merch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = new_work_dir(spark, "merch")
+    root = new_work_dir(spark, "merch_mart")
     spec = merchant_spec(unique_name("merch_mart"), f"{root}/merch_mart")
     load_snapshot(
         spark, spec, merchant_source(spark, sf_dir), loading_id=LOADING_ID, load_date=LOAD_DATE
@@ -44,6 +88,28 @@ def q_mart_load_merch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(spec.table)
 
 
+def q_mart_recreate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two load dates, then drop + create + repair: both partitions come back."""
+    spec = _payroll_mart(spark, "recreate_mart")
+    src = payroll_source(spark, sf_dir)
+    load_snapshot(spark, spec, src, loading_id=LOADING_ID - 1, load_date=EARLIER_DATE)
+    load_snapshot(spark, spec, src, loading_id=LOADING_ID, load_date=LOAD_DATE)
+    recreate(spark, spec)
+    return partition_row_counts(spark.table(spec.table), spec.partition_column)
+
+
+def q_drop_all_then_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Force load: every earlier partition is dropped (catalog and files)."""
+    spec = _payroll_mart(spark, "force_mart")
+    src = payroll_source(spark, sf_dir)
+    load_snapshot(spark, spec, src, loading_id=LOADING_ID - 2, load_date=_dt.date(2021, 10, 23))
+    load_snapshot(spark, spec, src, loading_id=LOADING_ID - 1, load_date=EARLIER_DATE)
+    force_load(spark, spec, src, loading_id=LOADING_ID, load_date=LOAD_DATE)
+    recreate(spark, spec)  # a repair must not bring the dropped rows back
+    return partition_row_counts(spark.table(spec.table), spec.partition_column)
+
+
+# -- statistics --------------------------------------------------------------------
 def q_table_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table_stats(payroll_source(spark, sf_dir), "ctl_loading", "report_dt")
 
@@ -52,39 +118,282 @@ def q_max_cdc_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     return max_cdc_date(lineitem_by_year(spark, sf_dir), "ctl_validfrom")
 
 
+def q_load_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads, each followed by its five statistics appended to ``load_stats``."""
+    spec = _payroll_mart(spark, "stats_mart")
+    stats_path = new_work_dir(spark, "load_stats")
+    src = payroll_source(spark, sf_dir)
+    for loading_id, load_date in ((LOADING_ID - 1, EARLIER_DATE), (LOADING_ID, LOAD_DATE)):
+        load_snapshot(spark, spec, src, loading_id=loading_id, load_date=load_date)
+        rows = load_stat_rows(
+            spark.table(spec.table),
+            loading_id=loading_id,
+            entity_id=ENTITY_ID,
+            load_date=load_date,
+            app_id=APP_ID,
+        )
+        publish_stats(rows, stats_path)
+    return read_stats(spark, stats_path).select(
+        "loading_id",
+        "entity_id",
+        "stat_id",
+        F.element_at("avalue", 1).alias("stat_value"),
+        "load_date",
+    )
+
+
+# -- partitions -----------------------------------------------------------------
+def q_partition_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spec = _year_mart(spark, sf_dir, "inventory_mart")
+    return partition_row_counts(spark.table(spec.table), spec.partition_column)
+
+
+def q_partition_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from martlet.sources.files import partition_file_stats
+
+    spec = _year_mart(spark, sf_dir, "files_mart", small_files=True)
+    return partition_file_stats(spark, spec.location, spec.partition_column, "date")
+
+
+def q_partition_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spec = _year_mart(spark, sf_dir, "retention_mart")
+    apply_retention(spark, spec, RETENTION_FROM, RETENTION_TO, purge=True)
+    recreate(spark, spec)  # files are gone too: a repair finds only the kept dates
+    return partition_row_counts(spark.table(spec.table), spec.partition_column)
+
+
+# -- compaction -------------------------------------------------------------------
+def q_compact_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spec = _year_mart(spark, sf_dir, "plan_mart", small_files=True)
+    return compaction_plan(
+        spark, spec.location, spec.partition_column, "date", COMPACT_FROM, TEST_TARGET_BYTES
+    ).drop("fragment")
+
+
+def q_compact_contents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spec = _year_mart(spark, sf_dir, "compact_mart", small_files=True)
+    compact(
+        spark,
+        spec.location,
+        spec.partition_column,
+        "date",
+        COMPACT_FROM,
+        TEST_TARGET_BYTES,
+        verify="checksum",
+        table=spec.table,
+    )
+    return spark.table(spec.table)
+
+
+def q_compact_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``compact_contents`` with the single-shuffle salted rewrite."""
+    spec = _year_mart(spark, sf_dir, "salted_mart", small_files=True)
+    compact(
+        spark,
+        spec.location,
+        spec.partition_column,
+        "date",
+        COMPACT_FROM,
+        TEST_TARGET_BYTES,
+        strategy="salted",
+        verify="checksum",
+        table=spec.table,
+    )
+    return spark.table(spec.table)
+
+
+def q_compact_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An unpartitioned folder of many small files, compacted in place."""
+    root = new_work_dir(spark, "flat") + "/lineitem_flat/"
+    table(spark, sf_dir, "lineitem").repartition(SMALL_FILES).write.parquet(root)
+    compact_directory(spark, root, TEST_TARGET_BYTES, verify="checksum")
+    return spark.read.parquet(root)
+
+
+# -- dates and numbered names -------------------------------------------------
+def q_month_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dates = (
+        table(spark, sf_dir, "orders")
+        .select(F.col("o_orderdate").cast("date").alias("report_date"))
+        .distinct()
+    )
+    return month_window(dates, "report_date")
+
+
+def q_step_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = table(spark, sf_dir, "customer").select(F.col("c_name").alias("name"))
+    return with_steps(names, "name", on_bad="reject")
+
+
+# -- run log --------------------------------------------------------------------------
+def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return log_records(table(spark, sf_dir, "events"))
+
+
+def q_log_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return envelope(_records(spark, sf_dir), APP_ID)
+
+
+def q_run_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return status_events(_records(spark, sf_dir), "record_id")
+
+
+def q_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return log_lines(_records(spark, sf_dir))
+
+
+def _through_stream(spark: SparkSession, sf_dir: str, label: str, shape) -> DataFrame:
+    """Run ``shape`` over ``events`` as a file stream into a Parquet file sink."""
+    events_path = f"{sf_dir.rstrip('/')}/events.parquet"
+    schema = spark.read.parquet(events_path).schema
+    stream = read_stream_like(spark, sf_dir, schema, glob="events.parquet")
+    root = new_work_dir(spark, label)
+    query = stream_parquet(shape(log_records(stream)), f"{root}/out", f"{root}/checkpoint")
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise RuntimeError(str(query.exception()))
+    return spark.read.parquet(f"{root}/out")
+
+
+def q_log_envelope_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _through_stream(spark, sf_dir, "envelope_stream", lambda r: envelope(r, APP_ID))
+
+
+def q_run_status_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _through_stream(
+        spark, sf_dir, "status_stream", lambda r: status_events(r, "record_id")
+    )
+
+
+def q_log_lines_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _through_stream(spark, sf_dir, "lines_stream", log_lines)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "mart_load_payroll": q_mart_load_payroll,
     "mart_load_merch": q_mart_load_merch,
+    "mart_recreate": q_mart_recreate,
+    "drop_all_then_load": q_drop_all_then_load,
     "table_stats": q_table_stats,
     "max_cdc_date": q_max_cdc_date,
+    "load_stats": q_load_stats,
+    "partition_inventory": q_partition_inventory,
+    "partition_files": q_partition_files,
+    "partition_retention": q_partition_retention,
+    "compact_plan": q_compact_plan,
+    "compact_contents": q_compact_contents,
+    "compact_salted": q_compact_salted,
+    "compact_flat": q_compact_flat,
+    "month_window": q_month_window,
+    "step_order": q_step_order,
+    "log_envelope": q_log_envelope,
+    "run_status": q_run_status,
+    "log_lines": q_log_lines,
+    "log_envelope_stream": q_log_envelope_stream,
+    "run_status_stream": q_run_status_stream,
+    "log_lines_stream": q_log_lines_stream,
 }
 
 
+# -- DuckDB oracles ---------------------------------------------------------------
 _PAYROLL_SELECT = (
     "l_orderkey AS epk_id, l_partkey AS inn, CAST(l_suppkey AS INTEGER) AS gosb_id, "
     "l_linenumber AS enrollment_type, CAST(round(l_extendedprice * 100) AS BIGINT) AS amt, "
     "strftime(l_shipdate, '%Y-%m-%d') AS report_dt"
 )
+_YEAR = "CAST(date_trunc('year', l_shipdate) AS DATE)"
+_LV = "CASE event_type WHEN 'error' THEN 40 WHEN 'signup' THEN 25 ELSE 20 END"
+_LN = "CASE event_type WHEN 'error' THEN 'ERROR' WHEN 'signup' THEN 'CTL_INFO' ELSE 'INFO' END"
+
+
+def _d(value: _dt.date) -> str:
+    return f"DATE '{value.isoformat()}'"
+
+
+_ENVELOPE = (
+    "SELECT CAST(json_object('app_id', 'app', 'timestamp', CAST(floor(epoch(ts)) AS BIGINT), "
+    f"'type_id', 'Tech', 'subtype_id', {_LN}, 'value', {_LV}, 'message', props, "
+    "'name', 'user.' || user_id) AS VARCHAR) AS payload FROM events"
+)
+_STATUS = (
+    "SELECT event_id AS loading_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS effective_from, "
+    f"CASE WHEN {_LV} >= 40 THEN 'ERROR' ELSE 'RUNNING' END AS status, props AS log "
+    f"FROM events WHERE {_LV} > 20"
+)
+_LINES = (
+    "SELECT strftime(ts, '%Y-%m-%d %H:%M:%S') || ' - user.' || user_id || ' [' || "
+    f"{_LN} || ']: ' || props AS line FROM events"
+)
+_LOAD_STATS = (
+    "WITH f AS (SELECT count(*) AS n, max(strftime(l_shipdate, '%Y-%m-%d')) AS bd FROM lineitem), "
+    f"l AS (SELECT {LOADING_ID - 1} AS loading_id, {_d(EARLIER_DATE)} AS d "
+    f"UNION ALL SELECT {LOADING_ID}, {_d(LOAD_DATE)}), "
+    f"s AS (SELECT 15 AS stat_id, '{APP_ID}' AS v, 0 AS k UNION ALL SELECT 11, NULL, 1 "
+    "UNION ALL SELECT 2, NULL, 2 UNION ALL SELECT 5, NULL, 3 UNION ALL SELECT 1, NULL, 1) "
+    "SELECT CAST(l.loading_id AS BIGINT) AS loading_id, "
+    f"CAST({ENTITY_ID} AS BIGINT) AS entity_id, s.stat_id, "
+    "CASE s.k WHEN 0 THEN s.v WHEN 1 THEN CAST(l.d AS VARCHAR) "
+    "WHEN 2 THEN CASE WHEN f.n > 0 THEN '1' ELSE '0' END ELSE f.bd END AS stat_value, "
+    "l.d AS load_date FROM l, s, f"
+)
 
 ORACLE_SQL: dict[str, str] = {
     "mart_load_payroll": (
         f"SELECT {_PAYROLL_SELECT}, "
         "(SELECT max(l_orderkey) FROM lineitem) AS src_loading_id, "
-        f"CAST({LOADING_ID} AS BIGINT) AS ctl_loading, DATE '{LOAD_DATE.isoformat()}' AS ctl_validfrom "
+        f"CAST({LOADING_ID} AS BIGINT) AS ctl_loading, {_d(LOAD_DATE)} AS ctl_validfrom "
         "FROM lineitem"
     ),
     "mart_load_merch": (
         "SELECT s_name AS merch_id, s_suppkey AS inn, s_nationkey AS gosb_id, "
         "(SELECT max(s_suppkey) FROM supplier) AS src_ctl_loading, "
-        f"CAST({LOADING_ID} AS BIGINT) AS ctl_loading, DATE '{LOAD_DATE.isoformat()}' AS ctl_validfrom "
+        f"CAST({LOADING_ID} AS BIGINT) AS ctl_loading, {_d(LOAD_DATE)} AS ctl_validfrom "
         "FROM supplier"
     ),
+    "mart_recreate": (
+        f"SELECT {_d(EARLIER_DATE)} AS ctl_validfrom, count(*) AS row_count FROM lineitem "
+        f"UNION ALL SELECT {_d(LOAD_DATE)}, count(*) FROM lineitem"
+    ),
+    "drop_all_then_load": (
+        f"SELECT {_d(LOAD_DATE)} AS ctl_validfrom, count(*) AS row_count FROM lineitem"
+    ),
     "table_stats": (
         "SELECT count(*) AS row_count, max(l_orderkey) AS src_loading_id, "
         "max(strftime(l_shipdate, '%Y-%m-%d')) AS business_date FROM lineitem"
     ),
     "max_cdc_date": (
-        "SELECT substr(CAST(max(CAST(date_trunc('year', l_shipdate) AS DATE)) AS VARCHAR), 1, 10) "
-        "AS max_cdc_date FROM lineitem"
+        f"SELECT substr(CAST(max({_YEAR}) AS VARCHAR), 1, 10) AS max_cdc_date FROM lineitem"
+    ),
+    "load_stats": _LOAD_STATS,
+    "partition_inventory": (
+        f"SELECT {_YEAR} AS ctl_validfrom, count(*) AS row_count FROM lineitem GROUP BY 1"
+    ),
+    "partition_retention": (
+        f"SELECT * FROM (SELECT {_YEAR} AS ctl_validfrom, count(*) AS row_count FROM lineitem "
+        f"GROUP BY 1) WHERE NOT (ctl_validfrom > {_d(RETENTION_FROM)} "
+        f"AND ctl_validfrom < {_d(RETENTION_TO)})"
+    ),
+    "compact_contents": f"SELECT *, {_YEAR} AS ctl_validfrom FROM lineitem",
+    "compact_salted": f"SELECT *, {_YEAR} AS ctl_validfrom FROM lineitem",
+    "compact_flat": "SELECT * FROM lineitem",
+    "month_window": (
+        "WITH d AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS report_date FROM orders), "
+        "w AS (SELECT report_date, "
+        "CAST(date_trunc('month', report_date) - INTERVAL 1 DAY AS DATE) AS end_date, "
+        "CAST(date_trunc('month', report_date) - INTERVAL 1 MONTH AS DATE) AS start_date, "
+        "CAST(date_trunc('month', report_date) - INTERVAL 1 MONTH - INTERVAL 1 DAY AS DATE) "
+        "AS prev_date FROM d) "
+        "SELECT *, strftime(end_date, '%Y%m%d') AS end_key, strftime(start_date, '%Y%m%d') "
+        "AS start_key, strftime(prev_date, '%Y%m%d') AS prev_key FROM w"
+    ),
+    "step_order": (
+        "SELECT c_name AS name, CAST(regexp_extract_all(c_name, '[0-9]+')[1] AS BIGINT) AS step "
+        "FROM customer WHERE len(regexp_extract_all(c_name, '[0-9]+')) = 1"
     ),
+    "log_envelope": _ENVELOPE,
+    "run_status": _STATUS,
+    "log_lines": _LINES,
+    "log_envelope_stream": _ENVELOPE,
+    "run_status_stream": _STATUS,
+    "log_lines_stream": _LINES,
 }
