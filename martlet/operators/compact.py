@@ -28,6 +28,7 @@ make the swap atomic.
 
 from __future__ import annotations
 
+import time
 import uuid
 from dataclasses import dataclass, field
 from functools import reduce
@@ -58,6 +59,26 @@ class CompactionResult:
     rows_staged: int = 0
     strategy: str = "none"
     swapped: list[str] = field(default_factory=list)
+    timings: dict[str, float] = field(default_factory=dict)
+
+    @property
+    def bytes_before(self) -> int:
+        return int(sum(int(p["bytes"]) for p in self.plan))
+
+    @property
+    def files_before(self) -> int:
+        return int(sum(int(p["files"]) for p in self.plan))
+
+
+class _Clock:
+    def __init__(self, sink: dict[str, float]):
+        self._sink = sink
+        self._t = time.perf_counter()
+
+    def lap(self, label: str) -> None:
+        now = time.perf_counter()
+        self._sink[label] = round(now - self._t, 4)
+        self._t = now
 
 
 def files_for(bytes_col, target_bytes: int):
@@ -118,13 +139,16 @@ def compact(
     """
     root = root.rstrip("/")
     fs = _fs or HadoopFS(spark)
+    timings: dict[str, float] = {}
+    clock = _Clock(timings)
     plan_rows = [
         r.asDict()
         for r in compaction_plan(
             spark, root, partition_column, partition_type, start, target_bytes, only_fragmented
         ).collect()
     ]
-    result = CompactionResult(root=root, plan=plan_rows)
+    result = CompactionResult(root=root, plan=plan_rows, timings=timings)
+    clock.lap("plan")
     if not plan_rows:
         return result
 
@@ -135,6 +159,7 @@ def compact(
     data_cols = [f.name for f in full_schema.fields if f.name != partition_column]
     if partition_column:
         full_schema = _with_type(full_schema, partition_column, partition_type)
+    clock.lap("schema")
 
     if strategy == "auto":
         strategy = "coalesce" if len(plan_rows) <= MAX_UNION_PARTITIONS else "salted"
@@ -157,6 +182,7 @@ def compact(
     writer.parquet(stage)
     observed = obs.get
     result.rows_source = int(observed["rows"])
+    clock.lap("rewrite")
 
     staged = spark.read.schema(full_schema).option("basePath", stage).parquet(stage)
     result.rows_staged = staged.count()
@@ -170,11 +196,13 @@ def compact(
         if got != observed["checksum"]:
             fs.delete(stage)
             raise CompactionVerifyError("staged checksum differs from source")
+    clock.lap("verify")
 
     result.swapped = _swap(spark, fs, root, stage, backup, partition_column, partition_type, plan_rows)
     spark.catalog.refreshByPath(root)
     if table:
         spark.catalog.refreshTable(table)
+    clock.lap("swap")
     return result
 
 
@@ -235,7 +263,9 @@ def _swap(spark, fs, root, stage, backup, partition_column, partition_type, plan
         for row in plan_rows:
             new = staged_by_value.get(row[partition_column])
             if new is None:
-                raise CompactionVerifyError(f"no staged data for {row['fragment']}")
+                # Only row-less files there: nothing was staged, the rows all
+                # matched (verified above), so the partition stays as it is.
+                continue
             pairs.append((f"{root}/{row['fragment']}", f"{stage}/{new}", f"{backup}/{row['fragment']}"))
     done: list[tuple[str, str, str, bool]] = []
     try:

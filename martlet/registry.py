@@ -58,7 +58,7 @@ def _year_mart(spark: SparkSession, sf_dir: str, label: str, small_files: bool =
     root = new_work_dir(spark, label)
     df = lineitem_by_year(spark, sf_dir)
     if small_files:
-        df = df.repartition(SMALL_FILES)
+        df = df.repartition(SMALL_FILES, "l_orderkey")
     df.write.partitionBy("ctl_validfrom").parquet(f"{root}/{label}")
     spec = spec_for_frame(df, unique_name(label), f"{root}/{label}")
     recreate(spark, spec)
@@ -205,7 +205,7 @@ def q_compact_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_compact_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An unpartitioned folder of many small files, compacted in place."""
     root = new_work_dir(spark, "flat") + "/lineitem_flat/"
-    table(spark, sf_dir, "lineitem").repartition(SMALL_FILES).write.parquet(root)
+    table(spark, sf_dir, "lineitem").repartition(SMALL_FILES, "l_orderkey").write.parquet(root)
     compact_directory(spark, root, TEST_TARGET_BYTES, verify="checksum")
     return spark.read.parquet(root)
 

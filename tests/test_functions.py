@@ -1,0 +1,121 @@
+"""Column functions: month windows, numbered names, run-log shapes, statistics."""
+
+from __future__ import annotations
+
+import datetime as dt
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from martlet.functions.calendar import month_window
+from martlet.functions.runlog import envelope, level_name, log_lines, status_events, status_json
+from martlet.functions.steps import with_steps
+from martlet.operators.stats import (
+    load_stat_rows,
+    max_cdc_date,
+    scalar,
+    table_row_count,
+    table_stats,
+)
+
+
+def test_month_window_examples(spark):
+    df = spark.createDataFrame(
+        [(dt.date(2024, 3, 31),), (dt.date(2024, 1, 1),), (dt.date(2023, 3, 15),)], "report_date date"
+    )
+    got = {r["report_date"]: r for r in month_window(df).collect()}
+    r = got[dt.date(2024, 3, 31)]
+    assert (r.end_date, r.start_date, r.prev_date) == (dt.date(2024, 2, 29), dt.date(2024, 2, 1), dt.date(2024, 1, 31))
+    assert (r.end_key, r.start_key, r.prev_key) == ("20240229", "20240201", "20240131")
+    r = got[dt.date(2024, 1, 1)]
+    assert (r.end_date, r.start_date, r.prev_date) == (dt.date(2023, 12, 31), dt.date(2023, 12, 1), dt.date(2023, 11, 30))
+    r = got[dt.date(2023, 3, 15)]
+    assert (r.end_date, r.start_date, r.prev_date) == (dt.date(2023, 2, 28), dt.date(2023, 2, 1), dt.date(2023, 1, 31))
+
+
+def test_steps_valid_names_ordered_numerically(spark):
+    df = spark.createDataFrame([("stat12.sql",), ("1stat.sql",), ("stat2.sql",)], "name string")
+    got = [(r.name, r.step) for r in with_steps(df).collect()]
+    assert got == [("1stat.sql", 1), ("stat2.sql", 2), ("stat12.sql", 12)]
+
+
+@pytest.mark.parametrize("bad", ["stat1_1.sql", "12stat1.sql", "stat.sql"])
+def test_steps_invalid_names(spark, bad):
+    df = spark.createDataFrame([("stat1.sql",), (bad,)], "name string")
+    with pytest.raises(ValueError):
+        with_steps(df, on_bad="raise").collect()
+    assert [r.name for r in with_steps(df, on_bad="reject").collect()] == ["stat1.sql"]
+
+
+def _records(spark, rows):
+    return spark.createDataFrame(
+        rows, "created timestamp_ntz, levelno int, message string, name string"
+    )
+
+
+T0 = dt.datetime(2024, 1, 2, 3, 4, 5, 678000)
+
+
+def test_status_drops_info_and_marks_errors(spark):
+    recs = _records(spark, [(T0, lv, f"m{lv}", "n") for lv in (20, 25, 30, 40, 50)])
+    got = {r.log: r.status for r in status_events(recs, 42).collect()}
+    assert got == {"m25": "RUNNING", "m30": "RUNNING", "m40": "ERROR", "m50": "ERROR"}
+    row = status_events(recs, 42).first()
+    assert row.loading_id == 42 and row.effective_from == "2024-01-02 03:04:05"
+    doc = json.loads(status_json(status_events(recs, 42)).first().payload)
+    assert set(doc) == {"loading_id", "effective_from", "status", "log"}
+
+
+def test_envelope_fields_and_timezone_independence(spark):
+    recs = _records(spark, [(T0, 25, 'say "hi"', "user.1")])
+    before = spark.conf.get("spark.sql.session.timeZone")
+    docs = []
+    for tz in ("UTC", "America/New_York"):
+        spark.conf.set("spark.sql.session.timeZone", tz)
+        docs.append(json.loads(envelope(recs, "app").first().payload))
+    spark.conf.set("spark.sql.session.timeZone", before)
+    assert docs[0] == docs[1]
+    epoch = int((T0 - dt.datetime(1970, 1, 1)).total_seconds())
+    assert docs[0] == {
+        "app_id": "app", "timestamp": epoch, "type_id": "Tech", "subtype_id": "CTL_INFO",
+        "value": 25, "message": 'say "hi"', "name": "user.1",
+    }
+
+
+def test_log_line_format_and_level_names(spark):
+    recs = _records(spark, [(T0, 40, "boom", "user.7")])
+    assert log_lines(recs).first().line == "2024-01-02 03:04:05 - user.7 [ERROR]: boom"
+    names = spark.createDataFrame([(10,), (35,)], "l int").select(level_name(F.col("l"))).collect()
+    assert [r[0] for r in names] == ["DEBUG", "Level 35"]
+
+
+def test_scalar_edge(spark):
+    assert scalar(spark.range(0)) is None
+    assert scalar(spark.range(5).agg(F.max("id"))) == 4
+    with pytest.raises(Exception):
+        scalar(spark.range(3).select(F.raise_error(F.lit("boom"))))
+
+
+def test_missing_table_counts_zero(spark):
+    assert table_row_count(spark, "no_such_table_xyz") == 0
+
+
+def test_table_stats_and_cdc_date(spark):
+    df = spark.createDataFrame(
+        [(1, "2021-01-02", dt.datetime(2021, 10, 25)), (5, "2021-03-04", dt.datetime(2021, 10, 26))],
+        "ctl_loading long, report_dt string, ctl_validfrom timestamp",
+    )
+    r = table_stats(df).first()
+    assert (r.row_count, r.src_loading_id, r.business_date) == (2, 5, "2021-03-04")
+    assert max_cdc_date(df).first()[0] == "2021-10-26"
+
+
+def test_load_stat_rows(spark):
+    mart = spark.createDataFrame(
+        [("2021-01-02", dt.date(2021, 10, 25)), ("2021-05-06", dt.date(2021, 10, 24))],
+        "report_dt string, ctl_validfrom date",
+    )
+    rows = load_stat_rows(mart, loading_id=42, entity_id=7, load_date=dt.date(2021, 10, 25), app_id="app")
+    got = {r.stat_id: r.avalue for r in rows.collect()}
+    assert got == {15: ["app"], 11: ["2021-10-25"], 2: ["1"], 5: ["2021-01-02"], 1: ["2021-10-25"]}
