@@ -8,6 +8,8 @@ as numbers-in-text.
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +17,11 @@ from pyspark.sql import functions as F
 KEY_FORMAT = "yyyyMMdd"
 
 
+def launch_date() -> _dt.date:
+    """Today's date in UTC, computed once on the driver (never inside a plan)."""
+    return _dt.datetime.now(_dt.timezone.utc).date()
+
+
 def end_of_previous_month(d: Column) -> Column:
     return F.date_sub(F.trunc(d, "month"), 1)
 

@@ -16,6 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from martlet.functions.calendar import launch_date
 from martlet.plans.spec import MartSpec, ensure_table, partition_literal
 from martlet.sources.tables import quote_identifier, read_source
 
@@ -89,9 +90,10 @@ def load_snapshot(
     source: str | DataFrame,
     *,
     loading_id: int,
-    load_date: _dt.date | str,
+    load_date: _dt.date | str | None = None,
     allow_empty: bool = False,
     rebalance: bool = True,
+    _facts=None,
 ) -> LoadResult:
     """Publish a full snapshot of ``source`` into the ``load_date`` partition.
 
@@ -99,10 +101,12 @@ def load_snapshot(
     Raises :class:`EmptySourceError` when the source has no load id, unless
     ``allow_empty`` – then the partition is replaced by an empty one.
     """
+    if load_date is None:
+        load_date = launch_date()
     if isinstance(load_date, str):
         load_date = _dt.date.fromisoformat(load_date)
     src = read_source(spark, source)
-    facts = source_facts(src, spec.source_load_id_column).first()
+    facts = _facts or source_facts(src, spec.source_load_id_column).first()
     src_loading_id = facts["src_loading_id"]
     if src_loading_id is None and not allow_empty:
         raise EmptySourceError(
@@ -126,7 +130,7 @@ def force_load(
     source: str | DataFrame,
     *,
     loading_id: int,
-    load_date: _dt.date | str,
+    load_date: _dt.date | str | None = None,
     rebalance: bool = True,
 ) -> LoadResult:
     """Clear every partition of the mart (catalog and files), then load.
@@ -136,10 +140,17 @@ def force_load(
     from martlet.operators.partitions import drop_all_partitions
 
     src = read_source(spark, source)
-    if source_facts(src, spec.source_load_id_column).first()["src_loading_id"] is None:
+    facts = source_facts(src, spec.source_load_id_column).first()
+    if facts["src_loading_id"] is None:
         raise EmptySourceError("source has no load id; mart not cleared")
     ensure_table(spark, spec)
     drop_all_partitions(spark, spec, purge=True)
     return load_snapshot(
-        spark, spec, src, loading_id=loading_id, load_date=load_date, rebalance=rebalance
+        spark,
+        spec,
+        src,
+        loading_id=loading_id,
+        load_date=load_date,
+        rebalance=rebalance,
+        _facts=facts,
     )

@@ -22,7 +22,6 @@ from pyspark.sql.types import (
     StructType,
 )
 
-from martlet.sources.tables import quote_identifier
 
 # Statistic ids published after a load.
 STAT_APPLICATION_ID = 15
@@ -58,6 +57,20 @@ def scalar_sql(spark: SparkSession, query: str, **args):
     return scalar(spark.sql(query, args=args or None))
 
 
+def query_text(spark: SparkSession, path: str) -> str:
+    """Text of a stored query file (any Hadoop file system), read as one value."""
+    row = spark.read.text(path, wholetext=True).first()
+    if row is None:
+        raise FileNotFoundError(path)
+    return row[0]
+
+
+def scalar_from(spark: SparkSession, path: str, **args):
+    """Scalar of a stored, parameterised query: ``:name`` markers filled from ``args``
+    (table names through ``IDENTIFIER(:name)``)."""
+    return scalar_sql(spark, query_text(spark, path), **args)
+
+
 def row_count(df: DataFrame) -> DataFrame:
     """``count(*)`` as a one-row DataFrame (``row_count``)."""
     return df.agg(F.count(F.lit(1)).alias("row_count"))
@@ -67,7 +80,7 @@ def table_row_count(spark: SparkSession, table: str) -> int:
     """Rows of a catalog table; a missing table counts 0 rows."""
     if not spark.catalog.tableExists(table):
         return 0
-    return int(scalar(row_count(spark.table(table))))
+    return int(scalar_sql(spark, "SELECT count(*) FROM IDENTIFIER(:t)", t=table))
 
 
 def table_stats(
@@ -173,6 +186,3 @@ def publish_stats(rows: DataFrame, path: str) -> None:
 def read_stats(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(LOAD_STATS_SCHEMA).parquet(path)
 
-
-def count_table_sql(table: str) -> str:
-    return f"SELECT count(*) AS row_count FROM {quote_identifier(table)}"

@@ -16,11 +16,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martlet.functions.calendar import month_window
-from martlet.functions.runlog import envelope, log_lines, status_events
+from martlet.functions.runlog import envelope, log_lines, status_events, status_json
 from martlet.functions.steps import with_steps
 from martlet.operators.compact import compact, compact_directory, compaction_plan
 from martlet.operators.load import force_load, load_snapshot
-from martlet.operators.partitions import apply_retention, partition_row_counts
+from martlet.operators.partitions import (
+    apply_retention,
+    catalog_partitions,
+    partition_row_counts,
+)
 from martlet.operators.stats import (
     load_stat_rows,
     max_cdc_date,
@@ -79,6 +83,15 @@ def q_mart_load_payroll(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(spec.table)
 
 
+def q_mart_reload_same_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads on one date: the second replaces the first (idempotent rerun)."""
+    spec = _payroll_mart(spark, "rerun_mart")
+    src = payroll_source(spark, sf_dir)
+    load_snapshot(spark, spec, src, loading_id=LOADING_ID - 1, load_date=LOAD_DATE)
+    load_snapshot(spark, spec, src, loading_id=LOADING_ID, load_date=LOAD_DATE)
+    return spark.table(spec.table)
+
+
 def q_mart_load_merch(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = new_work_dir(spark, "merch_mart")
     spec = merchant_spec(unique_name("merch_mart"), f"{root}/merch_mart")
@@ -148,6 +161,14 @@ def q_partition_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     return partition_row_counts(spark.table(spec.table), spec.partition_column)
 
 
+def q_partition_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Partitions as the catalog lists them, with typed values."""
+    spec = _year_mart(spark, sf_dir, "catalog_mart")
+    return catalog_partitions(spark, spec.table, spec.partition_column, spec.partition_type).select(
+        spec.partition_column
+    )
+
+
 def q_partition_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     from martlet.sources.files import partition_file_stats
 
@@ -238,6 +259,10 @@ def q_run_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return status_events(_records(spark, sf_dir), "record_id")
 
 
+def q_run_status_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return status_json(status_events(_records(spark, sf_dir), "record_id"))
+
+
 def q_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log_lines(_records(spark, sf_dir))
 
@@ -271,6 +296,7 @@ def q_log_lines_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "mart_load_payroll": q_mart_load_payroll,
+    "mart_reload_same_day": q_mart_reload_same_day,
     "mart_load_merch": q_mart_load_merch,
     "mart_recreate": q_mart_recreate,
     "drop_all_then_load": q_drop_all_then_load,
@@ -278,6 +304,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "max_cdc_date": q_max_cdc_date,
     "load_stats": q_load_stats,
     "partition_inventory": q_partition_inventory,
+    "partition_catalog": q_partition_catalog,
     "partition_files": q_partition_files,
     "partition_retention": q_partition_retention,
     "compact_plan": q_compact_plan,
@@ -288,6 +315,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "step_order": q_step_order,
     "log_envelope": q_log_envelope,
     "run_status": q_run_status,
+    "run_status_json": q_run_status_json,
     "log_lines": q_log_lines,
     "log_envelope_stream": q_log_envelope_stream,
     "run_status_stream": q_run_status_stream,
@@ -320,6 +348,12 @@ _STATUS = (
     f"CASE WHEN {_LV} >= 40 THEN 'ERROR' ELSE 'RUNNING' END AS status, props AS log "
     f"FROM events WHERE {_LV} > 20"
 )
+_STATUS_JSON = (
+    "SELECT CAST(json_object('loading_id', event_id, 'effective_from', "
+    "strftime(ts, '%Y-%m-%d %H:%M:%S'), 'status', "
+    f"CASE WHEN {_LV} >= 40 THEN 'ERROR' ELSE 'RUNNING' END, 'log', props) AS VARCHAR) "
+    f"AS payload FROM events WHERE {_LV} > 20"
+)
 _LINES = (
     "SELECT strftime(ts, '%Y-%m-%d %H:%M:%S') || ' - user.' || user_id || ' [' || "
     f"{_LN} || ']: ' || props AS line FROM events"
@@ -344,6 +378,12 @@ ORACLE_SQL: dict[str, str] = {
         f"CAST({LOADING_ID} AS BIGINT) AS ctl_loading, {_d(LOAD_DATE)} AS ctl_validfrom "
         "FROM lineitem"
     ),
+    "mart_reload_same_day": (
+        f"SELECT {_PAYROLL_SELECT}, "
+        "(SELECT max(l_orderkey) FROM lineitem) AS src_loading_id, "
+        f"CAST({LOADING_ID} AS BIGINT) AS ctl_loading, {_d(LOAD_DATE)} AS ctl_validfrom "
+        "FROM lineitem"
+    ),
     "mart_load_merch": (
         "SELECT s_name AS merch_id, s_suppkey AS inn, s_nationkey AS gosb_id, "
         "(SELECT max(s_suppkey) FROM supplier) AS src_ctl_loading, "
@@ -368,6 +408,7 @@ ORACLE_SQL: dict[str, str] = {
     "partition_inventory": (
         f"SELECT {_YEAR} AS ctl_validfrom, count(*) AS row_count FROM lineitem GROUP BY 1"
     ),
+    "partition_catalog": f"SELECT DISTINCT {_YEAR} AS ctl_validfrom FROM lineitem",
     "partition_retention": (
         f"SELECT * FROM (SELECT {_YEAR} AS ctl_validfrom, count(*) AS row_count FROM lineitem "
         f"GROUP BY 1) WHERE NOT (ctl_validfrom > {_d(RETENTION_FROM)} "
@@ -392,6 +433,7 @@ ORACLE_SQL: dict[str, str] = {
     ),
     "log_envelope": _ENVELOPE,
     "run_status": _STATUS,
+    "run_status_json": _STATUS_JSON,
     "log_lines": _LINES,
     "log_envelope_stream": _ENVELOPE,
     "run_status_stream": _STATUS,

@@ -119,3 +119,36 @@ def test_load_stat_rows(spark):
     rows = load_stat_rows(mart, loading_id=42, entity_id=7, load_date=dt.date(2021, 10, 25), app_id="app")
     got = {r.stat_id: r.avalue for r in rows.collect()}
     assert got == {15: ["app"], 11: ["2021-10-25"], 2: ["1"], 5: ["2021-01-02"], 1: ["2021-10-25"]}
+
+
+def test_scalar_from_stored_query(spark, workdir):
+    import os
+
+    from martlet.operators.stats import scalar_from
+    from martlet.session import local_path
+
+    path = f"{workdir}/q/count.sql"
+    os.makedirs(os.path.dirname(local_path(path)), exist_ok=True)
+    with open(local_path(path), "w") as fh:
+        fh.write("SELECT count(*) FROM IDENTIFIER(:t) WHERE id >= :lo")
+    spark.range(10).createOrReplaceTempView("ten_rows")
+    assert scalar_from(spark, path, t="ten_rows", lo=4) == 6
+
+
+def test_numbered_files_from_listing(spark, workdir):
+    import os
+
+    from martlet.functions.steps import numbered_files
+    from martlet.session import local_path
+
+    root = local_path(f"{workdir}/steps")
+    for rel in ("a/stat12.sql", "stat1.sql", "b/c/2stat.sql", "notes.txt"):
+        os.makedirs(os.path.dirname(os.path.join(root, rel)), exist_ok=True)
+        with open(os.path.join(root, rel), "w") as fh:
+            fh.write("select 1")
+    got = [(r.name, r.step) for r in numbered_files(spark, root, "*.sql").collect()]
+    assert got == [("stat1.sql", 1), ("2stat.sql", 2), ("stat12.sql", 12)]
+    with open(os.path.join(root, "stat1_1.sql"), "w") as fh:
+        fh.write("select 1")
+    with pytest.raises(ValueError):
+        numbered_files(spark, root, "*.sql")
