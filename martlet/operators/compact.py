@@ -37,7 +37,12 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, MapType, StructType
 
-from martlet.sources.files import partition_file_stats
+from martlet.sources.files import (
+    regex_escape,
+    list_files,
+    partition_file_stats,
+    partition_value_from_path,
+)
 from martlet.sources.hadoop_fs import HadoopFS
 
 # Target file size (the HDFS block size the reference configures).
@@ -97,21 +102,32 @@ def compaction_plan(
 ) -> DataFrame:
     """``(<partition_column>, fragment, files, bytes, n_files)`` per partition to rewrite.
 
-    ``start`` is an inclusive lower bound on the typed partition value. Empty
-    partitions are left out; ``only_fragmented`` also leaves out partitions that
-    already have no more than ``n_files`` files.
+    ``start`` is an inclusive lower bound on the typed partition value. Only the
+    partition directories on or after it are listed, so compacting today's
+    partition never lists a year of history. Empty partitions are left out;
+    ``only_fragmented`` also leaves out partitions that already have no more
+    than ``n_files`` files.
     """
     root = root.rstrip("/")
-    stats = partition_file_stats(spark, root, partition_column, partition_type)
     if partition_column:
-        listed = _listing_with_fragment(spark, root, partition_column, partition_type)
-        stats = listed.groupBy(partition_column, "fragment").agg(
-            F.count(F.lit(1)).alias("files"), F.sum("length").cast("bigint").alias("bytes")
+        fragments = _selected_fragments(spark, root, partition_column, partition_type, start)
+        if not fragments:
+            return spark.createDataFrame([], _plan_schema(partition_column, partition_type))
+        listed = list_files(spark, *[f"{root}/{f}" for f in fragments])
+        fragment = F.regexp_extract(
+            F.col("path"), r"/(" + regex_escape(partition_column) + r"=[^/]*)/", 1
+        )
+        stats = (
+            listed.withColumn(
+                partition_column,
+                partition_value_from_path(F.col("path"), partition_column, partition_type),
+            )
+            .withColumn("fragment", fragment)
+            .groupBy(partition_column, "fragment")
+            .agg(F.count(F.lit(1)).alias("files"), F.sum("length").cast("bigint").alias("bytes"))
         )
-        if start not in (None, ""):
-            stats = stats.where(F.col(partition_column) >= F.lit(start).cast(partition_type))
     else:
-        stats = stats.withColumn("fragment", F.lit(""))
+        stats = partition_file_stats(spark, root, None).withColumn("fragment", F.lit(""))
     plan = stats.where(F.col("bytes") > 0).withColumn("n_files", files_for("bytes", target_bytes))
     if only_fragmented:
         plan = plan.where(F.col("files") > F.col("n_files"))
@@ -155,7 +171,8 @@ def compact(
     run = uuid.uuid4().hex[:12]
     stage = f"{root}__stage_{run}"
     backup = f"{root}__backup_{run}"
-    full_schema = spark.read.option("basePath", root).parquet(root).schema
+    paths = [f"{root}/{r['fragment']}" for r in plan_rows] if partition_column else [root]
+    full_schema = spark.read.option("basePath", root).parquet(*paths).schema
     data_cols = [f.name for f in full_schema.fields if f.name != partition_column]
     if partition_column:
         full_schema = _with_type(full_schema, partition_column, partition_type)
@@ -167,7 +184,7 @@ def compact(
     if strategy == "coalesce":
         rows = _coalesced_union(spark, root, full_schema, partition_column, plan_rows)
     elif strategy == "salted":
-        rows = _salted(spark, root, full_schema, partition_column, data_cols, plan_rows)
+        rows = _salted(spark, root, paths, full_schema, partition_column, data_cols, plan_rows)
     else:
         raise ValueError(f"unknown strategy {strategy!r}")
 
@@ -223,16 +240,14 @@ def _coalesced_union(spark, root, schema, partition_column, plan_rows) -> DataFr
     return reduce(DataFrame.unionByName, branches)
 
 
-def _salted(spark, root, schema, partition_column, data_cols, plan_rows) -> DataFrame:
-    data = spark.read.schema(schema).option("basePath", root).parquet(root)
+def _salted(spark, root, paths, schema, partition_column, data_cols, plan_rows) -> DataFrame:
+    data = spark.read.schema(schema).option("basePath", root).parquet(*paths)
     hashable = [c for c in data_cols if not isinstance(schema[c].dataType, MapType)]
     salt_of = F.xxhash64(*[F.col(c) for c in hashable])
     total = int(sum(int(r["n_files"]) for r in plan_rows))
     if not partition_column:
         n = int(plan_rows[0]["n_files"])
         return data.withColumn("_salt", F.pmod(salt_of, F.lit(n))).repartition(n, "_salt").drop("_salt")
-    values = [r[partition_column] for r in plan_rows]
-    data = data.where(F.col(partition_column).isin(values))
     plan = spark.createDataFrame(
         [(r[partition_column], int(r["n_files"])) for r in plan_rows],
         StructType([schema[partition_column]]).add("_n", "long"),
@@ -292,12 +307,30 @@ def _staged_fragments(spark, fs, stage, column, data_type) -> dict:
     return {r[column]: r["fragment"] for r in rows}
 
 
-def _listing_with_fragment(spark, root, column, data_type) -> DataFrame:
-    from martlet.sources.files import list_partition_files
+def _selected_fragments(spark, root, column, data_type, start) -> list[str]:
+    """Partition directory names below ``root`` on or after ``start`` (typed)."""
+    from martlet.operators.partitions import disk_partitions
+
+    dirs = disk_partitions(spark, root, column, data_type)
+    if start not in (None, ""):
+        dirs = dirs.where(F.col(column) >= F.lit(start).cast(data_type))
+    return sorted(r["fragment"] for r in dirs.select("fragment").collect())
+
+
+def _plan_schema(column: str, data_type) -> StructType:
+    from pyspark.sql.types import LongType, StringType, StructField, _parse_datatype_string
 
-    listed = list_partition_files(spark, root, column, data_type)
-    parent = F.element_at(F.split(F.col("path"), "/"), -2)
-    return listed.withColumn("fragment", parent)
+    if isinstance(data_type, str):
+        data_type = _parse_datatype_string(data_type)
+    return StructType(
+        [
+            StructField(column, data_type),
+            StructField("fragment", StringType()),
+            StructField("files", LongType()),
+            StructField("bytes", LongType()),
+            StructField("n_files", LongType()),
+        ]
+    )
 
 
 def _with_type(schema: StructType, column: str, data_type) -> StructType:

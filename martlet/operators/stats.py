@@ -131,6 +131,13 @@ def stat_rows(
     )
 
 
+def newest_partition(spark: SparkSession, table: str, column: str, data_type="date"):
+    """Newest partition value of a catalog table, from the catalog alone (no scan)."""
+    from martlet.operators.partitions import catalog_partitions
+
+    return scalar(catalog_partitions(spark, table, column, data_type).agg(F.max(column)))
+
+
 def load_stat_rows(
     mart: DataFrame,
     *,
@@ -140,22 +147,26 @@ def load_stat_rows(
     app_id: str,
     partition_column: str = "ctl_validfrom",
     business_date_column: str | None = "report_dt",
+    newest_partition_value=None,
 ) -> DataFrame:
     """The five statistics of a finished load, computed from the loaded partition.
 
-    Last-loaded time is the load date; change is ``1`` when the partition holds
-    rows; business date is ``max`` of the business date column of the partition
-    (the load date when no such column is given); the CDC date is the newest
-    partition of the mart.
+    Only the loaded partition is read (a partition filter): last-loaded time is
+    the load date; change is ``1`` when the partition holds rows; business date is
+    ``max`` of the business date column there (the load date when no such column
+    is given). The CDC date is the newest partition of the mart: pass it in from
+    the catalog (:func:`newest_partition`) to avoid touching other partitions;
+    otherwise it is read from the partition column.
     """
-    loaded = F.col(partition_column) == F.lit(load_date).cast(mart.schema[partition_column].dataType)
-    aggs = [
-        F.count(F.when(loaded, F.lit(1))).alias("rows_loaded"),
-        F.substring(F.max(partition_column).cast("string"), 1, 10).alias("max_cdc_date"),
-    ]
+    part_type = mart.schema[partition_column].dataType
+    loaded = mart.where(F.col(partition_column) == F.lit(load_date).cast(part_type))
+    aggs = [F.count(F.lit(1)).alias("rows_loaded")]
     if business_date_column:
-        aggs.append(F.max(F.when(loaded, F.col(business_date_column))).alias("business_date"))
-    facts = mart.agg(*aggs)
+        aggs.append(F.max(business_date_column).alias("business_date"))
+    facts = loaded.agg(*aggs)
+    if newest_partition_value is None:
+        newest_partition_value = scalar(mart.agg(F.max(partition_column)))
+    cdc = None if newest_partition_value is None else str(newest_partition_value)[:10]
     business = F.col("business_date") if business_date_column else F.lit(load_date.isoformat())
     return stat_rows(
         facts,
@@ -164,7 +175,7 @@ def load_stat_rows(
             STAT_LAST_LOADED_TIME: F.lit(load_date.isoformat()),
             STAT_CHANGE: F.when(F.col("rows_loaded") > 0, F.lit("1")).otherwise(F.lit("0")),
             STAT_BUSINESS_DATE: business,
-            STAT_MAX_CDC_DATE: F.col("max_cdc_date"),
+            STAT_MAX_CDC_DATE: F.lit(cdc),
         },
         loading_id=loading_id,
         entity_id=entity_id,

@@ -28,6 +28,7 @@ from martlet.operators.partitions import (
 from martlet.operators.stats import (
     load_stat_rows,
     max_cdc_date,
+    newest_partition,
     publish_stats,
     read_stats,
     table_stats,
@@ -144,6 +145,9 @@ def q_load_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
             entity_id=ENTITY_ID,
             load_date=load_date,
             app_id=APP_ID,
+            newest_partition_value=newest_partition(
+                spark, spec.table, spec.partition_column, spec.partition_type
+            ),
         )
         publish_stats(rows, stats_path)
     return read_stats(spark, stats_path).select(

@@ -29,14 +29,14 @@ def unescape_partition_value(raw: Column) -> Column:
 
 def partition_value_from_path(path: Column, column: str, data_type: DataType | str | None = None) -> Column:
     """Typed value of ``column`` from a file or directory path (any nesting level)."""
-    pattern = r"(?:^|/)" + _regex_escape(column) + r"=([^/]*)(?:/|$)"
+    pattern = r"(?:^|/)" + regex_escape(column) + r"=([^/]*)(?:/|$)"
     raw = F.regexp_extract(path, pattern, 1)
     value = unescape_partition_value(raw)
     return value.cast(data_type) if data_type is not None else value
 
 
-def list_files(spark: SparkSession, root: str) -> DataFrame:
-    """``(path, length)`` of every data file below ``root``.
+def list_files(spark: SparkSession, *roots: str) -> DataFrame:
+    """``(path, length)`` of every data file below each of ``roots``.
 
     Spark skips names starting with ``_`` or ``.`` (``_SUCCESS``, ``.crc``) on its
     own. Row-less Parquet files are listed too, unlike ``_metadata`` of a scan.
@@ -44,7 +44,7 @@ def list_files(spark: SparkSession, root: str) -> DataFrame:
     return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
-        .load(root)
+        .load(list(roots))
         .select("path", "length")
     )
 
@@ -87,7 +87,7 @@ def base_name(path: Column) -> Column:
     return F.substring_index(path, "/", -1)
 
 
-def _regex_escape(text: str) -> str:
+def regex_escape(text: str) -> str:
     out = []
     for ch in text:
         if ch.isalnum() or ch == "_":
