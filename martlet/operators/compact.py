@@ -11,7 +11,10 @@ Rewrite – one Spark job for all selected partitions, two strategies:
   per-partition scans, each ``coalesce(n_files)``. No shuffle; every task holds
   rows of one partition only, so a partition gets at most ``n_files`` files,
   and a task reads about one target's worth of input.
-* ``salted`` (many partitions): one scan with a partition filter, a salt
+* ``rebalance``: when exact counts do not matter, one shuffle with the
+  ``rebalance`` hint on the partition column lets adaptive execution size the
+  files and split hot partitions.
+* ``salted`` (many partitions): one scan of the selected directories, a salt
   ``pmod(xxhash64(row), n_files)`` from a broadcast plan (size checked), and
   ``repartition(sum(n_files), partition, salt)``. One shuffle, deterministic
   under task retries, no hot task even when one partition holds most rows.
@@ -185,6 +188,8 @@ def compact(
         rows = _coalesced_union(spark, root, full_schema, partition_column, plan_rows)
     elif strategy == "salted":
         rows = _salted(spark, root, paths, full_schema, partition_column, data_cols, plan_rows)
+    elif strategy == "rebalance":
+        rows = _rebalanced(spark, root, paths, full_schema, partition_column)
     else:
         raise ValueError(f"unknown strategy {strategy!r}")
 
@@ -223,6 +228,39 @@ def compact(
     return result
 
 
+def recover_interrupted_swap(spark: SparkSession, root: str, _fs: HadoopFS | None = None) -> list[str]:
+    """Finish the cleanup of a compaction whose driver died during the swap.
+
+    For every ``<root>__backup_<run>`` sibling: a partition whose directory is
+    missing gets its backup back (the old files); one already replaced keeps the
+    new files (same rows, verified before the swap). Staging and backup folders
+    are removed. Returns the restored paths.
+    """
+    fs = _fs or HadoopFS(spark)
+    root = root.rstrip("/")
+    parent, name = root.rsplit("/", 1)
+    restored = []
+    for entry in fs.list(parent):
+        if not entry.is_dir or not entry.name.startswith(name + "__"):
+            continue
+        run_dir = f"{parent}/{entry.name}"
+        if entry.name.startswith(name + "__backup_"):
+            if not fs.exists(root):  # flat table: the whole folder was moved
+                fs.rename(run_dir, root)
+                restored.append(root)
+                continue
+            for part in fs.list(run_dir):
+                target = f"{root}/{part.name}"
+                if part.is_dir and not fs.exists(target):
+                    fs.rename(part.path, target)
+                    restored.append(target)
+            fs.delete(run_dir)
+        elif entry.name.startswith(name + "__stage_"):
+            fs.delete(run_dir)
+    spark.catalog.refreshByPath(root)
+    return restored
+
+
 def compact_directory(
     spark: SparkSession, directory: str, target_bytes: int = DEFAULT_TARGET_BYTES, **kwargs
 ) -> CompactionResult:
@@ -263,6 +301,14 @@ def _salted(spark, root, paths, schema, partition_column, data_cols, plan_rows)
     )
 
 
+def _rebalanced(spark, root, paths, schema, partition_column) -> DataFrame:
+    """AQE-sized output: no exact file counts, one shuffle, skew split by AQE."""
+    data = spark.read.schema(schema).option("basePath", root).parquet(*paths)
+    if partition_column:
+        return data.hint("rebalance", partition_column)
+    return data.hint("rebalance")
+
+
 def _checksum(schema: StructType, data_cols: list[str]):
     hashable = [c for c in data_cols if not isinstance(schema[c].dataType, MapType)]
     return F.sum(F.xxhash64(*[F.col(c) for c in hashable]).cast("decimal(20,0)"))

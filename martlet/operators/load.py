@@ -11,9 +11,10 @@ and leaves every other partition alone.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from martlet.functions.calendar import launch_date
@@ -32,6 +33,7 @@ class LoadResult:
     source_rows: int
     src_loading_id: int | None
     loading_id: int
+    rows_written: int | None = None
 
 
 def source_facts(source: DataFrame, load_id_column: str) -> DataFrame:
@@ -65,23 +67,27 @@ def with_lineage(
 
 def insert_partition(
     spark: SparkSession, spec: MartSpec, rows: DataFrame, load_date, rebalance: bool = True
-) -> None:
+) -> int:
     """Replace exactly the ``load_date`` partition of ``spec.table`` with ``rows``.
 
     ``BY NAME`` matches columns by name; the session's ANSI store assignment makes
     overflow and bad casts raise. ``rebalance`` lets adaptive execution cut the
     output into evenly sized files in the same job, so a load does not leave one
-    small file per input split behind.
+    small file per input split behind. Returns the rows written, observed in the
+    write stage itself (each task counted once, also after retries).
     """
     check_columns(rows, [f.name for f in spec.columns.fields])
     if rebalance:
         rows = rows.hint("rebalance")
+    written = Observation(f"load_{uuid.uuid4().hex[:12]}")
+    rows = rows.observe(written, F.count(F.lit(1)).alias("rows"))
     spark.sql(
         f"INSERT OVERWRITE TABLE {quote_identifier(spec.table)} "
         f"PARTITION (`{spec.partition_column}` = {partition_literal(spec, load_date)}) "
         "BY NAME SELECT * FROM {rows}",
         rows=rows,
     )
+    return int(written.get["rows"])
 
 
 def load_snapshot(
@@ -114,13 +120,14 @@ def load_snapshot(
         )
     ensure_table(spark, spec)
     rows = with_lineage(src.select(*spec.business_columns), spec, src_loading_id, loading_id)
-    insert_partition(spark, spec, rows, load_date, rebalance=rebalance)
+    rows_written = insert_partition(spark, spec, rows, load_date, rebalance=rebalance)
     return LoadResult(
         table=spec.table,
         load_date=load_date,
         source_rows=int(facts["source_rows"]),
         src_loading_id=None if src_loading_id is None else int(src_loading_id),
         loading_id=loading_id,
+        rows_written=rows_written,
     )
 
 

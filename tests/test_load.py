@@ -35,6 +35,7 @@ def test_load_adds_lineage_and_keeps_rows(spark, workdir):
     expected_max = src.agg(F.max("ctl_loading")).first()[0]
     assert res.source_rows == src.count()
     assert res.src_loading_id == expected_max
+    assert res.rows_written == res.source_rows
     out = spark.table(spec.table)
     assert out.count() == res.source_rows
     lineage = out.select("src_loading_id", "ctl_loading", "ctl_validfrom").distinct().collect()
