@@ -185,7 +185,7 @@ def compact(
         strategy = "coalesce" if len(plan_rows) <= MAX_UNION_PARTITIONS else "salted"
     result.strategy = strategy
     if strategy == "coalesce":
-        rows = _coalesced_union(spark, root, full_schema, partition_column, plan_rows)
+        rows = _coalesced_union(rewrite_session(spark), root, full_schema, partition_column, plan_rows)
     elif strategy == "salted":
         rows = _salted(spark, root, paths, full_schema, partition_column, data_cols, plan_rows)
     elif strategy == "rebalance":
@@ -269,6 +269,20 @@ def compact_directory(
 
 
 # -- rewrite strategies -----------------------------------------------------
+def rewrite_session(spark: SparkSession) -> SparkSession:
+    """A child session (own SQL conf, same context and catalog) for the union.
+
+    A union whose branches all report the same output partitioning keeps that
+    partitioning; with every branch at ``coalesce(1)`` (``SinglePartition``) the
+    whole union would collapse into ONE task. Turning that off in a child
+    session keeps one task per output file without touching the caller's
+    session.
+    """
+    child = spark.newSession()
+    child.conf.set("spark.sql.unionOutputPartitioning", "false")
+    return child
+
+
 def _coalesced_union(spark, root, schema, partition_column, plan_rows) -> DataFrame:
     branches = []
     for row in plan_rows:

@@ -38,9 +38,7 @@ def disk_partitions(
     spark: SparkSession, root: str, column: str, data_type: DataType | str | None = None
 ) -> DataFrame:
     """``(fragment, <column>)`` for every ``column=value`` directory directly below ``root``."""
-    fs = HadoopFS(spark)
-    prefix = column + "="
-    names = [e.name for e in fs.list(root) if e.is_dir and e.name.startswith(prefix)]
+    names = HadoopFS(spark).child_dir_names(root, column + "=")
     frame = spark.createDataFrame(
         [(n,) for n in names], StructType([StructField("fragment", StringType())])
     )
@@ -80,10 +78,8 @@ def drop_partitions(
         + ", ".join(_partition_clause(f) for f in fragments)
     )
     if purge:
-        fs = HadoopFS(spark)
         root = table_location(spark, spec.table).rstrip("/")
-        for fragment in fragments:
-            fs.delete(f"{root}/{fragment}", recursive=True)
+        HadoopFS(spark).delete_many([f"{root}/{f}" for f in fragments])
     spark.catalog.refreshTable(spec.table)
     return fragments
 
@@ -132,9 +128,7 @@ def apply_retention_to_path(
         open_interval(F.col(column).cast("date"), from_date, to_date)
     )
     fragments = sorted(r["fragment"] for r in doomed.collect())
-    fs = HadoopFS(spark)
-    for fragment in fragments:
-        fs.delete(f"{root.rstrip('/')}/{fragment}", recursive=True)
+    HadoopFS(spark).delete_many([f"{root.rstrip('/')}/{f}" for f in fragments])
     return fragments
 
 

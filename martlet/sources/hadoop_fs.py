@@ -67,11 +67,29 @@ class HadoopFS:
         return int(fs.getContentSummary(p).getLength())
 
     def delete(self, path: str, recursive: bool = True) -> bool:
-        fs = self._fs(path)
+        """Delete ``path``; ``False`` when it did not exist (one call)."""
         p = self._path(path)
-        if not fs.exists(p):
-            return False
-        return bool(fs.delete(p, recursive))
+        return bool(p.getFileSystem(self._conf).delete(p, recursive))
+
+    def delete_many(self, paths: list[str], threads: int = 16) -> int:
+        """Delete many paths; the calls overlap on a small driver thread pool
+        (each is one independent metadata request). Returns how many existed."""
+        if len(paths) <= 1:
+            return sum(self.delete(p) for p in paths)
+        from concurrent.futures import ThreadPoolExecutor
+
+        with ThreadPoolExecutor(max_workers=min(threads, len(paths))) as pool:
+            return sum(pool.map(self.delete, paths))
+
+    def child_dir_names(self, path: str, prefix: str = "") -> list[str]:
+        """Names of the entries directly below ``path`` that start with ``prefix``
+        (one glob call, then one call per name)."""
+        pattern = self._path(f"{path.rstrip('/')}/{_glob_escape(prefix)}*")
+        statuses = pattern.getFileSystem(self._conf).globStatus(pattern)
+        if statuses is None:
+            return []
+        paths = self._jvm.org.apache.hadoop.fs.FileUtil.stat2Paths(statuses)
+        return [paths[i].getName() for i in range(len(paths))]
 
     def rename(self, src: str, dst: str) -> None:
         """Rename that refuses to nest: the target must not exist.
@@ -88,3 +106,13 @@ class HadoopFS:
             fs.mkdirs(parent)
         if not fs.rename(s, d) or not fs.exists(d) or fs.exists(s):
             raise OSError(f"rename failed: {src} -> {dst}")
+
+
+def _glob_escape(text: str) -> str:
+    out = []
+    for ch in text:
+        if ch in "*?[]{}\\":
+            out.append("\\" + ch)
+        else:
+            out.append(ch)
+    return "".join(out)

@@ -17,6 +17,7 @@ from martlet.operators.compact import (
     compact_directory,
     compaction_plan,
     files_for,
+    rewrite_session,
 )
 from martlet.plans.analogs import lineitem_by_year, table
 from martlet.session import local_path
@@ -142,12 +143,17 @@ def test_rewrite_plans_shuffle_free_or_one_shuffle(spark, workdir):
     plan = [r.asDict() for r in compaction_plan(spark, root, "ctl_validfrom", "date", START, TARGET).collect()]
     schema = spark.read.parquet(root).schema
     data_cols = [f.name for f in schema.fields if f.name != "ctl_validfrom"]
-    union = _coalesced_union(spark, root, schema, "ctl_validfrom", plan)
+    union = _coalesced_union(rewrite_session(spark), root, schema, "ctl_validfrom", plan)
     paths = [f"{root}/{r['fragment']}" for r in plan]
     salted = _salted(spark, root, paths, schema, "ctl_validfrom", data_cols, plan)
     u = union._jdf.queryExecution().executedPlan().toString()
     s = salted._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in u and "Coalesce" in u
+    # one task per planned output file, also when every partition wants one file
+    assert union.rdd.getNumPartitions() == sum(p["n_files"] for p in plan)
+    ones = [dict(p, n_files=1) for p in plan]
+    one_each = _coalesced_union(rewrite_session(spark), root, schema, "ctl_validfrom", ones)
+    assert one_each.rdd.getNumPartitions() == len(plan)
     assert s.count("Exchange hashpartitioning") == 1
     assert "BroadcastExchange" in s or "BroadcastHashJoin" in s
     selected = {f"/{p['fragment']}/" for p in plan}
