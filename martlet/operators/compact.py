@@ -33,6 +33,7 @@ from __future__ import annotations
 
 import time
 import uuid
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -68,6 +69,7 @@ class CompactionResult:
     strategy: str = "none"
     swapped: list[str] = field(default_factory=list)
     timings: dict[str, float] = field(default_factory=dict)
+    rewrite_jobs: int = 0
 
     @property
     def bytes_before(self) -> int:
@@ -201,7 +203,9 @@ def compact(
     writer = rows.write.mode("errorifexists")
     if partition_column:
         writer = writer.partitionBy(partition_column)
-    writer.parquet(stage)
+    with _job_group(spark, f"martlet-compact-{run}", f"compaction rewrite of {root}") as group:
+        writer.parquet(stage)
+    result.rewrite_jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
     observed = obs.get
     result.rows_source = int(observed["rows"])
     clock.lap("rewrite")
@@ -323,6 +327,21 @@ def _rebalanced(spark, root, paths, schema, partition_column) -> DataFrame:
     return data.hint("rebalance")
 
 
+@contextmanager
+def _job_group(spark: SparkSession, group: str, description: str):
+    """Tag the jobs run inside with ``group``; restore the caller's tags after."""
+    sc = spark.sparkContext
+    keys = ("spark.jobGroup.id", "spark.job.description")
+    before = {k: sc.getLocalProperty(k) for k in keys}
+    sc.setLocalProperty("spark.jobGroup.id", group)
+    sc.setLocalProperty("spark.job.description", description)
+    try:
+        yield group
+    finally:
+        for k, v in before.items():
+            sc.setLocalProperty(k, v)
+
+
 def _checksum(schema: StructType, data_cols: list[str]):
     hashable = [c for c in data_cols if not isinstance(schema[c].dataType, MapType)]
     return F.sum(F.xxhash64(*[F.col(c) for c in hashable]).cast("decimal(20,0)"))

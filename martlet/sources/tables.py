@@ -32,17 +32,15 @@ def read_source(spark: SparkSession, source: str | DataFrame) -> DataFrame:
     return spark.table(source)
 
 
-def read_partitions(
-    spark: SparkSession, root: str, partition_column: str | None = None
-) -> DataFrame:
-    """Read a partitioned Parquet directory, keeping the partition column.
-
-    ``basePath`` makes the partition column part of the result even when a
-    caller narrows ``root`` to one partition directory, and a later filter on it
-    becomes a partition filter that skips whole directories.
+def read_partitions(spark: SparkSession, root: str, *paths: str) -> DataFrame:
+    """Read a partitioned Parquet directory (or some of its partition folders),
+    keeping the partition column.
+
+    ``basePath`` makes the partition column part of the result even when only
+    single partition directories are read, and a filter on it becomes a
+    partition filter that skips whole directories.
     """
-    reader = spark.read.option("basePath", root)
-    return reader.parquet(root)
+    return spark.read.option("basePath", root).parquet(*(paths or (root,)))
 
 
 def table_exists(spark: SparkSession, table: str) -> bool:

@@ -218,3 +218,18 @@ def test_recover_after_driver_loss_mid_swap(spark, workdir):
     _assert_same_rows(spark.read.parquet(root).select(*src.columns), src)
     parent = os.path.dirname(local_path(root))
     assert [n for n in os.listdir(parent) if n.startswith("t__")] == []
+
+
+@pytest.mark.parametrize("strategy", ["coalesce", "salted"])
+def test_rewrite_job_count_does_not_grow_with_partitions(spark, workdir, strategy):
+    counts = []
+    for start in (dt.date(2001, 1, 1), dt.date(1995, 1, 1)):  # 1 partition, then all 7
+        root = f"{workdir}/t{start.year}"
+        _many_files(spark, root, n=6)
+        res = compact(spark, root, "ctl_validfrom", "date", start, TARGET, strategy=strategy)
+        counts.append((len(res.plan), res.rewrite_jobs))
+    assert counts[0][0] == 1 and counts[1][0] == 7
+    # coalesce: one job; salted: one job per adaptive query stage (broadcast,
+    # shuffle map, write) - in both cases independent of the partition count
+    assert counts[0][1] == counts[1][1] == (1 if strategy == "coalesce" else counts[0][1])
+    assert spark.sparkContext.getLocalProperty("spark.jobGroup.id") is None
