@@ -65,20 +65,39 @@ def with_lineage(
     )
 
 
+def file_layout(rows: DataFrame, spec: MartSpec, rebalance: bool = True) -> DataFrame:
+    """The output layout of a load: rebalanced by a hash of the business columns.
+
+    Adaptive execution cuts the output into evenly sized files in the same job,
+    so a load does not leave one small file per input split behind. A hash (not
+    round robin) is deterministic when a lost task is recomputed, so Spark needs
+    no local sort before the exchange, and adaptive execution still splits a hot
+    hash partition.
+    """
+    return rows.hint("rebalance", *spec.business_columns) if rebalance else rows
+
+
+def snapshot_rows(
+    source: DataFrame, spec: MartSpec, src_loading_id: int | None, loading_id: int,
+    rebalance: bool = True,
+) -> DataFrame:
+    """The rows a snapshot load writes: business columns, lineage, layout."""
+    rows = with_lineage(source.select(*spec.business_columns), spec, src_loading_id, loading_id)
+    return file_layout(rows, spec, rebalance)
+
+
 def insert_partition(
-    spark: SparkSession, spec: MartSpec, rows: DataFrame, load_date, rebalance: bool = True
+    spark: SparkSession, spec: MartSpec, rows: DataFrame, load_date, rebalance: bool = False
 ) -> int:
     """Replace exactly the ``load_date`` partition of ``spec.table`` with ``rows``.
 
     ``BY NAME`` matches columns by name; the session's ANSI store assignment makes
-    overflow and bad casts raise. ``rebalance`` lets adaptive execution cut the
-    output into evenly sized files in the same job, so a load does not leave one
-    small file per input split behind. Returns the rows written, observed in the
-    write stage itself (each task counted once, also after retries).
+    overflow and bad casts raise. ``rebalance`` applies :func:`file_layout`.
+    Returns the rows written, observed in the write stage itself (each task
+    counted once, also after retries).
     """
     check_columns(rows, [f.name for f in spec.columns.fields])
-    if rebalance:
-        rows = rows.hint("rebalance")
+    rows = file_layout(rows, spec, rebalance)
     written = Observation(f"load_{uuid.uuid4().hex[:12]}")
     rows = rows.observe(written, F.count(F.lit(1)).alias("rows"))
     spark.sql(
@@ -119,8 +138,8 @@ def load_snapshot(
             f"source has no {spec.source_load_id_column} ({facts['source_rows']} rows); nothing loaded"
         )
     ensure_table(spark, spec)
-    rows = with_lineage(src.select(*spec.business_columns), spec, src_loading_id, loading_id)
-    rows_written = insert_partition(spark, spec, rows, load_date, rebalance=rebalance)
+    rows = snapshot_rows(src, spec, src_loading_id, loading_id, rebalance)
+    rows_written = insert_partition(spark, spec, rows, load_date)
     return LoadResult(
         table=spec.table,
         load_date=load_date,
