@@ -361,16 +361,27 @@ def _swap(spark, fs, root, stage, backup, partition_column, partition_type, plan
                 # matched (verified above), so the partition stays as it is.
                 continue
             pairs.append((f"{root}/{row['fragment']}", f"{stage}/{new}", f"{backup}/{row['fragment']}"))
-    done: list[tuple[str, str, str, bool]] = []
+    # state per partition: 0 untouched, 1 source moved to backup, 2 staged installed
+    state = [0] * len(pairs)
+
+    def swap_one(i: int) -> None:
+        target, new, bak = pairs[i]
+        fs.rename(target, bak)
+        state[i] = 1
+        fs.rename(new, target)
+        state[i] = 2
+
+    if not partition_column:
+        fs.mkdirs(backup.rsplit("/", 1)[0])
+    else:
+        fs.mkdirs(backup)
     try:
-        for target, new, bak in pairs:
-            fs.rename(target, bak)
-            done.append((target, new, bak, False))
-            fs.rename(new, target)
-            done[-1] = (target, new, bak, True)
+        _run_all(swap_one, range(len(pairs)))
     except Exception:
-        for target, _new, bak, installed in reversed(done):
-            if installed or fs.exists(target):
+        for i, (target, _new, bak) in enumerate(pairs):
+            if state[i] == 0:
+                continue
+            if state[i] == 2 or fs.exists(target):
                 fs.delete(target)
             fs.rename(bak, target)
         raise
@@ -379,6 +390,23 @@ def _swap(spark, fs, root, stage, backup, partition_column, partition_type, plan
     return [t for t, *_ in pairs]
 
 
+def _run_all(fn, items, threads: int = 16) -> None:
+    """Run ``fn`` over ``items`` on a small driver thread pool (metadata calls
+    only); every call finishes before the first error is raised."""
+    items = list(items)
+    if len(items) <= 1:
+        for item in items:
+            fn(item)
+        return
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(max_workers=min(threads, len(items))) as pool:
+        futures = [pool.submit(fn, item) for item in items]
+    errors = [f.exception() for f in futures if f.exception() is not None]
+    if errors:
+        raise errors[0]
+
+
 def _staged_fragments(spark, fs, stage, column, data_type) -> dict:
     from martlet.operators.partitions import disk_partitions
 

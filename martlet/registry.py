@@ -46,7 +46,12 @@ from martlet.plans.analogs import (
 )
 from martlet.plans.spec import merchant_spec, payroll_spec, recreate, spec_for_frame
 from martlet.session import new_work_dir, unique_name
-from martlet.streaming.runlog_sinks import read_stream_like, stream_parquet
+from martlet.streaming.runlog_sinks import (
+    append_parquet,
+    append_text,
+    read_stream_like,
+    stream_parquet,
+)
 
 # Fixed values of the test runs.
 EARLIER_DATE = _dt.date(2021, 10, 24)
@@ -271,6 +276,20 @@ def q_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log_lines(_records(spark, sf_dir))
 
 
+def q_log_lines_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log lines appended to a text folder (batch sink), read back."""
+    path = new_work_dir(spark, "lines_sink")
+    append_text(log_lines(_records(spark, sf_dir)), path, "line")
+    return spark.read.text(path).withColumnRenamed("value", "line")
+
+
+def q_run_status_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Run-status rows appended to a Parquet table (batch sink), read back."""
+    path = new_work_dir(spark, "status_sink")
+    append_parquet(status_events(_records(spark, sf_dir), "record_id"), path)
+    return spark.read.parquet(path)
+
+
 def _through_stream(spark: SparkSession, sf_dir: str, label: str, shape) -> DataFrame:
     """Run ``shape`` over ``events`` as a file stream into a Parquet file sink."""
     events_path = f"{sf_dir.rstrip('/')}/events.parquet"
@@ -321,6 +340,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "run_status": q_run_status,
     "run_status_json": q_run_status_json,
     "log_lines": q_log_lines,
+    "log_lines_sink": q_log_lines_sink,
+    "run_status_sink": q_run_status_sink,
     "log_envelope_stream": q_log_envelope_stream,
     "run_status_stream": q_run_status_stream,
     "log_lines_stream": q_log_lines_stream,
@@ -439,6 +460,8 @@ ORACLE_SQL: dict[str, str] = {
     "run_status": _STATUS,
     "run_status_json": _STATUS_JSON,
     "log_lines": _LINES,
+    "log_lines_sink": _LINES,
+    "run_status_sink": _STATUS,
     "log_envelope_stream": _ENVELOPE,
     "run_status_stream": _STATUS,
     "log_lines_stream": _LINES,
