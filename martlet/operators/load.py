@@ -3,15 +3,16 @@
 One aggregate pass over the source's load-id column gives the row count and the
 newest source load id (the lineage value); an empty source or one without load
 ids stops the load before anything is written. The data then flows as a single
-lazy plan – projection, lineage literals, ANSI store assignment – into a static
-``INSERT OVERWRITE … PARTITION (…) BY NAME``, which replaces that one partition
-and leaves every other partition alone.
+lazy plan – projection, lineage literals, ANSI store assignment – into an
+``INSERT OVERWRITE … BY NAME`` that replaces that one partition, leaves every
+other partition alone, and swaps the new files in only when the job commits.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 import uuid
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -87,12 +88,27 @@ def snapshot_rows(
 
 
 def insert_partition(
-    spark: SparkSession, spec: MartSpec, rows: DataFrame, load_date, rebalance: bool = False
+    spark: SparkSession,
+    spec: MartSpec,
+    rows: DataFrame,
+    load_date,
+    rebalance: bool = False,
+    staged: bool = True,
 ) -> int:
     """Replace exactly the ``load_date`` partition of ``spec.table`` with ``rows``.
 
     ``BY NAME`` matches columns by name; the session's ANSI store assignment makes
     overflow and bad casts raise. ``rebalance`` applies :func:`file_layout`.
+
+    ``staged`` (default): the partition value travels as a column and the insert
+    runs with dynamic partition overwrite, so Spark writes into a staging folder
+    and swaps the partition in only when the job commits. A job that fails
+    (lost executors beyond retries, bad data) leaves the previous rows of that
+    date in place. Only the partitions present in ``rows`` are replaced - here
+    exactly the load date. ``staged=False`` uses a static ``PARTITION (…)``
+    clause, which empties the partition before the job runs; it is needed to
+    replace a partition with zero rows.
+
     Returns the rows written, observed in the write stage itself (each task
     counted once, also after retries).
     """
@@ -100,15 +116,39 @@ def insert_partition(
     rows = file_layout(rows, spec, rebalance)
     written = Observation(f"load_{uuid.uuid4().hex[:12]}")
     rows = rows.observe(written, F.count(F.lit(1)).alias("rows"))
-    spark.sql(
-        f"INSERT OVERWRITE TABLE {quote_identifier(spec.table)} "
-        f"PARTITION (`{spec.partition_column}` = {partition_literal(spec, load_date)}) "
-        "BY NAME SELECT * FROM {rows}",
-        rows=rows,
-    )
+    table = quote_identifier(spec.table)
+    part = f"`{spec.partition_column}`"
+    literal = partition_literal(spec, load_date)
+    if staged:
+        rows = rows.select("*", F.expr(literal).alias(spec.partition_column))
+        with _session_conf(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+            spark.sql(
+                f"INSERT OVERWRITE TABLE {table} PARTITION ({part}) BY NAME SELECT * FROM {{rows}}",
+                rows=rows,
+            )
+    else:
+        spark.sql(
+            f"INSERT OVERWRITE TABLE {table} PARTITION ({part} = {literal}) "
+            "BY NAME SELECT * FROM {rows}",
+            rows=rows,
+        )
     return int(written.get["rows"])
 
 
+@contextmanager
+def _session_conf(spark: SparkSession, key: str, value: str):
+    """Set a SQL conf for the duration of one statement, then restore it."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def load_snapshot(
     spark: SparkSession,
     spec: MartSpec,
@@ -139,7 +179,9 @@ def load_snapshot(
         )
     ensure_table(spark, spec)
     rows = snapshot_rows(src, spec, src_loading_id, loading_id, rebalance)
-    rows_written = insert_partition(spark, spec, rows, load_date)
+    # An empty source (allowed) must still empty the partition: static insert.
+    empty = int(facts["source_rows"]) == 0
+    rows_written = insert_partition(spark, spec, rows, load_date, staged=not empty)
     return LoadResult(
         table=spec.table,
         load_date=load_date,

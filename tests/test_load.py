@@ -141,3 +141,19 @@ def test_force_load_with_empty_source_leaves_mart(spark, workdir):
     with pytest.raises(EmptySourceError):
         force_load(spark, spec, src.limit(0), loading_id=3, load_date=D2)
     assert _counts(spark, spec) == {D1: src.count()}
+
+
+def test_failed_rerun_keeps_previous_rows(spark, workdir):
+    spec = _spec(workdir)
+    src = payroll_source(spark, SF_SMALL)
+    load_snapshot(spark, spec, src, loading_id=1, load_date=D2)
+    bad = src.withColumn(
+        "amt", F.when(F.col("enrollment_type") == 3, F.raise_error(F.lit("bad row"))).otherwise(F.col("amt"))
+    )
+    with pytest.raises(Exception):
+        load_snapshot(spark, spec, bad, loading_id=2, load_date=D2)
+    spark.catalog.refreshTable(spec.table)
+    assert _counts(spark, spec) == {D2: src.count()}
+    assert [r[0] for r in spark.table(spec.table).select("ctl_loading").distinct().collect()] == [1]
+    # the caller's session setting is left as it was
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == "STATIC"
