@@ -201,19 +201,25 @@ def force_load(
     load_date: _dt.date | str | None = None,
     rebalance: bool = True,
 ) -> LoadResult:
-    """Clear every partition of the mart (catalog and files), then load.
+    """Leave the mart holding only this load: every other partition is dropped
+    (catalog and files).
 
-    The source is checked first, so an empty source leaves the mart untouched.
+    The new partition is loaded first (staged, swapped in at commit) and the
+    others are dropped only after that succeeded, so a failed force load leaves
+    the mart as it was. An empty source raises before anything changes.
     """
-    from martlet.operators.partitions import drop_all_partitions
+    from martlet.operators.partitions import (
+        catalog_partitions,
+        disk_partitions,
+        drop_partitions,
+    )
+    from martlet.sources.tables import table_location
 
     src = read_source(spark, source)
     facts = source_facts(src, spec.source_load_id_column).first()
     if facts["src_loading_id"] is None:
         raise EmptySourceError("source has no load id; mart not cleared")
-    ensure_table(spark, spec)
-    drop_all_partitions(spark, spec, purge=True)
-    return load_snapshot(
+    result = load_snapshot(
         spark,
         spec,
         src,
@@ -222,3 +228,10 @@ def force_load(
         rebalance=rebalance,
         _facts=facts,
     )
+    col = spec.partition_column
+    others = catalog_partitions(spark, spec.table, col, spec.partition_type).unionByName(
+        disk_partitions(spark, table_location(spark, spec.table), col, spec.partition_type)
+    )
+    keep = F.lit(result.load_date).cast(spec.partition_type)
+    drop_partitions(spark, spec, others.where(F.col(col) != keep), purge=True)
+    return result

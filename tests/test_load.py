@@ -157,3 +157,16 @@ def test_failed_rerun_keeps_previous_rows(spark, workdir):
     assert [r[0] for r in spark.table(spec.table).select("ctl_loading").distinct().collect()] == [1]
     # the caller's session setting is left as it was
     assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == "STATIC"
+
+
+def test_failed_force_load_leaves_mart(spark, workdir):
+    spec = _spec(workdir)
+    src = payroll_source(spark, SF_SMALL)
+    load_snapshot(spark, spec, src, loading_id=1, load_date=D1)
+    bad = src.withColumn(
+        "amt", F.when(F.col("enrollment_type") == 3, F.raise_error(F.lit("bad row"))).otherwise(F.col("amt"))
+    )
+    with pytest.raises(Exception):
+        force_load(spark, spec, bad, loading_id=3, load_date=D2)
+    spark.catalog.refreshTable(spec.table)
+    assert _counts(spark, spec) == {D1: src.count()}
