@@ -15,7 +15,8 @@ Rewrite – one Spark job for all selected partitions, two strategies:
   ``rebalance`` hint on the partition column lets adaptive execution size the
   files and split hot partitions.
 * ``salted`` (many partitions): one scan of the selected directories, a salt
-  ``pmod(xxhash64(row), n_files)`` from a broadcast plan (size checked), and
+  ``pmod(xxhash64(file, row index), n_files)`` (storage position, so copies of
+  one row spread too) from a broadcast plan (size checked), and
   ``repartition(sum(n_files), partition, salt)``. One shuffle, deterministic
   under task retries, no hot task even when one partition holds most rows.
 
@@ -46,6 +47,7 @@ from martlet.sources.files import (
     list_files,
     partition_file_stats,
     partition_value_from_path,
+    row_position,
 )
 from martlet.sources.hadoop_fs import HadoopFS
 
@@ -298,12 +300,20 @@ def _coalesced_union(spark, root, schema, partition_column, plan_rows) -> DataFr
 
 def _salted(spark, root, paths, schema, partition_column, data_cols, plan_rows) -> DataFrame:
     data = spark.read.schema(schema).option("basePath", root).parquet(*paths)
-    hashable = [c for c in data_cols if not isinstance(schema[c].dataType, MapType)]
-    salt_of = F.xxhash64(*[F.col(c) for c in hashable])
+    # Salt by storage position, not by value: copies of one row spread too.
+    position = row_position(data)
+    if position is None:
+        hashable = [c for c in data_cols if not isinstance(schema[c].dataType, MapType)]
+        position = F.xxhash64(*[F.col(c) for c in hashable])
+    data = data.withColumn("_pos", position)
     total = int(sum(int(r["n_files"]) for r in plan_rows))
     if not partition_column:
         n = int(plan_rows[0]["n_files"])
-        return data.withColumn("_salt", F.pmod(salt_of, F.lit(n))).repartition(n, "_salt").drop("_salt")
+        return (
+            data.withColumn("_salt", F.pmod(F.col("_pos"), F.lit(n)))
+            .repartition(n, "_salt")
+            .select(*schema.fieldNames())
+        )
     plan = spark.createDataFrame(
         [(r[partition_column], int(r["n_files"])) for r in plan_rows],
         StructType([schema[partition_column]]).add("_n", "long"),
@@ -312,9 +322,8 @@ def _salted(spark, root, paths, schema, partition_column, data_cols, plan_rows)
         plan = F.broadcast(plan)
     return (
         data.join(plan, on=partition_column, how="inner")
-        .withColumn("_salt", F.pmod(salt_of, F.col("_n")))
+        .withColumn("_salt", F.pmod(F.col("_pos"), F.col("_n")))
         .repartition(total, partition_column, "_salt")
-        .drop("_n", "_salt")
         .select(*schema.fieldNames())
     )
 

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from martlet.functions.calendar import launch_date
 from martlet.plans.spec import MartSpec, ensure_table, partition_literal
+from martlet.sources.files import row_position
 from martlet.sources.tables import quote_identifier, read_source
 
 
@@ -66,16 +67,23 @@ def with_lineage(
     )
 
 
-def file_layout(rows: DataFrame, spec: MartSpec, rebalance: bool = True) -> DataFrame:
-    """The output layout of a load: rebalanced by a hash of the business columns.
+def file_layout(rows: DataFrame, rebalance: bool = True, position: str | None = None) -> DataFrame:
+    """The output layout of a load: rebalanced into evenly sized files.
 
     Adaptive execution cuts the output into evenly sized files in the same job,
-    so a load does not leave one small file per input split behind. A hash (not
-    round robin) is deterministic when a lost task is recomputed, so Spark needs
-    no local sort before the exchange, and adaptive execution still splits a hot
-    hash partition.
+    so a load does not leave one small file per input split behind. Rows are
+    spread by ``position`` (a per-row storage key, see ``row_position``): a hash
+    that is stable when a lost task is recomputed, so no local sort is needed,
+    and that keeps apart rows which are copies of each other - a hash of the
+    values would put a group of copies holding a third of the rows into one
+    task. Without a position the rows are dealt round robin (Spark sorts each
+    task locally to keep that stable under retries).
     """
-    return rows.hint("rebalance", *spec.business_columns) if rebalance else rows
+    if not rebalance:
+        return rows.drop(position) if position else rows
+    if position:
+        return rows.hint("rebalance", position).drop(position)
+    return rows.hint("rebalance")
 
 
 def snapshot_rows(
@@ -83,8 +91,13 @@ def snapshot_rows(
     rebalance: bool = True,
 ) -> DataFrame:
     """The rows a snapshot load writes: business columns, lineage, layout."""
-    rows = with_lineage(source.select(*spec.business_columns), spec, src_loading_id, loading_id)
-    return file_layout(rows, spec, rebalance)
+    position = row_position(source)
+    extra = [position.alias(_POSITION)] if position is not None else []
+    rows = with_lineage(source.select(*spec.business_columns, *extra), spec, src_loading_id, loading_id)
+    return file_layout(rows, rebalance, _POSITION if extra else None)
+
+
+_POSITION = "_martlet_row_position"
 
 
 def insert_partition(
@@ -98,7 +111,8 @@ def insert_partition(
     """Replace exactly the ``load_date`` partition of ``spec.table`` with ``rows``.
 
     ``BY NAME`` matches columns by name; the session's ANSI store assignment makes
-    overflow and bad casts raise. ``rebalance`` applies :func:`file_layout`.
+    overflow and bad casts raise. ``rebalance`` applies :func:`file_layout`
+    (round robin; :func:`snapshot_rows` already lays out a load's rows).
 
     ``staged`` (default): the partition value travels as a column and the insert
     runs with dynamic partition overwrite, so Spark writes into a staging folder
@@ -112,8 +126,9 @@ def insert_partition(
     Returns the rows written, observed in the write stage itself (each task
     counted once, also after retries).
     """
+    if rebalance:
+        rows = file_layout(rows, True, None)
     check_columns(rows, [f.name for f in spec.columns.fields])
-    rows = file_layout(rows, spec, rebalance)
     written = Observation(f"load_{uuid.uuid4().hex[:12]}")
     rows = rows.observe(written, F.count(F.lit(1)).alias("rows"))
     table = quote_identifier(spec.table)

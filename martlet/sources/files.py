@@ -82,6 +82,23 @@ def partition_file_stats(
     )
 
 
+def row_position(df: DataFrame) -> Column | None:
+    """A deterministic per-row key from where the row is stored, or ``None``.
+
+    For file-based sources this is ``xxhash64(_metadata.file_path,
+    _metadata.row_index)``: the same on every recomputation of a task (safe
+    under executor loss), different for every stored row - also for rows that
+    are exact copies of each other, which a hash of the row's values would
+    send to a single task.
+    """
+    key = F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index"))
+    try:
+        df.select(key).schema  # analysis only, no job
+    except Exception:  # noqa: BLE001 - not a file source
+        return None
+    return key
+
+
 def base_name(path: Column) -> Column:
     """Last path component."""
     return F.substring_index(path, "/", -1)

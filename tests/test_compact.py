@@ -233,3 +233,22 @@ def test_rewrite_job_count_does_not_grow_with_partitions(spark, workdir, strateg
     # shuffle map, write) - in both cases independent of the partition count
     assert counts[0][1] == counts[1][1] == (1 if strategy == "coalesce" else counts[0][1])
     assert spark.sparkContext.getLocalProperty("spark.jobGroup.id") is None
+
+
+def test_salted_spreads_copies_of_one_row(spark, workdir):
+    root = f"{workdir}/copies"
+    base = table(spark, SF_SMALL, "lineitem")
+    one = base.limit(1).collect()[0].asDict()
+    copies = base.where(F.col("l_linenumber") <= 3).select(
+        *[F.lit(v).cast(base.schema[k].dataType).alias(k) for k, v in one.items()]
+    )
+    n_copies = copies.count()
+    base.unionByName(copies).repartition(10, "l_orderkey").write.parquet(root)
+    res = compact_directory(spark, root, TARGET, strategy="salted", verify="checksum")
+    assert res.plan[0]["n_files"] > 2
+    per_file = (
+        spark.read.parquet(root).where(F.col("l_orderkey") == one["l_orderkey"])
+        .where(F.col("l_partkey") == one["l_partkey"]).where(F.col("l_linenumber") == one["l_linenumber"])
+        .groupBy(F.input_file_name()).count().collect()
+    )
+    assert len(per_file) > 1 and max(r[1] for r in per_file) < n_copies

@@ -170,3 +170,35 @@ def test_failed_force_load_leaves_mart(spark, workdir):
         force_load(spark, spec, bad, loading_id=3, load_date=D2)
     spark.catalog.refreshTable(spec.table)
     assert _counts(spark, spec) == {D1: src.count()}
+
+
+def test_copies_of_one_row_spread_over_tasks(spark, workdir):
+    """A third of the source rows are copies of one row: they must not land in
+    one task (a hash of the values would put them together)."""
+    import os
+
+    from martlet.session import local_path
+
+    base = payroll_source(spark, SF_SMALL)
+    one = base.limit(1).collect()[0].asDict()
+    copies = base.where(F.col("enrollment_type") <= 2).select(
+        *[F.lit(v).cast(base.schema[k].dataType).alias(k) for k, v in one.items()]
+    )
+    n_copies = copies.count()
+    src_path = f"{workdir}/src"
+    base.unionByName(copies).repartition(8, "epk_id").write.parquet(src_path)
+    spec = _spec(workdir)
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16k")
+    try:
+        load_snapshot(spark, spec, spark.read.parquet(src_path), loading_id=1, load_date=D2)
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
+    per_file = (
+        spark.table(spec.table).where(F.col("epk_id") == one["epk_id"]).where(F.col("amt") == one["amt"])
+        .groupBy(F.input_file_name()).count().collect()
+    )
+    assert sum(r[1] for r in per_file) >= n_copies
+    assert len(per_file) > 1 and max(r[1] for r in per_file) < n_copies
+    part = local_path(f"{spec.location}/ctl_validfrom=2021-10-25")
+    assert len([f for f in os.listdir(part) if f.endswith(".parquet")]) > 1
