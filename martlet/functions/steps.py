@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martlet.sources.files import base_name
+from martlet.sources.files import base_name, row_position
 
 DIGIT_RUN = r"(\d+)"
 
@@ -36,7 +36,13 @@ def with_steps(df: DataFrame, name_column: str = "name", on_bad: str = "raise")
         bad = stepped.where(F.col("step").isNull()).select(name_column).take(1)
         if bad:
             raise ValueError(f"expected exactly one number in name: {bad[0][0]!r}")
-    return stepped.where(F.col("step").isNotNull()).orderBy("step", name_column)
+    valid = stepped.where(F.col("step").isNotNull())
+    # The storage position breaks ties, so the range partitioner of the sort can
+    # split a name repeated in a large share of the rows over several tasks.
+    position = row_position(df)
+    if position is None:
+        return valid.orderBy("step", name_column)
+    return valid.withColumn("_pos", position).orderBy("step", name_column, "_pos").drop("_pos")
 
 
 def numbered_files(

@@ -152,3 +152,27 @@ def test_numbered_files_from_listing(spark, workdir):
         fh.write("select 1")
     with pytest.raises(ValueError):
         numbered_files(spark, root, "*.sql")
+
+
+def test_step_sort_spreads_a_repeated_name(spark, workdir):
+    from martlet.plans.analogs import table
+
+    from conftest import SF_SMALL
+
+    names = table(spark, SF_SMALL, "customer").select(F.col("c_name").alias("name"))
+    hot = table(spark, SF_SMALL, "lineitem").select(F.lit("stat7.sql").alias("name"))
+    path = f"{workdir}/names"
+    names.unionByName(hot).repartition(8).write.parquet(path)
+    df = spark.read.parquet(path)
+    ordered = with_steps(df, on_bad="reject")
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")  # look at the range partitioning itself
+    try:
+        per_task = ordered.groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.set(key, before)
+    hot_rows = hot.count()
+    assert len(per_task) > 1 and max(r[1] for r in per_task) < hot_rows
+    steps = [r.step for r in ordered.select("step").collect()]
+    assert steps == sorted(steps) and len(steps) == df.count()
