@@ -206,7 +206,11 @@ def compact(
     if partition_column:
         writer = writer.partitionBy(partition_column)
     with _job_group(spark, f"martlet-compact-{run}", f"compaction rewrite of {root}") as group:
-        writer.parquet(stage)
+        try:
+            writer.parquet(stage)
+        except Exception:
+            fs.delete(stage)  # the source was not touched; drop the partial copy
+            raise
     result.rewrite_jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
     observed = obs.get
     result.rows_source = int(observed["rows"])

@@ -252,3 +252,27 @@ def test_salted_spreads_copies_of_one_row(spark, workdir):
         .groupBy(F.input_file_name()).count().collect()
     )
     assert len(per_file) > 1 and max(r[1] for r in per_file) < n_copies
+
+
+def test_failed_rewrite_leaves_source_and_no_staging(spark, workdir, monkeypatch):
+    root = f"{workdir}/t"
+    src = _many_files(spark, root, n=4)
+    before = _files_by_partition(root)
+    from martlet.operators import compact as C
+
+    original = C._coalesced_union
+
+    def failing(*args, **kwargs):
+        df = original(*args, **kwargs)
+        return df.withColumn(
+            "l_tax", F.when(F.col("l_linenumber") == 2, F.raise_error(F.lit("boom"))).otherwise(F.col("l_tax"))
+        )
+
+    monkeypatch.setattr(C, "_coalesced_union", failing)
+    with pytest.raises(Exception):
+        C.compact(spark, root, "ctl_validfrom", "date", START, TARGET)
+    assert _files_by_partition(root) == before
+    parent = os.path.dirname(local_path(root))
+    assert [n for n in os.listdir(parent) if n.startswith("t__")] == []
+    spark.catalog.refreshByPath(root)
+    _assert_same_rows(spark.read.parquet(root).select(*src.columns), src)
