@@ -104,7 +104,7 @@ def compaction_plan(
     partition_column: str | None = None,
     partition_type: DataType | str | None = "date",
     start=None,
-    target_bytes: int = DEFAULT_TARGET_BYTES,
+    target_bytes: int | None = DEFAULT_TARGET_BYTES,
     only_fragmented: bool = False,
 ) -> DataFrame:
     """``(<partition_column>, fragment, files, bytes, n_files)`` per partition to rewrite.
@@ -113,9 +113,12 @@ def compaction_plan(
     partition directories on or after it are listed, so compacting today's
     partition never lists a year of history. Empty partitions are left out;
     ``only_fragmented`` also leaves out partitions that already have no more
-    than ``n_files`` files.
+    than ``n_files`` files. ``target_bytes=None`` takes the file system's
+    default block size at ``root``.
     """
     root = root.rstrip("/")
+    if target_bytes is None:
+        target_bytes = HadoopFS(spark).default_block_size(root)
     if partition_column:
         fragments = _selected_fragments(spark, root, partition_column, partition_type, start)
         if not fragments:
@@ -147,7 +150,7 @@ def compact(
     partition_column: str | None = None,
     partition_type: DataType | str | None = "date",
     start=None,
-    target_bytes: int = DEFAULT_TARGET_BYTES,
+    target_bytes: int | None = DEFAULT_TARGET_BYTES,
     *,
     strategy: str = "auto",
     verify: str = "count",
@@ -159,9 +162,12 @@ def compact(
 
     ``verify`` is ``"count"`` (footer-only count of the staged copy) or
     ``"checksum"`` (adds a whole-row ``xxhash64`` sum, one more scan).
+    ``target_bytes=None`` takes the file system's default block size at ``root``.
     """
     root = root.rstrip("/")
     fs = _fs or HadoopFS(spark)
+    if target_bytes is None:
+        target_bytes = fs.default_block_size(root)
     timings: dict[str, float] = {}
     clock = _Clock(timings)
     plan_rows = [

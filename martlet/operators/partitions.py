@@ -23,6 +23,9 @@ from martlet.sources.hadoop_fs import HadoopFS
 from martlet.sources.tables import quote_identifier, table_location
 
 
+DROP_BATCH = 500  # partition specs per ALTER TABLE statement
+
+
 def catalog_partitions(
     spark: SparkSession, table: str, column: str, data_type: DataType | str | None = None
 ) -> DataFrame:
@@ -73,10 +76,11 @@ def drop_partitions(
     fragments = sorted({r["fragment"] for r in doomed.select("fragment").collect()})
     if not fragments:
         return []
-    spark.sql(
-        f"ALTER TABLE {quote_identifier(spec.table)} DROP IF EXISTS "
-        + ", ".join(_partition_clause(f) for f in fragments)
-    )
+    for i in range(0, len(fragments), DROP_BATCH):
+        spark.sql(
+            f"ALTER TABLE {quote_identifier(spec.table)} DROP IF EXISTS "
+            + ", ".join(_partition_clause(f) for f in fragments[i : i + DROP_BATCH])
+        )
     if purge:
         root = table_location(spark, spec.table).rstrip("/")
         HadoopFS(spark).delete_many([f"{root}/{f}" for f in fragments])

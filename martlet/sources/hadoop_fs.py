@@ -58,6 +58,11 @@ class HadoopFS:
             out.append(DirEntry(str(sp), sp.getName(), bool(st.isDirectory()), int(st.getLen())))
         return out
 
+    def default_block_size(self, path: str) -> int:
+        """The file system's default block size for files under ``path``."""
+        p = self._path(path)
+        return int(p.getFileSystem(self._conf).getDefaultBlockSize(p))
+
     def content_length(self, path: str) -> int:
         """Bytes under ``path``, every file counted (hidden ones too)."""
         fs = self._fs(path)

@@ -276,3 +276,11 @@ def test_failed_rewrite_leaves_source_and_no_staging(spark, workdir, monkeypatch
     assert [n for n in os.listdir(parent) if n.startswith("t__")] == []
     spark.catalog.refreshByPath(root)
     _assert_same_rows(spark.read.parquet(root).select(*src.columns), src)
+
+
+def test_block_size_target(spark, workdir):
+    root = f"{workdir}/t"
+    _many_files(spark, root, n=4)
+    block = HadoopFS(spark).default_block_size(root)
+    plan = compaction_plan(spark, root, "ctl_validfrom", "date", START, None).collect()
+    assert block > 0 and all(p["n_files"] == p["bytes"] // block + 1 for p in plan)
