@@ -128,6 +128,37 @@ def q_drop_all_then_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return partition_row_counts(spark.table(spec.table), spec.partition_column)
 
 
+def q_mart_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole run over both marts: load, compact, repair, statistics, status."""
+    from martlet.job import JobConfig, MartTarget, run_mart_job
+
+    root = new_work_dir(spark, "mart_job")
+    payroll = payroll_spec(unique_name("job_payroll"), f"{root}/payroll")
+    merch = merchant_spec(unique_name("job_merch"), f"{root}/merch")
+    run_mart_job(
+        spark,
+        JobConfig(
+            targets=[
+                MartTarget(payroll, payroll_source(spark, sf_dir), "report_dt"),
+                MartTarget(merch, merchant_source(spark, sf_dir)),
+            ],
+            loading_id=LOADING_ID,
+            entity_id=ENTITY_ID,
+            load_date=LOAD_DATE,
+            stats_path=f"{root}/load_stats",
+            status_path=f"{root}/run_status",
+            app_id=APP_ID,
+        ),
+    )
+    counts = [
+        partition_row_counts(spark.table(spec.table), spec.partition_column).select(
+            F.lit(label).alias("mart"), "*"
+        )
+        for label, spec in (("payroll", payroll), ("merch", merch))
+    ]
+    return counts[0].unionByName(counts[1])
+
+
 # -- statistics --------------------------------------------------------------------
 def q_table_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table_stats(payroll_source(spark, sf_dir), "ctl_loading", "report_dt")
@@ -323,6 +354,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "mart_load_merch": q_mart_load_merch,
     "mart_recreate": q_mart_recreate,
     "drop_all_then_load": q_drop_all_then_load,
+    "mart_job": q_mart_job,
     "table_stats": q_table_stats,
     "max_cdc_date": q_max_cdc_date,
     "load_stats": q_load_stats,
@@ -422,6 +454,10 @@ ORACLE_SQL: dict[str, str] = {
     "drop_all_then_load": (
         f"SELECT {_d(LOAD_DATE)} AS ctl_validfrom, count(*) AS row_count FROM lineitem"
     ),
+    "mart_job": (
+        f"SELECT 'payroll' AS mart, {_d(LOAD_DATE)} AS ctl_validfrom, count(*) AS row_count "
+        f"FROM lineitem UNION ALL SELECT 'merch', {_d(LOAD_DATE)}, count(*) FROM supplier"
+    ),
     "table_stats": (
         "SELECT count(*) AS row_count, max(l_orderkey) AS src_loading_id, "
         "max(strftime(l_shipdate, '%Y-%m-%d')) AS business_date FROM lineitem"
