@@ -28,6 +28,7 @@ LEVELS = {
     50: "CRITICAL",
 }
 INFO = 20
+CTL_INFO = 25
 ERROR = 40
 TYPE_ID = "Tech"
 STATUS_ERROR = "ERROR"

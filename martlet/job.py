@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType, TimestampType
 
 from martlet.functions.calendar import launch_date
-from martlet.functions.runlog import ERROR, INFO, status_events
+from martlet.functions.runlog import CTL_INFO, ERROR, INFO, status_events
 from martlet.operators.compact import DEFAULT_TARGET_BYTES, compact
 from martlet.operators.load import LoadResult, force_load, load_snapshot
 from martlet.operators.stats import (
@@ -29,10 +29,6 @@ from martlet.plans.spec import MartSpec, ensure_table, recreate
 from martlet.sources.tables import table_location
 from martlet.streaming.runlog_sinks import append_parquet
 
-# The extra run-log level between INFO and WARNING.
-CTL_INFO = 25
-
-
 @dataclass(frozen=True)
 class MartTarget:
     spec: MartSpec
