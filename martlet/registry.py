@@ -22,6 +22,7 @@ from martlet.operators.compact import compact, compact_directory, compaction_pla
 from martlet.operators.load import force_load, load_snapshot
 from martlet.operators.partitions import (
     apply_retention,
+    apply_retention_to_path,
     catalog_partitions,
     partition_row_counts,
 )
@@ -223,6 +224,14 @@ def q_partition_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
     return partition_row_counts(spark.table(spec.table), spec.partition_column)
 
 
+def q_retention_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Retention on a bare partitioned folder (no catalog), read back."""
+    root = new_work_dir(spark, "retention_path") + "/data"
+    lineitem_by_year(spark, sf_dir).write.partitionBy("ctl_validfrom").parquet(root)
+    apply_retention_to_path(spark, root, "ctl_validfrom", RETENTION_FROM, RETENTION_TO)
+    return partition_row_counts(spark.read.parquet(root), "ctl_validfrom")
+
+
 # -- compaction -------------------------------------------------------------------
 def q_compact_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = _year_mart(spark, sf_dir, "plan_mart", small_files=True)
@@ -263,6 +272,23 @@ def q_compact_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(spec.table)
 
 
+def q_compact_rebalance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``compact_contents`` with AQE-sized files (exact counts not needed)."""
+    spec = _year_mart(spark, sf_dir, "rebalance_mart", small_files=True)
+    compact(
+        spark,
+        spec.location,
+        spec.partition_column,
+        "date",
+        COMPACT_FROM,
+        TEST_TARGET_BYTES,
+        strategy="rebalance",
+        verify="checksum",
+        table=spec.table,
+    )
+    return spark.table(spec.table)
+
+
 def q_compact_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An unpartitioned folder of many small files, compacted in place."""
     root = new_work_dir(spark, "flat") + "/lineitem_flat/"
@@ -362,9 +388,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "partition_catalog": q_partition_catalog,
     "partition_files": q_partition_files,
     "partition_retention": q_partition_retention,
+    "retention_path": q_retention_path,
     "compact_plan": q_compact_plan,
     "compact_contents": q_compact_contents,
     "compact_salted": q_compact_salted,
+    "compact_rebalance": q_compact_rebalance,
     "compact_flat": q_compact_flat,
     "month_window": q_month_window,
     "step_order": q_step_order,
@@ -475,8 +503,14 @@ ORACLE_SQL: dict[str, str] = {
         f"GROUP BY 1) WHERE NOT (ctl_validfrom > {_d(RETENTION_FROM)} "
         f"AND ctl_validfrom < {_d(RETENTION_TO)})"
     ),
+    "retention_path": (
+        f"SELECT * FROM (SELECT {_YEAR} AS ctl_validfrom, count(*) AS row_count FROM lineitem "
+        f"GROUP BY 1) WHERE NOT (ctl_validfrom > {_d(RETENTION_FROM)} "
+        f"AND ctl_validfrom < {_d(RETENTION_TO)})"
+    ),
     "compact_contents": f"SELECT *, {_YEAR} AS ctl_validfrom FROM lineitem",
     "compact_salted": f"SELECT *, {_YEAR} AS ctl_validfrom FROM lineitem",
+    "compact_rebalance": f"SELECT *, {_YEAR} AS ctl_validfrom FROM lineitem",
     "compact_flat": "SELECT * FROM lineitem",
     "month_window": (
         "WITH d AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS report_date FROM orders), "
