@@ -21,18 +21,26 @@ def unescape_partition_value(raw: Column) -> Column:
     """Undo Spark's ``%XX`` escaping of a partition directory value.
 
     ``url_decode`` would also turn ``+`` into a space, which Spark never writes
-    for a space, so ``+`` is protected first. The NULL marker becomes NULL.
+    for a space, so ``+`` is protected first. The NULL marker becomes NULL; a
+    name that is not valid escaping (a directory not written by Spark) is kept
+    as it is.
     """
-    decoded = F.url_decode(F.replace(raw, F.lit("+"), F.lit("%2B")))
-    return F.when(raw == F.lit(NULL_PARTITION_NAME), F.lit(None)).otherwise(decoded)
+    decoded = F.try_url_decode(F.replace(raw, F.lit("+"), F.lit("%2B")))
+    return F.when(raw == F.lit(NULL_PARTITION_NAME), F.lit(None)).otherwise(
+        F.coalesce(decoded, raw)
+    )
 
 
 def partition_value_from_path(path: Column, column: str, data_type: DataType | str | None = None) -> Column:
-    """Typed value of ``column`` from a file or directory path (any nesting level)."""
+    """Typed value of ``column`` from a file or directory path (any nesting level).
+
+    A value that does not parse as ``data_type`` becomes NULL, so a stray
+    directory falls outside every typed range instead of failing the job.
+    """
     pattern = r"(?:^|/)" + regex_escape(column) + r"=([^/]*)(?:/|$)"
     raw = F.regexp_extract(path, pattern, 1)
     value = unescape_partition_value(raw)
-    return value.cast(data_type) if data_type is not None else value
+    return value.try_cast(data_type) if data_type is not None else value
 
 
 def list_files(spark: SparkSession, *roots: str) -> DataFrame:

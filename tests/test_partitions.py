@@ -118,3 +118,17 @@ def test_two_level_path_value(spark):
         partition_value_from_path(F.col("p"), "b").alias("b"),
     ).first()
     assert (row["a"], row["b"]) == (1, "x=y")
+
+
+def test_stray_directories_do_not_break_listing_or_retention(spark, workdir):
+    root = f"{workdir}/stray"
+    lineitem_by_year(spark, SF_SMALL).write.partitionBy("ctl_validfrom").parquet(root)
+    for name in ("ctl_validfrom=garbage", "ctl_validfrom=50%zz"):
+        os.makedirs(os.path.join(local_path(root), name))
+    got = apply_retention_to_path(spark, root, "ctl_validfrom", "1996-01-01", "1999-01-01")
+    assert got == ["ctl_validfrom=1997-01-01", "ctl_validfrom=1998-01-01"]
+    left = sorted(n for n in os.listdir(local_path(root)) if n.startswith("ctl_validfrom="))
+    assert "ctl_validfrom=garbage" in left and "ctl_validfrom=50%zz" in left
+    df = spark.createDataFrame([("/r/k=50%zz/f",), ("/r/k=a%3Db/f",)], "p string")
+    vals = [r[0] for r in df.select(partition_value_from_path(F.col("p"), "k")).collect()]
+    assert vals == ["50%zz", "a=b"]
