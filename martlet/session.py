@@ -58,9 +58,9 @@ def work_root(spark: SparkSession) -> str:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
         # Only a bare local session gets here (tests): pick a private folder.
-        root = tempfile.mkdtemp(prefix="martlet-ckpt-")
-        spark.sparkContext.setCheckpointDir(root)
-        spark.conf.set("spark.checkpoint.dir", root)
+        # Later calls find it through getCheckpointDir().
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="martlet-ckpt-"))
+        root = spark.sparkContext.getCheckpointDir()
     return root.rstrip("/")
 
 
