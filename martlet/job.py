@@ -43,6 +43,7 @@ class JobConfig:
     entity_id: int
     load_date: _dt.date | str | None = None
     force: bool = False
+    rebalance: bool = True
     compact_files: bool = True
     target_file_bytes: int | None = DEFAULT_TARGET_BYTES
     stats_path: str | None = None
@@ -87,7 +88,10 @@ def run_mart_job(spark: SparkSession, cfg: JobConfig) -> JobReport:
             ensure_table(spark, t.spec)
         for t in cfg.targets:
             loader = force_load if cfg.force else load_snapshot
-            res = loader(spark, t.spec, t.source, loading_id=cfg.loading_id, load_date=day)
+            res = loader(
+                spark, t.spec, t.source, loading_id=cfg.loading_id, load_date=day,
+                rebalance=cfg.rebalance,
+            )
             report.loads[t.spec.table] = res
             log(INFO, f"loaded {res.rows_written} rows into {t.spec.table} for {day}")
         if cfg.compact_files:

@@ -65,3 +65,34 @@ def test_job_failure_records_error_status(spark, workdir):
         run_mart_job(spark, cfg)
     rows = spark.read.parquet(cfg.status_path).collect()
     assert [r.status for r in rows] == ["ERROR"] and "FAILED" in rows[0].log
+
+
+def test_job_with_timestamp_partitions_compacts_escaped_dirs(spark, workdir):
+    import os
+
+    from pyspark.sql.types import TimestampType
+
+    from martlet.session import local_path
+
+    payroll = payroll_spec(unique_name("jt"), f"{workdir}/payroll_ts", partition_type=TimestampType())
+    src = payroll_source(spark, SF_SMALL).repartition(6, "epk_id")
+    cfg = JobConfig(
+        targets=[MartTarget(payroll, src, "report_dt")],
+        loading_id=42, entity_id=7, load_date=D, rebalance=False,  # 6 files in, 1 out
+        stats_path=f"{workdir}/stats_ts", app_id="app",
+    )
+    # an older partition that must stay untouched (before the load date)
+    from martlet.operators.load import load_snapshot
+
+    load_snapshot(spark, payroll, src, loading_id=41, load_date=dt.date(2021, 10, 24), rebalance=False)
+    old_dir = [n for n in os.listdir(local_path(payroll.location)) if "2021-10-24" in n][0]
+    old_files = sorted(os.listdir(os.path.join(local_path(payroll.location), old_dir)))
+    report = run_mart_job(spark, cfg)
+    assert report.compacted_partitions[payroll.table] == 1
+    dirs = sorted(n for n in os.listdir(local_path(payroll.location)) if n.startswith("ctl_validfrom="))
+    assert dirs == ["ctl_validfrom=2021-10-24 00%3A00%3A00", "ctl_validfrom=2021-10-25 00%3A00%3A00"]
+    assert sorted(os.listdir(os.path.join(local_path(payroll.location), old_dir))) == old_files
+    n = src.count()
+    assert report.counts_after[payroll.table] == 2 * n
+    stats = {r.stat_id: r.avalue[0] for r in read_stats(spark, cfg.stats_path).collect()}
+    assert stats[1] == "2021-10-25"
