@@ -16,7 +16,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType, TimestampType
 
 from martlet.functions.calendar import launch_date
-from martlet.functions.runlog import CTL_INFO, ERROR, INFO, status_events
+from martlet.functions.runlog import (
+    CTL_INFO,
+    ERROR,
+    INFO,
+    envelope,
+    log_lines,
+    status_events,
+)
 from martlet.operators.compact import DEFAULT_TARGET_BYTES, compact
 from martlet.operators.load import LoadResult, force_load, load_snapshot
 from martlet.operators.stats import (
@@ -27,7 +34,7 @@ from martlet.operators.stats import (
 )
 from martlet.plans.spec import MartSpec, ensure_table, recreate
 from martlet.sources.tables import table_location
-from martlet.streaming.runlog_sinks import append_parquet
+from martlet.streaming.runlog_sinks import append_parquet, append_text
 
 @dataclass(frozen=True)
 class MartTarget:
@@ -49,6 +56,8 @@ class JobConfig:
     target_file_bytes: int | None = DEFAULT_TARGET_BYTES
     stats_path: str | None = None
     status_path: str | None = None
+    lines_path: str | None = None
+    events_path: str | None = None
     app_id: str | None = None
 
 
@@ -86,7 +95,13 @@ def run_mart_job(spark: SparkSession, cfg: JobConfig) -> JobReport:
     try:
         for t in cfg.targets:
             report.counts_before[t.spec.table] = table_row_count(spark, t.spec.table)
-            ensure_table(spark, t.spec)
+        if cfg.repair:
+            # Recreate over the existing files first: picks up the declared schema
+            # and any partition directories written by others.
+            recreate(spark, *[t.spec for t in cfg.targets])
+        else:
+            for t in cfg.targets:
+                ensure_table(spark, t.spec)
         for t in cfg.targets:
             loader = force_load if cfg.force else load_snapshot
             res = loader(
@@ -145,5 +160,14 @@ def job_log(spark: SparkSession, report: JobReport) -> DataFrame:
 
 
 def _publish_status(spark: SparkSession, cfg: JobConfig, report: JobReport) -> None:
-    if cfg.status_path and report.log:
-        append_parquet(status_events(job_log(spark, report), cfg.loading_id), cfg.status_path)
+    """Ship the run's log records: status rows above INFO, text lines, JSON events."""
+    if not report.log:
+        return
+    records = job_log(spark, report)
+    if cfg.status_path:
+        append_parquet(status_events(records, cfg.loading_id), cfg.status_path)
+    if cfg.lines_path:
+        append_text(log_lines(records), cfg.lines_path, "line")
+    if cfg.events_path:
+        app_id = cfg.app_id or spark.sparkContext.applicationId
+        append_text(envelope(records, app_id), cfg.events_path, "payload")

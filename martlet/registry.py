@@ -148,6 +148,8 @@ def q_mart_job(spark: SparkSession, sf_dir: str) -> DataFrame:
             load_date=LOAD_DATE,
             stats_path=f"{root}/load_stats",
             status_path=f"{root}/run_status",
+            lines_path=f"{root}/run_lines",
+            events_path=f"{root}/run_events",
             app_id=APP_ID,
         ),
     )

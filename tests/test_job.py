@@ -31,6 +31,8 @@ def _cfg(spark, workdir, **kw):
         load_date=D,
         stats_path=f"{workdir}/load_stats",
         status_path=f"{workdir}/run_status",
+        lines_path=f"{workdir}/run_lines",
+        events_path=f"{workdir}/run_events",
         app_id="app",
     )
     base.update(kw)
@@ -49,6 +51,13 @@ def test_job_publishes_marts_stats_and_status(spark, workdir):
     assert stats == {15: "app", 11: "2021-10-25", 2: "1", 5: business, 1: "2021-10-25"}
     status = spark.read.parquet(cfg.status_path).collect()
     assert [r.status for r in status] == ["RUNNING"] and status[0].loading_id == 42
+    import json
+
+    lines = [r.value for r in spark.read.text(cfg.lines_path).collect()]
+    assert len(lines) == 3 and all(" - martlet.job [" in line for line in lines)
+    events = [json.loads(r.value) for r in spark.read.text(cfg.events_path).collect()]
+    assert sorted(e["subtype_id"] for e in events) == ["CTL_INFO", "INFO", "INFO"]
+    assert all(e["app_id"] == "app" and e["type_id"] == "Tech" for e in events)
 
 
 def test_job_rerun_same_day_is_idempotent(spark, workdir):
