@@ -176,3 +176,10 @@ def test_step_sort_spreads_a_repeated_name(spark, workdir):
     assert len(per_task) > 1 and max(r[1] for r in per_task) < hot_rows
     steps = [r.step for r in ordered.select("step").collect()]
     assert steps == sorted(steps) and len(steps) == df.count()
+
+
+def test_missing_stored_query_raises(spark, workdir):
+    from martlet.operators.stats import scalar_from
+
+    with pytest.raises(Exception):
+        scalar_from(spark, f"{workdir}/no/such/query.sql", t="x")

@@ -132,3 +132,27 @@ def test_stray_directories_do_not_break_listing_or_retention(spark, workdir):
     df = spark.createDataFrame([("/r/k=50%zz/f",), ("/r/k=a%3Db/f",)], "p string")
     vals = [r[0] for r in df.select(partition_value_from_path(F.col("p"), "k")).collect()]
     assert vals == ["50%zz", "a=b"]
+
+
+def test_rename_refuses_existing_target(spark, workdir):
+    import pytest
+
+    from martlet.sources.hadoop_fs import HadoopFS
+
+    fs = HadoopFS(spark)
+    a, b = f"{workdir}/a", f"{workdir}/b"
+    fs.mkdirs(a)
+    fs.mkdirs(b)
+    with pytest.raises(FileExistsError):
+        fs.rename(a, b)  # would nest a inside b and still report success
+    assert not os.path.exists(os.path.join(local_path(b), "a"))
+
+
+def test_retention_touches_only_listed_directories(spark, workdir):
+    root = f"{workdir}/r"
+    sibling = f"{workdir}/r_old"
+    for path in (root, sibling):
+        lineitem_by_year(spark, SF_SMALL).write.partitionBy("ctl_validfrom").parquet(path)
+    apply_retention_to_path(spark, root, "ctl_validfrom", "1996-01-01", "1999-01-01")
+    assert "ctl_validfrom=1997-01-01" in os.listdir(local_path(sibling))
+    assert "ctl_validfrom=1997-01-01" not in os.listdir(local_path(root))
