@@ -47,3 +47,31 @@ def test_partition_values_round_trip(spark, values):
     df.write.partitionBy("k").parquet(root)
     got = sorted(r[0] for r in list_partition_files(spark, root, "k", "string").select("k").distinct().collect())
     assert got == sorted(values)
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(
+    target=st.integers(min_value=2_000, max_value=400_000),
+    start_year=st.integers(min_value=1994, max_value=2002),
+    strategy=st.sampled_from(["coalesce", "salted"]),
+)
+def test_compaction_keeps_rows_and_never_exceeds_n(spark, target, start_year, strategy):
+    import os
+
+    from martlet.operators.compact import compact
+    from martlet.plans.analogs import lineitem_by_year
+    from martlet.session import local_path
+
+    from conftest import SF_SMALL
+
+    root = new_work_dir(spark, "prop") + "/c"
+    src = lineitem_by_year(spark, SF_SMALL)
+    src.repartition(6, "l_orderkey").write.partitionBy("ctl_validfrom").parquet(root)
+    res = compact(spark, root, "ctl_validfrom", "date", dt.date(start_year, 1, 1), target, strategy=strategy)
+    n_of = {p["fragment"]: p["n_files"] for p in res.plan}
+    for frag, n in n_of.items():
+        files = [f for f in os.listdir(os.path.join(local_path(root), frag)) if f.endswith(".parquet")]
+        assert 1 <= len(files) <= n
+    back = spark.read.parquet(root).select(*src.columns)
+    assert back.count() == src.count()
+    assert back.exceptAll(src).count() == 0 and src.exceptAll(back).count() == 0
