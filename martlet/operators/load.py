@@ -46,6 +46,32 @@ def source_facts(source: DataFrame, load_id_column: str) -> DataFrame:
     )
 
 
+def footer_session(spark: SparkSession) -> SparkSession:
+    """A child session (own SQL conf) whose Parquet scans answer ``count`` and
+    ``max``/``min`` from file footers: the V2 Parquet reader with aggregate
+    pushdown. The caller's session is not changed."""
+    child = spark.newSession()
+    child.conf.set("spark.sql.sources.useV1SourceList", "avro,csv,json,kafka,orc,text")
+    child.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return child
+
+
+def facts_of(spark: SparkSession, source: str | DataFrame, load_id_column: str):
+    """``source_rows, src_loading_id`` of a source as one Row.
+
+    A source given by path or name is read in :func:`footer_session`, so for
+    Parquet the two facts come from the file footers and no data is scanned; a
+    source Spark cannot answer that way (other formats, strings, filters) is
+    scanned as usual. A DataFrame source is scanned for its one column.
+    """
+    if isinstance(source, str):
+        try:
+            return source_facts(read_source(footer_session(spark), source), load_id_column).first()
+        except Exception:  # noqa: BLE001 - fall back to a plain scan
+            pass
+    return source_facts(read_source(spark, source), load_id_column).first()
+
+
 def check_columns(df: DataFrame, expected: list[str]) -> None:
     """The projected column set must equal the mart's: no missing, no extra."""
     have = [c.lower() for c in df.columns]
@@ -186,7 +212,7 @@ def load_snapshot(
     if isinstance(load_date, str):
         load_date = _dt.date.fromisoformat(load_date)
     src = read_source(spark, source)
-    facts = _facts or source_facts(src, spec.source_load_id_column).first()
+    facts = _facts or facts_of(spark, source, spec.source_load_id_column)
     src_loading_id = facts["src_loading_id"]
     if src_loading_id is None and not allow_empty:
         raise EmptySourceError(
@@ -231,7 +257,7 @@ def force_load(
     from martlet.sources.tables import table_location
 
     src = read_source(spark, source)
-    facts = source_facts(src, spec.source_load_id_column).first()
+    facts = facts_of(spark, source, spec.source_load_id_column)
     if facts["src_loading_id"] is None:
         raise EmptySourceError("source has no load id; mart not cleared")
     result = load_snapshot(

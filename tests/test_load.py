@@ -202,3 +202,23 @@ def test_copies_of_one_row_spread_over_tasks(spark, workdir):
     assert len(per_file) > 1 and max(r[1] for r in per_file) < n_copies
     part = local_path(f"{spec.location}/ctl_validfrom=2021-10-25")
     assert len([f for f in os.listdir(part) if f.endswith(".parquet")]) > 1
+
+
+def test_path_source_facts_come_from_footers(spark, workdir):
+    from martlet.operators.load import footer_session, source_facts
+
+    path = f"{workdir}/src"
+    payroll_source(spark, SF_SMALL).repartition(3, "epk_id").write.parquet(path)
+    from martlet.sources.tables import read_source
+
+    facts = source_facts(read_source(footer_session(spark), path), "ctl_loading")
+    plan = facts._jdf.queryExecution().executedPlan().toString()
+    scan = [line for line in plan.splitlines() if "BatchScan" in line]
+    assert scan and "max(ctl_loading)" in scan[0] and "count(" in scan[0]  # footers answer it
+    assert spark.conf.get("spark.sql.parquet.aggregatePushdown") == "false"
+    spec = _spec(workdir)
+    res = load_snapshot(spark, spec, path, loading_id=9, load_date=D2)
+    src = spark.read.parquet(path)
+    assert res.source_rows == src.count()
+    assert res.src_loading_id == src.agg(F.max("ctl_loading")).first()[0]
+    assert res.rows_written == res.source_rows
