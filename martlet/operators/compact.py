@@ -56,6 +56,10 @@ DEFAULT_TARGET_BYTES = 128 * 1024 * 1024
 
 MAX_UNION_PARTITIONS = 512
 MAX_BROADCAST_PLAN_ROWS = 1_000_000
+# Reducers of the salted rewrite. More buckets than this share reducers: a
+# partition still gets at most n files (its buckets can only merge), and the
+# shuffle stays far from an M x R blow-up of index files on bulk backfills.
+MAX_SALTED_REDUCERS = 65_536
 
 
 class CompactionVerifyError(RuntimeError):
@@ -316,12 +320,12 @@ def _salted(spark, root, paths, schema, partition_column, data_cols, plan_rows)
         hashable = [c for c in data_cols if not isinstance(schema[c].dataType, MapType)]
         position = F.xxhash64(*[F.col(c) for c in hashable])
     data = data.withColumn("_pos", position)
-    total = int(sum(int(r["n_files"]) for r in plan_rows))
+    total = min(int(sum(int(r["n_files"]) for r in plan_rows)), MAX_SALTED_REDUCERS)
     if not partition_column:
         n = int(plan_rows[0]["n_files"])
         return (
             data.withColumn("_salt", F.pmod(F.col("_pos"), F.lit(n)))
-            .repartition(n, "_salt")
+            .repartition(min(n, MAX_SALTED_REDUCERS), "_salt")
             .select(*schema.fieldNames())
         )
     plan = spark.createDataFrame(

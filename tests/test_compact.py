@@ -284,3 +284,19 @@ def test_block_size_target(spark, workdir):
     block = HadoopFS(spark).default_block_size(root)
     plan = compaction_plan(spark, root, "ctl_validfrom", "date", START, None).collect()
     assert block > 0 and all(p["n_files"] == p["bytes"] // block + 1 for p in plan)
+
+
+def test_salted_reducer_cap_keeps_file_bound(spark, workdir, monkeypatch):
+    from martlet.operators import compact as C
+
+    monkeypatch.setattr(C, "MAX_SALTED_REDUCERS", 3)
+    root = f"{workdir}/t"
+    src = _many_files(spark, root)
+    plan = {r["ctl_validfrom"]: r for r in compaction_plan(spark, root, "ctl_validfrom", "date", START, TARGET).collect()}
+    assert sum(p["n_files"] for p in plan.values()) > 3
+    C.compact(spark, root, "ctl_validfrom", "date", START, TARGET, strategy="salted", verify="checksum")
+    for value, files in _files_by_partition(root).items():
+        d = dt.date.fromisoformat(value)
+        if d >= START:
+            assert 1 <= len(files) <= min(plan[d]["n_files"], 3)
+    _assert_same_rows(spark.read.parquet(root).select(*src.columns), src)
