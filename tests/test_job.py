@@ -105,3 +105,11 @@ def test_job_with_timestamp_partitions_compacts_escaped_dirs(spark, workdir):
     assert report.counts_after[payroll.table] == 2 * n
     stats = {r.stat_id: r.avalue[0] for r in read_stats(spark, cfg.stats_path).collect()}
     assert stats[1] == "2021-10-25"
+
+
+def test_job_without_whole_mart_counts(spark, workdir):
+    cfg, payroll, merch = _cfg(spark, workdir, count_rows=False, lines_path=None, events_path=None)
+    report = run_mart_job(spark, cfg)
+    assert report.counts_before == {} and report.counts_after == {}
+    assert report.loads[payroll.table].rows_written == payroll_source(spark, SF_SMALL).count()
+    assert spark.read.parquet(cfg.status_path).first().status == "RUNNING"
