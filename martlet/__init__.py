@@ -13,7 +13,7 @@ The most used entry points are re-exported here.
 
 from martlet.functions.calendar import launch_date, month_window
 from martlet.functions.runlog import envelope, log_lines, status_events
-from martlet.functions.steps import numbered_files, with_steps
+from martlet.functions.steps import numbered_files, run_numbered_sql, with_steps
 from martlet.job import JobConfig, MartTarget, run_mart_job
 from martlet.operators.compact import compact, compact_directory, compaction_plan, recover_interrupted_swap
 from martlet.operators.load import EmptySourceError, force_load, load_snapshot
@@ -50,6 +50,7 @@ __all__ = [
     "recover_interrupted_swap",
     "recreate",
     "run_mart_job",
+    "run_numbered_sql",
     "scalar",
     "status_events",
     "table_stats",

@@ -57,3 +57,37 @@ def numbered_files(
         .select("path")
     )
     return with_steps(files.withColumn("name", base_name(F.col("path"))), "name", on_bad)
+
+
+def run_numbered_sql(
+    spark: SparkSession, root: str, glob: str = "*.sql", on_bad: str = "raise", **args
+) -> list[tuple[str, int, DataFrame]]:
+    """Run the numbered SQL files below ``root`` in step order (smallest first).
+
+    Each file holds one statement with ``:name`` markers (table names through
+    ``IDENTIFIER(:name)``), filled from ``args``. The texts are read through
+    Spark, so ``root`` may be on any Hadoop file system; only the file names
+    and texts reach the driver. Returns ``(path, step, result)`` per file.
+    """
+    ordered = numbered_files(spark, root, glob, on_bad).select("path", "step").collect()
+    if not ordered:
+        return []
+    texts = {
+        _same_path(r["path"]): r["value"]
+        for r in spark.read.text([r["path"] for r in ordered], wholetext=True)
+        .select(F.col("_metadata.file_path").alias("path"), "value")
+        .collect()
+    }
+    out = []
+    for row in ordered:
+        text = texts[_same_path(row["path"])].strip().rstrip(";")
+        used = {k: v for k, v in args.items() if f":{k}" in text}
+        out.append((row["path"], row["step"], spark.sql(text, args=used or None)))
+    return out
+
+
+def _same_path(path: str) -> str:
+    """One spelling per path: ``file:///x`` and ``file:/x`` name the same file."""
+    import re
+
+    return re.sub(r"^([a-z][a-z0-9+.-]*):/+", lambda m: m.group(1) + ":/", path)

@@ -99,12 +99,13 @@ def row_position(df: DataFrame) -> Column | None:
     are exact copies of each other, which a hash of the row's values would
     send to a single task.
     """
-    key = F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index"))
     try:
-        df.select(key).schema  # analysis only, no job
+        meta = df.select("_metadata").schema["_metadata"].dataType  # analysis only
     except Exception:  # noqa: BLE001 - not a file source
         return None
-    return key
+    if not {"file_path", "row_index"} <= set(meta.fieldNames()):
+        return None  # a file source without row positions (e.g. binaryFile)
+    return F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index"))
 
 
 def base_name(path: Column) -> Column:

@@ -183,3 +183,25 @@ def test_missing_stored_query_raises(spark, workdir):
 
     with pytest.raises(Exception):
         scalar_from(spark, f"{workdir}/no/such/query.sql", t="x")
+
+
+def test_run_numbered_sql_in_step_order(spark, workdir):
+    import os
+
+    from martlet.functions.steps import run_numbered_sql
+    from martlet.session import local_path
+
+    root = local_path(f"{workdir}/sql")
+    os.makedirs(os.path.join(root, "sub"), exist_ok=True)
+    scripts = {
+        "stat2.sql": "CREATE OR REPLACE TEMP VIEW v2 AS SELECT n * 10 AS n FROM v1",
+        "sub/stat10.sql": "SELECT sum(n) AS total FROM v2 WHERE n >= :lo",
+        "1stat.sql": "CREATE OR REPLACE TEMP VIEW v1 AS SELECT id AS n FROM IDENTIFIER(:t);",
+    }
+    for rel, text in scripts.items():
+        with open(os.path.join(root, rel), "w") as fh:
+            fh.write(text)
+    spark.range(5).createOrReplaceTempView("five_rows")
+    results = run_numbered_sql(spark, root, t="five_rows", lo=20)
+    assert [step for _, step, _ in results] == [1, 2, 10]
+    assert results[-1][2].first()["total"] == 20 + 30 + 40
