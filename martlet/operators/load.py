@@ -117,7 +117,7 @@ def snapshot_rows(
     rebalance: bool = True,
 ) -> DataFrame:
     """The rows a snapshot load writes: business columns, lineage, layout."""
-    position = row_position(source)
+    position = row_position(source) if rebalance else None
     extra = [position.alias(_POSITION)] if position is not None else []
     rows = with_lineage(source.select(*spec.business_columns, *extra), spec, src_loading_id, loading_id)
     return file_layout(rows, rebalance, _POSITION if extra else None)
