@@ -11,6 +11,7 @@ other partition alone, and swaps the new files in only when the job commits.
 from __future__ import annotations
 
 import datetime as _dt
+import threading
 import uuid
 from contextlib import contextmanager
 from dataclasses import dataclass
@@ -176,18 +177,36 @@ def insert_partition(
     return int(written.get["rows"])
 
 
+_conf_lock = threading.Lock()
+_conf_users: dict[tuple[int, str], list] = {}
+
+
 @contextmanager
 def _session_conf(spark: SparkSession, key: str, value: str):
-    """Set a SQL conf for the duration of one statement, then restore it."""
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, value)
+    """Hold a SQL conf at ``value`` while the block runs, then restore it.
+
+    Reference-counted per session and key: when several threads load marts in
+    the same session at once, the value stays set until the last of them is
+    done, and only then is the caller's value put back.
+    """
+    slot = (id(spark), key)
+    with _conf_lock:
+        users = _conf_users.get(slot)
+        if users is None:
+            users = _conf_users[slot] = [0, spark.conf.get(key, None)]
+            spark.conf.set(key, value)
+        users[0] += 1
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, before)
+        with _conf_lock:
+            users[0] -= 1
+            if users[0] == 0:
+                del _conf_users[slot]
+                if users[1] is None:
+                    spark.conf.unset(key)
+                else:
+                    spark.conf.set(key, users[1])
 
 
 def load_snapshot(

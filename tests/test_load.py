@@ -222,3 +222,18 @@ def test_path_source_facts_come_from_footers(spark, workdir):
     assert res.source_rows == src.count()
     assert res.src_loading_id == src.agg(F.max("ctl_loading")).first()[0]
     assert res.rows_written == res.source_rows
+
+
+def test_parallel_loads_in_one_session(spark, workdir):
+    from concurrent.futures import ThreadPoolExecutor
+
+    src = payroll_source(spark, SF_SMALL)
+    specs = [payroll_spec(unique_name(f"par{i}"), f"{workdir}/par{i}") for i in range(3)]
+    with ThreadPoolExecutor(max_workers=3) as pool:
+        results = list(pool.map(
+            lambda sp: load_snapshot(spark, sp, src, loading_id=5, load_date=D2), specs
+        ))
+    n = src.count()
+    assert [r.rows_written for r in results] == [n, n, n]
+    assert all(spark.table(sp.table).count() == n for sp in specs)
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == "STATIC"
