@@ -51,6 +51,7 @@ class JobConfig:
     load_date: _dt.date | str | None = None
     force: bool = False
     rebalance: bool = True
+    parallel_loads: bool = False
     compact_files: bool = True
     repair: bool = True
     count_rows: bool = True
@@ -106,12 +107,23 @@ def run_mart_job(spark: SparkSession, cfg: JobConfig) -> JobReport:
         else:
             for t in cfg.targets:
                 ensure_table(spark, t.spec)
-        for t in cfg.targets:
-            loader = force_load if cfg.force else load_snapshot
-            res = loader(
+        loader = force_load if cfg.force else load_snapshot
+
+        def load_one(t: MartTarget) -> LoadResult:
+            return loader(
                 spark, t.spec, t.source, loading_id=cfg.loading_id, load_date=day,
                 rebalance=cfg.rebalance,
             )
+
+        if cfg.parallel_loads and len(cfg.targets) > 1:
+            # Independent Spark jobs; overlapping them fills the cluster's slack.
+            from concurrent.futures import ThreadPoolExecutor
+
+            with ThreadPoolExecutor(max_workers=len(cfg.targets)) as pool:
+                results = list(pool.map(load_one, cfg.targets))
+        else:
+            results = [load_one(t) for t in cfg.targets]
+        for t, res in zip(cfg.targets, results):
             report.loads[t.spec.table] = res
             log(INFO, f"loaded {res.rows_written} rows into {t.spec.table} for {day}")
         if cfg.compact_files:

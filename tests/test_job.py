@@ -113,3 +113,12 @@ def test_job_without_whole_mart_counts(spark, workdir):
     assert report.counts_before == {} and report.counts_after == {}
     assert report.loads[payroll.table].rows_written == payroll_source(spark, SF_SMALL).count()
     assert spark.read.parquet(cfg.status_path).first().status == "RUNNING"
+
+
+def test_job_parallel_loads(spark, workdir):
+    cfg, payroll, merch = _cfg(spark, workdir, parallel_loads=True)
+    report = run_mart_job(spark, cfg)
+    assert report.counts_after == {
+        payroll.table: payroll_source(spark, SF_SMALL).count(),
+        merch.table: merchant_source(spark, SF_SMALL).count(),
+    }
