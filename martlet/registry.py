@@ -151,6 +151,7 @@ def q_mart_job(spark: SparkSession, sf_dir: str) -> DataFrame:
             lines_path=f"{root}/run_lines",
             events_path=f"{root}/run_events",
             app_id=APP_ID,
+            parallel_loads=True,
         ),
     )
     counts = [
