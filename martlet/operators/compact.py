@@ -304,11 +304,20 @@ def rewrite_session(spark: SparkSession) -> SparkSession:
 
 
 def _coalesced_union(spark, root, schema, partition_column, plan_rows) -> DataFrame:
-    branches = []
-    for row in plan_rows:
-        path = f"{root}/{row['fragment']}" if partition_column else root
-        scan = spark.read.schema(schema).option("basePath", root).parquet(path)
-        branches.append(scan.coalesce(int(row["n_files"])))
+    """One ``coalesce(n)`` branch per partition over ONE scan of the selected
+    directories: the files are listed once, and each branch's filter on the
+    partition column prunes that shared listing to its own directory."""
+    if not partition_column:
+        scan = spark.read.schema(schema).option("basePath", root).parquet(root)
+        return scan.coalesce(int(plan_rows[0]["n_files"]))
+    paths = [f"{root}/{row['fragment']}" for row in plan_rows]
+    scan = spark.read.schema(schema).option("basePath", root).parquet(*paths)
+    value_type = schema[partition_column].dataType
+    branches = [
+        scan.where(F.col(partition_column) == F.lit(row[partition_column]).cast(value_type))
+        .coalesce(int(row["n_files"]))
+        for row in plan_rows
+    ]
     return reduce(DataFrame.unionByName, branches)
 
 
