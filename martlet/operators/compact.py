@@ -189,10 +189,15 @@ def compact(
     stage = f"{root}__stage_{run}"
     backup = f"{root}__backup_{run}"
     paths = [f"{root}/{r['fragment']}" for r in plan_rows] if partition_column else [root]
-    full_schema = spark.read.option("basePath", root).parquet(*paths).schema
-    data_cols = [f.name for f in full_schema.fields if f.name != partition_column]
+    # One partition directory is enough to infer the data columns (Spark reads a
+    # single footer without schema merging); the typed partition column is added.
+    data_schema = spark.read.parquet(paths[0]).schema
+    data_cols = [f.name for f in data_schema.fields if f.name != partition_column]
+    full_schema = StructType([data_schema[c] for c in data_cols])
     if partition_column:
-        full_schema = _with_type(full_schema, partition_column, partition_type)
+        full_schema = _with_type(
+            full_schema.add(partition_column, "string"), partition_column, partition_type
+        )
     clock.lap("schema")
 
     if strategy == "auto":
