@@ -300,3 +300,31 @@ def test_salted_reducer_cap_keeps_file_bound(spark, workdir, monkeypatch):
         if d >= START:
             assert 1 <= len(files) <= min(plan[d]["n_files"], 3)
     _assert_same_rows(spark.read.parquet(root).select(*src.columns), src)
+
+
+def test_recover_flat_folder_after_driver_loss(spark, workdir):
+    from martlet.operators.compact import recover_interrupted_swap
+
+    root = f"{workdir}/flat"
+    src = table(spark, SF_SMALL, "lineitem")
+    src.repartition(8, "l_orderkey").write.parquet(root)
+
+    class DriverDies(HadoopFS):
+        calls = 0
+
+        def rename(self, a, b):
+            DriverDies.calls += 1
+            if DriverDies.calls == 2:  # folder moved to backup, staged copy not installed
+                raise SystemExit("driver lost")
+            super().rename(a, b)
+
+        def delete(self, path, recursive=True):
+            return False
+
+    with pytest.raises(SystemExit):
+        compact_directory(spark, root, TARGET, _fs=DriverDies(spark))
+    assert not os.path.exists(local_path(root))
+    assert recover_interrupted_swap(spark, root) == [root]
+    _assert_same_rows(spark.read.parquet(root), src)
+    parent = os.path.dirname(local_path(root))
+    assert [n for n in os.listdir(parent) if n.startswith("flat__")] == []
