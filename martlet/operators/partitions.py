@@ -55,6 +55,20 @@ def partition_row_counts(df: DataFrame, column: str) -> DataFrame:
     return df.groupBy(column).agg(F.count(F.lit(1)).alias("row_count"))
 
 
+def footer_row_counts(
+    spark: SparkSession, root: str, column: str, data_type: DataType | str | None = None
+) -> DataFrame:
+    """``(<column>, row_count)`` of a partitioned Parquet folder from the file
+    footers alone: ``count(*) … GROUP BY <partition column>`` is pushed into the
+    V2 Parquet scan (see ``load.footer_session``), so no row data is read."""
+    from martlet.operators.load import footer_session
+
+    counts = partition_row_counts(footer_session(spark).read.parquet(root), column)
+    if data_type is not None:
+        counts = counts.withColumn(column, F.col(column).cast(data_type))
+    return counts
+
+
 def open_interval(value: Column, from_value=None, to_value=None) -> Column:
     """``from < value < to``; a missing bound is unbounded. Both ends excluded."""
     cond = F.lit(True)

@@ -24,6 +24,7 @@ from martlet.operators.partitions import (
     apply_retention,
     apply_retention_to_path,
     catalog_partitions,
+    footer_row_counts,
     partition_row_counts,
 )
 from martlet.operators.stats import (
@@ -211,8 +212,9 @@ def q_load_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # -- partitions -----------------------------------------------------------------
 def q_partition_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per partition, answered from the Parquet footers (no data read)."""
     spec = _year_mart(spark, sf_dir, "inventory_mart")
-    return partition_row_counts(spark.table(spec.table), spec.partition_column)
+    return footer_row_counts(spark, spec.location, spec.partition_column, spec.partition_type)
 
 
 def q_partition_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -46,3 +46,9 @@ def test_stats_read_only_the_loaded_partition(spark, workdir):
     plan = _plan(rows)
     assert "PartitionFilters: [isnotnull(ctl_validfrom" in plan and "2021-10-25" in plan
     assert "ReadSchema: struct<report_dt:string>" in plan
+
+
+def test_partition_inventory_is_answered_by_footers(spark):
+    df = E.queries()["partition_inventory"](spark, SF_SMALL)
+    scan = [line for line in _plan(df).splitlines() if "BatchScan" in line]
+    assert scan and "count(*)" in scan[0]
