@@ -13,9 +13,16 @@ SF_ORACLE = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
+    import tempfile
+
     from martlet.session import get_session
 
-    session = get_session("martlet-tests", master="local[*]", shuffle_partitions=8)
+    session = get_session(
+        "martlet-tests",
+        master="local[*]",
+        shuffle_partitions=8,
+        extra_conf={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="martlet-wh-")},
+    )
     yield session
     session.stop()
 
