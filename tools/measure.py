@@ -58,10 +58,14 @@ def main() -> None:
     spark = get_session("martlet-measure", master="local[8]", shuffle_partitions=8)
     out: dict = {"sf_dir": sf_dir}
 
-    # warm-up
+    # warm-up: one load and one compaction of each kind on the smallest tables
     warm = "/root/testdata/sf0.001"
     spec = payroll_spec(unique_name("w"), new_work_dir(spark, "w") + "/w")
     load_snapshot(spark, spec, payroll_source(spark, warm), loading_id=1, load_date=LOAD_DATE)
+    warm_root = many_files(spark, warm, "warm")
+    compact(spark, warm_root, "ctl_validfrom", "date", None, 20_000)
+    for r in compaction_plan(spark, warm_root, "ctl_validfrom", "date", None, 10_000).collect()[:1]:
+        compact_directory(spark, f"{warm_root}/{r['fragment']}", 10_000)
 
     # load
     for rebalance in (True, False):
