@@ -7,20 +7,36 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from martlet.llm.common import table
+from martlet.llm.decontaminate import contaminated
 from martlet.llm.quality_rules import judge_documents
 from martlet.llm.simhash import near_duplicates
+from martlet.llm.surrogates import replace_personal_data
+
+#: The key of the registered queries; a deployment passes its own secret.
+SURROGATE_KEY = "registered-query"
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_documents(table(spark, sf_dir, "documents"))
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op7_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return replace_personal_data(docs, key=SURROGATE_KEY)
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle_words=3, max_distance=2)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_rules": op3_quality_rules,
+    "op6_decontamination": op6_decontamination,
+    "op7_surrogates": op7_surrogates,
     "op10_simhash": op10_simhash,
 }
 
