@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from martlet.llm.common import table
 from martlet.llm.decontaminate import contaminated
+from martlet.llm.mixing import mix
 from martlet.llm.quality_rules import judge_documents
 from martlet.llm.simhash import near_duplicates
 from martlet.llm.surrogates import replace_personal_data
@@ -29,6 +30,10 @@ def op7_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replace_personal_data(docs, key=SURROGATE_KEY)
 
 
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents"), weights=(5, 2, 1), budget=1.5, max_copies=2.0)
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle_words=3, max_distance=2)
 
@@ -37,6 +42,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_rules": op3_quality_rules,
     "op6_decontamination": op6_decontamination,
     "op7_surrogates": op7_surrogates,
+    "op9_mixing": op9_mixing,
     "op10_simhash": op10_simhash,
 }
 
