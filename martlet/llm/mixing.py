@@ -9,8 +9,11 @@ Copies: every document of a source should be taken ``target / source_size``
 times. The whole part is taken as it is; the fractional part is rounded by
 pairs: two documents exchange mass, weighted by their sizes, until one of them
 is integral, in a random direction whose odds keep every expectation. The words
-taken by the pair do not change, so a source ends within the size of the one
-document left over.
+taken by the pair do not change, so a tree ends within the size of the one
+document left over. Documents that hold over 10%, then over 1% of their source
+are rounded first, each tier in a tree of its own; what such a tree takes too
+much or too little changes the rate of the tiers after it, so the smaller
+documents make up for the larger.
 
 The pairs form a reduction tree. Documents are dealt by hash into blocks of
 about ``BLOCK`` rows a (source, block) - a source of any size is many blocks -
@@ -36,6 +39,8 @@ from pyspark.sql.window import Window
 from martlet.llm.common import WORD_PATTERN, checkpointed
 
 BLOCK = 64
+#: Shares of a source above which documents are rounded before the others.
+TIERS = (0.1, 0.01)
 EPSILON = 1e-9
 
 
@@ -177,13 +182,37 @@ def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), budget: float = 1
     """``doc_id, size, source_size, target, taken, source, copies`` per document."""
     sizes = checkpointed(sized(docs))
     targets = checkpointed(source_targets(sizes, weights, budget, max_copies))
-    wanted = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    fraction = F.when(F.col("size") > 0, wanted - F.floor(wanted)).otherwise(0.0)
-    fractions = _with_targets(sizes, targets).select(
-        "source", "doc_id", "size", "draw", F.col("n_docs").alias("n"), fraction.alias("p")
+    share = F.when(F.col("source_size") > 0, F.col("size") / F.col("source_size")).otherwise(0.0)
+    tier = sum((share <= bound).cast("int") for bound in TIERS)
+    rows = _with_targets(sizes, targets).withColumn("tier", tier)
+    plan = checkpointed(
+        rows.groupBy("source", "tier").agg(F.sum("size").alias("tier_size"), F.count("*").alias("n"))
     )
-    largest = targets.agg(F.max("n_docs")).first()[0] or 0
-    copies = (F.floor(wanted) + F.col("p")).cast("long")
-    return _with_targets(rounded(fractions, largest), targets).select(
-        "doc_id", "size", "source_size", "target", (copies * F.col("size")).alias("taken"), "source", copies.alias("copies")
+    left = targets.select("source", F.col("target").alias("target_left"), F.col("source_size").alias("size_left"))
+    out = None
+    for number in range(len(TIERS) + 1):
+        here = plan.where(F.col("tier") == number)
+        rate = F.when(F.col("size_left") > 0, F.least(F.lit(float(max_copies)), F.greatest(F.lit(0.0), F.col("target_left") / F.col("size_left")))).otherwise(0.0)
+        rates = checkpointed(_with_targets(here, left.withColumn("rate", rate)).select("source", "n", "rate"))
+        largest = rates.agg(F.max("n")).first()[0]
+        if largest is None:
+            continue
+        fraction = F.when(F.col("size") > 0, F.col("rate") - F.floor("rate")).otherwise(0.0)
+        own = rows.where(F.col("tier") == number).select("source", "doc_id", "size", "draw")
+        fractions = _with_targets(own, rates).select("source", "doc_id", "size", "draw", "n", fraction.alias("p"))
+        copies = (F.floor("rate") + F.col("p")).cast("long")
+        done = _with_targets(rounded(fractions, largest), rates).select("source", "doc_id", "size", copies.alias("copies"))
+        took = done.groupBy("source").agg(F.sum(F.col("copies") * F.col("size")).alias("took"), F.sum("size").alias("gone"))
+        named = took.withColumnRenamed("source", "__source")
+        left = checkpointed(
+            left.join(named, F.col("source").eqNullSafe(F.col("__source")), "left").select(
+                "source", (F.col("target_left") - F.coalesce("took", F.lit(0))).alias("target_left"),
+                (F.col("size_left") - F.coalesce("gone", F.lit(0))).alias("size_left"),
+            )
+        )
+        out = done if out is None else out.unionByName(done)
+    if out is None:  # an empty table
+        out = rows.select("source", "doc_id", "size", F.lit(0).cast("long").alias("copies"))
+    return _with_targets(out, targets).select(
+        "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "source", "copies"
     )
