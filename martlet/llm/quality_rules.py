@@ -10,7 +10,7 @@ them is removed:
 
 A document is rejected when the base rules fail (too few words, or too many
 words in repeated 3-word windows) or when the removed lines held more than
-``max_loss`` of its word characters.
+``max_loss_percent`` of its word characters.
 
 Defined results: a null or empty text has no words, fails the base rules and is
 rejected; a line without words never fails and is kept as it is; equal rows
@@ -32,15 +32,17 @@ from pyspark.sql import DataFrame
 
 from martlet.llm.common import text_bytes
 
-SYMBOLS = b"#*$%&|<>"
-TERMINALS = ".!?…:;。！？"
-CLOSERS = "\"'”’»)]}"
-SEPARATORS = frozenset({b"|", b">", b"/", "»".encode(), "›".encode(), "•".encode(), "·".encode()})
-BOILERPLATE = re.compile(
+SYMBOLS = "#*$%&|<>"
+#: A terminal mark, closing quotes or brackets, the end of the line.
+TERMINAL_PATTERN = r"[.!?…:;。！？][\"'”’»)\]}]*[\x20\x09-\x0D]*$"
+SEPARATORS = ["|", ">", "/", "»", "›", "•", "·"]
+BOILERPLATE_PATTERN = (
     r"all rights reserved|licensed under|released under|copyright \(c\)|terms of (?:use|service)"
-    r"|privacy policy|cookie|enable javascript|subscribe to|click here|sign in to|log in to",
-    re.IGNORECASE,
+    r"|privacy policy|cookie|enable javascript|subscribe to|click here|sign in to|log in to"
 )
+_terminal = re.compile(TERMINAL_PATTERN)
+_boilerplate = re.compile(BOILERPLATE_PATTERN, re.IGNORECASE)
+_separators = frozenset(x.encode() for x in SEPARATORS)
 
 
 @dataclass(frozen=True)
@@ -50,10 +52,10 @@ class LineRules:
     min_words: int = 50
     max_repeat_percent: int = 50
     short_line_words: int = 10
-    max_doubled_marks: float = 0.3
-    max_symbols_per_word: float = 0.5
-    max_separators_per_word: float = 0.15
-    max_loss: float = 0.5
+    max_doubled_percent: int = 30
+    max_symbol_percent: int = 50
+    max_separator_percent: int = 15
+    max_loss_percent: int = 50
 
 
 @dataclass(frozen=True)
@@ -76,18 +78,16 @@ def line_fails(line: str, rules: LineRules) -> bool:
     n = len(words)
     if n == 0:
         return False
-    end = line.rstrip().rstrip(CLOSERS)
-    if n < rules.short_line_words and not end.endswith(tuple(TERMINALS)):
+    if n < rules.short_line_words and not _terminal.search(line):
         return True
-    if sum(w.endswith((b"!!", b"??")) for w in words) > rules.max_doubled_marks * n:
+    if 100 * sum(w.endswith((b"!!", b"??")) for w in words) > rules.max_doubled_percent * n:
         return True
-    separators = sum(w in SEPARATORS for w in words)
-    if separators >= 3 and separators > rules.max_separators_per_word * n:
+    separators = sum(w in _separators for w in words)
+    if separators >= 3 and 100 * separators > rules.max_separator_percent * n:
         return True
-    symbols = sum(map(line.count, SYMBOLS.decode()))
-    if symbols - separators > rules.max_symbols_per_word * n:
+    if 100 * sum(map(line.count, SYMBOLS)) > rules.max_symbol_percent * n:
         return True
-    return BOILERPLATE.search(line) is not None
+    return _boilerplate.search(line) is not None
 
 
 def repeated_window_words(words: list[bytes]) -> int:
@@ -134,8 +134,8 @@ def judge(text: str | None, rules: LineRules) -> Verdict:
     repeats = repeated_window_words(words)
     base_failed = n < rules.min_words or 100 * repeats > rules.max_repeat_percent * n
     return Verdict(
-        n, chars, sum(map(text.count, SYMBOLS.decode())), dup_lines, repeats, failed, lost,
-        base_failed, not base_failed and lost <= rules.max_loss * chars, "\n".join(kept_lines),
+        n, chars, sum(map(text.count, SYMBOLS)), dup_lines, repeats, failed, lost,
+        base_failed, not base_failed and 100 * lost <= rules.max_loss_percent * chars, "\n".join(kept_lines),
     )
 
 
