@@ -12,6 +12,7 @@ from martlet.llm.decontaminate import contaminated
 from martlet.llm.mixing import mix
 from martlet.llm.quality_rules import BOILERPLATE_PATTERN, SEPARATORS, TERMINAL_PATTERN, judge_documents
 from martlet.llm.simhash import near_duplicates
+from martlet.llm.site_style_tree import extract_main_text
 from martlet.llm.surrogates import replace_personal_data
 
 #: The key of the registered queries; a deployment passes its own secret.
@@ -22,6 +23,10 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_documents(table(spark, sf_dir, "documents"))
 
 
+def op5_site_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(table(spark, sf_dir, "pages"))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -53,6 +58,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_rules": op3_quality_rules,
+    "op5_site_style_tree": op5_site_style_tree,
     "op6_decontamination": op6_decontamination,
     "op7_surrogates": op7_surrogates,
     "op8_chat_format": op8_chat_format,
