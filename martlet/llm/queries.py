@@ -14,11 +14,16 @@ from martlet.llm.quality_rules import BOILERPLATE_PATTERN, SEPARATORS, TERMINAL_
 from martlet.llm.simhash import near_duplicates
 from martlet.llm.site_style_tree import extract_main_text
 from martlet.llm.surrogates import replace_personal_data
+from martlet.llm.toxicity import toxicity
 
 #: The key of the registered queries; a deployment passes its own secret.
 SURROGATE_KEY = "registered-query"
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_documents(table(spark, sf_dir, "documents"))
 
@@ -57,6 +62,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_toxicity": op2_toxicity,
     "op3_quality_rules": op3_quality_rules,
     "op5_site_style_tree": op5_site_style_tree,
     "op6_decontamination": op6_decontamination,
