@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from martlet.llm.chat_format import expand, read_back
 from martlet.llm.common import WORD_PATTERN, table
 from martlet.llm.decontaminate import contaminated
+from martlet.llm.lm_scoring import cross_entropy_difference
 from martlet.llm.mixing import mix
 from martlet.llm.quality_rules import BOILERPLATE_PATTERN, SEPARATORS, TERMINAL_PATTERN, judge_documents
 from martlet.llm.simhash import near_duplicates
@@ -20,6 +21,10 @@ from martlet.llm.toxicity import toxicity
 SURROGATE_KEY = "registered-query"
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cross_entropy_difference(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -62,6 +67,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_lm_scoring": op1_lm_scoring,
     "op2_toxicity": op2_toxicity,
     "op3_quality_rules": op3_quality_rules,
     "op5_site_style_tree": op5_site_style_tree,

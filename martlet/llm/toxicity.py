@@ -1,9 +1,9 @@
 """Operator 2: toxicity by a classifier chain.
 
 The categories are label columns in a fixed order. Each has a logistic model
-over the words and word beginnings of a text and the probabilities of the
-categories before it. A word or beginning is used when a likelihood-ratio test
-on the training rows finds it related to the category.
+over the words, word beginnings and word shapes of a text and the probabilities
+of the categories before it. A feature is used when a likelihood-ratio test on
+the training rows finds it related to the category.
 Later models are trained with out-of-fold probabilities: the rows of a fold are
 predicted by a model that has not seen them, as new texts will be.
 
@@ -54,10 +54,15 @@ class ChainParams:
 
 
 def word_features(word: bytes, prefix: int) -> tuple[int, ...]:
-    """Signed hashes of a word, lower-cased and without outer punctuation, and
-    of its beginning where it is longer than that."""
-    plain = word.strip(PUNCTUATION).decode("utf-8", "replace").lower()
-    names = [plain] if len(plain) <= prefix else [plain, "^" + plain[:prefix]]
+    """Signed hashes of a word, lower-cased and without outer punctuation, of
+    its beginning where it is longer than that, and of its shape: whether it is
+    all capitals, and the punctuation that ends it."""
+    ending = word[len(word.rstrip(PUNCTUATION)):].decode()
+    raw = word.strip(PUNCTUATION).decode("utf-8", "replace")
+    plain = raw.lower()
+    names = [plain, ("~U" if len(raw) > 1 and raw.isupper() else "~") + ending]
+    if len(plain) > prefix:
+        names.append("^" + plain[:prefix])
     return tuple(xxhash.xxh64_intdigest(x.encode()) - (1 << 63) for x in names)
 
 
