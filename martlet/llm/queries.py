@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from martlet.llm.chat_format import expand, read_back
 from martlet.llm.common import WORD_PATTERN, table
+from martlet.llm.compact_windows import passage_classes
 from martlet.llm.decontaminate import contaminated
 from martlet.llm.lm_scoring import cross_entropy_difference
 from martlet.llm.mixing import mix
@@ -33,6 +34,10 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_documents(table(spark, sf_dir, "documents"))
 
 
+def op4_compact_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passage_classes(table(spark, sf_dir, "documents"))
+
+
 def op5_site_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_main_text(table(spark, sf_dir, "pages"))
 
@@ -70,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_toxicity": op2_toxicity,
     "op3_quality_rules": op3_quality_rules,
+    "op4_compact_windows": op4_compact_windows,
     "op5_site_style_tree": op5_site_style_tree,
     "op6_decontamination": op6_decontamination,
     "op7_surrogates": op7_surrogates,
