@@ -208,15 +208,17 @@ def regions(docs: DataFrame, masks: list[list[int]], maps, context: int) -> Data
 
 
 def best_segment(equal: np.ndarray, min_match: float) -> tuple[int, int]:
-    """Longest-scoring run ``[lo, hi)`` in which at least ``min_match`` are equal."""
+    """The best run ``[lo, hi)`` in which at least ``min_match`` are equal: most
+    in excess of that share, then longest."""
     miss = -min_match / (1 - min_match)
-    best, span, total, lo = 0.0, (0, 0), 0.0, 0
+    best, span, total, lo = (0.0, 0), (0, 0), 0.0, 0
     for i, same in enumerate(equal.tolist()):
-        if total <= 0:
+        if total < -1e-9:
             total, lo = 0.0, i
         total += 1.0 if same else miss
-        if total > best:
-            best, span = total, (lo, i + 1)
+        rank = (round(total, 6), i + 1 - lo)
+        if total > 0 and rank > best:
+            best, span = rank, (lo, i + 1)
     return span
 
 
