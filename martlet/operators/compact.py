@@ -1,33 +1,43 @@
 """Compaction: rewrite small Parquet files into ``bytes div target + 1`` files
 per partition, verify the copy, then swap it into place.
 
+Layout. The folder's own layout decides: ``name=value`` directories, on any
+number of levels, are partitions whether or not a partition column is named. A
+partition is known by its unescaped directory values as text, so NULL, odd and
+short-named values go back into the directory they came from; only the ``start``
+bound compares typed values.
+
 Plan. A ``binaryFile`` listing (file statuses only, no file opened) is grouped
 into ``(partition, files, bytes)``; partitions on or after ``start`` with data
 are kept and get ``n_files = bytes div target + 1``.
 
-Rewrite – one Spark job for all selected partitions, two strategies:
-
-* ``coalesce`` (default up to ``max_union_partitions`` partitions): a union of
-  per-partition scans, each ``coalesce(n_files)``. No shuffle; every task holds
-  rows of one partition only, so a partition gets at most ``n_files`` files,
-  and a task reads about one target's worth of input.
-* ``rebalance``: when exact counts do not matter, one shuffle with the
-  ``rebalance`` hint on the partition column lets adaptive execution size the
-  files and split hot partitions.
-* ``salted`` (many partitions): one scan of the selected directories, a salt
-  ``pmod(xxhash64(file, row index), n_files)`` (storage position, so copies of
-  one row spread too) from a broadcast plan (size checked), and
-  ``repartition(sum(n_files), partition, salt)``. One shuffle, deterministic
-  under task retries, no hot task even when one partition holds most rows.
-
-Verify. Row count (and optionally a whole-row checksum) is observed on the
-source side during the write and compared with the staged copy.
-
-Swap. Per partition: source → backup, staged → source, then the backup is
-deleted; on any failure every touched partition is restored. Staging and backup
-are siblings of the table folder, never inside it. Readers that list the folder
-during the rename window may miss a partition; there is no table format here to
-make the swap atomic.
+Schema. The declared schema of ``table`` where one is given, otherwise the merged
+schema of every selected file. A column that the target schema lacks, or a type
+that differs, raises before anything is written.
+
+Rewrite – one scan and one write, a plan of the same size for any number of
+partitions:
+
+* ``salted`` (partitioned folders): a salt ``pmod(position, n_files)`` by storage
+  position (copies of one row spread too) and ``repartition(sum(n_files),
+  partition, salt)``. ``n_files`` comes from the plan, joined on the partition
+  and one of ``JOIN_SPLITS`` shares of the positions, so a partition that holds
+  most rows is no hot join key. Deterministic under task retries.
+* ``coalesce`` (flat folders): ``coalesce(n_files)``, no shuffle.
+* ``rebalance`` (on request, when exact counts do not matter): one shuffle with
+  the ``rebalance`` hint; adaptive execution sizes the files.
+
+Verify. Rows per partition of the sources, from their footers, must equal those
+of the staged copy; with ``verify="checksum"`` the sum of whole-row hashes,
+observed at the scan, must too.
+
+Swap. Partitions whose files are not those the rewrite read (by name, length and
+time) are left alone and reported. For the others: source → backup, staged →
+source; the backup is listed once more, and a partition that got new files in
+between is put back. On any failure every touched partition is restored. Staging
+and backup are siblings of the table folder, never inside it. Readers that list
+the folder during the rename window may miss a partition; there is no table
+format here to make the swap atomic.
 """
 
 from __future__ import annotations
@@ -36,36 +46,36 @@ import time
 import uuid
 from contextlib import contextmanager
 from dataclasses import dataclass, field
-from functools import reduce
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, MapType, StructType
-
-from martlet.sources.files import (
-    regex_escape,
-    list_files,
-    partition_file_stats,
-    partition_value_from_path,
-    row_position,
-)
+from pyspark.sql.types import ArrayType, DataType, MapType, StringType, StructField, StructType
+
+from martlet.session import child_session
+from martlet.sources.files import NULL_PARTITION_NAME, partition_value_from_path, regex_escape, row_position
 from martlet.sources.hadoop_fs import HadoopFS
 
 # Target file size (the HDFS block size the reference configures).
 DEFAULT_TARGET_BYTES = 128 * 1024 * 1024
 
-MAX_UNION_PARTITIONS = 512
-MAX_BROADCAST_PLAN_ROWS = 1_000_000
-# Reducers of the salted rewrite. More buckets than this share reducers: a
-# partition still gets at most n files (its buckets can only merge), and the
-# shuffle stays far from an M x R blow-up of index files on bulk backfills.
-MAX_SALTED_REDUCERS = 65_536
+#: Shares into which a partition's rows are split for the join with the plan.
+JOIN_SPLITS = 32
+_KEY, _POSITION, _SPLIT, _N = "__martlet_key", "__martlet_position", "__martlet_split", "__martlet_n"
 
 
 class CompactionVerifyError(RuntimeError):
     """The staged copy does not hold the source rows; nothing was swapped."""
 
 
+class CompactionSchemaError(ValueError):
+    """The files do not fit one schema; nothing was written."""
+
+
+class CompactionLayoutError(ValueError):
+    """The folder's directories are not one partition layout; nothing was written."""
+
+
 @dataclass
 class CompactionResult:
     root: str
@@ -74,6 +84,7 @@ class CompactionResult:
     rows_staged: int = 0
     strategy: str = "none"
     swapped: list[str] = field(default_factory=list)
+    conflicts: list[str] = field(default_factory=list)
     timings: dict[str, float] = field(default_factory=dict)
     rewrite_jobs: int = 0
 
@@ -102,6 +113,68 @@ def files_for(bytes_col, target_bytes: int):
     return (F.col(bytes_col) / F.lit(target_bytes)).cast("bigint") + F.lit(1)
 
 
+# -- layout and plan ----------------------------------------------------------
+def partition_levels(fs: HadoopFS, root: str) -> list[str]:
+    """Partition column names of a folder, outermost first; empty if it is flat.
+
+    The names are read along one branch; a directory that carries another column
+    at its level shows up in the plan and raises there.
+    """
+    levels: list[str] = []
+    at = root
+    while True:
+        children = [e for e in fs.list(at) if not e.name.startswith(("_", "."))]
+        dirs = [e for e in children if e.is_dir]
+        if not dirs:
+            return levels
+        names = {e.name.partition("=")[0] for e in dirs if "=" in e.name}
+        if len(names) != 1 or len(dirs) != len(children) or any("=" not in e.name for e in dirs):
+            raise CompactionLayoutError(f"{at}: not one partition column a level: {sorted(e.name for e in children)[:5]}")
+        levels.append(names.pop())
+        at = dirs[0].path
+
+
+def fragment_key(fragment: str) -> str:
+    """Unescaped form of a partition's directory names."""
+    return "/".join(unquote(level) for level in fragment.split("/"))
+
+
+def _key_of(levels: list[str]) -> Column:
+    """:func:`fragment_key` of a row's partition columns (read as text)."""
+    return F.concat_ws("/", *[
+        F.concat(F.lit(f"{c}="), F.coalesce(F.col(c).cast("string"), F.lit(NULL_PARTITION_NAME))) for c in levels
+    ])
+
+
+def _listing(spark: SparkSession, levels: list[str], roots: list[str]) -> DataFrame:
+    """``fragment, path, length, state`` of every data file below ``roots``;
+    ``state`` hashes what tells a file from a later one."""
+    files = (
+        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(roots)
+        .select("path", "length", "modificationTime")
+    )
+    depth = r"/(" + "/".join(regex_escape(c) + "=[^/]*" for c in levels) + r")/[^/]*$"
+    fragment = F.regexp_extract("path", depth, 1) if levels else F.lit("")
+    name = F.substring_index("path", "/", -1)
+    return files.select(
+        fragment.alias("fragment"), "path", "length",
+        F.xxhash64(name, "length", F.unix_micros("modificationTime")).alias("state"),
+    )
+
+
+def _states(spark: SparkSession, levels: list[str], roots: list[str]) -> dict[str, tuple]:
+    """File count and summed state of each partition, by fragment key."""
+    rows = _listing(spark, levels, roots).groupBy("fragment").agg(
+        F.count(F.lit(1)).alias("files"), F.sum(F.col("state").cast("decimal(38,0)")).alias("state")
+    )
+    return {fragment_key(r["fragment"]): (r["files"], r["state"]) for r in rows.collect()}
+
+
+def files_for(bytes_col, target_bytes: int):
+    """Target file count: ``bytes div target + 1`` (an exact multiple gets one more)."""
+    return (F.col(bytes_col) / F.lit(target_bytes)).cast("bigint") + F.lit(1)
+
+
 def compaction_plan(
     spark: SparkSession,
     root: str,
@@ -110,42 +183,46 @@ def compaction_plan(
     start=None,
     target_bytes: int | None = DEFAULT_TARGET_BYTES,
     only_fragmented: bool = False,
+    _levels: list[str] | None = None,
 ) -> DataFrame:
     """``(<partition_column>, fragment, files, bytes, n_files)`` per partition to rewrite.
 
-    ``start`` is an inclusive lower bound on the typed partition value. Only the
-    partition directories on or after it are listed, so compacting today's
-    partition never lists a year of history. Empty partitions are left out;
-    ``only_fragmented`` also leaves out partitions that already have no more
-    than ``n_files`` files. ``target_bytes=None`` takes the file system's
-    default block size at ``root``.
+    ``start`` is an inclusive lower bound on the typed partition value. Where the
+    column is the outermost level, only the directories on or after it are
+    listed, so compacting today's partition never lists a year of history. Empty
+    partitions are left out; ``only_fragmented`` also leaves out partitions that
+    already have no more than ``n_files`` files. ``target_bytes=None`` takes the
+    file system's default block size at ``root``.
     """
     root = root.rstrip("/")
+    fs = HadoopFS(spark)
     if target_bytes is None:
-        target_bytes = HadoopFS(spark).default_block_size(root)
-    if partition_column:
-        fragments = _selected_fragments(spark, root, partition_column, partition_type, start)
-        if not fragments:
-            return spark.createDataFrame([], _plan_schema(partition_column, partition_type))
-        listed = list_files(spark, *[f"{root}/{f}" for f in fragments])
-        fragment = F.regexp_extract(
-            F.col("path"), r"/(" + regex_escape(partition_column) + r"=[^/]*)/", 1
-        )
-        stats = (
-            listed.withColumn(
-                partition_column,
-                partition_value_from_path(F.col("path"), partition_column, partition_type),
-            )
-            .withColumn("fragment", fragment)
-            .groupBy(partition_column, "fragment")
-            .agg(F.count(F.lit(1)).alias("files"), F.sum("length").cast("bigint").alias("bytes"))
-        )
+        target_bytes = fs.default_block_size(root)
+    levels = partition_levels(fs, root) if _levels is None else _levels
+    if partition_column and levels and partition_column not in levels:
+        raise CompactionLayoutError(f"{root} is partitioned by {levels}, not by {partition_column}")
+    if partition_column and levels[:1] == [partition_column]:
+        roots = [f"{root}/{f}" for f in _selected_fragments(spark, root, partition_column, partition_type, start)]
     else:
-        stats = partition_file_stats(spark, root, None).withColumn("fragment", F.lit(""))
+        roots = [root] if levels or not partition_column else []
+    if not roots:
+        return spark.createDataFrame([], _plan_schema(partition_column, partition_type))
+    listed = _listing(spark, levels, roots)
+    keys = ["fragment"]
+    if partition_column:
+        value = partition_value_from_path(F.col("path"), partition_column, partition_type)
+        listed = listed.withColumn(partition_column, value)
+        keys = [partition_column, "fragment"]
+        if start not in (None, ""):
+            listed = listed.where(F.col(partition_column) >= F.lit(start).cast(partition_type or "string"))
+    stats = listed.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("files"), F.sum("length").cast("bigint").alias("bytes"),
+        F.sum(F.col("state").cast("decimal(38,0)")).alias("state"),
+    )
     plan = stats.where(F.col("bytes") > 0).withColumn("n_files", files_for("bytes", target_bytes))
     if only_fragmented:
         plan = plan.where(F.col("files") > F.col("n_files"))
-    return plan
+    return plan.select(*keys, "files", "bytes", "n_files", "state")
 
 
 def compact(
@@ -162,64 +239,54 @@ def compact(
     table: str | None = None,
     _fs: HadoopFS | None = None,
 ) -> CompactionResult:
-    """Compact ``root`` (partitioned by ``partition_column``, or flat) from ``start``.
+    """Compact ``root`` (partitioned or flat, as its directories say) from ``start``.
 
-    ``verify`` is ``"count"`` (footer-only count of the staged copy) or
+    ``strategy``: ``"auto"`` is ``"salted"`` for partitioned and ``"coalesce"`` for
+    flat folders, at every size. ``verify`` is ``"count"`` (footers only) or
     ``"checksum"`` (adds a whole-row ``xxhash64`` sum, one more scan).
-    ``target_bytes=None`` takes the file system's default block size at ``root``.
+    ``table`` gives the declared schema and is refreshed after the swap.
     """
     root = root.rstrip("/")
     fs = _fs or HadoopFS(spark)
-    if target_bytes is None:
-        target_bytes = fs.default_block_size(root)
     timings: dict[str, float] = {}
     clock = _Clock(timings)
+    levels = partition_levels(fs, root)
     plan_rows = [
         r.asDict()
         for r in compaction_plan(
-            spark, root, partition_column, partition_type, start, target_bytes, only_fragmented
+            spark, root, partition_column, partition_type, start, target_bytes, only_fragmented, levels
         ).collect()
     ]
     result = CompactionResult(root=root, plan=plan_rows, timings=timings)
     clock.lap("plan")
     if not plan_rows:
         return result
+    by_key = {fragment_key(r["fragment"]): r for r in plan_rows}
+    if len(by_key) < len(plan_rows) or any(levels and not r["fragment"] for r in plan_rows):
+        raise CompactionLayoutError(f"{root}: partition directories that name one value twice, or files beside them")
 
     run = uuid.uuid4().hex[:12]
     stage = f"{root}__stage_{run}"
     backup = f"{root}__backup_{run}"
-    paths = [f"{root}/{r['fragment']}" for r in plan_rows] if partition_column else [root]
-    # One partition directory is enough to infer the data columns (Spark reads a
-    # single footer without schema merging); the typed partition column is added.
-    data_schema = spark.read.parquet(paths[0]).schema
-    data_cols = [f.name for f in data_schema.fields if f.name != partition_column]
-    full_schema = StructType([data_schema[c] for c in data_cols])
-    if partition_column:
-        full_schema = _with_type(
-            full_schema.add(partition_column, "string"), partition_column, partition_type
-        )
+    paths = [f"{root}/{r['fragment']}" for r in plan_rows] if levels else [root]
+    data_schema = _data_schema(spark, paths, levels, table)
+    data_cols = data_schema.fieldNames()
+    schema = StructType(data_schema.fields + [StructField(c, StringType()) for c in levels])
     clock.lap("schema")
 
     if strategy == "auto":
-        strategy = "coalesce" if len(plan_rows) <= MAX_UNION_PARTITIONS else "salted"
+        strategy = "salted" if levels else "coalesce"
+    if strategy not in ("salted", "coalesce", "rebalance") or (strategy == "coalesce" and levels):
+        raise ValueError(f"unknown strategy {strategy!r} for this layout")
     result.strategy = strategy
-    if strategy == "coalesce":
-        rows = _coalesced_union(rewrite_session(spark), root, full_schema, partition_column, plan_rows)
-    elif strategy == "salted":
-        rows = _salted(spark, root, paths, full_schema, partition_column, data_cols, plan_rows)
-    elif strategy == "rebalance":
-        rows = _rebalanced(spark, root, paths, full_schema, partition_column)
-    else:
-        raise ValueError(f"unknown strategy {strategy!r}")
-
     obs = Observation(f"compact_{run}")
     metrics = [F.count(F.lit(1)).alias("rows")]
     if verify == "checksum":
-        metrics.append(_checksum(full_schema, data_cols).alias("checksum"))
-    rows = rows.observe(obs, *metrics)
+        metrics.append(_checksum(data_schema).alias("checksum"))
+    rows = _rewritten(_scan(spark, root, paths, schema), plan_rows, levels, strategy, lambda df: df.observe(obs, *metrics))
     writer = rows.write.mode("errorifexists")
-    if partition_column:
-        writer = writer.partitionBy(partition_column)
+    if levels:
+        writer = writer.partitionBy(*levels)
     with _job_group(spark, f"martlet-compact-{run}", f"compaction rewrite of {root}") as group:
         try:
             writer.parquet(stage)
@@ -228,24 +295,24 @@ def compact(
             raise
     result.rewrite_jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
     observed = obs.get
-    result.rows_source = int(observed["rows"])
     clock.lap("rewrite")
 
-    staged = spark.read.schema(full_schema).option("basePath", stage).parquet(stage)
-    result.rows_staged = staged.count()
-    if result.rows_staged != result.rows_source:
+    had, got = _footer_rows(spark, root, paths, levels), _footer_rows(spark, stage, [stage], levels)
+    result.rows_source, result.rows_staged = sum(had.values()), sum(got.values())
+    if had != got or int(observed["rows"]) != result.rows_source:
         fs.delete(stage)
+        wrong = sorted(k for k in had.keys() | got.keys() if had.get(k) != got.get(k))
         raise CompactionVerifyError(
-            f"staged rows {result.rows_staged} != source rows {result.rows_source}"
+            f"staged rows {result.rows_staged}, source rows {result.rows_source}, read {observed['rows']}; differ in {wrong[:5]}"
         )
     if verify == "checksum":
-        got = staged.agg(_checksum(full_schema, data_cols).alias("c")).first()["c"]
-        if got != observed["checksum"]:
+        staged = spark.read.schema(data_schema).option("recursiveFileLookup", "true").parquet(stage)
+        if staged.agg(_checksum(data_schema).alias("c")).first()["c"] != observed["checksum"]:
             fs.delete(stage)
             raise CompactionVerifyError("staged checksum differs from source")
     clock.lap("verify")
 
-    result.swapped = _swap(spark, fs, root, stage, backup, partition_column, partition_type, plan_rows)
+    _swap(spark, fs, result, stage, backup, levels, {k: r for k, r in by_key.items() if had.get(k)})
     spark.catalog.refreshByPath(root)
     if table:
         spark.catalog.refreshTable(table)
@@ -264,22 +331,25 @@ def recover_interrupted_swap(spark: SparkSession, root: str, _fs: HadoopFS | Non
     fs = _fs or HadoopFS(spark)
     root = root.rstrip("/")
     parent, name = root.rsplit("/", 1)
-    restored = []
+    restored: list[str] = []
+
+    def restore(saved: str, target: str) -> None:
+        if not fs.exists(target):
+            fs.rename(saved, target)
+            restored.append(target)
+            return
+        for part in fs.list(saved):  # inner levels of a partition tree
+            if part.is_dir and "=" in part.name:
+                restore(part.path, f"{target}/{part.name}")
+
     for entry in fs.list(parent):
         if not entry.is_dir or not entry.name.startswith(name + "__"):
             continue
         run_dir = f"{parent}/{entry.name}"
         if entry.name.startswith(name + "__backup_"):
-            if not fs.exists(root):  # flat table: the whole folder was moved
-                fs.rename(run_dir, root)
-                restored.append(root)
-                continue
-            for part in fs.list(run_dir):
-                target = f"{root}/{part.name}"
-                if part.is_dir and not fs.exists(target):
-                    fs.rename(part.path, target)
-                    restored.append(target)
-            fs.delete(run_dir)
+            restore(run_dir, root)
+            if fs.exists(run_dir):
+                fs.delete(run_dir)
         elif entry.name.startswith(name + "__stage_"):
             fs.delete(run_dir)
     spark.catalog.refreshByPath(root)
@@ -293,75 +363,58 @@ def compact_directory(
     return compact(spark, directory, None, None, None, target_bytes, **kwargs)
 
 
-# -- rewrite strategies -----------------------------------------------------
-def rewrite_session(spark: SparkSession) -> SparkSession:
-    """A child session (own SQL conf, same context and catalog) for the union.
+# -- schema, scan and rewrite ---------------------------------------------------
+def _data_schema(spark: SparkSession, paths: list[str], levels: list[str], table: str | None) -> StructType:
+    """Schema of the rewritten files: declared, or merged over all of them."""
+    try:
+        # Leaf directories are their own base: no partition columns are added.
+        merged = spark.read.option("mergeSchema", "true").parquet(*paths).schema
+    except Exception as exc:
+        if "CANNOT_MERGE" in str(exc) or "merge" in str(exc).lower():
+            raise CompactionSchemaError(f"files of different types: {exc}") from exc
+        raise
+    clash = [f.name for f in merged.fields if f.name in levels]
+    if clash:
+        raise CompactionSchemaError(f"partition columns {clash} are stored in the files, too")
+    if not table:
+        return merged
+    declared = StructType([f for f in spark.table(table).schema.fields if f.name not in levels])
+    known = {f.name.lower(): f for f in declared.fields}
+    for f in merged.fields:
+        if f.name.lower() not in known:
+            raise CompactionSchemaError(f"{table} does not declare column {f.name}, which files hold")
+        if _plain(known[f.name.lower()].dataType) != _plain(f.dataType):
+            raise CompactionSchemaError(f"{table} declares {f.name} as {known[f.name.lower()].dataType}, files hold {f.dataType}")
+    return declared
 
-    A union whose branches all report the same output partitioning keeps that
-    partitioning; with every branch at ``coalesce(1)`` (``SinglePartition``) the
-    whole union would collapse into ONE task. Turning that off in a child
-    session keeps one task per output file without touching the caller's
-    session.
-    """
-    child = spark.newSession()
-    child.conf.set("spark.sql.unionOutputPartitioning", "false")
-    return child
-
-
-def _coalesced_union(spark, root, schema, partition_column, plan_rows) -> DataFrame:
-    """One ``coalesce(n)`` branch per partition over ONE scan of the selected
-    directories: the files are listed once, and each branch's filter on the
-    partition column prunes that shared listing to its own directory."""
-    if not partition_column:
-        scan = spark.read.schema(schema).option("basePath", root).parquet(root)
-        return scan.coalesce(int(plan_rows[0]["n_files"]))
-    paths = [f"{root}/{row['fragment']}" for row in plan_rows]
-    scan = spark.read.schema(schema).option("basePath", root).parquet(*paths)
-    value_type = schema[partition_column].dataType
-    branches = [
-        scan.where(F.col(partition_column) == F.lit(row[partition_column]).cast(value_type))
-        .coalesce(int(row["n_files"]))
-        for row in plan_rows
-    ]
-    return reduce(DataFrame.unionByName, branches)
 
+def _plain(data_type: DataType) -> str:
+    return data_type.simpleString().lower()
 
-def _salted(spark, root, paths, schema, partition_column, data_cols, plan_rows) -> DataFrame:
-    data = spark.read.schema(schema).option("basePath", root).parquet(*paths)
-    # Salt by storage position, not by value: copies of one row spread too.
-    position = row_position(data)
-    if position is None:
-        hashable = [c for c in data_cols if not isinstance(schema[c].dataType, MapType)]
-        position = F.xxhash64(*[F.col(c) for c in hashable])
-    data = data.withColumn("_pos", position)
-    total = min(int(sum(int(r["n_files"]) for r in plan_rows)), MAX_SALTED_REDUCERS)
-    if not partition_column:
-        n = int(plan_rows[0]["n_files"])
-        return (
-            data.withColumn("_salt", F.pmod(F.col("_pos"), F.lit(n)))
-            .repartition(min(n, MAX_SALTED_REDUCERS), "_salt")
-            .select(*schema.fieldNames())
-        )
-    plan = spark.createDataFrame(
-        [(r[partition_column], int(r["n_files"])) for r in plan_rows],
-        StructType([schema[partition_column]]).add("_n", "long"),
-    )
-    if len(plan_rows) <= MAX_BROADCAST_PLAN_ROWS:
-        plan = F.broadcast(plan)
-    return (
-        data.join(plan, on=partition_column, how="inner")
-        .withColumn("_salt", F.pmod(F.col("_pos"), F.col("_n")))
-        .repartition(total, partition_column, "_salt")
-        .select(*schema.fieldNames())
-    )
 
+def _scan(spark: SparkSession, root: str, paths: list[str], schema: StructType) -> DataFrame:
+    """The selected files with their partition values as text."""
+    return spark.read.schema(schema).option("basePath", root).parquet(*paths)
 
-def _rebalanced(spark, root, paths, schema, partition_column) -> DataFrame:
-    """AQE-sized output: no exact file counts, one shuffle, skew split by AQE."""
-    data = spark.read.schema(schema).option("basePath", root).parquet(*paths)
-    if partition_column:
-        return data.hint("rebalance", partition_column)
-    return data.hint("rebalance")
+
+def _rewritten(data: DataFrame, plan_rows, levels, strategy: str, watched=lambda df: df) -> DataFrame:
+    """``data`` laid out for the write; ``watched`` is applied at the scan."""
+    columns = data.columns
+    position = row_position(data)
+    total = int(sum(int(r["n_files"]) for r in plan_rows))
+    if strategy == "coalesce":
+        return watched(data).coalesce(total)
+    if strategy == "rebalance":
+        return watched(data).hint("rebalance", *levels)
+    data = watched(data.withColumn(_POSITION, position))
+    if not levels:
+        return data.repartition(total, F.pmod(_POSITION, F.lit(total))).select(*columns)
+    plan = data.sparkSession.createDataFrame(
+        [(fragment_key(r["fragment"]), int(r["n_files"])) for r in plan_rows], f"{_KEY} string, {_N} long"
+    ).withColumn(_SPLIT, F.explode(F.sequence(F.lit(0), F.lit(JOIN_SPLITS - 1))))
+    keyed = data.withColumn(_KEY, _key_of(levels)).withColumn(_SPLIT, F.pmod(_POSITION, F.lit(JOIN_SPLITS)).cast("int"))
+    salt = F.pmod(F.xxhash64(_POSITION), F.col(_N))
+    return keyed.join(plan, [_KEY, _SPLIT]).repartition(total, _KEY, salt).select(*columns)
 
 
 @contextmanager
@@ -379,52 +432,85 @@ def _job_group(spark: SparkSession, group: str, description: str):
             sc.setLocalProperty(k, v)
 
 
-def _checksum(schema: StructType, data_cols: list[str]):
-    hashable = [c for c in data_cols if not isinstance(schema[c].dataType, MapType)]
-    return F.sum(F.xxhash64(*[F.col(c) for c in hashable]).cast("decimal(20,0)"))
+# -- verification ------------------------------------------------------------------
+def _footer_rows(spark: SparkSession, root: str, paths: list[str], levels: list[str]) -> dict[str, int]:
+    """Rows per partition (by fragment key) from the file footers; partitions
+    without rows are left out."""
+    reader = child_session(spark, {
+        "spark.sql.sources.useV1SourceList": "avro,csv,json,kafka,orc,text",
+        "spark.sql.parquet.aggregatePushdown": "true",
+        "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
+    }).read
+    data = reader.option("basePath", root).parquet(*paths)
+    if not levels:
+        n = data.count()
+        return {"": n} if n else {}
+    counts = data.groupBy(*levels).agg(F.count(F.lit(1)).alias("n")).select(_key_of(levels).alias("k"), "n")
+    return {r["k"]: int(r["n"]) for r in counts.where("n > 0").collect()}
+
+
+def _holds_map(data_type: DataType) -> bool:
+    if isinstance(data_type, MapType):
+        return True
+    if isinstance(data_type, ArrayType):
+        return _holds_map(data_type.elementType)
+    return isinstance(data_type, StructType) and any(_holds_map(f.dataType) for f in data_type.fields)
+
+
+def _checksum(schema: StructType):
+    """Sum of whole-row hashes; columns that hold maps are hashed as JSON."""
+    parts = [F.to_json(F.struct(F.col(f"`{f.name}`"))) if _holds_map(f.dataType) else F.col(f"`{f.name}`") for f in schema.fields]
+    return F.sum(F.xxhash64(*parts).cast("decimal(38,0)"))
 
 
 # -- swap -----------------------------------------------------------------------
-def _swap(spark, fs, root, stage, backup, partition_column, partition_type, plan_rows) -> list[str]:
-    if not partition_column:
-        pairs = [(root, stage, backup)]
+def _swap(spark, fs, result: CompactionResult, stage, backup, levels, by_key: dict[str, dict]) -> None:
+    """Swap the staged partitions in; fills ``swapped`` and ``conflicts``."""
+    root = result.root
+    read = {k: (r["files"], r["state"]) for k, r in by_key.items()}
+    now = _states(spark, levels, [f"{root}/{r['fragment']}" for r in by_key.values()] if levels else [root])
+    changed = {k for k in by_key if now.get(k) != read[k]}
+    if levels:
+        staged = {fragment_key(r["fragment"]): r["fragment"] for r in _listing(spark, levels, [stage]).select("fragment").distinct().collect()}
+        pairs = {
+            k: (f"{root}/{r['fragment']}", f"{stage}/{staged[k]}", f"{backup}/{r['fragment']}")
+            for k, r in by_key.items() if k not in changed
+        }
     else:
-        staged_by_value = _staged_fragments(spark, fs, stage, partition_column, partition_type)
-        pairs = []
-        for row in plan_rows:
-            new = staged_by_value.get(row[partition_column])
-            if new is None:
-                # Only row-less files there: nothing was staged, the rows all
-                # matched (verified above), so the partition stays as it is.
-                continue
-            pairs.append((f"{root}/{row['fragment']}", f"{stage}/{new}", f"{backup}/{row['fragment']}"))
+        pairs = {k: (root, stage, backup) for k in by_key if k not in changed}
     # state per partition: 0 untouched, 1 source moved to backup, 2 staged installed
-    state = [0] * len(pairs)
+    state = dict.fromkeys(pairs, 0)
 
-    def swap_one(i: int) -> None:
-        target, new, bak = pairs[i]
-        fs.rename(target, bak)
-        state[i] = 1
+    def swap_one(key: str) -> None:
+        target, new, saved = pairs[key]
+        fs.rename(target, saved)
+        state[key] = 1
         fs.rename(new, target)
-        state[i] = 2
+        state[key] = 2
+
+    def put_back(key: str) -> None:
+        target, _new, saved = pairs[key]
+        if state[key] == 2 or (state[key] and fs.exists(target)):
+            fs.delete(target)
+        if state[key]:
+            fs.rename(saved, target)
 
-    if not partition_column:
-        fs.mkdirs(backup.rsplit("/", 1)[0])
-    else:
-        fs.mkdirs(backup)
     try:
-        _run_all(swap_one, range(len(pairs)))
+        _run_all(swap_one, list(pairs))
+        if pairs:
+            # A writer that listed the folder before the rename may have finished since.
+            late = _states(spark, levels, [saved for _, _, saved in pairs.values()])
+            for key in [k for k in pairs if late.get(k) != read[k]]:
+                put_back(key)
+                changed.add(key)
     except Exception:
-        for i, (target, _new, bak) in enumerate(pairs):
-            if state[i] == 0:
-                continue
-            if state[i] == 2 or fs.exists(target):
-                fs.delete(target)
-            fs.rename(bak, target)
+        for key in pairs:
+            put_back(key)
         raise
+    result.conflicts = sorted(f"{root}/{by_key[k]['fragment']}".rstrip("/") for k in changed)
+    result.swapped = sorted(t for k, (t, *_) in pairs.items() if k not in changed)
     fs.delete(backup)
     fs.delete(stage)
-    return [t for t, *_ in pairs]
 
 
 def _run_all(fn, items, threads: int = 16) -> None:
@@ -444,46 +530,26 @@ def _run_all(fn, items, threads: int = 16) -> None:
         raise errors[0]
 
 
-def _staged_fragments(spark, fs, stage, column, data_type) -> dict:
-    from martlet.operators.partitions import disk_partitions
-
-    rows = disk_partitions(spark, stage, column, data_type).collect()
-    return {r[column]: r["fragment"] for r in rows}
-
-
 def _selected_fragments(spark, root, column, data_type, start) -> list[str]:
     """Partition directory names below ``root`` on or after ``start`` (typed)."""
     from martlet.operators.partitions import disk_partitions
 
     dirs = disk_partitions(spark, root, column, data_type)
     if start not in (None, ""):
-        dirs = dirs.where(F.col(column) >= F.lit(start).cast(data_type))
+        dirs = dirs.where(F.col(column) >= F.lit(start).cast(data_type or "string"))
     return sorted(r["fragment"] for r in dirs.select("fragment").collect())
 
 
-def _plan_schema(column: str, data_type) -> StructType:
-    from pyspark.sql.types import LongType, StringType, StructField, _parse_datatype_string
-
-    if isinstance(data_type, str):
-        data_type = _parse_datatype_string(data_type)
-    return StructType(
-        [
-            StructField(column, data_type),
-            StructField("fragment", StringType()),
-            StructField("files", LongType()),
-            StructField("bytes", LongType()),
-            StructField("n_files", LongType()),
-        ]
-    )
-
-
-def _with_type(schema: StructType, column: str, data_type) -> StructType:
-    from pyspark.sql.types import StructField, _parse_datatype_string
+def _plan_schema(column: str | None, data_type) -> StructType:
+    from pyspark.sql.types import DecimalType, LongType, _parse_datatype_string
 
-    if data_type is None:
-        return schema
     if isinstance(data_type, str):
         data_type = _parse_datatype_string(data_type)
-    return StructType(
-        [StructField(f.name, data_type, True) if f.name == column else f for f in schema.fields]
-    )
+    first = [StructField(column, data_type or StringType())] if column else []
+    return StructType(first + [
+        StructField("fragment", StringType()),
+        StructField("files", LongType()),
+        StructField("bytes", LongType()),
+        StructField("n_files", LongType()),
+        StructField("state", DecimalType(38, 0)),
+    ])

@@ -57,13 +57,28 @@ def work_root(spark: SparkSession) -> str:
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
-        # Only a bare local session gets here (tests): pick a private folder.
-        # Later calls find it through getCheckpointDir().
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        # A bare local session (tests): pick a private folder. Later calls find
+        # it through getCheckpointDir(). A local-cluster has its executors on
+        # this machine, too.
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="martlet-ckpt-"))
         root = spark.sparkContext.getCheckpointDir()
     return root.rstrip("/")
 
 
+def child_session(spark: SparkSession, conf: dict[str, str]) -> SparkSession:
+    """A session of the same context and catalog with the caller's run-time SQL
+    settings and ``conf`` on top; the caller's session is not changed."""
+    child = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if key.startswith("spark.sql.") and spark.conf.isModifiable(key):
+            child.conf.set(key, value)
+    for key, value in conf.items():
+        child.conf.set(key, value)
+    return child
+
+
 def new_work_dir(spark: SparkSession, label: str) -> str:
     """A fresh, never reused folder below the work root."""
     return f"{work_root(spark)}/{_WORK_SUBDIR}/{label}-{uuid.uuid4().hex[:12]}"

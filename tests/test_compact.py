@@ -10,14 +10,15 @@ import pytest
 from pyspark.sql import functions as F
 
 from martlet.operators.compact import (
+    CompactionLayoutError,
+    CompactionSchemaError,
     CompactionVerifyError,
-    _coalesced_union,
-    _salted,
+    _rewritten,
+    _scan,
     compact,
     compact_directory,
     compaction_plan,
     files_for,
-    rewrite_session,
 )
 from martlet.plans.analogs import lineitem_by_year, table
 from martlet.session import local_path
@@ -50,14 +51,13 @@ def _assert_same_rows(a, b):
     assert b.exceptAll(a).count() == 0
 
 
-@pytest.mark.parametrize("strategy", ["coalesce", "salted"])
-def test_compaction_keeps_rows_and_bounds_files(spark, workdir, strategy):
+def test_compaction_keeps_rows_and_bounds_files(spark, workdir):
     root = f"{workdir}/t"
     src = _many_files(spark, root)
     before = _files_by_partition(root)
     plan = {r["ctl_validfrom"]: r for r in compaction_plan(spark, root, "ctl_validfrom", "date", START, TARGET).collect()}
-    res = compact(spark, root, "ctl_validfrom", "date", START, TARGET, strategy=strategy, verify="checksum")
-    assert res.strategy == strategy
+    res = compact(spark, root, "ctl_validfrom", "date", START, TARGET, verify="checksum")
+    assert res.strategy == "salted" and res.conflicts == []
     after = _files_by_partition(root)
     for value, files in after.items():
         d = dt.date.fromisoformat(value)
@@ -137,29 +137,32 @@ def test_nothing_to_do_returns_empty_plan(spark, workdir):
     assert res.plan == [] and res.swapped == []
 
 
-def test_rewrite_plans_shuffle_free_or_one_shuffle(spark, workdir):
-    root = f"{workdir}/t"
-    _many_files(spark, root, n=4)
-    plan = [r.asDict() for r in compaction_plan(spark, root, "ctl_validfrom", "date", START, TARGET).collect()]
-    schema = spark.read.parquet(root).schema
-    data_cols = [f.name for f in schema.fields if f.name != "ctl_validfrom"]
-    union = _coalesced_union(rewrite_session(spark), root, schema, "ctl_validfrom", plan)
-    paths = [f"{root}/{r['fragment']}" for r in plan]
-    salted = _salted(spark, root, paths, schema, "ctl_validfrom", data_cols, plan)
-    u = union._jdf.queryExecution().executedPlan().toString()
-    s = salted._jdf.queryExecution().executedPlan().toString()
-    assert "Exchange" not in u and "Coalesce" in u
-    # one task per planned output file, also when every partition wants one file
-    assert union.rdd.getNumPartitions() == sum(p["n_files"] for p in plan)
-    ones = [dict(p, n_files=1) for p in plan]
-    one_each = _coalesced_union(rewrite_session(spark), root, schema, "ctl_validfrom", ones)
-    assert one_each.rdd.getNumPartitions() == len(plan)
-    assert s.count("Exchange hashpartitioning") == 1
-    assert "BroadcastExchange" in s or "BroadcastHashJoin" in s
-    selected = {f"/{p['fragment']}/" for p in plan}
-    files = salted.inputFiles()
-    assert files and all(any(sel in f for sel in selected) for f in files)  # only selected dirs
-    assert "PythonUDF" not in u + s and "BatchEvalPython" not in u + s
+def _plan_nodes(spark, root, values):
+    """Physical operators of the rewrite of ``values`` one-file partitions."""
+    df = spark.createDataFrame([(v, i) for i, v in enumerate(values)], "p string, id int")
+    df.repartition(8, "id").write.partitionBy("p").parquet(root)
+    plan = [r.asDict() for r in compaction_plan(spark, root, "p", "string", None, TARGET).collect()]
+    assert len(plan) == len(values)
+    schema = df.select("id", "p").schema
+    rows = _rewritten(_scan(spark, root, [f"{root}/{r['fragment']}" for r in plan], schema), plan, ["p"], "salted")
+    text = rows._jdf.queryExecution().executedPlan().toString()
+    return re.findall(r"(?m)^[\s:+*()0-9-]*([A-Z]\w+)", text), rows, plan
+
+
+def test_rewrite_plan_size_does_not_grow_with_partitions(spark, workdir):
+    few, _, _ = _plan_nodes(spark, f"{workdir}/few", [f"v{i}" for i in range(10)])
+    many, rows, plan = _plan_nodes(spark, f"{workdir}/many", [f"v{i}" for i in range(120)])
+    assert few == many and "Union" not in many
+    selected = {f"/{r['fragment']}/" for r in plan}
+    files = rows.inputFiles()
+    assert files and all(any(sel in f for sel in selected) for f in files)
+    assert not any("Python" in node for node in many)
+
+
+def test_no_bound_on_reducers_or_partitions():
+    from martlet.operators import compact as C
+
+    assert not [n for n in dir(C) if n.startswith("MAX_")]
 
 
 def test_verify_error_keeps_source(spark, workdir, monkeypatch):
@@ -220,18 +223,16 @@ def test_recover_after_driver_loss_mid_swap(spark, workdir):
     assert [n for n in os.listdir(parent) if n.startswith("t__")] == []
 
 
-@pytest.mark.parametrize("strategy", ["coalesce", "salted"])
-def test_rewrite_job_count_does_not_grow_with_partitions(spark, workdir, strategy):
+def test_rewrite_job_count_does_not_grow_with_partitions(spark, workdir):
     counts = []
     for start in (dt.date(2001, 1, 1), dt.date(1995, 1, 1)):  # 1 partition, then all 7
         root = f"{workdir}/t{start.year}"
         _many_files(spark, root, n=6)
-        res = compact(spark, root, "ctl_validfrom", "date", start, TARGET, strategy=strategy)
+        res = compact(spark, root, "ctl_validfrom", "date", start, TARGET)
         counts.append((len(res.plan), res.rewrite_jobs))
     assert counts[0][0] == 1 and counts[1][0] == 7
-    # coalesce: one job; salted: one job per adaptive query stage (broadcast,
-    # shuffle map, write) - in both cases independent of the partition count
-    assert counts[0][1] == counts[1][1] == (1 if strategy == "coalesce" else counts[0][1])
+    # one job per adaptive query stage (broadcast, shuffle map, write)
+    assert counts[0][1] == counts[1][1]
     assert spark.sparkContext.getLocalProperty("spark.jobGroup.id") is None
 
 
@@ -260,7 +261,7 @@ def test_failed_rewrite_leaves_source_and_no_staging(spark, workdir, monkeypatch
     before = _files_by_partition(root)
     from martlet.operators import compact as C
 
-    original = C._coalesced_union
+    original = C._rewritten
 
     def failing(*args, **kwargs):
         df = original(*args, **kwargs)
@@ -268,7 +269,7 @@ def test_failed_rewrite_leaves_source_and_no_staging(spark, workdir, monkeypatch
             "l_tax", F.when(F.col("l_linenumber") == 2, F.raise_error(F.lit("boom"))).otherwise(F.col("l_tax"))
         )
 
-    monkeypatch.setattr(C, "_coalesced_union", failing)
+    monkeypatch.setattr(C, "_rewritten", failing)
     with pytest.raises(Exception):
         C.compact(spark, root, "ctl_validfrom", "date", START, TARGET)
     assert _files_by_partition(root) == before
@@ -286,22 +287,6 @@ def test_block_size_target(spark, workdir):
     assert block > 0 and all(p["n_files"] == p["bytes"] // block + 1 for p in plan)
 
 
-def test_salted_reducer_cap_keeps_file_bound(spark, workdir, monkeypatch):
-    from martlet.operators import compact as C
-
-    monkeypatch.setattr(C, "MAX_SALTED_REDUCERS", 3)
-    root = f"{workdir}/t"
-    src = _many_files(spark, root)
-    plan = {r["ctl_validfrom"]: r for r in compaction_plan(spark, root, "ctl_validfrom", "date", START, TARGET).collect()}
-    assert sum(p["n_files"] for p in plan.values()) > 3
-    C.compact(spark, root, "ctl_validfrom", "date", START, TARGET, strategy="salted", verify="checksum")
-    for value, files in _files_by_partition(root).items():
-        d = dt.date.fromisoformat(value)
-        if d >= START:
-            assert 1 <= len(files) <= min(plan[d]["n_files"], 3)
-    _assert_same_rows(spark.read.parquet(root).select(*src.columns), src)
-
-
 def test_recover_flat_folder_after_driver_loss(spark, workdir):
     from martlet.operators.compact import recover_interrupted_swap
 
@@ -328,3 +313,166 @@ def test_recover_flat_folder_after_driver_loss(spark, workdir):
     _assert_same_rows(spark.read.parquet(root), src)
     parent = os.path.dirname(local_path(root))
     assert [n for n in os.listdir(parent) if n.startswith("flat__")] == []
+
+
+def _names(root):
+    return sorted(n for n in os.listdir(local_path(root)) if "=" in n)
+
+
+def test_columns_of_one_partition_only_are_kept(spark, workdir):
+    for with_table in (False, True):
+        root = f"{workdir}/t{with_table}"
+        spark.range(100).write.parquet(f"{root}/d=2021-01-01")
+        spark.range(100).selectExpr("id", "id AS extra").repartition(4).write.parquet(f"{root}/d=2021-01-02")
+        table_name = None
+        if with_table:
+            table_name = f"evolved_{os.path.basename(workdir).replace('-', '_')}"
+            spark.sql(f"CREATE TABLE {table_name} (id bigint, extra bigint, d date) USING parquet PARTITIONED BY (d) LOCATION '{root}'")
+            spark.sql(f"MSCK REPAIR TABLE {table_name}")
+        compact(spark, root, "d", "date", verify="checksum", table=table_name)
+        back = spark.table(table_name) if with_table else spark.read.option("mergeSchema", "true").parquet(root)
+        assert back.agg(F.count("id"), F.count("extra"), F.sum("extra")).first() == (200, 100, 4950)
+
+
+def test_undeclared_and_conflicting_columns_raise(spark, workdir):
+    root = f"{workdir}/t"
+    spark.range(10).selectExpr("id", "id AS extra").write.parquet(f"{root}/d=2021-01-01")
+    name = f"narrow_{os.path.basename(workdir).replace('-', '_')}"
+    spark.sql(f"CREATE TABLE {name} (id bigint, d date) USING parquet PARTITIONED BY (d) LOCATION '{root}'")
+    with pytest.raises(CompactionSchemaError):
+        compact(spark, root, "d", "date", table=name)
+    spark.range(10).selectExpr("id", "cast(id AS string) AS extra").write.parquet(f"{root}/d=2021-01-02")
+    with pytest.raises(CompactionSchemaError):
+        compact(spark, root, "d", "date")
+    assert spark.read.parquet(f"{root}/d=2021-01-01").count() == 10
+
+
+def test_partitioned_layout_survives_without_a_column(spark, workdir):
+    root = f"{workdir}/t"
+    df = spark.range(100).selectExpr("id", "date_add(date'2021-01-01', cast(id % 2 AS int)) AS d", "cast(id % 3 AS int) AS h")
+    df.repartition(4).write.partitionBy("d", "h").parquet(root)
+    for kwargs in ({}, {"partition_column": "d", "partition_type": "date"}, {"partition_column": "h", "partition_type": "int"}):
+        res = compact(spark, root, verify="checksum", **kwargs)
+        assert len(res.swapped) == 6
+        _assert_same_rows(spark.read.parquet(root).select("id", "d", "h"), df)
+        assert all(len([f for _, _, fs in os.walk(local_path(f"{root}/{r['fragment']}")) for f in fs if f.endswith(".parquet")]) == 1 for r in res.plan)
+    with pytest.raises(CompactionLayoutError):
+        compact(spark, root, "other", "int")
+    bounded = compaction_plan(spark, root, "h", "int", 2, TARGET).collect()
+    assert sorted({r["h"] for r in bounded}) == [2] and len(bounded) == 2
+
+
+def test_mixed_layout_raises(spark, workdir):
+    root = f"{workdir}/t"
+    spark.range(5).write.parquet(f"{root}/d=1")
+    spark.range(5).write.parquet(f"{root}/e=1")
+    with pytest.raises(CompactionLayoutError):
+        compact(spark, root)
+
+
+@pytest.mark.parametrize("when", ["before", "during"])
+def test_rows_appended_during_compaction_are_kept(spark, workdir, when):
+    root = f"{workdir}/t"
+    spark.range(100).selectExpr("id", "date'2021-01-01' AS d").repartition(4).write.partitionBy("d").parquet(root)
+    spark.range(100).selectExpr("id", "date'2021-01-02' AS d").repartition(4).write.mode("append").partitionBy("d").parquet(root)
+
+    class Appends(HadoopFS):
+        def __init__(self, spark):
+            super().__init__(spark)
+            self.done = False
+
+        def append(self, where):
+            self.done = True
+            spark.range(50).write.mode("append").parquet(where)
+
+        def rename(self, src, dst):
+            super().rename(src, dst)
+            if when == "during" and "__backup_" in dst and "2021-01-01" in dst and not self.done:
+                self.append(dst)  # a writer that listed the folder before the rename
+
+    fs = Appends(spark)
+    if when == "before":
+        from martlet.operators import compact as C
+
+        original = C._footer_rows
+        calls = []
+
+        def counted(*args):
+            calls.append(1)
+            out = original(*args)
+            if len(calls) == 2:
+                fs.append(f"{root}/d=2021-01-01")
+            return out
+
+        C._footer_rows = counted
+    try:
+        res = compact(spark, root, "d", "date", _fs=fs)
+    finally:
+        if when == "before":
+            C._footer_rows = original
+    assert fs.done and [c.rsplit("/", 1)[1] for c in res.conflicts] == ["d=2021-01-01"]
+    assert [t.rsplit("/", 1)[1] for t in res.swapped] == ["d=2021-01-02"]
+    spark.catalog.refreshByPath(root)
+    assert spark.read.parquet(root).count() == 250
+    assert [n for n in os.listdir(os.path.dirname(local_path(root))) if n.startswith("t__")] == []
+
+
+def test_null_odd_and_short_named_partitions(spark, workdir):
+    root = f"{workdir}/t"
+    df = spark.createDataFrame([(i, v) for i in range(40) for v in (None, "a%b c+d=e/f", "x:y", "é")], "id int, p string")
+    df.repartition(4, "id").write.partitionBy("p").parquet(root)
+    names = _names(root)
+    res = compact(spark, root, "p", "string", verify="checksum")
+    assert len(res.swapped) == 4 and _names(root) == names
+    _assert_same_rows(spark.read.parquet(root).select("id", "p"), df)
+    short = f"{workdir}/short"
+    for name in ("2021-10-25", "2021-10-25 00%3A00%3A00"):
+        spark.range(10).repartition(3).write.parquet(f"{short}/d={name}")
+    assert len(compact(spark, short, "d", "timestamp").swapped) == 2
+    assert len(_names(short)) == 2 and spark.read.parquet(short).count() == 20
+
+
+def test_timestamp_partitions_under_another_session_time_zone(spark, workdir):
+    root = f"{workdir}/t"
+    df = spark.range(60).selectExpr("id", "timestamp'2021-01-01 05:00:00' + make_interval(0, 0, 0, cast(id % 2 AS int)) AS d")
+    df.repartition(4).write.partitionBy("d").parquet(root)
+    names = _names(root)
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        res = compact(spark, root, "d", "timestamp", verify="checksum")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert res.rows_source == 60 and len(res.swapped) == 2 and _names(root) == names
+
+
+def test_nested_maps_are_in_the_checksum(spark, workdir):
+    root = f"{workdir}/t"
+    spark.range(30).selectExpr("id", "map('k', id) AS m", "array(named_struct('x', map(id, 'v'))) AS n").repartition(5).write.parquet(root)
+    compact_directory(spark, root, verify="checksum")
+    assert spark.read.parquet(root).selectExpr("sum(m['k'])").first()[0] == 435
+
+
+def test_recover_nested_partitions(spark, workdir):
+    from martlet.operators.compact import recover_interrupted_swap
+
+    root = f"{workdir}/t"
+    df = spark.range(100).selectExpr("id", "cast(id % 2 AS int) AS a", "cast(id % 3 AS int) AS b")
+    df.repartition(4).write.partitionBy("a", "b").parquet(root)
+
+    class DriverDies(HadoopFS):
+        calls = 0
+
+        def rename(self, src, dst):
+            DriverDies.calls += 1
+            if DriverDies.calls >= 6:
+                raise SystemExit("driver lost")
+            super().rename(src, dst)
+
+        def delete(self, path, recursive=True):
+            return False
+
+    with pytest.raises(SystemExit):
+        compact(spark, root, _fs=DriverDies(spark))
+    recover_interrupted_swap(spark, root)
+    _assert_same_rows(spark.read.parquet(root).select("id", "a", "b"), df)
