@@ -5,7 +5,8 @@ A log record DataFrame has ``created`` (timestamp), ``levelno`` (int),
 stateless per row, so the same functions serve batch and streaming DataFrames:
 
 * :func:`envelope` – JSON event ``{app_id, timestamp, type_id, subtype_id,
-  value, message, name}`` with the timestamp in whole epoch seconds;
+  value, message, name}`` with the timestamp in whole epoch seconds; null fields
+  are written as ``null``;
 * :func:`status_events` – run-status rows for records above INFO, ``status``
   ERROR from level ERROR up, else RUNNING;
 * :func:`log_lines` – text lines ``time - name [LEVEL]: message``.
@@ -34,6 +35,9 @@ TYPE_ID = "Tech"
 STATUS_ERROR = "ERROR"
 STATUS_RUNNING = "RUNNING"
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
+# Fixed value: what a missing part of a text line reads as.
+MISSING = "None"
+_KEEP_NULLS = {"ignoreNullFields": "false"}
 
 
 def level_name(levelno: Column) -> Column:
@@ -71,7 +75,7 @@ def envelope(
         F.col("message").alias("message"),
         F.col("name").alias("name"),
     )
-    return records.select(*(keep or []), F.to_json(doc).alias("payload"))
+    return records.select(*(keep or []), F.to_json(doc, _KEEP_NULLS).alias("payload"))
 
 
 def status_events(
@@ -101,21 +105,25 @@ def status_events(
 def status_json(status: DataFrame) -> DataFrame:
     """The status rows as JSON documents (``payload``)."""
     return status.select(
-        F.to_json(F.struct("loading_id", "effective_from", "status", "log")).alias("payload")
+        F.to_json(F.struct("loading_id", "effective_from", "status", "log"), _KEEP_NULLS).alias("payload")
     )
 
 
 def log_lines(records: DataFrame, *, keep: list[str] | None = None) -> DataFrame:
-    """``line``: ``yyyy-MM-dd HH:mm:ss - name [LEVEL]: message``."""
+    """``line``: ``yyyy-MM-dd HH:mm:ss - name [LEVEL]: message``; a null part
+    reads ``None``."""
+    def part(value: Column) -> Column:
+        return F.coalesce(value, F.lit(MISSING))
+
     return records.select(
         *(keep or []),
         F.concat(
-            F.date_format("created", TIME_FORMAT),
+            part(F.date_format("created", TIME_FORMAT)),
             F.lit(" - "),
-            F.col("name"),
+            part(F.col("name")),
             F.lit(" ["),
-            level_name(F.col("levelno")),
+            part(level_name(F.col("levelno"))),
             F.lit("]: "),
-            F.col("message"),
+            part(F.col("message")),
         ).alias("line"),
     )

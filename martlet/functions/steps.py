@@ -28,15 +28,16 @@ def step_of(name: Column) -> Column:
 
 
 def with_steps(df: DataFrame, name_column: str = "name", on_bad: str = "raise") -> DataFrame:
-    """Add ``step``; order by it (smallest first)."""
+    """Add ``step``; order by it (smallest first). With ``on_bad="raise"`` the
+    job fails when it meets an invalid name."""
     if on_bad not in ("raise", "reject"):
         raise ValueError("on_bad must be 'raise' or 'reject'")
-    stepped = df.withColumn("step", step_of(F.col(name_column)))
+    name = F.col(name_column)
     if on_bad == "raise":
-        bad = stepped.where(F.col("step").isNull()).select(name_column).take(1)
-        if bad:
-            raise ValueError(f"expected exactly one number in name: {bad[0][0]!r}")
-    valid = stepped.where(F.col("step").isNotNull())
+        message = F.concat(F.lit("expected exactly one number in name: "), F.coalesce(name, F.lit("null")))
+        valid = df.withColumn("step", F.coalesce(step_of(name), F.raise_error(message).cast("bigint")))
+    else:
+        valid = df.withColumn("step", step_of(name)).where(F.col("step").isNotNull())
     # The storage position breaks ties, so the range partitioner of the sort can
     # split a name repeated in a large share of the rows over several tasks.
     position = row_position(df)
@@ -46,9 +47,11 @@ def with_steps(df: DataFrame, name_column: str = "name", on_bad: str = "raise")
 
 
 def numbered_files(
-    spark: SparkSession, root: str, glob: str = "*", on_bad: str = "raise"
+    spark: SparkSession, root: str, glob: str = "*", on_bad: str = "raise", name: Column | None = None
 ) -> DataFrame:
-    """``(path, name, step)`` of the files below ``root`` (recursive) matching ``glob``."""
+    """``(path, name, step)`` of the files below ``root`` (recursive) matching
+    ``glob``. ``name`` is what holds the number, as a column over ``path``; by
+    default the file's own name."""
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
@@ -56,7 +59,8 @@ def numbered_files(
         .load(root)
         .select("path")
     )
-    return with_steps(files.withColumn("name", base_name(F.col("path"))), "name", on_bad)
+    names = base_name(F.col("path")) if name is None else name
+    return with_steps(files.withColumn("name", names), "name", on_bad)
 
 
 def run_numbered_sql(

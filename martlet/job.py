@@ -50,11 +50,11 @@ class JobConfig:
     entity_id: int
     load_date: _dt.date | str | None = None
     force: bool = False
-    rebalance: bool = True
+    rebalance: bool = False
     parallel_loads: bool = False
     compact_files: bool = True
-    repair: bool = True
-    count_rows: bool = True
+    repair: bool = False  # drop, create and rediscover every partition, before and after
+    count_rows: bool = False  # whole-mart counts, before and after
     target_file_bytes: int | None = DEFAULT_TARGET_BYTES
     stats_path: str | None = None
     status_path: str | None = None
@@ -166,7 +166,10 @@ def run_mart_job(spark: SparkSession, cfg: JobConfig) -> JobReport:
         log(CTL_INFO, f"SUCCESS: loaded {loaded}, mart rows {report.counts_after or 'not counted'}")
     except Exception as exc:
         log(ERROR, f"FAILED: {type(exc).__name__}: {exc}")
-        _publish_status(spark, cfg, report)
+        try:
+            _publish_status(spark, cfg, report)
+        except Exception as sink_error:  # the step's own error is the one to raise
+            exc.add_note(f"the run status could not be published: {sink_error}")
         raise
     _publish_status(spark, cfg, report)
     return report

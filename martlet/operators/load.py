@@ -22,13 +22,20 @@ from pyspark.sql import functions as F
 from martlet.functions.calendar import launch_date
 from martlet.plans.spec import MartSpec, ensure_table, partition_literal
 from martlet.sources.files import row_position
-from martlet.sources.tables import quote_identifier, read_source
+from martlet.session import child_session
+from martlet.sources.hadoop_fs import HadoopFS
+from martlet.sources.tables import is_path, quote_identifier, read_source, table_location
 
 
 class EmptySourceError(ValueError):
     """The source has no rows or no load id; the old partition is kept."""
 
 
+class SourceChangedError(RuntimeError):
+    """The rows written are not those the lineage id was taken from: the source
+    changed during the load. Run the load again."""
+
+
 @dataclass(frozen=True)
 class LoadResult:
     table: str
@@ -50,27 +57,24 @@ def source_facts(source: DataFrame, load_id_column: str) -> DataFrame:
 def footer_session(spark: SparkSession) -> SparkSession:
     """A child session (own SQL conf) whose Parquet scans answer ``count`` and
     ``max``/``min`` from file footers: the V2 Parquet reader with aggregate
-    pushdown. The caller's session is not changed."""
-    child = spark.newSession()
-    child.conf.set("spark.sql.sources.useV1SourceList", "avro,csv,json,kafka,orc,text")
-    child.conf.set("spark.sql.parquet.aggregatePushdown", "true")
-    return child
+    pushdown. The caller's session is not changed. It has neither the caller's
+    temporary views nor its current database, so it is for paths only."""
+    return child_session(spark, {
+        "spark.sql.sources.useV1SourceList": "avro,csv,json,kafka,orc,text",
+        "spark.sql.parquet.aggregatePushdown": "true",
+    })
 
 
 def facts_of(spark: SparkSession, source: str | DataFrame, load_id_column: str):
     """``source_rows, src_loading_id`` of a source as one Row.
 
-    A source given by path or name is read in :func:`footer_session`, so for
-    Parquet the two facts come from the file footers and no data is scanned; a
-    source Spark cannot answer that way (other formats, strings, filters) is
-    scanned as usual. A DataFrame source is scanned for its one column.
+    A Parquet path is read in :func:`footer_session`, so the two facts come from
+    the file footers and no data is scanned. A table or view name is resolved in
+    the caller's session, as the load resolves it, and scanned for its one
+    column, like a DataFrame.
     """
-    if isinstance(source, str):
-        try:
-            return source_facts(read_source(footer_session(spark), source), load_id_column).first()
-        except Exception:  # noqa: BLE001 - fall back to a plain scan
-            pass
-    return source_facts(read_source(spark, source), load_id_column).first()
+    reader = footer_session(spark) if isinstance(source, str) and is_path(source) else spark
+    return source_facts(read_source(reader, source), load_id_column).first()
 
 
 def check_columns(df: DataFrame, expected: list[str]) -> None:
@@ -94,12 +98,16 @@ def with_lineage(
     )
 
 
-def file_layout(rows: DataFrame, rebalance: bool = True, position: str | None = None) -> DataFrame:
-    """The output layout of a load: rebalanced into evenly sized files.
+def file_layout(rows: DataFrame, rebalance: bool = False, position: str | None = None) -> DataFrame:
+    """The output layout of a load.
 
-    Adaptive execution cuts the output into evenly sized files in the same job,
-    so a load does not leave one small file per input split behind. Rows are
-    spread by ``position`` (a per-row storage key, see ``row_position``): a hash
+    By default rows are written as they are read: no shuffle, and the compaction
+    merges small files once. With ``rebalance`` (for sources of very many small
+    files, instead of a compaction) one shuffle lets adaptive execution cut the
+    output into evenly sized files in the same job; set
+    ``spark.sql.adaptive.coalescePartitions.parallelismFirst=false`` and an
+    advisory size that matches the target file size, or it aims at the core
+    count. Rows are spread by ``position`` (a per-row storage key, see ``row_position``): a hash
     that is stable when a lost task is recomputed, so no local sort is needed,
     and that keeps apart rows which are copies of each other - a hash of the
     values would put a group of copies holding a third of the rows into one
@@ -115,7 +123,7 @@ def file_layout(rows: DataFrame, rebalance: bool = True, position: str | None =
 
 def snapshot_rows(
     source: DataFrame, spec: MartSpec, src_loading_id: int | None, loading_id: int,
-    rebalance: bool = True,
+    rebalance: bool = False,
 ) -> DataFrame:
     """The rows a snapshot load writes: business columns, lineage, layout."""
     position = row_position(source) if rebalance else None
@@ -217,14 +225,18 @@ def load_snapshot(
     loading_id: int,
     load_date: _dt.date | str | None = None,
     allow_empty: bool = False,
-    rebalance: bool = True,
+    rebalance: bool = False,
     _facts=None,
 ) -> LoadResult:
     """Publish a full snapshot of ``source`` into the ``load_date`` partition.
 
-    Re-running with the same date replaces that partition only (idempotent).
-    Raises :class:`EmptySourceError` when the source has no load id, unless
-    ``allow_empty`` – then the partition is replaced by an empty one.
+    Re-running with the same date replaces that partition only (idempotent),
+    also where its directory is named in another form of the same typed value
+    (``2021-10-25`` for a timestamp partition). Raises
+    :class:`EmptySourceError` when the source has no load id, unless
+    ``allow_empty`` – then the partition is replaced by an empty one – and
+    :class:`SourceChangedError` when the rows written are not as many as the
+    lineage id was taken from.
     """
     if load_date is None:
         load_date = launch_date()
@@ -241,7 +253,14 @@ def load_snapshot(
     rows = snapshot_rows(src, spec, src_loading_id, loading_id, rebalance)
     # An empty source (allowed) must still empty the partition: static insert.
     empty = int(facts["source_rows"]) == 0
+    before = _same_date_files(spark, spec, load_date)
     rows_written = insert_partition(spark, spec, rows, load_date, staged=not empty)
+    _drop_stale_names(spark, spec, load_date, before, empty)
+    if rows_written != int(facts["source_rows"]):
+        raise SourceChangedError(
+            f"{rows_written} rows written to {spec.table} for {load_date}, but the lineage id was "
+            f"taken from {facts['source_rows']} rows"
+        )
     return LoadResult(
         table=spec.table,
         load_date=load_date,
@@ -252,6 +271,29 @@ def load_snapshot(
     )
 
 
+def _same_date_files(spark: SparkSession, spec: MartSpec, load_date) -> dict[str, set[str]]:
+    """File names of every partition directory whose typed value is the load date."""
+    from martlet.operators.partitions import disk_partitions
+
+    root = table_location(spark, spec.table).rstrip("/")
+    dirs = disk_partitions(spark, root, spec.partition_column, spec.partition_type)
+    same = dirs.where(F.col(spec.partition_column) == F.expr(partition_literal(spec, load_date)))
+    fs = HadoopFS(spark)
+    return {r["fragment"]: {e.name for e in fs.list(f"{root}/{r['fragment']}")} for r in same.collect()}
+
+
+def _drop_stale_names(spark: SparkSession, spec: MartSpec, load_date, before: dict[str, set[str]], empty: bool) -> None:
+    """Delete directories of the load date that the load did not write to."""
+    after = _same_date_files(spark, spec, load_date)
+    stale = [f for f, names in after.items() if before.get(f) == names]
+    if empty or len(after) < 2 or len(stale) == len(after):
+        return
+    root = table_location(spark, spec.table).rstrip("/")
+    HadoopFS(spark).delete_many([f"{root}/{f}" for f in stale])
+    spark.sql(spec.repair_statement())
+    spark.catalog.refreshTable(spec.table)
+
+
 def force_load(
     spark: SparkSession,
     spec: MartSpec,
@@ -259,7 +301,7 @@ def force_load(
     *,
     loading_id: int,
     load_date: _dt.date | str | None = None,
-    rebalance: bool = True,
+    rebalance: bool = False,
 ) -> LoadResult:
     """Leave the mart holding only this load: every other partition is dropped
     (catalog and files).
@@ -273,8 +315,6 @@ def force_load(
         disk_partitions,
         drop_partitions,
     )
-    from martlet.sources.tables import table_location
-
     src = read_source(spark, source)
     facts = facts_of(spark, source, spec.source_load_id_column)
     if facts["src_loading_id"] is None:
@@ -293,5 +333,5 @@ def force_load(
         disk_partitions(spark, table_location(spark, spec.table), col, spec.partition_type)
     )
     keep = F.lit(result.load_date).cast(spec.partition_type)
-    drop_partitions(spark, spec, others.where(F.col(col) != keep), purge=True)
+    drop_partitions(spark, spec, others.where(~F.col(col).eqNullSafe(keep)), purge=True)
     return result

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StringType, StructField, StructType
 
 from martlet.plans.spec import MartSpec
-from martlet.sources.files import partition_value_from_path
+from martlet.sources.files import NULL_PARTITION_NAME, partition_value_from_path
 from martlet.sources.hadoop_fs import HadoopFS
 from martlet.sources.tables import quote_identifier, table_location
 
@@ -158,9 +158,8 @@ def _partition_clause(fragment: str) -> str:
     for level in fragment.split("/"):
         name, _, raw = level.partition("=")
         value = unquote(raw)
-        if value == "__HIVE_DEFAULT_PARTITION__":
-            raise ValueError("dropping the NULL partition by value is not supported")
-        parts.append(f"`{name}` = '{_sql_string(value)}'")
+        null = value == NULL_PARTITION_NAME
+        parts.append(f"`{name}` = " + ("null" if null else f"'{_sql_string(value)}'"))
     return "PARTITION (" + ", ".join(parts) + ")"
 
 

@@ -54,18 +54,6 @@ class MartSpec:
             list(self.columns.fields) + [StructField(self.partition_column, self.partition_type)]
         )
 
-    def with_table(self, table: str, location: str) -> "MartSpec":
-        return MartSpec(
-            table=table,
-            location=location,
-            columns=self.columns,
-            lineage_column=self.lineage_column,
-            load_id_column=self.load_id_column,
-            partition_column=self.partition_column,
-            partition_type=self.partition_type,
-            source_load_id_column=self.source_load_id_column,
-        )
-
     # -- DDL ---------------------------------------------------------------
     def create_statement(self, if_not_exists: bool = True) -> str:
         cols = ", ".join(

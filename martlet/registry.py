@@ -14,16 +14,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampType
 
 from martlet.functions.calendar import month_window
 from martlet.functions.runlog import envelope, log_lines, status_events, status_json
-from martlet.functions.steps import with_steps
+from martlet.functions.steps import numbered_files, with_steps
 from martlet.operators.compact import compact, compact_directory, compaction_plan
 from martlet.operators.load import force_load, load_snapshot
 from martlet.operators.partitions import (
     apply_retention,
     apply_retention_to_path,
     catalog_partitions,
+    drop_all_partitions,
     footer_row_counts,
     partition_row_counts,
 )
@@ -33,6 +35,7 @@ from martlet.operators.stats import (
     newest_partition,
     publish_stats,
     read_stats,
+    scalar_from,
     table_stats,
 )
 from martlet.plans.analogs import (
@@ -47,7 +50,9 @@ from martlet.plans.analogs import (
     table,
 )
 from martlet.plans.spec import merchant_spec, payroll_spec, recreate, spec_for_frame
-from martlet.session import new_work_dir, unique_name
+from martlet.session import checkpointed, new_work_dir, unique_name
+from martlet.sources.files import NULL_PARTITION_NAME, list_partition_files
+from martlet.sources.hadoop_fs import HadoopFS
 from martlet.streaming.runlog_sinks import (
     append_parquet,
     append_text,
@@ -61,6 +66,8 @@ RETENTION_FROM = _dt.date(1996, 1, 1)
 RETENTION_TO = _dt.date(1999, 1, 1)
 COMPACT_FROM = _dt.date(1998, 1, 1)
 SMALL_FILES = 40  # input files per task layout of the many-small-files fixture
+EMPTY_YEAR = _dt.date(2010, 1, 1)
+PLAN_TARGET_BYTES = 50_000
 TEST_TARGET_BYTES = 200_000  # small target so test partitions need more than one file
 
 
@@ -101,6 +108,58 @@ def q_mart_load_from_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(spec.table)
 
 
+def q_mart_load_from_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Load a catalog table named without its database, which is the current one;
+    a table of the same name in ``default`` must not be taken for it."""
+    root = new_work_dir(spark, "table_source")
+    database, name = unique_name("load_db"), unique_name("load_source")
+    spec = payroll_spec(f"default.{unique_name('table_mart')}", f"{root}/payroll_mart")
+    before = spark.catalog.currentDatabase()
+    source = payroll_source(spark, sf_dir)
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{root}/db'")
+    source.write.option("path", f"{root}/source").saveAsTable(f"{database}.{name}")
+    decoy = source.limit(5).withColumn("ctl_loading", F.lit(-1).cast("bigint"))
+    decoy.write.option("path", f"{root}/decoy").saveAsTable(f"default.{name}")
+    spark.catalog.setCurrentDatabase(database)
+    try:
+        load_snapshot(spark, spec, name, loading_id=LOADING_ID, load_date=LOAD_DATE)
+    finally:
+        spark.catalog.setCurrentDatabase(before)
+    return spark.table(spec.table)
+
+
+def q_mart_reload_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A timestamp-partitioned mart whose directory has the short, date-only name:
+    a rerun replaces that partition instead of doubling its rows."""
+    root = new_work_dir(spark, "short_mart") + "/mart"
+    spec = payroll_spec(unique_name("short_mart"), root, partition_type=TimestampType())
+    src = payroll_source(spark, sf_dir)
+    earlier = src.withColumn("src_loading_id", F.lit(0).cast("bigint")).withColumn("ctl_loading", F.lit(LOADING_ID - 1).cast("bigint"))
+    earlier.write.parquet(f"{root}/{spec.partition_column}={LOAD_DATE}")
+    recreate(spark, spec)
+    load_snapshot(spark, spec, src, loading_id=LOADING_ID, load_date=LOAD_DATE)
+    recreate(spark, spec)
+    return spark.table(spec.table).groupBy("ctl_loading", F.col(spec.partition_column).cast("date").alias("load_date")).agg(
+        F.count(F.lit(1)).alias("row_count")
+    )
+
+
+def q_drop_all_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every partition, the NULL one too, is dropped; then one load is made."""
+    spec = _payroll_mart(spark, "drop_mart")
+    src = payroll_source(spark, sf_dir)
+    load_snapshot(spark, spec, src, loading_id=LOADING_ID - 1, load_date=EARLIER_DATE)
+    old = src.withColumn("src_loading_id", F.lit(0).cast("bigint"))
+    old.write.parquet(f"{spec.location}/{spec.partition_column}={NULL_PARTITION_NAME}")
+    spark.sql(spec.repair_statement())
+    drop_all_partitions(spark, spec)
+    recreate(spark, spec)
+    left = spark.table(spec.table).count()
+    load_snapshot(spark, spec, src, loading_id=LOADING_ID, load_date=LOAD_DATE)
+    counts = partition_row_counts(spark.table(spec.table), spec.partition_column)
+    return counts.withColumn("rows_after_drop", F.lit(left).cast("bigint"))
+
+
 def q_mart_reload_same_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two loads on one date: the second replaces the first (idempotent rerun)."""
     spec = _payroll_mart(spark, "rerun_mart")
@@ -140,14 +199,14 @@ def q_drop_all_then_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return partition_row_counts(spark.table(spec.table), spec.partition_column)
 
 
-def q_mart_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _run_job(spark: SparkSession, sf_dir: str):
     """The whole run over both marts: load, compact, repair, statistics, status."""
     from martlet.job import JobConfig, MartTarget, run_mart_job
 
     root = new_work_dir(spark, "mart_job")
     payroll = payroll_spec(unique_name("job_payroll"), f"{root}/payroll")
     merch = merchant_spec(unique_name("job_merch"), f"{root}/merch")
-    run_mart_job(
+    report = run_mart_job(
         spark,
         JobConfig(
             targets=[
@@ -163,8 +222,16 @@ def q_mart_job(spark: SparkSession, sf_dir: str) -> DataFrame:
             events_path=f"{root}/run_events",
             app_id=APP_ID,
             parallel_loads=True,
+            repair=True,
+            count_rows=True,
         ),
     )
+    return root, payroll, merch, report
+
+
+def q_mart_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per mart and partition after the whole run."""
+    _, payroll, merch, _ = _run_job(spark, sf_dir)
     counts = [
         partition_row_counts(spark.table(spec.table), spec.partition_column).select(
             F.lit(label).alias("mart"), "*"
@@ -174,6 +241,20 @@ def q_mart_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts[0].unionByName(counts[1])
 
 
+def q_mart_job_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the whole run publishes: its statistics (arrays as they are) and its
+    run-status rows, as ``kind, code, avalue``."""
+    root, _, _, _ = _run_job(spark, sf_dir)
+    stats = read_stats(spark, f"{root}/load_stats").select(
+        F.lit("statistic").alias("kind"), F.col("stat_id").cast("string").alias("code"), F.to_json("avalue").alias("avalue")
+    )
+    status = spark.read.parquet(f"{root}/run_status").select(
+        F.lit("status").alias("kind"), F.col("status").alias("code"),
+        F.to_json(F.array(F.col("loading_id").cast("string"))).alias("avalue"),
+    )
+    return stats.unionByName(status)
+
+
 # -- statistics --------------------------------------------------------------------
 def q_table_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table_stats(payroll_source(spark, sf_dir), "ctl_loading", "report_dt")
@@ -183,6 +264,35 @@ def q_max_cdc_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     return max_cdc_date(lineitem_by_year(spark, sf_dir), "ctl_validfrom")
 
 
+def q_max_cdc_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Newest load date of a mart from its catalog, no file opened."""
+    spec = _year_mart(spark, sf_dir, "cdc_mart")
+    newest = newest_partition(spark, spec.table, spec.partition_column, spec.partition_type)
+    return spark.range(1).select(F.lit(str(newest)[:10]).alias("max_cdc_date"))
+
+
+def q_stored_query_scalars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scalars of stored, parameterised queries, one row a query and table."""
+    root = new_work_dir(spark, "stored_queries")
+    texts = {
+        "count": "SELECT count(*) FROM IDENTIFIER(:t)",
+        "newest": "SELECT max(o_orderkey) FROM IDENTIFIER(:t) WHERE o_orderkey > :lo",
+        "first": "SELECT o_orderkey FROM IDENTIFIER(:t) ORDER BY o_orderkey, o_custkey",
+        "none": "SELECT o_orderkey FROM IDENTIFIER(:t) WHERE o_orderkey < :lo",
+    }
+    view = unique_name("orders_view")
+    table(spark, sf_dir, "orders").createOrReplaceTempView(view)
+    rows = []
+    try:
+        for name, text in texts.items():
+            spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(f"{root}/{name}")
+            args = {"lo": 0} if ":lo" in text else {}
+            rows.append((name, scalar_from(spark, f"{root}/{name}", t=view, **args)))
+    finally:
+        spark.catalog.dropTempView(view)
+    return spark.createDataFrame(rows, "query string, value long")
+
+
 def q_load_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two loads, each followed by its five statistics appended to ``load_stats``."""
     spec = _payroll_mart(spark, "stats_mart")
@@ -205,7 +315,7 @@ def q_load_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
         "loading_id",
         "entity_id",
         "stat_id",
-        F.element_at("avalue", 1).alias("stat_value"),
+        F.to_json("avalue").alias("avalue"),
         "load_date",
     )
 
@@ -225,11 +335,29 @@ def q_partition_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _text_partitions(spark: SparkSession, sf_dir: str, label: str) -> str:
+    """``lineitem`` as uncompressed text lines below one directory a ship year,
+    one file per (year, ``l_orderkey % SMALL_FILES``), and a directory whose one
+    file is empty. Listings do not look into files, so their sizes can be
+    computed from the rows."""
+    root = new_work_dir(spark, label) + "/data"
+    lines = lineitem_by_year(spark, sf_dir).select(
+        F.concat_ws(",", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber").alias("value"), "ctl_validfrom",
+        F.pmod("l_orderkey", F.lit(SMALL_FILES)).alias("part"),
+    )
+    # One task a file: the partition number of a value is the value itself.
+    dealt = lines.repartitionByRange(SMALL_FILES, "part").drop("part")
+    dealt.write.partitionBy("ctl_validfrom").text(root)
+    HadoopFS(spark).touch(f"{root}/ctl_validfrom={EMPTY_YEAR}/part-0.txt")
+    return root
+
+
 def q_partition_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes per partition directory, from the file listing alone."""
     from martlet.sources.files import partition_file_stats
 
-    spec = _year_mart(spark, sf_dir, "files_mart", small_files=True)
-    return partition_file_stats(spark, spec.location, spec.partition_column, "date")
+    root = _text_partitions(spark, sf_dir, "files_mart")
+    return partition_file_stats(spark, root, "ctl_validfrom", "date").select("ctl_validfrom", "bytes")
 
 
 def q_partition_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -249,10 +377,60 @@ def q_retention_path(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # -- compaction -------------------------------------------------------------------
 def q_compact_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spec = _year_mart(spark, sf_dir, "plan_mart", small_files=True)
-    return compaction_plan(
-        spark, spec.location, spec.partition_column, "date", COMPACT_FROM, TEST_TARGET_BYTES
-    ).drop("fragment")
+    """Partitions to rewrite and their target file counts; the partition without
+    a byte and those before the start are left out."""
+    root = _text_partitions(spark, sf_dir, "plan_mart")
+    plan = compaction_plan(spark, root, "ctl_validfrom", "date", COMPACT_FROM, PLAN_TARGET_BYTES)
+    return plan.select("ctl_validfrom", "bytes", "n_files")
+
+
+def _files_after(spark: SparkSession, sf_dir: str, label: str, strategy: str) -> DataFrame:
+    """Per partition after a compaction: its rows, whether its files are other
+    files than before, and whether they are no more than planned."""
+    spec = _year_mart(spark, sf_dir, label, small_files=True)
+
+    def listed() -> DataFrame:
+        return list_partition_files(spark, spec.location, spec.partition_column, "date").groupBy("ctl_validfrom").agg(
+            F.count("*").alias("files"), F.sort_array(F.collect_list(F.substring_index("path", "/", -1))).alias("names")
+        )
+
+    before = checkpointed(listed())
+    done = compact(
+        spark, spec.location, spec.partition_column, "date", COMPACT_FROM, TEST_TARGET_BYTES,
+        strategy=strategy, verify="checksum", table=spec.table,
+    )
+    planned = spark.createDataFrame(
+        [(p["ctl_validfrom"], p["n_files"]) for p in done.plan], "ctl_validfrom date, planned long"
+    )
+    after = listed().select("ctl_validfrom", F.col("files").alias("files_after"), F.col("names").alias("names_after"))
+    counts = partition_row_counts(spark.table(spec.table), "ctl_validfrom")
+    return (
+        counts.join(before, "ctl_validfrom").join(after, "ctl_validfrom").join(planned, "ctl_validfrom", "left")
+        .select(
+            "ctl_validfrom", "row_count", (F.col("names") != F.col("names_after")).alias("rewritten"),
+            F.when(F.col("planned").isNull(), F.col("files") == F.col("files_after"))
+            .otherwise((F.col("files_after") <= F.col("planned")) & (F.col("files_after") < F.col("files"))).alias("as_planned"),
+        )
+    )
+
+
+def q_compact_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _files_after(spark, sf_dir, "compact_files_mart", "auto")
+
+
+def q_compact_evolved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A mart whose older partitions lack a column: it survives the compaction,
+    with and without a declared schema."""
+    root = new_work_dir(spark, "evolved") + "/mart"
+    rows = lineitem_by_year(spark, sf_dir).repartition(SMALL_FILES, "l_orderkey")
+    old = F.col("ctl_validfrom") < F.lit(COMPACT_FROM)
+    rows.where(old).drop("l_tax").write.partitionBy("ctl_validfrom").parquet(root)
+    rows.where(~old).write.mode("append").partitionBy("ctl_validfrom").parquet(root)
+    compact(spark, root, "ctl_validfrom", "date", None, TEST_TARGET_BYTES, verify="checksum")
+    spec = spec_for_frame(rows, unique_name("evolved"), root)
+    recreate(spark, spec)
+    compact(spark, root, "ctl_validfrom", "date", None, TEST_TARGET_BYTES, verify="checksum", table=spec.table)
+    return spark.table(spec.table)
 
 
 def q_compact_contents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -327,7 +505,45 @@ def q_step_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_steps(names, "name", on_bad="reject")
 
 
+def q_numbered_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbered files found by a listing: one file per customer segment, named
+    after the segment and its smallest customer number."""
+    root = new_work_dir(spark, "numbered")
+    segments = (
+        table(spark, sf_dir, "customer").groupBy("c_mktsegment").agg(F.min("c_custkey").alias("n")).collect()
+    )
+    for row in segments:  # a handful of segments
+        one = table(spark, sf_dir, "customer").where(F.col("c_mktsegment") == row["c_mktsegment"])
+        text = one.select(F.col("c_name").alias("value")).coalesce(1)
+        text.write.text(f"{root}/{row['c_mktsegment'].replace(' ', '_')}-{row['n']}")
+    files = numbered_files(spark, root, "part-*", on_bad="reject", name=F.element_at(F.split("path", "/"), -2))
+    return files.select("name", "step")
+
+
 # -- run log --------------------------------------------------------------------------
+def _null_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log records whose message is null for errors and whose name is null for
+    sign-ups."""
+    events = table(spark, sf_dir, "events")
+    records = log_records(events)
+    return records.withColumns({
+        "message": F.when(F.col("levelno") < 40, F.col("message")),
+        "name": F.when(F.col("levelno") != 25, F.col("name")),
+    })
+
+
+def q_log_envelope_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return envelope(_null_records(spark, sf_dir), APP_ID)
+
+
+def q_run_status_json_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return status_json(status_events(_null_records(spark, sf_dir), "record_id"))
+
+
+def q_log_lines_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return log_lines(_null_records(spark, sf_dir))
+
+
 def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log_records(table(spark, sf_dir, "events"))
 
@@ -392,13 +608,19 @@ def q_log_lines_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "mart_load_payroll": q_mart_load_payroll,
     "mart_load_from_path": q_mart_load_from_path,
+    "mart_load_from_table": q_mart_load_from_table,
     "mart_reload_same_day": q_mart_reload_same_day,
+    "mart_reload_timestamp": q_mart_reload_timestamp,
+    "drop_all_partitions": q_drop_all_partitions,
     "mart_load_merch": q_mart_load_merch,
     "mart_recreate": q_mart_recreate,
     "drop_all_then_load": q_drop_all_then_load,
     "mart_job": q_mart_job,
+    "mart_job_records": q_mart_job_records,
     "table_stats": q_table_stats,
     "max_cdc_date": q_max_cdc_date,
+    "max_cdc_catalog": q_max_cdc_catalog,
+    "stored_query_scalars": q_stored_query_scalars,
     "load_stats": q_load_stats,
     "partition_inventory": q_partition_inventory,
     "partition_catalog": q_partition_catalog,
@@ -407,11 +629,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "retention_path": q_retention_path,
     "compact_plan": q_compact_plan,
     "compact_contents": q_compact_contents,
+    "compact_files": q_compact_files,
+    "compact_evolved": q_compact_evolved,
     "compact_salted": q_compact_salted,
     "compact_rebalance": q_compact_rebalance,
     "compact_flat": q_compact_flat,
     "month_window": q_month_window,
     "step_order": q_step_order,
+    "numbered_files": q_numbered_files,
+    "log_envelope_nulls": q_log_envelope_nulls,
+    "run_status_json_nulls": q_run_status_json_nulls,
+    "log_lines_nulls": q_log_lines_nulls,
     "log_envelope": q_log_envelope,
     "run_status": q_run_status,
     "run_status_json": q_run_status_json,
@@ -435,6 +663,13 @@ _LV = "CASE event_type WHEN 'error' THEN 40 WHEN 'signup' THEN 25 ELSE 20 END"
 _LN = "CASE event_type WHEN 'error' THEN 'ERROR' WHEN 'signup' THEN 'CTL_INFO' ELSE 'INFO' END"
 
 
+_MESSAGE = f"CASE WHEN {_LV} < 40 THEN props END"
+_NAME = f"CASE WHEN {_LV} <> 25 THEN 'user.' || user_id END"
+_LINE_BYTES = (
+    "strlen(concat_ws(',', l_orderkey, l_partkey, l_suppkey, l_linenumber)) + 1"
+)
+
+
 def _d(value: _dt.date) -> str:
     return f"DATE '{value.isoformat()}'"
 
@@ -467,8 +702,8 @@ _LOAD_STATS = (
     "UNION ALL SELECT 2, NULL, 2 UNION ALL SELECT 5, NULL, 3 UNION ALL SELECT 1, NULL, 1) "
     "SELECT CAST(l.loading_id AS BIGINT) AS loading_id, "
     f"CAST({ENTITY_ID} AS BIGINT) AS entity_id, s.stat_id, "
-    "CASE s.k WHEN 0 THEN s.v WHEN 1 THEN CAST(l.d AS VARCHAR) "
-    "WHEN 2 THEN CASE WHEN f.n > 0 THEN '1' ELSE '0' END ELSE f.bd END AS stat_value, "
+    "'[\"' || CASE s.k WHEN 0 THEN s.v WHEN 1 THEN CAST(l.d AS VARCHAR) "
+    "WHEN 2 THEN CASE WHEN f.n > 0 THEN '1' ELSE '0' END ELSE f.bd END || '\"]' AS avalue, "
     "l.d AS load_date FROM l, s, f"
 )
 
@@ -485,6 +720,20 @@ ORACLE_SQL: dict[str, str] = {
         f"CAST({LOADING_ID} AS BIGINT) AS ctl_loading, {_d(LOAD_DATE)} AS ctl_validfrom "
         "FROM lineitem"
     ),
+    "mart_load_from_table": (
+        f"SELECT {_PAYROLL_SELECT}, "
+        "(SELECT max(l_orderkey) FROM lineitem) AS src_loading_id, "
+        f"CAST({LOADING_ID} AS BIGINT) AS ctl_loading, {_d(LOAD_DATE)} AS ctl_validfrom "
+        "FROM lineitem"
+    ),
+    "mart_reload_timestamp": (
+        f"SELECT CAST({LOADING_ID} AS BIGINT) AS ctl_loading, {_d(LOAD_DATE)} AS load_date, "
+        "count(*) AS row_count FROM lineitem"
+    ),
+    "drop_all_partitions": (
+        f"SELECT {_d(LOAD_DATE)} AS ctl_validfrom, count(*) AS row_count, "
+        "CAST(0 AS BIGINT) AS rows_after_drop FROM lineitem"
+    ),
     "mart_reload_same_day": (
         f"SELECT {_PAYROLL_SELECT}, "
         "(SELECT max(l_orderkey) FROM lineitem) AS src_loading_id, "
@@ -508,6 +757,39 @@ ORACLE_SQL: dict[str, str] = {
         f"SELECT 'payroll' AS mart, {_d(LOAD_DATE)} AS ctl_validfrom, count(*) AS row_count "
         f"FROM lineitem UNION ALL SELECT 'merch', {_d(LOAD_DATE)}, count(*) FROM supplier"
     ),
+    "mart_job_records": (
+        f"SELECT 'statistic' AS kind, CAST(stat_id AS VARCHAR) AS code, avalue FROM ({_LOAD_STATS}) "
+        f"WHERE loading_id = {LOADING_ID} UNION ALL SELECT 'status', 'RUNNING', '[\"{LOADING_ID}\"]'"
+    ),
+    "max_cdc_catalog": f"SELECT substr(CAST(max({_YEAR}) AS VARCHAR), 1, 10) AS max_cdc_date FROM lineitem",
+    "stored_query_scalars": (
+        "SELECT 'count' AS query, count(*) AS value FROM orders UNION ALL SELECT 'newest', max(o_orderkey) FROM orders "
+        "UNION ALL SELECT 'first', min(o_orderkey) FROM orders UNION ALL SELECT 'none', NULL"
+    ),
+    "partition_files": (
+        f"SELECT {_YEAR} AS ctl_validfrom, CAST(sum({_LINE_BYTES}) AS BIGINT) AS bytes FROM lineitem "
+        "GROUP BY 1"  # a directory without a byte has nothing to list
+    ),
+    "compact_plan": (
+        f"SELECT ctl_validfrom, bytes, bytes // {PLAN_TARGET_BYTES} + 1 AS n_files FROM "
+        f"(SELECT {_YEAR} AS ctl_validfrom, CAST(sum({_LINE_BYTES}) AS BIGINT) AS bytes FROM lineitem GROUP BY 1) "
+        f"WHERE ctl_validfrom >= {_d(COMPACT_FROM)}"
+    ),
+    "compact_files": (
+        f"SELECT {_YEAR} AS ctl_validfrom, count(*) AS row_count, "
+        f"{_YEAR} >= {_d(COMPACT_FROM)} AS rewritten, true AS as_planned FROM lineitem GROUP BY 1"
+    ),
+    "compact_evolved": (
+        f"SELECT * REPLACE (CASE WHEN {_YEAR} >= {_d(COMPACT_FROM)} THEN l_tax END AS l_tax), "
+        f"{_YEAR} AS ctl_validfrom FROM lineitem"
+    ),
+    "numbered_files": (
+        "SELECT replace(c_mktsegment, ' ', '_') || '-' || min(c_custkey) AS name, min(c_custkey) AS step "
+        "FROM customer GROUP BY c_mktsegment"
+    ),
+    "log_envelope_nulls": _ENVELOPE.replace("'message', props", "'message', " + _MESSAGE).replace("'user.' || user_id", _NAME),
+    "run_status_json_nulls": _STATUS_JSON.replace("'log', props", "'log', " + _MESSAGE),
+    "log_lines_nulls": _LINES.replace("' - user.' || user_id", f"' - ' || coalesce({_NAME}, 'None')").replace("|| props", f"|| coalesce({_MESSAGE}, 'None')"),
     "table_stats": (
         "SELECT count(*) AS row_count, max(l_orderkey) AS src_loading_id, "
         "max(strftime(l_shipdate, '%Y-%m-%d')) AS business_date FROM lineitem"

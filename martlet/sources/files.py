@@ -9,6 +9,7 @@ addressed by its typed value, never by the text of the directory name.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
@@ -101,7 +102,7 @@ def row_position(df: DataFrame) -> Column | None:
     """
     try:
         meta = df.select("_metadata").schema["_metadata"].dataType  # analysis only
-    except Exception:  # noqa: BLE001 - not a file source
+    except AnalysisException:  # not a file source
         return None
     if not {"file_path", "row_index"} <= set(meta.fieldNames()):
         return None  # a file source without row positions (e.g. binaryFile)

@@ -47,6 +47,10 @@ class HadoopFS:
     def mkdirs(self, path: str) -> None:
         self._fs(path).mkdirs(self._path(path))
 
+    def touch(self, path: str) -> None:
+        """Create an empty file (and its directory)."""
+        self._fs(path).create(self._path(path)).close()
+
     def list(self, path: str) -> list[DirEntry]:
         fs = self._fs(path)
         p = self._path(path)
@@ -63,14 +67,6 @@ class HadoopFS:
         p = self._path(path)
         return int(p.getFileSystem(self._conf).getDefaultBlockSize(p))
 
-    def content_length(self, path: str) -> int:
-        """Bytes under ``path``, every file counted (hidden ones too)."""
-        fs = self._fs(path)
-        p = self._path(path)
-        if not fs.exists(p):
-            return 0
-        return int(fs.getContentSummary(p).getLength())
-
     def delete(self, path: str, recursive: bool = True) -> bool:
         """Delete ``path``; ``False`` when it did not exist (one call)."""
         p = self._path(path)

@@ -18,6 +18,11 @@ def quote_identifier(name: str) -> str:
     return ".".join(f"`{p}`" for p in parts)
 
 
+def is_path(source: str) -> bool:
+    """True for a path (it has a ``/`` or a scheme), False for a catalog name."""
+    return "/" in source or ":" in source
+
+
 def read_source(spark: SparkSession, source: str | DataFrame) -> DataFrame:
     """A source given as a catalog name, a Parquet path or a DataFrame.
 
@@ -27,26 +32,11 @@ def read_source(spark: SparkSession, source: str | DataFrame) -> DataFrame:
     """
     if isinstance(source, DataFrame):
         return source
-    if "/" in source or ":" in source:
+    if is_path(source):
         return spark.read.parquet(source)
     return spark.table(source)
 
 
-def read_partitions(spark: SparkSession, root: str, *paths: str) -> DataFrame:
-    """Read a partitioned Parquet directory (or some of its partition folders),
-    keeping the partition column.
-
-    ``basePath`` makes the partition column part of the result even when only
-    single partition directories are read, and a filter on it becomes a
-    partition filter that skips whole directories.
-    """
-    return spark.read.option("basePath", root).parquet(*(paths or (root,)))
-
-
-def table_exists(spark: SparkSession, table: str) -> bool:
-    return spark.catalog.tableExists(table)
-
-
 def table_location(spark: SparkSession, table: str) -> str:
     rows = spark.sql(f"DESCRIBE TABLE EXTENDED {quote_identifier(table)}").collect()
     for row in rows:

@@ -43,7 +43,7 @@ def test_steps_valid_names_ordered_numerically(spark):
 @pytest.mark.parametrize("bad", ["stat1_1.sql", "12stat1.sql", "stat.sql"])
 def test_steps_invalid_names(spark, bad):
     df = spark.createDataFrame([("stat1.sql",), (bad,)], "name string")
-    with pytest.raises(ValueError):
+    with pytest.raises(Exception, match="exactly one number"):
         with_steps(df, on_bad="raise").collect()
     assert [r.name for r in with_steps(df, on_bad="reject").collect()] == ["stat1.sql"]
 
@@ -150,8 +150,8 @@ def test_numbered_files_from_listing(spark, workdir):
     assert got == [("stat1.sql", 1), ("2stat.sql", 2), ("stat12.sql", 12)]
     with open(os.path.join(root, "stat1_1.sql"), "w") as fh:
         fh.write("select 1")
-    with pytest.raises(ValueError):
-        numbered_files(spark, root, "*.sql")
+    with pytest.raises(Exception, match="exactly one number"):
+        numbered_files(spark, root, "*.sql").collect()
 
 
 def test_step_sort_spreads_a_repeated_name(spark, workdir):
@@ -205,3 +205,16 @@ def test_run_numbered_sql_in_step_order(spark, workdir):
     results = run_numbered_sql(spark, root, t="five_rows", lo=20)
     assert [step for _, step, _ in results] == [1, 2, 10]
     assert results[-1][2].first()["total"] == 20 + 30 + 40
+
+
+def test_null_message_and_name_are_kept(spark):
+    import json
+
+    from martlet.functions.runlog import envelope, log_lines, status_events, status_json
+
+    records = _records(spark, [(dt.datetime(2021, 1, 1), 40, None, None)])
+    event = json.loads(envelope(records, "app").first()[0])
+    assert event["message"] is None and event["name"] is None and len(event) == 7
+    status = json.loads(status_json(status_events(records, 1)).first()[0])
+    assert status["log"] is None and len(status) == 4
+    assert log_lines(records).first()[0] == "2021-01-01 00:00:00 - None [ERROR]: None"

@@ -34,6 +34,8 @@ def _cfg(spark, workdir, **kw):
         lines_path=f"{workdir}/run_lines",
         events_path=f"{workdir}/run_events",
         app_id="app",
+        repair=True,
+        count_rows=True,
     )
     base.update(kw)
     return JobConfig(**base), payroll, merch
@@ -87,13 +89,13 @@ def test_job_with_timestamp_partitions_compacts_escaped_dirs(spark, workdir):
     src = payroll_source(spark, SF_SMALL).repartition(6, "epk_id")
     cfg = JobConfig(
         targets=[MartTarget(payroll, src, "report_dt")],
-        loading_id=42, entity_id=7, load_date=D, rebalance=False,  # 6 files in, 1 out
+        loading_id=42, entity_id=7, load_date=D, count_rows=True,  # 6 files in, 1 out
         stats_path=f"{workdir}/stats_ts", app_id="app",
     )
     # an older partition that must stay untouched (before the load date)
     from martlet.operators.load import load_snapshot
 
-    load_snapshot(spark, payroll, src, loading_id=41, load_date=dt.date(2021, 10, 24), rebalance=False)
+    load_snapshot(spark, payroll, src, loading_id=41, load_date=dt.date(2021, 10, 24))
     old_dir = [n for n in os.listdir(local_path(payroll.location)) if "2021-10-24" in n][0]
     old_files = sorted(os.listdir(os.path.join(local_path(payroll.location), old_dir)))
     report = run_mart_job(spark, cfg)
@@ -122,3 +124,12 @@ def test_job_parallel_loads(spark, workdir):
         payroll.table: payroll_source(spark, SF_SMALL).count(),
         merch.table: merchant_source(spark, SF_SMALL).count(),
     }
+
+
+def test_failing_status_sink_does_not_hide_the_error(spark, workdir):
+    cfg, payroll, _ = _cfg(spark, workdir, status_path="no-such-scheme://x/y")
+    cfg.targets[0] = MartTarget(payroll, "no_such_source_table", "report_dt")
+    with pytest.raises(Exception) as caught:
+        run_mart_job(spark, cfg)
+    assert "no_such_source_table" in str(caught.value)
+    assert any("could not be published" in note for note in caught.value.__notes__)

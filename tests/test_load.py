@@ -191,7 +191,7 @@ def test_copies_of_one_row_spread_over_tasks(spark, workdir):
     before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16k")
     try:
-        load_snapshot(spark, spec, spark.read.parquet(src_path), loading_id=1, load_date=D2)
+        load_snapshot(spark, spec, spark.read.parquet(src_path), loading_id=1, load_date=D2, rebalance=True)
     finally:
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
     per_file = (
@@ -237,3 +237,75 @@ def test_parallel_loads_in_one_session(spark, workdir):
     assert [r.rows_written for r in results] == [n, n, n]
     assert all(spark.table(sp.table).count() == n for sp in specs)
     assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == "STATIC"
+
+
+def test_facts_of_a_name_come_from_the_callers_session(spark, workdir):
+    from martlet.operators.load import facts_of
+
+    db = unique_name("db")
+    spark.sql(f"CREATE DATABASE {db} LOCATION '{workdir}/db'")
+    name = unique_name("src")
+    spark.range(1000).withColumnRenamed("id", "ctl_loading").write.saveAsTable(f"{db}.{name}")
+    spark.range(7).withColumnRenamed("id", "ctl_loading").write.saveAsTable(f"default.{name}")
+    before = spark.catalog.currentDatabase()
+    spark.catalog.setCurrentDatabase(db)
+    try:
+        assert tuple(facts_of(spark, name, "ctl_loading")) == (1000, 999)
+        spark.range(50).withColumnRenamed("id", "ctl_loading").createOrReplaceTempView(name)
+        assert tuple(facts_of(spark, name, "ctl_loading")) == (50, 49)
+    finally:
+        spark.catalog.dropTempView(name)
+        spark.catalog.setCurrentDatabase(before)
+        spark.sql(f"DROP DATABASE {db} CASCADE")
+        spark.sql(f"DROP TABLE default.{name}")
+
+
+def test_default_load_plan_has_no_exchange(spark, workdir):
+    from martlet.operators.load import snapshot_rows
+
+    rows = snapshot_rows(payroll_source(spark, SF_SMALL), _spec(workdir), 1, 2)
+    assert "Exchange" not in rows._jdf.queryExecution().executedPlan().toString()
+
+
+def test_changed_source_raises(spark, workdir):
+    from martlet.operators.load import SourceChangedError
+
+    spec = _spec(workdir)
+    src = payroll_source(spark, SF_SMALL)
+    facts = {"source_rows": src.count() + 5, "src_loading_id": 1}
+    with pytest.raises(SourceChangedError):
+        load_snapshot(spark, spec, src, loading_id=1, load_date=D2, _facts=facts)
+
+
+def test_reload_replaces_a_short_named_timestamp_directory(spark, workdir):
+    import os
+
+    from martlet.session import local_path
+
+    spec = _spec(workdir, partition_type=TimestampType())
+    src = payroll_source(spark, SF_SMALL)
+    load_snapshot(spark, spec, src, loading_id=1, load_date=D2)
+    root = local_path(spec.location)
+    full = f"{root}/ctl_validfrom=2021-10-25 00%3A00%3A00"
+    os.rename(full, f"{root}/ctl_validfrom=2021-10-25")
+    spark.sql(spec.repair_statement())
+    load_snapshot(spark, spec, src, loading_id=2, load_date=D2)
+    out = spark.table(spec.table)
+    assert out.count() == src.count() and out.select("ctl_loading").distinct().count() == 1
+    assert [n for n in os.listdir(root) if "=" in n] == [os.path.basename(full)]
+
+
+def test_force_load_drops_the_null_partition(spark, workdir):
+    import os
+
+    from martlet.session import local_path
+
+    spec = _spec(workdir)
+    src = payroll_source(spark, SF_SMALL)
+    load_snapshot(spark, spec, src, loading_id=1, load_date=D1)
+    root = local_path(spec.location)
+    os.rename(f"{root}/ctl_validfrom={D1}", f"{root}/ctl_validfrom=__HIVE_DEFAULT_PARTITION__")
+    spark.sql(spec.repair_statement())
+    force_load(spark, spec, src, loading_id=2, load_date=D2)
+    assert _counts(spark, spec) == {D2: src.count()}
+    assert [n for n in os.listdir(root) if "=" in n] == [f"ctl_validfrom={D2}"]
