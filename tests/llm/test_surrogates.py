@@ -1,0 +1,72 @@
+from __future__ import annotations
+
+import re
+
+from martlet.llm.surrogates import _luhn_sum, replace_personal_data, replacements
+
+from pyspark.sql import functions as F
+
+TEXT = (
+    "Write to Anna.Smith34@mail7.example.com or anna.smith34@MAIL7.example.com, call +1 (017) 555-7713 or (017) 555-7713. "
+    "Card 4539 1488 0343 6467 and 4539148803436467, host 97.51.17.173, ssn 078-05-1120, token = \"04dbebab91ab85687d33eeaaf9ac699e1188f962\". "
+    "Mrs. Maria Stone met Mr Stone, Dr. Lee and г-жа Иванова; IBAN DE89 3704 0044 0532 0130 00."
+)
+
+
+def replaced(spark, documents, *texts, key="k"):
+    out = replace_personal_data(documents(*enumerate(texts)), key).collect()
+    return [r["text"] for r in sorted(out, key=lambda r: r["doc_id"])]
+
+
+def test_every_entity_is_replaced_in_its_format(spark, documents):
+    (out,) = replaced(spark, documents, TEXT)
+    for gone in ("Smith34", "smith34", "mail7", "MAIL7", "555-7713", "9148", "97.51.17.173", "078-05-1120", "04dbebab", "Maria", "Stone", "Lee", "Иванова"):
+        assert gone not in out
+    mails = re.findall(r"\S+@\S+[a-z]", out)
+    assert len(mails) == 2 and mails[0].lower() == mails[1].lower().rstrip(",") and mails[0].endswith(".com") and mails[0][0].isupper()
+    phones = re.findall(r"(?:\+1 )?\((\d{3})\) (\d{3}-\d{4})", out)
+    assert len(phones) == 2 and phones[0] == phones[1] and "+1 (" in out
+    spaced, plain = re.search(r"Card (\d{4} \d{4} \d{4} \d{4}) and (\d{16})", out).groups()
+    assert spaced.replace(" ", "") == plain != "4539148803436467" and plain[0] == "4"
+    assert spark.range(1).select(_luhn_sum(F.lit(plain)) % 10).first()[0] == 0
+    assert re.search(r'token = "[0-9a-f]{40}"', out) and re.search(r"ssn \d{3}-\d{2}-\d{4}", out)
+    first, last, again = re.search(r"Mrs\. (\w+) (\w+) met Mr (\w+)", out).groups()
+    assert last == again and first.endswith("a") and first[0].isupper()
+    assert re.search(r"г-жа [А-Я][а-я]+", out) and re.search(r"IBAN DE\d\d( [0-9]{4}){4} \d\d", out)
+    assert all(0 < int(x) < 256 for x in re.search(r"host (\d+)\.(\d+)\.(\d+)\.(\d+)", out).groups())
+
+
+def test_clean_texts_and_null_stay(spark, documents):
+    texts = [None, "", "No data here, 12 apples and 3.14.", "Year 2021, version 1.2.3", "Mr. and Mrs. everyone"]
+    assert replaced(spark, documents, *texts) == texts
+
+
+def test_coreference_distinctness_and_key(spark, documents):
+    cards = [f"45391488034{i:05d}" for i in range(3000)]
+    texts = [f"card {c} and again {c}" for c in cards] + ["x a1@b.org", "x a2@b.org", "x a1@b.org"]
+    out = replaced(spark, documents, *texts)
+    pairs = [re.findall(r"\d{16}", t) for t in out[:3000]]
+    assert all(a == b for a, b in pairs) and len({a for a, _ in pairs}) == 3000
+    assert not {a for a, _ in pairs} & set(cards)
+    assert out[3000] == out[3002] != out[3001]
+    assert replaced(spark, documents, *texts[:5]) != replaced(spark, documents, *texts[:5], key="other")
+    assert replaced(spark, documents, *texts[:5]) == replaced(spark, documents, *texts[:5])
+
+
+def test_small_spaces_stay_distinct(spark):
+    names = [f"{c}@x.org" for c in "abcdefghijklmnopqrstuvwxyz0123456789"]
+    made = replacements(spark.createDataFrame([(n,) for n in names], "mention string"), "k").collect()
+    values = [r["replacement"] for r in made]
+    assert len(set(values)) == len(names) and not set(values) & set(names)
+
+
+def test_repeats_columns_and_empty_table(spark, documents):
+    docs = documents((1, TEXT), (1, TEXT), (None, TEXT), (2, "clean")).selectExpr("*", "1 AS mention", "2 AS kind")
+    out = replace_personal_data(docs, "k")
+    rows = out.collect()
+    assert out.columns == docs.columns and len(rows) == 4
+    assert len({r["text"] for r in rows if r["doc_id"] != 2}) == 1
+    assert all(r["n_chars"] == len(r["text"]) for r in rows)
+    assert replace_personal_data(docs.where("false"), "k").count() == 0
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
