@@ -10,6 +10,8 @@ one; column names match.
 from __future__ import annotations
 
 import datetime as _dt
+import functools
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -72,6 +74,26 @@ TEST_TARGET_BYTES = 200_000  # small target so test partitions need more than on
 
 
 # -- fixtures written by Spark from the given tables --------------------------
+#: Seconds that queries spent on their fixtures so far (for the bench).
+fixture_seconds = 0.0
+
+
+def _fixture(build):
+    """Adds a fixture's building time to ``fixture_seconds``."""
+
+    @functools.wraps(build)
+    def timed(*args, **kwargs):
+        global fixture_seconds
+        began = time.perf_counter()
+        try:
+            return build(*args, **kwargs)
+        finally:
+            fixture_seconds += time.perf_counter() - began
+
+    return timed
+
+
+@_fixture
 def _year_mart(spark: SparkSession, sf_dir: str, label: str, small_files: bool = False):
     """``lineitem`` by ship year as an external partitioned table; returns its spec."""
     root = new_work_dir(spark, label)
@@ -335,6 +357,7 @@ def q_partition_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_fixture
 def _text_partitions(spark: SparkSession, sf_dir: str, label: str) -> str:
     """``lineitem`` as uncompressed text lines below one directory a ship year,
     one file per (year, ``l_orderkey % SMALL_FILES``), and a directory whose one

@@ -11,13 +11,10 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from pyspark.sql import functions as F  # noqa: E402
+
 from martlet.functions.runlog import envelope  # noqa: E402
-from martlet.operators.compact import (  # noqa: E402
-    _coalesced_union,
-    _salted,
-    compaction_plan,
-    rewrite_session,
-)
+from martlet.operators.compact import _rewritten, _scan, compaction_plan  # noqa: E402
 from martlet.operators.load import snapshot_rows, source_facts  # noqa: E402
 from martlet.operators.load import load_snapshot  # noqa: E402
 from martlet.operators.stats import load_stat_rows, table_stats  # noqa: E402
@@ -37,7 +34,7 @@ def main():
     src = payroll_source(spark, sf)
     spec = payroll_spec(unique_name("p"), new_work_dir(spark, "plans") + "/p")
     show("load: source facts (count, max load id)", source_facts(src, "ctl_loading"))
-    show("load: rows into the partition (rebalanced)",
+    show("load: rows into the partition",
          snapshot_rows(src, spec, 1, 42))
     show("table_stats", table_stats(src))
     for day in (24, 25):
@@ -51,12 +48,9 @@ def main():
     show("compaction plan (listing, no file opened)",
          compaction_plan(spark, root, "ctl_validfrom", "date", dt.date(1998, 1, 1), 200_000))
     paths = [f"{root}/{p['fragment']}" for p in plan]
-    schema = spark.read.option("basePath", root).parquet(*paths).schema
-    data_cols = [f.name for f in schema.fields if f.name != "ctl_validfrom"]
-    show("compaction rewrite: coalesce-union (no shuffle)",
-         _coalesced_union(rewrite_session(spark), root, schema, "ctl_validfrom", plan))
-    show("compaction rewrite: salted (one shuffle, broadcast plan)",
-         _salted(spark, root, paths, schema, "ctl_validfrom", data_cols, plan))
+    schema = lineitem_by_year(spark, sf).withColumn("ctl_validfrom", F.col("ctl_validfrom").cast("string")).schema
+    show("compaction rewrite (one shuffle, salted)",
+         _rewritten(_scan(spark, root, paths, schema), plan, ["ctl_validfrom"], "salted"))
     show("log envelope", envelope(log_records(table(spark, sf, "events")), "app"))
     spark.stop()
 
