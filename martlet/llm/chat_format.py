@@ -48,10 +48,11 @@ def formatted_turn(turn: Column) -> Column:
 
 
 def expand(conversations: DataFrame) -> DataFrame:
-    """``conv_id, example, formatted, loss_start, loss_end``, an example a row.
+    """``conv_id, example, closes, formatted, loss_start, loss_end``, an example
+    a row; ``closes`` marks a conversation's last one, which holds all turns.
 
     The loss mask is ``[loss_start, loss_end)`` in code points of ``formatted``;
-    it is null in a closing example.
+    it is null in a closing example without a target.
     """
     c = conversations
     rows = c.select(
@@ -59,24 +60,26 @@ def expand(conversations: DataFrame) -> DataFrame:
         F.coalesce(c["role"].cast("string"), F.lit("")).alias("role"),
         F.coalesce(c["text"].cast("string"), F.lit("")).alias("text"),
     )
-    whole = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("turns")).select(
-        "conv_id", F.col("turns.role").alias("roles"), F.transform("turns", formatted_turn).alias("pieces"),
-    )
-    last = F.size("roles") - 1
-    wanted = F.filter(
-        F.sequence(F.lit(0), last), lambda i: (F.get(F.col("roles"), i) == ASSISTANT) | (i == last)
+    turns = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("turns"))
+    pieces = turns.select("conv_id", F.col("turns.role").alias("roles"), F.transform("turns", formatted_turn).alias("pieces"))
+    # Where each turn ends in the whole conversation; an example is its beginning.
+    ends = F.aggregate(
+        F.transform("pieces", F.length), F.array().cast("array<int>"),
+        lambda acc, n: F.concat(acc, F.array(n + F.coalesce(F.try_element_at(acc, F.lit(-1)), F.lit(0)))),
     )
+    placed = pieces.select("conv_id", F.array_join("pieces", "").alias("whole"), F.arrays_zip(
+        F.col("roles").alias("role"), F.transform("pieces", F.length).alias("size"), ends.alias("end")
+    ).alias("turns"))
+    last = F.size("turns") - 1
+    numbered = F.transform("turns", lambda t, i: F.struct(t["size"].alias("size"), t["end"].alias("end"), (t["role"] == ASSISTANT).alias("trains"), (i == last).alias("closes")))
+    wanted = F.filter(numbered, lambda t: t["trains"] | t["closes"])
+    head = len(START + ASSISTANT + BODY)
     return (
-        whole.select("conv_id", "roles", "pieces", F.posexplode(wanted).alias("example", "at"))
-        .select(
-            "conv_id", "example", F.array_join(F.slice("pieces", 1, F.col("at") + 1), "").alias("formatted"),
-            (F.get("roles", F.col("at")) == ASSISTANT).alias("trains"),
-            (F.length(F.get("pieces", F.col("at"))) - len(START + ASSISTANT + BODY)).alias("tail"),
-        )
+        placed.select("conv_id", "whole", F.posexplode(wanted).alias("example", "t"))
         .select(
-            "conv_id", "example", "formatted",
-            F.when(F.col("trains"), F.length("formatted") - F.col("tail")).alias("loss_start"),
-            F.when(F.col("trains"), F.length("formatted") - len(END)).alias("loss_end"),
+            "conv_id", "example", F.col("t.closes").alias("closes"), F.left("whole", F.col("t.end")).alias("formatted"),
+            F.when(F.col("t.trains"), F.col("t.end") - F.col("t.size") + head).alias("loss_start"),
+            F.when(F.col("t.trains"), F.col("t.end") - len(END)).alias("loss_end"),
         )
     )
 
@@ -86,21 +89,25 @@ def read_back(examples: DataFrame) -> DataFrame:
     the loss mask covers, as counts and SHA-256 digests."""
     size = F.col("loss_end") - F.col("loss_start")
     target = F.when(size > 0, unescaped(F.substring(F.col("formatted"), F.col("loss_start") + 1, size))).otherwise("")
-    # Only the last example holds all turns; the others pass on their target alone.
-    lengths = examples.select("conv_id", "example", "formatted", target.alias("target"))
-    by_conv = lengths.groupBy("conv_id").agg(
-        F.max_by("formatted", "example").alias("whole"),
-        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("example", "target"))), lambda x: x["target"]), "").alias("loss"),
-        F.sum(F.length("formatted")).alias("formatted_chars"),
+    # Only the closing example holds all turns; the others pass on their target alone.
+    read = examples.select(
+        "conv_id", "example", F.when(F.col("closes"), F.col("formatted")).alias("whole"),
+        target.alias("target"), F.length("formatted").cast("long").alias("chars"),
     )
-    marks = F.split("whole", r"<\|start\|>|<\|text\|>|<\|end\|>")  # "", role, text, "", role, text, ...
-    n = F.floor(F.size(marks) / 3)
-    pairs = F.transform(
-        F.sequence(F.lit(0), (n - 1).cast("int")),
-        lambda i: F.concat(unescaped(F.get(marks, i * 3 + 1)), F.lit("\n"), unescaped(F.get(marks, i * 3 + 2)), F.lit("\n")),
+    by_conv = read.groupBy("conv_id").agg(
+        F.max("whole").alias("whole"), F.sum("chars").alias("formatted_chars"),
+        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("example", "target"))), lambda x: x["target"]), "").alias("loss"),
     )
-    return by_conv.select(
-        "conv_id", n.cast("long").alias("n_turns"), F.sha2(F.array_join(pairs, ""), 256).alias("turns_sha256"),
-        F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"),
-        F.col("formatted_chars").cast("long").alias("formatted_chars"),
+    # One split per conversation; what follows a start mark is one turn.
+    parts = F.split("whole", r"<\|start\|>")
+    turns = by_conv.withColumn("turns", F.filter(parts, lambda part, i: i > 0))
+
+    def content(turn: Column) -> Column:
+        role, text = F.substring_index(turn, BODY, 1), F.substring_index(F.substring_index(turn, BODY, -1), END, 1)
+        return F.concat(unescaped(role), F.lit("\n"), unescaped(text), F.lit("\n"))
+
+    return turns.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(F.transform("turns", content), ""), 256).alias("turns_sha256"),
+        F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"), "formatted_chars",
     )
