@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martlet.session import work_root
+from martlet.session import new_work_dir, work_root
 
 #: A word everywhere in this subpackage: a run of anything but ASCII white space.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
@@ -22,6 +22,14 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Cut the lineage with a Parquet table in the shared folder: smaller than a
+    checkpoint, for what is large and read more than once."""
+    path = new_work_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def text_bytes(value: str | None) -> bytes:
     """UTF-8 of a text (null: empty). ``bytes.split`` and ``bytes.lower`` are
     ASCII-only, which is exactly the word rule and the A-Z lower-casing."""

@@ -36,9 +36,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from martlet.llm.bitmaps import bit_maps, passes
 from martlet.llm.common import checkpointed, text_bytes
 
-MAP_BITS = 24
 #: 1: the token is hashed; 0: it is ignored.
 MASKS = ("110110110110", "111010011011", "101101110011", "111100001111")
 SPAN = 12
@@ -140,36 +140,6 @@ def item_seeds(items: DataFrame, masks: list[list[int]]) -> DataFrame:
     return items.mapInArrow(run, "seed long, mask int, item_id long, item_pos int")
 
 
-def bit_maps(seeds: DataFrame) -> list[np.ndarray]:
-    """Two maps of ``2 ** MAP_BITS`` bits over the seeds, added up by Spark.
-
-    What comes to the driver is at most ``2 ** MAP_BITS / 64`` longs a map.
-    """
-    maps = []
-    for shift in (0, MAP_BITS):
-        bit = F.shiftrightunsigned("seed", shift).bitwiseAND(F.lit((1 << MAP_BITS) - 1))
-        words = (
-            seeds.select(F.shiftright(bit, 6).alias("at"), F.expr("1L").alias("one"), bit.bitwiseAND(F.lit(63)).cast("int").alias("b"))
-            .select("at", F.expr("shiftleft(one, b)").alias("bits"))
-            .groupBy("at").agg(F.bit_or("bits").alias("bits")).toArrow()
-        )
-        found = np.zeros(1 << (MAP_BITS - 6), np.int64)
-        found[words.column("at").to_numpy()] = words.column("bits").to_numpy()
-        maps.append(found.view(np.uint8))
-    return maps
-
-
-def _passes(seeds: np.ndarray, maps: list[np.ndarray]) -> np.ndarray:
-    """Positions whose seeds are in both maps."""
-    low = np.uint64((1 << MAP_BITS) - 1)
-
-    def bits(of: np.ndarray, bitmap: np.ndarray) -> np.ndarray:
-        return (bitmap[of >> np.uint64(3)] >> (of & np.uint64(7)).astype(np.uint8)) & np.uint8(1)
-
-    at = np.flatnonzero(bits(seeds & low, maps[0]))
-    return at[bits((seeds[at] >> np.uint64(MAP_BITS)) & low, maps[1]) != 0]
-
-
 def regions(docs: DataFrame, masks: list[list[int]], maps, context: int) -> DataFrame:
     """``doc_id, start, tokens, hits``: the parts of texts around possible hits."""
     schema = "doc_id long, start int, tokens array<long>, hits array<struct<seed:long,mask:int,pos:int>>"
@@ -181,7 +151,7 @@ def regions(docs: DataFrame, masks: list[list[int]], maps, context: int) -> Data
         for m, positions in enumerate(masks):
             span = _span(m, positions)
             seeds = seed_hashes(tokens, positions, span)
-            hits += [(int(p), m, int(seeds[p].view(np.int64)), span) for p in _passes(seeds, maps.value)]
+            hits += [(int(p), m, int(seeds[p].view(np.int64)), span) for p in passes(seeds, maps.value)]
         hits.sort()
         first = 0
         for i, hit in enumerate(hits):
