@@ -56,7 +56,7 @@ def test_partition_values_round_trip(spark, values):
 @given(
     target=st.integers(min_value=2_000, max_value=400_000),
     start_year=st.integers(min_value=1994, max_value=2002),
-    strategy=st.sampled_from(["coalesce", "salted"]),
+    strategy=st.sampled_from(["auto", "salted"]),
 )
 def test_compaction_keeps_rows_and_never_exceeds_n(spark, target, start_year, strategy):
     import os
