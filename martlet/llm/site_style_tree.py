@@ -67,6 +67,8 @@ ROLE_WORDS = frozenset(
     " overlay pager pagination popup promo promotion recommended related replies reply respond search share"
     " sharing sidebar signup social sponsor sponsored subscribe toolbar topbar widget".split()
 )
+ROLE_BEGINNINGS = ("adsby", "advert", "breadcrumb", "cookie", "newsletter", "sidebar", "sponsor")
+ROLE_ENDINGS = ("banner", "comments", "footer", "menu", "nav", "navbar", "sidebar")
 ROOT_TAGS = frozenset({"html", "body", "article", "main"})
 CONTAINERS = frozenset("div section table ul ol".split())
 
@@ -119,9 +121,11 @@ def _role(tag: str, attributes: dict[str, str], inside_article: bool) -> str:
     if "hidden" in attributes or attributes.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none", attributes.get("style", "")):
         return "hidden"
     names = " ".join(attributes.get(k, "") for k in ("class", "id", "role"))
-    for word in _WORDS.findall(names):
-        if word.lower() in ROLE_WORDS or (word.lower() == "header" and not inside_article):
-            return word.lower()
+    for word in map(str.lower, _WORDS.findall(names)):
+        if word in ROLE_WORDS or word.startswith(ROLE_BEGINNINGS) or word.endswith(ROLE_ENDINGS):
+            return word
+        if word.endswith("header") and not inside_article:
+            return word
     return ""
 
 

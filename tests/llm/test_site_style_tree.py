@@ -31,6 +31,10 @@ def test_declared_roles_go():
     <div role="dialog">x</div><footer>(c)</footer></body></html>"""
     assert text(html) == "Title\nBody."
     assert text("<form><main><p>whole page in a form</p></main></form>") == "whole page in a form"
+    for name in ("topnav", "site-footer", "cookiebar", "userComments", "AdSlot", "page_header", "leftSidebar", "advertisement-2"):
+        assert text(f"<div class='{name}'>gone</div><p>kept</p>") == "kept", name
+    for name in ("content", "adventure", "shadow", "load-more-text", "heading", "recommendation"):
+        assert text(f"<div class='{name}'>here</div><p>kept</p>") == "here\nkept", name
     assert text("<main><p>m</p><div class='widget'>w</div></main><p>outside</p>") == "m"
 
 
