@@ -59,6 +59,8 @@ from martlet.sources.hadoop_fs import HadoopFS
 # Target file size (the HDFS block size the reference configures).
 DEFAULT_TARGET_BYTES = 128 * 1024 * 1024
 
+MIN_ROW_GROUP = 1024 * 1024
+
 #: Shares into which a partition's rows are split for the join with the plan.
 JOIN_SPLITS = 32
 _KEY, _POSITION, _SPLIT, _N = "__martlet_key", "__martlet_position", "__martlet_split", "__martlet_n"
@@ -244,10 +246,13 @@ def compact(
     ``strategy``: ``"auto"`` is ``"salted"`` for partitioned and ``"coalesce"`` for
     flat folders, at every size. ``verify`` is ``"count"`` (footers only) or
     ``"checksum"`` (adds a whole-row ``xxhash64`` sum, one more scan).
+    ``target_bytes`` is also the Parquet row group size of the new files.
     ``table`` gives the declared schema and is refreshed after the swap.
     """
     root = root.rstrip("/")
     fs = _fs or HadoopFS(spark)
+    if target_bytes is None:
+        target_bytes = fs.default_block_size(root)
     timings: dict[str, float] = {}
     clock = _Clock(timings)
     levels = partition_levels(fs, root)
@@ -284,7 +289,8 @@ def compact(
     if verify == "checksum":
         metrics.append(_checksum(data_schema).alias("checksum"))
     rows = _rewritten(_scan(spark, root, paths, schema), plan_rows, levels, strategy, lambda df: df.observe(obs, *metrics))
-    writer = rows.write.mode("errorifexists")
+    # A file of the target size is one row group.
+    writer = rows.write.mode("errorifexists").option("parquet.block.size", str(max(target_bytes, MIN_ROW_GROUP)))
     if levels:
         writer = writer.partitionBy(*levels)
     with _job_group(spark, f"martlet-compact-{run}", f"compaction rewrite of {root}") as group:

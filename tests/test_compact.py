@@ -476,3 +476,25 @@ def test_recover_nested_partitions(spark, workdir):
         compact(spark, root, _fs=DriverDies(spark))
     recover_interrupted_swap(spark, root)
     _assert_same_rows(spark.read.parquet(root).select("id", "a", "b"), df)
+
+
+def test_hidden_entries_are_skipped(spark, workdir):
+    root = f"{workdir}/t"
+    spark.range(20).selectExpr("id", "id % 2 AS p").repartition(3).write.partitionBy("p").parquet(root)
+    fs = HadoopFS(spark)
+    for name in ("p=0/_temporary/x.parquet", "p=0/.hidden", "_SUCCESS", "_delta/z", ".staging/y"):
+        fs.touch(f"{root}/{name}")
+    plan = compaction_plan(spark, root, "p", "int", None, TARGET).collect()
+    assert sorted((r["p"], r["files"]) for r in plan) == [(0, 3), (1, 3)]
+    assert sorted(r["fragment"] for r in compaction_plan(spark, root).collect()) == ["p=0", "p=1"]
+
+
+def test_row_groups_follow_the_target(spark, workdir):
+    import pyarrow.parquet as pq
+
+    root = f"{workdir}/flat"
+    spark.range(400_000).selectExpr("id", "uuid() AS u").repartition(6).write.parquet(root)
+    compact_directory(spark, root, 2 * 1024 * 1024)
+    files = [f for f in os.listdir(local_path(root)) if f.endswith(".parquet")]
+    groups = [pq.ParquetFile(f"{local_path(root)}/{f}").metadata.num_row_groups for f in files]
+    assert len(files) > 4 and max(groups) <= 3
