@@ -27,7 +27,8 @@ def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    scored = toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ("quality", "toxic"))
+    return scored.select("doc_id", "toxic", "p_toxic", "p_quality")
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
