@@ -39,6 +39,8 @@ from pyspark.sql.window import Window
 from martlet.llm.common import WORD_PATTERN, checkpointed
 
 BLOCK = 64
+#: Shares of a source's documents in joins.
+SPLITS = 32
 #: Shares of a source above which documents are rounded before the others.
 TIERS = (0.1, 0.01)
 EPSILON = 1e-9
@@ -173,9 +175,21 @@ def rounded(fractions: DataFrame, largest: int) -> DataFrame:
 
 
 def _with_targets(rows: DataFrame, targets: DataFrame) -> DataFrame:
-    """``rows`` with their source's columns (null is a source like any other)."""
-    named = targets.withColumnRenamed("source", "__source")
-    return rows.join(named, F.col("source").eqNullSafe(F.col("__source"))).drop("__source")
+    """``rows`` with their source's columns (null is a source like any other).
+
+    A source may hold most rows: the join is on the source and one of
+    ``SPLITS`` shares of its documents, so no source is one join key.
+    """
+    split = F.pmod(F.xxhash64("doc_id", "size"), F.lit(SPLITS)).cast("int")
+    named = targets.withColumnRenamed("source", "__source").withColumn("__share", F.explode(F.sequence(F.lit(0), F.lit(SPLITS - 1))))
+    on = F.col("source").eqNullSafe(F.col("__source")) & (F.col("__split") == F.col("__share"))
+    return rows.withColumn("__split", split).join(named, on).drop("__source", "__split", "__share")
+
+
+def _of_source(rows: DataFrame, sources: DataFrame) -> DataFrame:
+    """Joins two tables of a row (or a few) a source."""
+    named = sources.withColumnRenamed("source", "__source")
+    return rows.join(named, F.col("source").eqNullSafe(F.col("__source")), "left").drop("__source")
 
 
 def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), budget: float = 1.5, max_copies: float = 2.0) -> DataFrame:
@@ -193,7 +207,7 @@ def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), budget: float = 1
     for number in range(len(TIERS) + 1):
         here = plan.where(F.col("tier") == number)
         rate = F.when(F.col("size_left") > 0, F.least(F.lit(float(max_copies)), F.greatest(F.lit(0.0), F.col("target_left") / F.col("size_left")))).otherwise(0.0)
-        rates = checkpointed(_with_targets(here, left.withColumn("rate", rate)).select("source", "n", "rate"))
+        rates = checkpointed(_of_source(here, left.withColumn("rate", rate)).select("source", "n", "rate"))
         largest = rates.agg(F.max("n")).first()[0]
         if largest is None:
             continue
@@ -203,9 +217,8 @@ def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), budget: float = 1
         copies = (F.floor("rate") + F.col("p")).cast("long")
         done = _with_targets(rounded(fractions, largest), rates).select("source", "doc_id", "size", copies.alias("copies"))
         took = done.groupBy("source").agg(F.sum(F.col("copies") * F.col("size")).alias("took"), F.sum("size").alias("gone"))
-        named = took.withColumnRenamed("source", "__source")
         left = checkpointed(
-            left.join(named, F.col("source").eqNullSafe(F.col("__source")), "left").select(
+            _of_source(left, took).select(
                 "source", (F.col("target_left") - F.coalesce("took", F.lit(0))).alias("target_left"),
                 (F.col("size_left") - F.coalesce("gone", F.lit(0))).alias("size_left"),
             )
