@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martlet.session import new_work_dir, work_root
+from martlet.session import checkpointed, new_work_dir
+
+__all__ = ["WORD_PATTERN", "checkpointed", "stored", "table", "text_bytes"]
 
 #: A word everywhere in this subpackage: a run of anything but ASCII white space.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
@@ -14,14 +16,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the shared folder."""
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(work_root(df.sparkSession))
-    return df.checkpoint()
-
-
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Cut the lineage with a Parquet table in the shared folder: smaller than a
     checkpoint, for what is large and read more than once."""
