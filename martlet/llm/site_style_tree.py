@@ -94,19 +94,28 @@ class TreeParams:
 @dataclass
 class Element:
     tag: str
-    path: str
+    path: int  # hash of the names from the top down to here
     dead: str  # why the branch is no content; empty: it may be
     root: int  # 0 body, 1 main, 2 article
+    parent: Element | None = None
     children: list[str] = field(default_factory=list)
     ordinals: Counter = field(default_factory=Counter)
 
 
 @dataclass
 class Block:
-    paths: list[str]  # of the element and its ancestors, innermost first
+    element: Element
     text: str
     root: int
 
+    @property
+    def paths(self) -> Iterator[int]:
+        """Of the element and its ancestors, innermost first."""
+        element = self.element
+        while element.parent is not None:
+            yield element.path
+            element = element.parent
+
 
 def _role(tag: str, attributes: dict[str, str], inside_article: bool) -> str:
     """Why the element is declared not to be content; empty if it is not."""
@@ -129,13 +138,12 @@ def _role(tag: str, attributes: dict[str, str], inside_article: bool) -> str:
     return ""
 
 
-def parse(source: str | None) -> tuple[list[Block], dict[str, str]]:
+def parse(source: str | None) -> tuple[list[Block], dict[int, str]]:
     """The text blocks of a page in order, and per path the child sequence."""
     source = source or ""
-    root = Element("", "", "", 0)
-    stack = [root]
+    stack = [Element("", 0, "", 0)]
     blocks: list[Block] = []
-    shapes: dict[str, list[str]] = {}
+    shapes: dict[int, list[str]] = {}
     run: list[str] = []
 
     def flush() -> None:
@@ -143,7 +151,7 @@ def parse(source: str | None) -> tuple[list[Block], dict[str, str]]:
         run.clear()
         top = stack[-1]
         if text and not top.dead:
-            blocks.append(Block([e.path for e in reversed(stack)], text, top.root))
+            blocks.append(Block(top, text, top.root))
 
     def close(depth: int) -> None:
         flush()
@@ -171,7 +179,8 @@ def parse(source: str | None) -> tuple[list[Block], dict[str, str]]:
             dead = ""  # old sites wrap whole pages in a form
         article = tag == "article" or attributes.get("itemprop") == "articleBody"
         main = tag == "main" or attributes.get("role") == "main"
-        stack.append(Element(tag, f"{parent.path}/{name}", dead, 2 if article else max(parent.root, int(main))))
+        path = xxhash.xxh64_intdigest(name.encode("utf-8", "surrogatepass"), parent.path)
+        stack.append(Element(tag, path, dead, 2 if article else max(parent.root, int(main)), parent))
         if tag in VOID_TAGS:
             close(len(stack) - 1)
 
@@ -213,8 +222,8 @@ def host_of(url: str | None) -> str:
     return found[1].lower() if found else ""
 
 
-def _node(host: str, path: str) -> int:
-    return xxhash.xxh64_intdigest(f"{host}\x00{path}".encode("utf-8", "surrogatepass"))
+def _node(host: str, path: int) -> int:
+    return xxhash.xxh64_intdigest(host.encode("utf-8", "surrogatepass"), path)
 
 
 PAGE, SHAPE, TEXT = 0, 1, 2
@@ -245,7 +254,7 @@ def observations(pages: DataFrame) -> DataFrame:
                     children[(node, host, PAGE, 0)] += len(shape.split())
                 for block in blocks:
                     text = xxhash.xxh64_intdigest(block.text.encode("utf-8", "surrogatepass"))
-                    own |= {(_node(host, path), host, TEXT, text) for path in block.paths if path}
+                    own |= {(_node(host, path), host, TEXT, text) for path in block.paths}
                 seen.update(own)
             keys = list(seen)
             yield pa.RecordBatch.from_arrays(
@@ -288,7 +297,7 @@ def page_text(source: str | None, host: str, low: set[int] | frozenset[int]) ->
     best = max(b.root for b in blocks)
     blocks = [b for b in blocks if b.root == best]
     if host and low:
-        kept = [b for b in blocks if not any(_node(host, path) in low for path in b.paths if path)]
+        kept = [b for b in blocks if not any(_node(host, path) in low for path in b.paths)]
         blocks = kept or blocks
     return "\n".join(b.text for b in blocks)
 
