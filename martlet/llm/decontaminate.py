@@ -14,9 +14,10 @@ word at an ignored position does not hide the passage.
    diagonal) is one alignment.
 4. Every alignment is verified token by token: the best segment around the hit,
    at 80% or more equal tokens, must span ``min_overlap`` tokens (or the whole
-   item, where that is shorter).
+   item, where that is shorter). Where the best one is shorter, the longest that
+   begins and ends with an equal token decides.
 
-Items shorter than the masks use whole-item seeds of their own length; an item
+Items of up to ``SPAN`` tokens use masks of their own length; an item
 of fewer than ``min_item_tokens`` tokens carries no passage and matches nothing.
 
 Defined results: null and empty texts match nothing; repeated documents or items
@@ -39,8 +40,11 @@ from pyspark.sql import functions as F
 from martlet.llm.bitmaps import bit_maps, passes
 from martlet.llm.common import checkpointed, text_bytes
 
-#: 1: the token is hashed; 0: it is ignored.
-MASKS = ("110110110110", "111010011011", "101101110011", "111100001111")
+#: 1: the token is hashed; 0: it is ignored. One of them fits into every overlap
+#: of 13 to 25 tokens of which a fifth at most is replaced, wherever (enumerated);
+#: every longer one holds such an overlap.
+MASKS = ("1101111", "1110100011", "1110010101", "1011100101")
+#: Items of up to as many tokens have masks of their own.
 SPAN = 12
 CACHE_WORDS = 200_000
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
@@ -51,7 +55,7 @@ class Seeding:
     min_overlap: int = 13
     min_match: float = 0.8
     min_item_tokens: int = 5
-    context: int = 16
+    context: int = 25
 
 
 class _TokenHashes(dict):
@@ -83,10 +87,18 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def mask_positions(short_lengths: list[int]) -> list[list[int]]:
-    """Positions hashed by each mask; the masks of short items follow the fixed ones."""
-    fixed = [[i for i, bit in enumerate(mask) if bit == "1"] for mask in MASKS]
-    return fixed + [list(range(n)) for n in short_lengths]
+def short_masks(n: int) -> list[list[int]]:
+    """Masks of a whole item of ``n`` tokens: its inner positions are dealt to one
+    block more than a fifth of ``n`` may be replaced, and each mask hashes both ends
+    and one block, so one mask is left whole."""
+    blocks = n // 5 + 1
+    return [[0, *range(1 + b, n - 1, blocks), n - 1] for b in range(blocks)]
+
+
+def mask_positions(short_lengths: list[int]) -> list[tuple[int, list[int]]]:
+    """Span and hashed positions of each mask; the masks of short items follow the fixed ones."""
+    fixed = [(len(mask), [i for i, bit in enumerate(mask) if bit == "1"]) for mask in MASKS]
+    return fixed + [(n, positions) for n in short_lengths for positions in short_masks(n)]
 
 
 def seed_hashes(tokens: np.ndarray, positions: list[int], span: int) -> np.ndarray:
@@ -100,10 +112,6 @@ def seed_hashes(tokens: np.ndarray, positions: list[int], span: int) -> np.ndarr
     return _mix(h)
 
 
-def _span(mask: int, positions: list[int]) -> int:
-    return SPAN if mask < len(MASKS) else len(positions)
-
-
 def item_table(benchmark: DataFrame, params: Seeding) -> DataFrame:
     """``item_id, tokens`` of every item long enough to carry a passage."""
 
@@ -119,17 +127,17 @@ def item_table(benchmark: DataFrame, params: Seeding) -> DataFrame:
     return items.where(F.size("tokens") >= params.min_item_tokens).distinct()
 
 
-def item_seeds(items: DataFrame, masks: list[list[int]]) -> DataFrame:
+def item_seeds(items: DataFrame, masks: list[tuple[int, list[int]]]) -> DataFrame:
     """``seed, mask, item_id, item_pos`` of every item."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for item, value in zip(batch.column(0), batch.column(1)):
                 tokens = value.values.to_numpy(zero_copy_only=False).view(np.uint64)
-                for m, positions in enumerate(masks):
-                    if m >= len(MASKS) and len(tokens) != len(positions):
+                for m, (span, positions) in enumerate(masks):
+                    if (len(tokens) <= SPAN) != (m >= len(MASKS)) or m >= len(MASKS) and len(tokens) != span:
                         continue
-                    seeds = seed_hashes(tokens, positions, _span(m, positions)).view(np.int64)
+                    seeds = seed_hashes(tokens, positions, span).view(np.int64)
                     n = len(seeds)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(seeds), pa.array(np.full(n, m, np.int32)),
@@ -140,7 +148,7 @@ def item_seeds(items: DataFrame, masks: list[list[int]]) -> DataFrame:
     return items.mapInArrow(run, "seed long, mask int, item_id long, item_pos int")
 
 
-def regions(docs: DataFrame, masks: list[list[int]], maps, context: int) -> DataFrame:
+def regions(docs: DataFrame, masks: list[tuple[int, list[int]]], maps, context: int) -> DataFrame:
     """``doc_id, start, tokens, hits``: the parts of texts around possible hits."""
     schema = "doc_id long, start int, tokens array<long>, hits array<struct<seed:long,mask:int,pos:int>>"
     hit_type = pa.list_(pa.struct([("seed", pa.int64()), ("mask", pa.int32()), ("pos", pa.int32())]))
@@ -148,8 +156,7 @@ def regions(docs: DataFrame, masks: list[list[int]], maps, context: int) -> Data
     def of_text(doc_id: int, text: str | None) -> Iterator[tuple]:
         tokens = token_hashes(text)
         hits = []
-        for m, positions in enumerate(masks):
-            span = _span(m, positions)
+        for m, (span, positions) in enumerate(masks):
             seeds = seed_hashes(tokens, positions, span)
             hits += [(int(p), m, int(seeds[p].view(np.int64)), span) for p in passes(seeds, maps.value)]
         hits.sort()
@@ -192,6 +199,19 @@ def best_segment(equal: np.ndarray, min_match: float) -> tuple[int, int]:
     return span
 
 
+def longest_segment(equal: np.ndarray, min_match: float) -> tuple[int, int]:
+    """The longest run ``[lo, hi)`` that begins and ends with an equal token and in
+    which at least ``min_match`` are equal."""
+    at = np.flatnonzero(equal)
+    if not len(at):
+        return 0, 0
+    sums = np.concatenate([[0.0], np.cumsum(np.where(equal, 1 - min_match, -min_match))])
+    low = np.minimum.accumulate(sums[at])
+    starts = at[np.searchsorted(-low, -sums[at + 1] - 1e-9)]
+    best = int(np.argmax(at - starts))
+    return int(starts[best]), int(at[best]) + 1
+
+
 def verified(alignments: DataFrame, params: Seeding) -> DataFrame:
     """Alignments whose overlap holds, with its place and size in tokens."""
     names = ["doc_id", "item_id", "doc_start", "item_start", "n_tokens", "n_equal"]
@@ -204,7 +224,10 @@ def verified(alignments: DataFrame, params: Seeding) -> DataFrame:
             return None
         equal = doc[lo + shift : hi + shift] == item[lo:hi]
         a, b = best_segment(equal, params.min_match)
-        if b - a < min(params.min_overlap, len(item)):
+        least = min(params.min_overlap, len(item))
+        if b - a < least:  # replaced words outweigh the runs beside them
+            a, b = longest_segment(equal, params.min_match)
+        if b - a < least:
             return None
         return row["doc_id"], row["item_id"], lo + a + row["diagonal"], lo + a, b - a, int(equal[a:b].sum())
 
@@ -224,7 +247,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, params: Seeding = Seedin
     verified overlap, in tokens.
     """
     items = checkpointed(item_table(benchmark, params))
-    short = items.where(F.size("tokens") < SPAN).select(F.size("tokens").alias("n")).distinct().orderBy("n")
+    short = items.where(F.size("tokens") <= SPAN).select(F.size("tokens").alias("n")).distinct().orderBy("n")
     masks = mask_positions([row["n"] for row in short.collect()])  # at most SPAN lengths
     seeds = checkpointed(item_seeds(items, masks))
     maps = docs.sparkSession.sparkContext.broadcast(bit_maps(seeds))

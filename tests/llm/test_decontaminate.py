@@ -1,8 +1,9 @@
 from __future__ import annotations
 
 import random
+from itertools import combinations
 
-from martlet.llm.decontaminate import best_segment, contaminated, token_hashes, without_contaminated
+from martlet.llm.decontaminate import MASKS, SPAN, best_segment, contaminated, longest_segment, mask_positions, token_hashes, without_contaminated
 
 import numpy as np
 
@@ -63,3 +64,35 @@ def test_segment_and_tokens():
     assert best_segment(equal, 0.8) == (1, 10)
     assert len(token_hashes("A a | *** b.")) == 3
     assert token_hashes("(Word)")[0] == token_hashes("word")[0]
+
+
+def test_every_place_of_replaced_words_has_a_seed():
+    fixed = [(len(m), sum(1 << i for i, bit in enumerate(m) if bit == "1")) for m in MASKS]
+    for n, k in ((13, 2), (14, 2), (15, 3), (20, 4), (25, 5)):
+        for gone in combinations(range(n), k):
+            kept = (1 << n) - 1 - sum(1 << x for x in gone)
+            assert any(kept >> i & mask == mask for span, mask in fixed for i in range(n - span + 1)), (n, gone)
+    for n in range(5, SPAN + 1):  # whole items, which begin and end with an equal token
+        for gone in combinations(range(1, n - 1), n // 5):
+            assert any(not set(gone) & set(p) for span, p in mask_positions([n])[len(MASKS):] if span == n), (n, gone)
+
+
+def test_every_place_of_replaced_words_is_accepted():
+    for n in range(5, 16):
+        for gone in combinations(range(1, n - 1), n // 5):
+            equal = np.ones(n, bool)
+            equal[list(gone)] = False
+            assert longest_segment(np.concatenate([[False] * 5, equal, [False] * 5]), 0.8) == (5, 5 + n)
+
+
+def test_replaced_words_are_found(spark, documents, prose):
+    bench, rows, expected = {}, [], set()
+    for n in (5, 7, 9, 10, 12, 13, 15):
+        bench[n] = prose(2000 + n, n)
+        for j, gone in enumerate(combinations(range(1, n - 1), n // 5)):
+            if j % 5 == 0 or n < 10:
+                words = [f"other{i}" if i in gone else w for i, w in enumerate(bench[n].split())]
+                rows.append((n * 1000 + j, " ".join([prose(n * 1000 + j, 30), *words, prose(n * 1000 + j + 500, 30)])))
+                expected.add((n * 1000 + j, n))
+    got = {(x["doc_id"], x["item_id"]) for x in contaminated(documents(*rows), items(spark, *bench.items())).collect()}
+    assert expected <= got
