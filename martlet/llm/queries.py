@@ -6,12 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from martlet.llm import sql, superminhash
 from martlet.llm.chat_format import expand, read_back
 from martlet.llm.common import WORD_PATTERN, table
 from martlet.llm.compact_windows import passage_classes
 from martlet.llm.decontaminate import contaminated
 from martlet.llm.lm_scoring import cross_entropy_difference
 from martlet.llm.mixing import mix
+from martlet.llm.permuterm import spelling_variants
+from martlet.llm.prefix_trie import ordered_turns, prefix_trie, rebuilt
 from martlet.llm.quality_rules import BOILERPLATE_PATTERN, SEPARATORS, TERMINAL_PATTERN, judge_documents
 from martlet.llm.simhash import near_duplicates
 from martlet.llm.site_style_tree import extract_main_text
@@ -72,6 +75,19 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle_words=3, max_distance=2)
 
 
+def op11_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return superminhash.near_duplicates(table(spark, sf_dir, "documents"), percent=80)
+
+
+def op12_permuterm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = spelling_variants(table(spark, sf_dir, "documents"), min_length=7, min_count=2, ratio=10, planted_typos=True)
+    return found.select("word", "form", "root", "n", "n_near", "form_n")
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(rebuilt(ordered_turns(table(spark, sf_dir, "conversations"))))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_toxicity": op2_toxicity,
@@ -83,6 +99,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat_format": op8_chat_format,
     "op9_mixing": op9_mixing,
     "op10_simhash": op10_simhash,
+    "op11_superminhash": op11_superminhash,
+    "op12_permuterm": op12_permuterm,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 _WORDS = f"regexp_extract_all({{}}, '{WORD_PATTERN}')"
@@ -148,4 +167,7 @@ ORACLE_SQL: dict[str, str] = {
             sha256(loss) AS loss_sha256, formatted_chars::BIGINT AS formatted_chars
         FROM joined
     """,
+    "op11_superminhash": sql.SUPERMINHASH,
+    "op12_permuterm": sql.PERMUTERM,
+    "op13_prefix_trie": sql.PREFIX_TRIE,
 }
