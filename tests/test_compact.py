@@ -57,7 +57,7 @@ def test_compaction_keeps_rows_and_bounds_files(spark, workdir):
     before = _files_by_partition(root)
     plan = {r["ctl_validfrom"]: r for r in compaction_plan(spark, root, "ctl_validfrom", "date", START, TARGET).collect()}
     res = compact(spark, root, "ctl_validfrom", "date", START, TARGET, verify="checksum")
-    assert res.strategy == "salted" and res.conflicts == []
+    assert res.strategy == "packed" and res.conflicts == []
     after = _files_by_partition(root)
     for value, files in after.items():
         d = dt.date.fromisoformat(value)
@@ -144,7 +144,8 @@ def _plan_nodes(spark, root, values):
     plan = [r.asDict() for r in compaction_plan(spark, root, "p", "string", None, TARGET).collect()]
     assert len(plan) == len(values)
     schema = df.select("id", "p").schema
-    rows = _rewritten(_scan(spark, root, [f"{root}/{r['fragment']}" for r in plan], schema), plan, ["p"], "salted")
+    data = _scan(spark, root, [f"{root}/{r['fragment']}" for r in plan], schema)
+    rows = _rewritten(lambda _: data, plan, ["p"], "salted")
     text = rows._jdf.queryExecution().executedPlan().toString()
     return re.findall(r"(?m)^[\s:+*()0-9-]*([A-Z]\w+)", text), rows, plan
 
@@ -498,3 +499,168 @@ def test_row_groups_follow_the_target(spark, workdir):
     files = [f for f in os.listdir(local_path(root)) if f.endswith(".parquet")]
     groups = [pq.ParquetFile(f"{local_path(root)}/{f}").metadata.num_row_groups for f in files]
     assert len(files) > 4 and max(groups) <= 3
+
+
+# -- packing, isolation, journal ----------------------------------------------------
+def _packed_rows(spark, root, target=TARGET):
+    from martlet.operators.compact import _scan_rows, packing_session
+
+    plan = [r.asDict() | {"path": f"{root}/{r['fragment']}"} for r in compaction_plan(spark, root, "ctl_validfrom", "date", None, target).collect()]
+    schema = lineitem_by_year(spark, SF_SMALL).drop("ctl_validfrom").schema.add("ctl_validfrom", "string")
+    session = packing_session(spark, target)
+    return _rewritten(lambda some: _scan_rows(session, some, ["ctl_validfrom"], schema), plan, ["ctl_validfrom"], "packed"), plan
+
+
+@pytest.mark.parametrize("threshold", ["-1", "10MB"])
+def test_packed_rewrite_moves_no_rows(spark, workdir, threshold):
+    """No exchange, join or sort of data, broadcast or not; one task a file."""
+    root = f"{workdir}/t"
+    _many_files(spark, root)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        rows, plan = _packed_rows(spark, root)
+        text = rows._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert not re.search(r"Exchange|Join|Sort|Python", text) and "Coalesce" in text
+    tasks = rows.select(F.spark_partition_id().alias("p"), "ctl_validfrom").distinct().groupBy("p").count().collect()
+    assert all(t["count"] == 1 for t in tasks)
+    assert rows.rdd.getNumPartitions() <= sum(p["n_files"] for p in plan)
+
+
+def test_salted_rewrite_shuffles_once_without_broadcast_by_size(spark, workdir):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        _, rows, _ = _plan_nodes(spark, f"{workdir}/s", [f"v{i}" for i in range(10)])
+        text = rows._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert len(re.findall(r"Exchange hashpartitioning|Exchange rangepartitioning", text)) == 1
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+
+
+def test_packing_keeps_large_files_apart_and_cuts_what_is_beyond_the_target(spark, workdir):
+    root = f"{workdir}/t"
+    small = spark.range(2000).selectExpr("id", "uuid() AS u")
+    for i in range(6):
+        small.coalesce(1).write.mode("append").parquet(f"{root}/p=1")
+    big = spark.range(200_000).selectExpr("id", "uuid() AS u").coalesce(1)
+    big.write.option("parquet.block.size", str(1024 * 1024)).parquet(f"{root}/p=2")
+    target = 2 * 1024 * 1024
+    res = compact(spark, root, "p", "int", None, target, verify="checksum")
+    files = {p["p"]: len([f for f in os.listdir(local_path(f"{root}/{p['fragment']}")) if f.endswith(".parquet")]) for p in res.plan}
+    planned = {p["p"]: p["n_files"] for p in res.plan}
+    assert files[1] == 1 and 2 < files[2] <= planned[2]
+    assert spark.read.parquet(root).count() == 212_000
+
+
+def _corrupt(spark, root, fragment):
+    spark.createDataFrame([("not parquet",)], "value string").coalesce(1).write.mode("append").text(f"{root}/{fragment}")
+
+
+def test_isolated_partitions_do_not_stop_the_others(spark, workdir):
+    root = f"{workdir}/t"
+    src = _many_files(spark, root)
+    _corrupt(spark, root, "ctl_validfrom=1996-01-01")
+    before = _files_by_partition(root)
+    with pytest.raises(Exception):
+        compact(spark, root, "ctl_validfrom", "date", None, TARGET)
+    assert _files_by_partition(root) == before
+    res = compact(spark, root, "ctl_validfrom", "date", None, TARGET, on_error="isolate", verify="checksum")
+    assert [p.rsplit("=", 1)[1] for p in res.quarantined] == ["1996-01-01"] and len(res.swapped) == len(before) - 1
+    after = _files_by_partition(root)
+    assert after["1996-01-01"] == before["1996-01-01"]
+    sound = spark.read.parquet(*[f"{root}/ctl_validfrom={d}" for d in after if d != "1996-01-01"])
+    assert sound.count() == src.where("year(ctl_validfrom) <> 1996").count()
+
+
+def test_damage_that_only_the_rewrite_finds_is_isolated(spark, workdir):
+    """The footer is sound, the pages are not."""
+    root = f"{workdir}/t"
+    spark.range(60_000).selectExpr("id", "uuid() AS u", "id % 6 AS p").repartition(3).write.partitionBy("p").parquet(root)
+    folder = local_path(f"{root}/p=4")
+    name = next(f for f in os.listdir(folder) if f.endswith(".parquet"))
+    with open(f"{folder}/{name}", "r+b") as f:
+        f.seek(64)
+        f.write(os.urandom(2000))
+    crc = f"{folder}/.{name}.crc"
+    if os.path.exists(crc):
+        os.remove(crc)
+    spark.catalog.refreshByPath(root)
+    res = compact(spark, root, "p", "int", None, TARGET, on_error="isolate")
+    assert [q.rsplit("=", 1)[1] for q in res.quarantined] == ["4"] and len(res.swapped) == 5
+    assert name in os.listdir(folder)
+
+
+def test_type_clashes_are_rewritten_by_kind_or_set_aside(spark, workdir):
+    root = f"{workdir}/t"
+    for i in range(3):
+        spark.range(10).selectExpr("id", "id AS x").repartition(3).write.parquet(f"{root}/d=2021-01-0{i + 1}")
+    spark.range(10).selectExpr("id", "cast(id AS string) AS x").repartition(3).write.parquet(f"{root}/d=2021-01-04")
+    res = compact(spark, root, "d", "date", on_error="isolate")
+    assert len(res.swapped) == 4 and res.quarantined == {}
+    assert dict(spark.read.parquet(f"{root}/d=2021-01-04").dtypes)["x"] == "string"
+    name = f"clash_{os.path.basename(workdir).replace('-', '_')}"
+    spark.sql(f"CREATE TABLE {name} (id bigint, x bigint, d date) USING parquet PARTITIONED BY (d) LOCATION '{root}'")
+    res = compact(spark, root, "d", "date", table=name, on_error="isolate")
+    assert [q.rsplit("=", 1)[1] for q in res.quarantined] == ["2021-01-04"] and len(res.swapped) == 3
+    assert "CompactionSchemaError" in next(iter(res.quarantined.values()))
+
+
+def test_all_partitions_failing_is_an_error(spark, workdir):
+    root = f"{workdir}/t"
+    spark.range(10).write.parquet(f"{root}/d=2021-01-01")
+    _corrupt(spark, root, "d=2021-01-01")
+    with pytest.raises(Exception):
+        compact(spark, root, "d", "date", on_error="isolate")
+
+
+def test_waves_bound_partitions_and_files():
+    from martlet.operators.compact import _waves
+
+    rows = [{"n_files": n} for n in (1, 1, 1, 5, 9, 30, 1)]
+    assert [[r["n_files"] for r in w] for w in _waves(rows, 3, 10)] == [[1, 1, 1], [5], [9], [30], [1]]
+    assert _waves([], 3, 10) == []
+
+
+class _Dies(HadoopFS):
+    """A driver that is lost at a given rename."""
+
+    def __init__(self, spark, at):
+        super().__init__(spark)
+        self.at, self.calls = at, 0
+
+    def rename(self, src, dst):
+        self.calls += 1
+        if self.calls >= self.at:
+            raise SystemExit("driver lost")
+        super().rename(src, dst)
+
+    def delete(self, path, recursive=True):
+        return super().delete(path, recursive) if self.calls < self.at else False
+
+
+# Two renames a partition, two partitions a wave: 5 is between two waves, 6 amid a swap.
+@pytest.mark.parametrize("at", [5, 6, 8])
+def test_restart_goes_on_after_the_last_wave(spark, workdir, at):
+    from martlet.operators.compact import read_journal
+
+    root, journal = f"{workdir}/t", f"{workdir}/journal"
+    src = _many_files(spark, root)
+    with pytest.raises(SystemExit):
+        compact(spark, root, "ctl_validfrom", "date", None, TARGET, journal=journal, wave_partitions=2, _fs=_Dies(spark, at))
+    first = {r["fragment"] for r in read_journal(spark, journal).where("phase = 'published'").collect()}
+    assert len(first) == 2
+    res = compact(spark, root, "ctl_validfrom", "date", None, TARGET, journal=journal, wave_partitions=2, verify="checksum")
+    assert {p.rsplit("/", 1)[1] for p in res.resumed} >= first and len(res.swapped) + len(res.resumed) == 7
+    assert not {p.rsplit("/", 1)[1] for p in res.swapped} & first
+    spark.catalog.refreshByPath(root)
+    _assert_same_rows(spark.read.parquet(root).select(*src.columns), src)
+    assert [n for n in os.listdir(local_path(workdir)) if n.startswith("t__")] == []
+    again = compact(spark, root, "ctl_validfrom", "date", None, TARGET, journal=journal)
+    assert again.swapped == [] and len(again.resumed) == 7
+    # A partition that got new files since is compacted again.
+    src.where("year(ctl_validfrom) = 1996").drop("ctl_validfrom").coalesce(1).write.mode("append").parquet(f"{root}/ctl_validfrom=1996-01-01")
+    assert len(compact(spark, root, "ctl_validfrom", "date", None, TARGET, journal=journal).swapped) == 1
