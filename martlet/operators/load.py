@@ -15,13 +15,14 @@ import threading
 import uuid
 from contextlib import contextmanager
 from dataclasses import dataclass
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from martlet.functions.calendar import launch_date
 from martlet.plans.spec import MartSpec, ensure_table, partition_literal
-from martlet.sources.files import row_position
+from martlet.sources.files import partition_value_from_path, row_position
 from martlet.session import child_session
 from martlet.sources.hadoop_fs import HadoopFS
 from martlet.sources.tables import is_path, quote_identifier, read_source, table_location
@@ -77,6 +78,31 @@ def facts_of(spark: SparkSession, source: str | DataFrame, load_id_column: str):
     return source_facts(read_source(reader, source), load_id_column).first()
 
 
+def observed_facts(load_id_column: str) -> list[Column]:
+    """What a write observes of the rows it reads: their count and newest load id."""
+    return [F.count(F.lit(1)).alias("rows"), F.max(load_id_column).alias("newest")]
+
+
+def pinned_source(spark: SparkSession, source: str | DataFrame, load_id_column: str):
+    """``(source, facts)`` with both from one file listing where there is one.
+
+    The files of a path are listed once, when the DataFrame is made: rows come from
+    that listing, and the facts from the footers of exactly those files, so files
+    that appear later are in neither. A table or view name resolves to one DataFrame
+    for both. What its provider lists at run time, and files rewritten under the
+    same name, are caught by what the write observes (:func:`observed_facts`).
+    """
+    src = read_source(spark, source)
+    if isinstance(source, str) and is_path(source):
+        files = [unquote(f) for f in src.inputFiles()]
+        reader = footer_session(spark).read
+        if HadoopFS(spark).is_dir(source):
+            reader = reader.option("basePath", source)
+        if files:
+            return src, source_facts(reader.parquet(*files), load_id_column).first()
+    return src, source_facts(src, load_id_column).first()
+
+
 def check_columns(df: DataFrame, expected: list[str]) -> None:
     """The projected column set must equal the mart's: no missing, no extra."""
     have = [c.lower() for c in df.columns]
@@ -226,7 +252,7 @@ def load_snapshot(
     load_date: _dt.date | str | None = None,
     allow_empty: bool = False,
     rebalance: bool = False,
-    _facts=None,
+    pinned=None,
 ) -> LoadResult:
     """Publish a full snapshot of ``source`` into the ``load_date`` partition.
 
@@ -236,30 +262,31 @@ def load_snapshot(
     :class:`EmptySourceError` when the source has no load id, unless
     ``allow_empty`` – then the partition is replaced by an empty one – and
     :class:`SourceChangedError` when the rows written are not as many as the
-    lineage id was taken from.
+    lineage id was taken from, or hold another newest load id. ``pinned`` takes a
+    :func:`pinned_source` made earlier instead of making one.
     """
     if load_date is None:
         load_date = launch_date()
     if isinstance(load_date, str):
         load_date = _dt.date.fromisoformat(load_date)
-    src = read_source(spark, source)
-    facts = _facts or facts_of(spark, source, spec.source_load_id_column)
+    src, facts = pinned or pinned_source(spark, source, spec.source_load_id_column)
     src_loading_id = facts["src_loading_id"]
     if src_loading_id is None and not allow_empty:
         raise EmptySourceError(
             f"source has no {spec.source_load_id_column} ({facts['source_rows']} rows); nothing loaded"
         )
     ensure_table(spark, spec)
-    rows = snapshot_rows(src, spec, src_loading_id, loading_id, rebalance)
+    read = Observation(f"source_{uuid.uuid4().hex[:12]}")
+    rows = snapshot_rows(src.observe(read, *observed_facts(spec.source_load_id_column)), spec, src_loading_id, loading_id, rebalance)
     # An empty source (allowed) must still empty the partition: static insert.
     empty = int(facts["source_rows"]) == 0
     before = _same_date_files(spark, spec, load_date)
     rows_written = insert_partition(spark, spec, rows, load_date, staged=not empty)
     _drop_stale_names(spark, spec, load_date, before, empty)
-    if rows_written != int(facts["source_rows"]):
+    if rows_written != int(facts["source_rows"]) or read.get["newest"] != src_loading_id:
         raise SourceChangedError(
-            f"{rows_written} rows written to {spec.table} for {load_date}, but the lineage id was "
-            f"taken from {facts['source_rows']} rows"
+            f"{rows_written} rows written to {spec.table} for {load_date} with newest load id {read.get['newest']}, "
+            f"but the lineage id was taken from {facts.asDict()}"
         )
     return LoadResult(
         table=spec.table,
@@ -272,14 +299,23 @@ def load_snapshot(
 
 
 def _same_date_files(spark: SparkSession, spec: MartSpec, load_date) -> dict[str, set[str]]:
-    """File names of every partition directory whose typed value is the load date."""
-    from martlet.operators.partitions import disk_partitions
+    """File names of every partition directory whose typed value is the load date.
 
+    Only names that begin with the date are looked up (with and without leading
+    zeros), so the cost does not grow with the mart's partitions. The names Spark
+    writes need no check; any other is compared by its typed value.
+    """
     root = table_location(spark, spec.table).rstrip("/")
-    dirs = disk_partitions(spark, root, spec.partition_column, spec.partition_type)
-    same = dirs.where(F.col(spec.partition_column) == F.expr(partition_literal(spec, load_date)))
-    fs = HadoopFS(spark)
-    return {r["fragment"]: {e.name for e in fs.list(f"{root}/{r['fragment']}")} for r in same.collect()}
+    fs, col, day = HadoopFS(spark), spec.partition_column, load_date.isoformat()
+    begins = {f"{load_date.year:04d}-{m}-{d}" for m in (f"{load_date:%m}", load_date.month) for d in (f"{load_date:%d}", load_date.day)}
+    names = {n for b in begins for n in fs.child_dir_names(root, f"{col}={b}")}
+    plain = {f"{col}={day}", f"{col}={day} 00%3A00%3A00"}
+    other = sorted(names - plain)
+    if other:
+        frame = spark.createDataFrame([(n,) for n in other], "fragment string")
+        value = partition_value_from_path(F.col("fragment"), col, spec.partition_type)
+        other = [r[0] for r in frame.where(value == F.expr(partition_literal(spec, load_date))).collect()]
+    return {f: {e.name for e in fs.list(f"{root}/{f}")} for f in sorted((names & plain) | set(other))}
 
 
 def _drop_stale_names(spark: SparkSession, spec: MartSpec, load_date, before: dict[str, set[str]], empty: bool) -> None:
@@ -315,18 +351,17 @@ def force_load(
         disk_partitions,
         drop_partitions,
     )
-    src = read_source(spark, source)
-    facts = facts_of(spark, source, spec.source_load_id_column)
-    if facts["src_loading_id"] is None:
+    pinned = pinned_source(spark, source, spec.source_load_id_column)
+    if pinned[1]["src_loading_id"] is None:
         raise EmptySourceError("source has no load id; mart not cleared")
     result = load_snapshot(
         spark,
         spec,
-        src,
+        pinned[0],
         loading_id=loading_id,
         load_date=load_date,
         rebalance=rebalance,
-        _facts=facts,
+        pinned=pinned,
     )
     col = spec.partition_column
     others = catalog_partitions(spark, spec.table, col, spec.partition_type).unionByName(

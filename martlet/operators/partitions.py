@@ -90,18 +90,63 @@ def drop_partitions(
     fragments = sorted({r["fragment"] for r in doomed.select("fragment").collect()})
     if not fragments:
         return []
+    root = table_location(spark, spec.table).rstrip("/")
+    paths = [f"{root}/{f}" for f in fragments] + (_version_paths(spark, root, fragments) if purge else [])
     for i in range(0, len(fragments), DROP_BATCH):
         spark.sql(
             f"ALTER TABLE {quote_identifier(spec.table)} DROP IF EXISTS "
-            + ", ".join(_partition_clause(f) for f in fragments[i : i + DROP_BATCH])
+            + ", ".join(partition_clause(f) for f in fragments[i : i + DROP_BATCH])
         )
     if purge:
-        root = table_location(spark, spec.table).rstrip("/")
-        HadoopFS(spark).delete_many([f"{root}/{f}" for f in fragments])
+        HadoopFS(spark).delete_many(paths)
     spark.catalog.refreshTable(spec.table)
     return fragments
 
 
+def _version_paths(spark: SparkSession, root: str, fragments: list[str]) -> list[str]:
+    """Directories of the partitions' versions (``martlet.operators.versions``)."""
+    fs, doomed = HadoopFS(spark), set(fragments)
+    return [p.path for v in fs.list(f"{root}/_versions") for p in fs.list(v.path) if p.name in doomed]
+
+
+def repair_partitions(spark: SparkSession, spec: MartSpec) -> tuple[list[str], list[str]]:
+    """Bring catalog and disk together by their difference only.
+
+    Directories that the catalog does not know are added; partitions without a
+    directory are dropped, unless their pointer names another directory that
+    exists. Partitions known to both cost no statement and keep their pointer.
+    Returns the added and the dropped fragments.
+    """
+    from martlet.operators.versions import partition_location
+
+    col = spec.partition_column
+    root = table_location(spark, spec.table).rstrip("/")
+    disk = disk_partitions(spark, root, col, spec.partition_type)
+    known = catalog_partitions(spark, spec.table, col, spec.partition_type)
+    # By typed value: a directory may spell a timestamp another way than the catalog.
+    same = F.col("d.value").eqNullSafe(F.col("k.value"))
+    both = [df.select("fragment", F.col(col).alias("value")).alias(a) for df, a in ((disk, "d"), (known, "k"))]
+    added = sorted(r["fragment"] for r in both[0].join(both[1], same, "left_anti").collect())
+    gone = sorted(r["fragment"] for r in both[1].join(both[0], same, "left_anti").collect())
+    fs = HadoopFS(spark)
+
+    def lost(fragment: str) -> bool:
+        at = partition_location(spark, spec.table, fragment)
+        return at is None or not fs.exists(at)
+
+    dropped = [f for f in gone if lost(f)]
+    name = quote_identifier(spec.table)
+    for i in range(0, len(added), DROP_BATCH):
+        clauses = [f"{partition_clause(f)} LOCATION '{_sql_string(f'{root}/{f}')}'" for f in added[i : i + DROP_BATCH]]
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS " + " ".join(clauses))
+    for i in range(0, len(dropped), DROP_BATCH):
+        clauses = [partition_clause(f) for f in dropped[i : i + DROP_BATCH]]
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS " + ", ".join(clauses))
+    if added or dropped:
+        spark.catalog.refreshTable(spec.table)
+    return added, dropped
+
+
 def drop_all_partitions(spark: SparkSession, spec: MartSpec, purge: bool = True) -> list[str]:
     """Drop every partition, the ones only on disk included (with ``purge``)."""
     known = catalog_partitions(spark, spec.table, spec.partition_column, spec.partition_type)
@@ -150,7 +195,7 @@ def apply_retention_to_path(
     return fragments
 
 
-def _partition_clause(fragment: str) -> str:
+def partition_clause(fragment: str) -> str:
     """``PARTITION (a = 'x', b = 'y')`` from an escaped path fragment."""
     from urllib.parse import unquote
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
@@ -12,6 +13,7 @@ from martlet.operators.load import EmptySourceError, force_load, load_snapshot
 from martlet.plans.analogs import merchant_source, payroll_source
 from martlet.plans.spec import merchant_spec, payroll_spec
 from martlet.session import unique_name
+from martlet.sources.hadoop_fs import HadoopFS
 
 from conftest import SF_SMALL
 
@@ -272,9 +274,9 @@ def test_changed_source_raises(spark, workdir):
 
     spec = _spec(workdir)
     src = payroll_source(spark, SF_SMALL)
-    facts = {"source_rows": src.count() + 5, "src_loading_id": 1}
+    facts = Row(source_rows=src.count() + 5, src_loading_id=1)
     with pytest.raises(SourceChangedError):
-        load_snapshot(spark, spec, src, loading_id=1, load_date=D2, _facts=facts)
+        load_snapshot(spark, spec, src, loading_id=1, load_date=D2, pinned=(src, facts))
 
 
 def test_reload_replaces_a_short_named_timestamp_directory(spark, workdir):
@@ -309,3 +311,51 @@ def test_force_load_drops_the_null_partition(spark, workdir):
     force_load(spark, spec, src, loading_id=2, load_date=D2)
     assert _counts(spark, spec) == {D2: src.count()}
     assert [n for n in os.listdir(root) if "=" in n] == [f"ctl_validfrom={D2}"]
+
+
+# -- pinned sources, names of the date ------------------------------------------------
+def _rows(spark, lo, hi, load_id):
+    return spark.range(lo, hi).selectExpr(
+        "id AS epk_id", "id AS inn", "1 AS gosb_id", "2 AS enrollment_type", "id AS amt", "'2021-01-01' AS report_dt", f"{load_id}L AS ctl_loading"
+    )
+
+
+def test_facts_and_rows_come_from_one_listing(spark, workdir):
+    from martlet.operators.load import pinned_source
+
+    path = f"{workdir}/source"
+    _rows(spark, 0, 100, 7).write.partitionBy("gosb_id").parquet(path)
+    src, facts = pinned_source(spark, path, "ctl_loading")
+    _rows(spark, 100, 150, 8).write.mode("append").partitionBy("gosb_id").parquet(path)
+    assert tuple(facts) == (100, 7) and src.count() == 100
+    spec = payroll_spec(unique_name("pin"), f"{workdir}/pin")
+    res = load_snapshot(spark, spec, path, loading_id=1, load_date="2021-10-25", pinned=(src, facts))
+    assert (res.rows_written, res.src_loading_id) == (100, 7)
+    assert load_snapshot(spark, spec, path, loading_id=2, load_date="2021-10-25").rows_written == 150
+
+
+def test_source_replaced_by_as_many_rows_raises(spark, workdir):
+    from martlet.operators.load import SourceChangedError, pinned_source
+
+    path = f"{workdir}/source"
+    _rows(spark, 0, 100, 7).coalesce(1).write.parquet(path)
+    src, facts = pinned_source(spark, path, "ctl_loading")
+    _rows(spark, 0, 100, 9).createOrReplaceTempView("swapped_source")
+    spec = payroll_spec(unique_name("rep"), f"{workdir}/rep")
+    with pytest.raises(SourceChangedError):
+        load_snapshot(spark, spec, "swapped_source", loading_id=1, load_date="2021-10-25", pinned=(spark.table("swapped_source"), facts))
+    spark.catalog.dropTempView("swapped_source")
+
+
+def test_only_names_of_the_date_are_listed(spark, workdir):
+    from martlet.operators.load import _same_date_files
+    from martlet.plans.spec import ensure_table
+    from pyspark.sql.types import TimestampType
+
+    spec = payroll_spec(unique_name("names"), f"{workdir}/names", partition_type=TimestampType())
+    ensure_table(spark, spec)
+    fs = HadoopFS(spark)
+    for name in ("2021-01-05", "2021-1-5", "2021-01-05 00%3A00%3A00", "2021-01-05 00%3A00%3A00.0", "2021-01-05 01%3A00%3A00", "2021-01-15", "2021-1-50", "x"):
+        fs.touch(f"{workdir}/names/ctl_validfrom={name}/part-0")
+    found = _same_date_files(spark, spec, dt.date(2021, 1, 5))
+    assert sorted(found) == [f"ctl_validfrom={n}" for n in ("2021-01-05", "2021-01-05 00%3A00%3A00", "2021-01-05 00%3A00%3A00.0", "2021-1-5")]

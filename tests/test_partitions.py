@@ -18,6 +18,7 @@ from martlet.operators.partitions import (
 from martlet.plans.analogs import lineitem_by_year
 from martlet.plans.spec import recreate, spec_for_frame
 from martlet.session import local_path, unique_name
+from martlet.sources.hadoop_fs import HadoopFS
 from martlet.sources.files import list_partition_files, partition_value_from_path
 
 from conftest import SF_SMALL
@@ -156,3 +157,55 @@ def test_retention_touches_only_listed_directories(spark, workdir):
     apply_retention_to_path(spark, root, "ctl_validfrom", "1996-01-01", "1999-01-01")
     assert "ctl_validfrom=1997-01-01" in os.listdir(local_path(sibling))
     assert "ctl_validfrom=1997-01-01" not in os.listdir(local_path(root))
+
+
+def test_repair_issues_statements_for_the_difference_only(spark, workdir, monkeypatch):
+    from martlet.operators import partitions as P
+
+    spec = _repair_mart(spark, workdir, 30)
+    said = []
+    sql = type(spark).sql
+
+    def counted(self, text, *args, **kwargs):
+        if text.startswith("ALTER"):
+            said.append(text)
+        return sql(self, text, *args, **kwargs)
+
+    monkeypatch.setattr(type(spark), "sql", counted)
+    assert P.repair_partitions(spark, spec) == ([], []) and said == []
+    for day in (1, 2):
+        spark.range(5).write.parquet(f"{workdir}/r/d=2022-01-0{day}")
+    HadoopFS(spark).delete(f"{workdir}/r/d=2021-01-03")
+    assert P.repair_partitions(spark, spec) == (["d=2022-01-01", "d=2022-01-02"], ["d=2021-01-03"])
+    assert len(said) == 2
+    assert spark.table(spec.table).count() == 29 * 3 + 10
+    monkeypatch.setattr(P, "DROP_BATCH", 10)
+    HadoopFS(spark).delete(f"{workdir}/r")
+    assert len(P.repair_partitions(spark, spec)[1]) == 31 and len(said) == 2 + 4
+    assert spark.sql(f"SHOW PARTITIONS {spec.table}").count() == 0
+
+
+def _repair_mart(spark, workdir, days):
+    from martlet.plans.spec import recreate, spec_for_frame
+    from martlet.session import unique_name
+
+    df = spark.range(days * 3).selectExpr("id", f"date_add(date'2021-01-01', cast(id % {days} AS int)) AS d")
+    df.repartition(1).write.partitionBy("d").parquet(f"{workdir}/r")
+    spec = spec_for_frame(df, unique_name("repair"), f"{workdir}/r", "d")
+    recreate(spark, spec)
+    return spec
+
+
+def test_repair_handles_null_and_escaped_names(spark, workdir):
+    from martlet.operators.partitions import repair_partitions
+    from martlet.plans.spec import recreate, spec_for_frame
+    from martlet.session import unique_name
+
+    df = spark.createDataFrame([(1, "a"), (2, None), (3, "x:y z")], "id int, p string")
+    spec = spec_for_frame(df, unique_name("odd"), f"{workdir}/odd", "p")
+    recreate(spark, spec)
+    df.write.mode("append").partitionBy("p").parquet(f"{workdir}/odd")
+    added, dropped = repair_partitions(spark, spec)
+    assert len(added) == 3 and dropped == []
+    assert sorted(str(r[0]) for r in spark.table(spec.table).select("p").collect()) == ["None", "a", "x:y z"]
+    assert repair_partitions(spark, spec) == ([], [])
