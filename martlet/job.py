@@ -32,7 +32,8 @@ from martlet.operators.stats import (
     publish_stats,
     table_row_count,
 )
-from martlet.plans.spec import MartSpec, ensure_table, recreate
+from martlet.operators.versions import load_together
+from martlet.plans.spec import MartSpec, ensure_table, refreshed
 from martlet.sources.tables import table_location
 from martlet.streaming.runlog_sinks import append_parquet, append_text
 
@@ -52,6 +53,7 @@ class JobConfig:
     force: bool = False
     rebalance: bool = False
     parallel_loads: bool = False
+    together: bool = False  # publish all marts or none, as versions (see operators.versions)
     compact_files: bool = True
     repair: bool = False  # drop, create and rediscover every partition, before and after
     count_rows: bool = False  # whole-mart counts, before and after
@@ -70,6 +72,7 @@ class JobReport:
     counts_after: dict[str, int] = field(default_factory=dict)
     loads: dict[str, LoadResult] = field(default_factory=dict)
     compacted_partitions: dict[str, int] = field(default_factory=dict)
+    quarantined: dict[str, str] = field(default_factory=dict)
     log: list[tuple] = field(default_factory=list)
 
 
@@ -101,9 +104,8 @@ def run_mart_job(spark: SparkSession, cfg: JobConfig) -> JobReport:
             for t in cfg.targets:
                 report.counts_before[t.spec.table] = table_row_count(spark, t.spec.table)
         if cfg.repair:
-            # Recreate over the existing files first: picks up the declared schema
-            # and any partition directories written by others.
-            recreate(spark, *[t.spec for t in cfg.targets])
+            # The declared schema and any partition directories written by others.
+            refreshed(spark, *[t.spec for t in cfg.targets])
         else:
             for t in cfg.targets:
                 ensure_table(spark, t.spec)
@@ -115,7 +117,11 @@ def run_mart_job(spark: SparkSession, cfg: JobConfig) -> JobReport:
                 rebalance=cfg.rebalance,
             )
 
-        if cfg.parallel_loads and len(cfg.targets) > 1:
+        if cfg.together and cfg.force:
+            raise ValueError("a force load drops partitions and cannot be published together")
+        if cfg.together:
+            results = load_together(spark, [(t.spec, t.source) for t in cfg.targets], loading_id=cfg.loading_id, load_date=day)
+        elif cfg.parallel_loads and len(cfg.targets) > 1:
             # Independent Spark jobs; overlapping them fills the cluster's slack.
             from concurrent.futures import ThreadPoolExecutor
 
@@ -137,13 +143,17 @@ def run_mart_job(spark: SparkSession, cfg: JobConfig) -> JobReport:
                     cfg.target_file_bytes,
                     only_fragmented=True,
                     table=t.spec.table,
+                    publish="pointer" if cfg.together else "swap",
+                    on_error="isolate",
                 )
+                for path, reason in done.quarantined.items():
+                    log(CTL_INFO, f"not compacted: {path}: {reason}")
+                report.quarantined |= done.quarantined
                 report.compacted_partitions[t.spec.table] = len(done.swapped)
         if cfg.repair:
-            # Same as the reference run: recreate and rediscover partitions. The
-            # compaction keeps directory names, so this is only needed when other
-            # writers change the folders; on very many partitions it can be off.
-            recreate(spark, *[t.spec for t in cfg.targets])
+            # Again after the compaction; it costs a listing and the statements of
+            # the difference, usually none.
+            refreshed(spark, *[t.spec for t in cfg.targets])
         if cfg.count_rows:
             for t in cfg.targets:
                 report.counts_after[t.spec.table] = table_row_count(spark, t.spec.table)

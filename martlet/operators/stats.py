@@ -183,17 +183,22 @@ def load_stat_rows(
     )
 
 
+#: What identifies a load: publishing again replaces exactly its rows.
+STATS_KEY = ["load_date", "loading_id", "entity_id"]
+
+
 def publish_stats(rows: DataFrame, path: str) -> None:
-    """Append statistic rows to the ``load_stats`` Parquet folder (by load date)."""
+    """Publish statistic rows to the ``load_stats`` Parquet folder, one partition a
+    load (``STATS_KEY``). A rerun of a load replaces its rows and leaves all others
+    alone: the write overwrites the partitions it has rows for, at its commit."""
     (
         rows.select([F.col(f.name).cast(f.dataType) for f in LOAD_STATS_SCHEMA.fields])
         .coalesce(1)
-        .write.mode("append")
-        .partitionBy("load_date")
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*STATS_KEY)
         .parquet(path)
     )
 
 
 def read_stats(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(LOAD_STATS_SCHEMA).parquet(path)
-
+    return spark.read.schema(LOAD_STATS_SCHEMA).parquet(path).select(LOAD_STATS_SCHEMA.fieldNames())

@@ -102,6 +102,22 @@ def recreate(spark: SparkSession, *specs: MartSpec) -> None:
             spark.sql(statement)
 
 
+def refreshed(spark: SparkSession, *specs: MartSpec) -> None:
+    """Each mart as declared, with the partitions its folder has: recreated where it
+    is absent or declared otherwise, else repaired by the difference of catalog and
+    disk only."""
+    from martlet.operators.partitions import repair_partitions
+
+    for spec in specs:
+        declared = [(f.name.lower(), f.dataType) for f in spec.schema.fields]
+        if spark.catalog.tableExists(spec.table) and declared == [
+            (f.name.lower(), f.dataType) for f in spark.table(spec.table).schema.fields
+        ]:
+            repair_partitions(spark, spec)
+        else:
+            recreate(spark, spec)
+
+
 def ensure_table(spark: SparkSession, spec: MartSpec) -> None:
     """Create the mart when absent (and pick up partitions already on disk)."""
     from martlet.sources.hadoop_fs import HadoopFS

@@ -21,8 +21,8 @@ from pyspark.sql.types import TimestampType
 from martlet.functions.calendar import month_window
 from martlet.functions.runlog import envelope, log_lines, status_events, status_json
 from martlet.functions.steps import numbered_files, with_steps
-from martlet.operators.compact import compact, compact_directory, compaction_plan
-from martlet.operators.load import force_load, load_snapshot
+from martlet.operators.compact import compact, compact_directory, compaction_plan, read_journal
+from martlet.operators.load import force_load, load_snapshot, pinned_source
 from martlet.operators.partitions import (
     apply_retention,
     apply_retention_to_path,
@@ -30,6 +30,7 @@ from martlet.operators.partitions import (
     drop_all_partitions,
     footer_row_counts,
     partition_row_counts,
+    repair_partitions,
 )
 from martlet.operators.stats import (
     load_stat_rows,
@@ -40,6 +41,7 @@ from martlet.operators.stats import (
     scalar_from,
     table_stats,
 )
+from martlet.operators.versions import load_together
 from martlet.plans.analogs import (
     APP_ID,
     ENTITY_ID,
@@ -53,7 +55,7 @@ from martlet.plans.analogs import (
 )
 from martlet.plans.spec import merchant_spec, payroll_spec, recreate, spec_for_frame
 from martlet.session import checkpointed, new_work_dir, unique_name
-from martlet.sources.files import NULL_PARTITION_NAME, list_partition_files
+from martlet.sources.files import NULL_PARTITION_NAME, base_name, list_partition_files
 from martlet.sources.hadoop_fs import HadoopFS
 from martlet.streaming.runlog_sinks import (
     append_parquet,
@@ -68,6 +70,7 @@ RETENTION_FROM = _dt.date(1996, 1, 1)
 RETENTION_TO = _dt.date(1999, 1, 1)
 COMPACT_FROM = _dt.date(1998, 1, 1)
 SMALL_FILES = 40  # input files per task layout of the many-small-files fixture
+BROKEN_YEAR = _dt.date(1998, 1, 1)
 EMPTY_YEAR = _dt.date(2010, 1, 1)
 PLAN_TARGET_BYTES = 50_000
 TEST_TARGET_BYTES = 200_000  # small target so test partitions need more than one file
@@ -221,6 +224,59 @@ def q_drop_all_then_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return partition_row_counts(spark.table(spec.table), spec.partition_column)
 
 
+def q_mart_load_pinned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """More files land in a source folder after its files were listed: neither the
+    facts nor the rows take them."""
+    root = new_work_dir(spark, "pinned_source")
+    src = payroll_source(spark, sf_dir)
+    src.write.parquet(f"{root}/source")
+    spec = payroll_spec(unique_name("pinned_mart"), f"{root}/payroll_mart")
+    pinned = pinned_source(spark, f"{root}/source", spec.source_load_id_column)
+    late = src.withColumn("ctl_loading", F.col("ctl_loading") + F.lit(1_000_000_000))
+    late.write.mode("append").parquet(f"{root}/source")
+    load_snapshot(spark, spec, f"{root}/source", loading_id=LOADING_ID, load_date=LOAD_DATE, pinned=pinned)
+    return spark.table(spec.table)
+
+
+def q_mart_load_together(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both marts are loaded; then a run whose second source is broken leaves both
+    as they are, and one whose sources are sound replaces both."""
+    root = new_work_dir(spark, "together")
+    marts = {
+        "payroll": (payroll_spec(unique_name("both_payroll"), f"{root}/payroll"), payroll_source(spark, sf_dir)),
+        "merch": (merchant_spec(unique_name("both_merch"), f"{root}/merch"), merchant_source(spark, sf_dir)),
+    }
+
+    def shown(step: str) -> DataFrame:
+        parts = [
+            spark.table(spec.table).groupBy("ctl_validfrom", "ctl_loading").agg(F.count(F.lit(1)).alias("row_count"))
+            .select(F.lit(step).alias("step"), F.lit(name).alias("mart"), "*")
+            for name, (spec, _) in marts.items()
+        ]
+        return checkpointed(parts[0].unionByName(parts[1]))
+
+    load_together(spark, list(marts.values()), loading_id=LOADING_ID - 1, load_date=LOAD_DATE)
+    broken = marts["merch"][1].withColumn("inn", F.raise_error(F.lit("unreadable")).cast("bigint"))
+    failed = False
+    try:
+        load_together(spark, [marts["payroll"], (marts["merch"][0], broken)], loading_id=LOADING_ID, load_date=LOAD_DATE)
+    except Exception as exc:
+        failed = "unreadable" in str(exc)
+    before = shown("after a failure" if failed else "no failure")
+    load_together(spark, list(marts.values()), loading_id=LOADING_ID, load_date=LOAD_DATE)
+    return before.unionByName(shown("after a success"))
+
+
+def q_mart_load_launch_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load without a date goes into the partition of the launch date (UTC)."""
+    spec = _payroll_mart(spark, "launch_mart")
+    load_snapshot(spark, spec, payroll_source(spark, sf_dir), loading_id=LOADING_ID)
+    today = F.lit(_dt.datetime.now(_dt.timezone.utc).date())
+    return spark.table(spec.table).groupBy((F.col(spec.partition_column) == today).alias("of_launch_date")).agg(
+        F.count(F.lit(1)).alias("row_count")
+    )
+
+
 def _run_job(spark: SparkSession, sf_dir: str):
     """The whole run over both marts: load, compact, repair, statistics, status."""
     from martlet.job import JobConfig, MartTarget, run_mart_job
@@ -342,6 +398,21 @@ def q_load_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_load_stats_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load whose statistics are published twice, between two other loads: five
+    rows a load."""
+    spec = _payroll_mart(spark, "rerun_stats_mart")
+    stats_path = new_work_dir(spark, "load_stats_rerun")
+    load_snapshot(spark, spec, payroll_source(spark, sf_dir), loading_id=LOADING_ID, load_date=LOAD_DATE)
+    for loading_id, app_id in ((LOADING_ID - 1, APP_ID), (LOADING_ID, "first run"), (LOADING_ID + 1, APP_ID), (LOADING_ID, APP_ID)):
+        rows = load_stat_rows(
+            spark.table(spec.table), loading_id=loading_id, entity_id=ENTITY_ID, load_date=LOAD_DATE, app_id=app_id,
+            newest_partition_value=LOAD_DATE,
+        )
+        publish_stats(rows, stats_path)
+    return read_stats(spark, stats_path).select("loading_id", "entity_id", "stat_id", F.to_json("avalue").alias("avalue"), "load_date")
+
+
 # -- partitions -----------------------------------------------------------------
 def q_partition_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows per partition, answered from the Parquet footers (no data read)."""
@@ -375,6 +446,40 @@ def _text_partitions(spark: SparkSession, sf_dir: str, label: str) -> str:
     return root
 
 
+def q_partition_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Directories that came and went behind the catalog's back: the repair takes in
+    the difference only."""
+    spec = _year_mart(spark, sf_dir, "repair_mart")
+    rows = spark.table(spec.table)
+    gone, came = RETENTION_FROM, EMPTY_YEAR
+    rows.where(F.col("ctl_validfrom") == F.lit(gone)).drop("ctl_validfrom").write.parquet(f"{spec.location}/ctl_validfrom={came}")
+    HadoopFS(spark).delete(f"{spec.location}/ctl_validfrom={gone}")
+    added, dropped = repair_partitions(spark, spec)
+    counts = partition_row_counts(spark.table(spec.table), "ctl_validfrom")
+    return counts.select(
+        "*", F.lit(",".join(added)).alias("added"), F.lit(",".join(dropped)).alias("dropped")
+    )
+
+
+def q_hidden_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes per partition of a folder that also holds hidden files and folders."""
+    from martlet.sources.files import partition_file_stats
+
+    root = _text_partitions(spark, sf_dir, "hidden_mart")
+    lines = table(spark, sf_dir, "nation").select(F.col("n_name").alias("value"))
+    for hidden in ("_temporary", ".staging", f"ctl_validfrom={COMPACT_FROM}/_delta", f"ctl_validfrom={COMPACT_FROM}/.tmp"):
+        lines.write.text(f"{root}/{hidden}")
+    return partition_file_stats(spark, root, "ctl_validfrom", "date").select("ctl_validfrom", "bytes")
+
+
+def q_path_base_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Last path components of the partition directories and their file counts."""
+    root = _text_partitions(spark, sf_dir, "names_mart")
+    folder = F.regexp_replace("path", "/[^/]*$", "")
+    files = list_partition_files(spark, root, None)
+    return files.groupBy(base_name(folder).alias("name")).agg(F.max(base_name(F.col("path")).contains("/")).alias("nested"))
+
+
 def q_partition_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes per partition directory, from the file listing alone."""
     from martlet.sources.files import partition_file_stats
@@ -456,6 +561,70 @@ def q_compact_evolved(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(spec.table)
 
 
+def q_compact_isolated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A partition that cannot be read stops no other: per partition its rows (none
+    where it is broken), whether it was compacted and whether it was set aside."""
+    spec = _year_mart(spark, sf_dir, "isolated_mart", small_files=True)
+    broken = f"{spec.location}/ctl_validfrom={BROKEN_YEAR}"
+    table(spark, sf_dir, "nation").select(F.col("n_name").alias("value")).coalesce(1).write.mode("append").text(broken)
+    counted = checkpointed(lineitem_by_year(spark, sf_dir).groupBy("ctl_validfrom").agg(F.count(F.lit(1)).alias("was")))
+    done = compact(
+        spark, spec.location, spec.partition_column, "date", COMPACT_FROM, TEST_TARGET_BYTES, verify="checksum",
+        table=spec.table, on_error="isolate",
+    )
+    outcome = spark.createDataFrame(
+        [(p["ctl_validfrom"], p["path"] in done.swapped, p["path"] in done.quarantined) for p in done.plan],
+        "ctl_validfrom date, compacted boolean, quarantined boolean",
+    )
+    sound = spark.table(spec.table).where(F.col("ctl_validfrom") != F.lit(BROKEN_YEAR))
+    counts = partition_row_counts(sound, "ctl_validfrom")
+    return counted.join(counts, "ctl_validfrom", "left").join(outcome, "ctl_validfrom", "left").select(
+        "ctl_validfrom", "row_count", F.coalesce("compacted", F.lit(False)).alias("compacted"),
+        F.coalesce("quarantined", F.lit(False)).alias("quarantined"),
+    )
+
+
+def q_compact_pointer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Compacted partitions published by catalog pointer. A DataFrame planned before
+    still reads its old files afterwards; ``old_rows`` is what it finds."""
+    spec = _year_mart(spark, sf_dir, "pointer_mart", small_files=True)
+    running = spark.table(spec.table)
+    compact(
+        spark, spec.location, spec.partition_column, "date", COMPACT_FROM, TEST_TARGET_BYTES, verify="checksum",
+        table=spec.table, publish="pointer",
+    )
+    repair_partitions(spark, spec)  # must not point back
+    moved = F.max(F.col("_metadata.file_path").contains("/_versions/")).alias("moved")
+    now = spark.table(spec.table).groupBy("ctl_validfrom").agg(F.count(F.lit(1)).alias("row_count"), F.sum("l_orderkey").alias("keys"), moved)
+    return now.join(partition_row_counts(running, "ctl_validfrom").withColumnRenamed("row_count", "old_rows"), "ctl_validfrom")
+
+
+def q_compact_journal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A compaction in waves of two partitions that ends after its first wave, and
+    the next one with the same journal: each partition is published once."""
+    spec = _year_mart(spark, sf_dir, "journal_mart", small_files=True)
+    journal = f"{spec.location}__journal"
+    shared = dict(table=spec.table, journal=journal, wave_partitions=2)
+
+    class Stops(HadoopFS):
+        stages = 0
+
+        def delete(self, path, recursive=True):
+            self.stages += "__stage_" in path  # the last step of a wave
+            if self.stages > 1:
+                raise InterruptedError("stopped between two waves")
+            return super().delete(path, recursive)
+
+    try:
+        compact(spark, spec.location, spec.partition_column, "date", None, TEST_TARGET_BYTES, _fs=Stops(spark), **shared)
+    except InterruptedError:
+        pass
+    compact(spark, spec.location, spec.partition_column, "date", None, TEST_TARGET_BYTES, **shared)
+    notes = read_journal(spark, journal).withColumn("ctl_validfrom", F.element_at(F.split("fragment", "="), -1).cast("date"))
+    times = notes.groupBy("ctl_validfrom").agg(F.count_if(F.col("phase") == "staged").alias("times_written"))
+    return partition_row_counts(spark.table(spec.table), "ctl_validfrom").join(times, "ctl_validfrom")
+
+
 def q_compact_contents(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = _year_mart(spark, sf_dir, "compact_mart", small_files=True)
     compact(
@@ -632,6 +801,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "mart_load_payroll": q_mart_load_payroll,
     "mart_load_from_path": q_mart_load_from_path,
     "mart_load_from_table": q_mart_load_from_table,
+    "mart_load_pinned": q_mart_load_pinned,
+    "mart_load_together": q_mart_load_together,
+    "mart_load_launch_date": q_mart_load_launch_date,
     "mart_reload_same_day": q_mart_reload_same_day,
     "mart_reload_timestamp": q_mart_reload_timestamp,
     "drop_all_partitions": q_drop_all_partitions,
@@ -645,6 +817,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "max_cdc_catalog": q_max_cdc_catalog,
     "stored_query_scalars": q_stored_query_scalars,
     "load_stats": q_load_stats,
+    "load_stats_rerun": q_load_stats_rerun,
+    "partition_repair": q_partition_repair,
+    "hidden_entries": q_hidden_entries,
+    "path_base_names": q_path_base_names,
     "partition_inventory": q_partition_inventory,
     "partition_catalog": q_partition_catalog,
     "partition_files": q_partition_files,
@@ -654,6 +830,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "compact_contents": q_compact_contents,
     "compact_files": q_compact_files,
     "compact_evolved": q_compact_evolved,
+    "compact_isolated": q_compact_isolated,
+    "compact_pointer": q_compact_pointer,
+    "compact_journal": q_compact_journal,
     "compact_salted": q_compact_salted,
     "compact_rebalance": q_compact_rebalance,
     "compact_flat": q_compact_flat,
@@ -743,6 +922,18 @@ ORACLE_SQL: dict[str, str] = {
         f"CAST({LOADING_ID} AS BIGINT) AS ctl_loading, {_d(LOAD_DATE)} AS ctl_validfrom "
         "FROM lineitem"
     ),
+    "mart_load_pinned": (
+        f"SELECT {_PAYROLL_SELECT}, "
+        "(SELECT max(l_orderkey) FROM lineitem) AS src_loading_id, "
+        f"CAST({LOADING_ID} AS BIGINT) AS ctl_loading, {_d(LOAD_DATE)} AS ctl_validfrom "
+        "FROM lineitem"
+    ),
+    "mart_load_together": (
+        f"SELECT step, mart, {_d(LOAD_DATE)} AS ctl_validfrom, CAST({LOADING_ID} - (step = 'after a failure')::INT AS BIGINT) AS ctl_loading, "
+        "row_count FROM (SELECT 'payroll' AS mart, count(*) AS row_count FROM lineitem UNION ALL SELECT 'merch', count(*) FROM supplier), "
+        "(SELECT unnest(['after a failure', 'after a success']) AS step)"
+    ),
+    "mart_load_launch_date": "SELECT true AS of_launch_date, count(*) AS row_count FROM lineitem",
     "mart_load_from_table": (
         f"SELECT {_PAYROLL_SELECT}, "
         "(SELECT max(l_orderkey) FROM lineitem) AS src_loading_id, "
@@ -806,6 +997,18 @@ ORACLE_SQL: dict[str, str] = {
         f"SELECT * REPLACE (CASE WHEN {_YEAR} >= {_d(COMPACT_FROM)} THEN l_tax END AS l_tax), "
         f"{_YEAR} AS ctl_validfrom FROM lineitem"
     ),
+    "compact_isolated": (
+        f"SELECT y AS ctl_validfrom, CASE WHEN y <> {_d(BROKEN_YEAR)} THEN row_count END AS row_count, "
+        f"y >= {_d(COMPACT_FROM)} AND y <> {_d(BROKEN_YEAR)} AS compacted, y = {_d(BROKEN_YEAR)} AS quarantined "
+        f"FROM (SELECT {_YEAR} AS y, count(*) AS row_count FROM lineitem GROUP BY 1)"
+    ),
+    "compact_pointer": (
+        f"SELECT {_YEAR} AS ctl_validfrom, count(*) AS row_count, CAST(sum(l_orderkey) AS BIGINT) AS keys, "
+        f"{_YEAR} >= {_d(COMPACT_FROM)} AS moved, count(*) AS old_rows FROM lineitem GROUP BY 1"
+    ),
+    "compact_journal": (
+        f"SELECT {_YEAR} AS ctl_validfrom, count(*) AS row_count, CAST(1 AS BIGINT) AS times_written FROM lineitem GROUP BY 1"
+    ),
     "numbered_files": (
         "SELECT replace(c_mktsegment, ' ', '_') || '-' || min(c_custkey) AS name, min(c_custkey) AS step "
         "FROM customer GROUP BY c_mktsegment"
@@ -821,6 +1024,18 @@ ORACLE_SQL: dict[str, str] = {
         f"SELECT substr(CAST(max({_YEAR}) AS VARCHAR), 1, 10) AS max_cdc_date FROM lineitem"
     ),
     "load_stats": _LOAD_STATS,
+    "load_stats_rerun": (
+        "SELECT loading_id + k AS loading_id, entity_id, stat_id, avalue, load_date "
+        f"FROM (SELECT unnest([-1, 0, 1]) AS k), ({_LOAD_STATS}) WHERE loading_id = {LOADING_ID}"
+    ),
+    "partition_repair": (
+        f"SELECT CASE WHEN {_YEAR} = {_d(RETENTION_FROM)} THEN {_d(EMPTY_YEAR)} ELSE {_YEAR} END AS ctl_validfrom, count(*) AS row_count, "
+        f"'ctl_validfrom={EMPTY_YEAR}' AS added, 'ctl_validfrom={RETENTION_FROM}' AS dropped FROM lineitem GROUP BY 1"
+    ),
+    "hidden_entries": (
+        f"SELECT {_YEAR} AS ctl_validfrom, CAST(sum({_LINE_BYTES}) AS BIGINT) AS bytes FROM lineitem GROUP BY 1"
+    ),
+    "path_base_names": f"SELECT DISTINCT 'ctl_validfrom=' || {_YEAR} AS name, false AS nested FROM lineitem",
     "partition_inventory": (
         f"SELECT {_YEAR} AS ctl_validfrom, count(*) AS row_count FROM lineitem GROUP BY 1"
     ),

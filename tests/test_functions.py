@@ -218,3 +218,20 @@ def test_null_message_and_name_are_kept(spark):
     status = json.loads(status_json(status_events(records, 1)).first()[0])
     assert status["log"] is None and len(status) == 4
     assert log_lines(records).first()[0] == "2021-01-01 00:00:00 - None [ERROR]: None"
+
+
+def test_statistics_published_again_replace_their_load_only(spark, workdir):
+    import datetime as dt
+
+    from martlet.operators.stats import LOAD_STATS_SCHEMA, publish_stats, read_stats
+
+    def rows(loading_id, entity_id, value, stats=(1, 2, 5, 11, 15)):
+        return spark.createDataFrame([(loading_id, entity_id, s, [value], dt.date(2021, 10, 25)) for s in stats], LOAD_STATS_SCHEMA)
+
+    path = f"{workdir}/stats"
+    for loading_id, entity_id, value in ((1, 7, "a"), (2, 7, "a"), (1, 8, "a"), (1, 7, "b"), (1, 7, "b")):
+        publish_stats(rows(loading_id, entity_id, value), path)
+    got = {(r.loading_id, r.entity_id, r.stat_id): r.avalue for r in read_stats(spark, path).collect()}
+    assert len(got) == 15 == read_stats(spark, path).count()
+    assert {v[0] for k, v in got.items() if k[:2] == (1, 7)} == {"b"} and {v[0] for k, v in got.items() if k[:2] != (1, 7)} == {"a"}
+    assert read_stats(spark, path).schema.fieldNames() == LOAD_STATS_SCHEMA.fieldNames()
