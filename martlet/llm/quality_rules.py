@@ -6,7 +6,9 @@ them is removed:
 - punctuation: the line ends without a terminal mark and is short, most of its
   words carry doubled marks, or symbols crowd its words;
 - navigation: separators (``|``, ``>``, ...) stand between its words;
-- boilerplate: it holds a phrase of licences, cookie notices or site chrome.
+- boilerplate: phrases of licences, cookie notices or site chrome make it up: it
+  holds one for every ``words_per_phrase`` of its words. So a phrase takes a short
+  line away, and a paragraph that mentions one stays.
 
 A document is rejected when the base rules fail (too few words, or too many
 words in repeated 3-word windows) or when the removed lines held more than
@@ -37,11 +39,12 @@ SYMBOLS = "#*$%&|<>"
 TERMINAL_PATTERN = r"[.!?…:;。！？][\"'”’»)\]}]*[\x20\x09-\x0D]*$"
 SEPARATORS = ["|", ">", "/", "»", "›", "•", "·"]
 BOILERPLATE_PATTERN = (
-    r"all rights reserved|licensed under|released under|copyright \(c\)|terms of (?:use|service)"
-    r"|privacy policy|cookie|enable javascript|subscribe to|click here|sign in to|log in to"
+    r"\b(?:all rights reserved\b|licensed under\b|released under\b|copyright \(c\)|terms of (?:use|service)\b"
+    r"|privacy policy\b|cookies?\b|enable javascript\b|subscribe to\b|click here\b|sign in to\b|log in to\b)"
 )
 _terminal = re.compile(TERMINAL_PATTERN)
-_boilerplate = re.compile(BOILERPLATE_PATTERN, re.IGNORECASE)
+# ASCII word boundaries, as in the SQL form.
+_boilerplate = re.compile(BOILERPLATE_PATTERN, re.IGNORECASE | re.ASCII)
 _separators = frozenset(x.encode() for x in SEPARATORS)
 
 
@@ -56,6 +59,7 @@ class LineRules:
     max_symbol_percent: int = 50
     max_separator_percent: int = 15
     max_loss_percent: int = 50
+    words_per_phrase: int = 20
 
 
 @dataclass(frozen=True)
@@ -87,7 +91,8 @@ def line_fails(line: str, rules: LineRules) -> bool:
         return True
     if 100 * sum(map(line.count, SYMBOLS)) > rules.max_symbol_percent * n:
         return True
-    return _boilerplate.search(line) is not None
+    phrases = len(_boilerplate.findall(line))
+    return phrases > 0 and phrases * rules.words_per_phrase >= n
 
 
 def repeated_window_words(words: list[bytes]) -> int:

@@ -130,7 +130,8 @@ ORACLE_SQL: dict[str, str] = {
                 OR (len(list_filter(w, lambda x: x IN ({_SEPARATOR_LIST}))) >= 3
                     AND 100 * len(list_filter(w, lambda x: x IN ({_SEPARATOR_LIST}))) > 15 * len(w))
                 OR 100 * {_SYMBOLS.format("line")} > 50 * len(w)
-                OR regexp_matches(line, '{BOILERPLATE_PATTERN}', 'i')) AS failed
+                OR (regexp_matches(line, '{BOILERPLATE_PATTERN}', 'i')
+                    AND 20 * len(regexp_extract_all(line, '{BOILERPLATE_PATTERN}', 0, 'i')) >= len(w))) AS failed
             FROM lines
         ), by_line AS (
             SELECT doc_id, count(*) FILTER (WHERE chars > 0) - count(DISTINCT line) FILTER (WHERE chars > 0) AS n_dup_lines,

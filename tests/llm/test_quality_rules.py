@@ -60,3 +60,17 @@ def test_empty_table_and_extra_columns(spark, documents, prose):
     docs = documents((1, prose(5, 90))).selectExpr("*", "1 AS n_words", "true AS kept")
     assert judge_documents(docs).first()["n_words"] == 90
     assert clean_documents(docs).columns == docs.columns
+
+
+def test_a_phrase_in_a_paragraph_keeps_it(spark, documents, prose):
+    rules = LineRules()
+    words = prose(6, 90).split()
+    for phrase in ("cookies", "licensed under", "Click here", "subscribe to"):
+        one_line = " ".join(words[:40] + [phrase] + words[40:])
+        assert not line_fails(one_line, rules) and judge(one_line, rules).kept
+        assert line_fails(f"Please {phrase} now and read all of this notice.", rules)
+    assert line_fails(" ".join(words[:10] + ["Click here"] + words[10:20] + ["privacy policy"] + words[20:30]), rules)
+    assert not line_fails("The cookiecutter stood on the long wooden table near us.", rules)
+    long = "\n".join(" ".join(words[i : i + 30] + ["cookie."]) for i in (0, 30, 60))
+    (row,) = clean_documents(documents((1, long))).collect()
+    assert row["text"] == long
