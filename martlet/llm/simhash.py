@@ -34,8 +34,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from martlet.llm.common import checkpointed, text_bytes
+from martlet.llm.common import checkpointed, stored, text_bytes
 from martlet.llm.components import connected_components
 
 #: Shingles hashed before their bits are added up, to bound memory on long texts.
@@ -152,21 +153,25 @@ def links(classes: DataFrame, max_distance: int) -> DataFrame:
     return x.join(y, near).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"))
 
 
-def near_duplicates(docs: DataFrame, shingle_words: int = 3, max_distance: int = 2) -> DataFrame:
-    """``doc_id, fingerprint, component_id`` per row of ``docs``."""
-    fps = checkpointed(fingerprints(docs, shingle_words))
+def _grouped(fps: DataFrame, max_distance: int) -> DataFrame:
+    """``fp, group, component_id`` per distinct fingerprint of ``doc_id, fp`` rows."""
     # A class of nameless rows alone still needs a name that no document has.
     classes = checkpointed(
         fps.groupBy("fp").agg(F.min("doc_id").alias("named"))
         .withColumn("rep", F.struct(F.col("named").isNull().alias("nameless"), F.col("named"), F.col("fp")))
     )
     found = connected_components(links(classes.select("fp", "rep"), max_distance))
-    named = (
+    return (
         classes.select("fp", "rep").join(found, F.col("rep") == F.col("node"), "left")
-        .select("fp", F.coalesce("component", "rep")["named"].alias("component_id"))
+        .select("fp", F.coalesce("component", "rep").alias("group")).withColumn("component_id", F.col("group")["named"])
     )
+
+
+def near_duplicates(docs: DataFrame, shingle_words: int = 3, max_distance: int = 2) -> DataFrame:
+    """``doc_id, fingerprint, component_id`` per row of ``docs``."""
+    fps = checkpointed(fingerprints(docs, shingle_words))
     return (
-        fps.join(named, "fp")
+        fps.join(_grouped(fps, max_distance).drop("group"), "fp")
         .select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
     )
 
@@ -174,10 +179,26 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 3, max_distance: int =
 def one_of_each_group(docs: DataFrame, shingle_words: int = 3, max_distance: int = 2) -> DataFrame:
     """The documents left when only one of each group stays, all columns.
 
-    The smallest ``doc_id`` stays; of rows that repeat it, one. Rows with a null
-    ``doc_id`` cannot be named and stay.
+    The smallest ``doc_id`` stays; of rows that repeat it within the group, one.
+    Rows that share a ``doc_id`` but not a group are different documents. Rows with
+    a null ``doc_id`` cannot be named and stay.
     """
-    groups = near_duplicates(docs, shingle_words, max_distance)
-    keep = groups.where("doc_id = component_id").select(F.col("doc_id").alias("__keep")).distinct()
-    named = docs.join(keep, docs["doc_id"] == keep["__keep"]).drop("__keep").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.where(docs["doc_id"].isNull()))
+    whole = F.struct(*[docs[c] for c in docs.columns])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = np.array([fingerprint(x.as_py(), shingle_words) for x in batch.column(1)], dtype=np.uint64)
+            fps = pa.array(found.view(np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), fps], ["doc_id", "whole", "fp"])
+
+    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"), whole.alias("whole"))
+    schema = StructType([StructField("doc_id", LongType()), StructField("whole", docs.schema), StructField("fp", LongType())])
+    tagged = stored(rows.mapInArrow(run, schema), "simhash-rows")
+    named = tagged.where("doc_id IS NOT NULL")
+    groups = checkpointed(_grouped(tagged.select("doc_id", "fp"), max_distance))
+    kept = (
+        named.select("doc_id", "fp").distinct().join(groups, "fp").where("doc_id = component_id")
+        .groupBy("group").agg(F.min(F.struct("doc_id", "fp")).alias("kept")).select("kept.*")
+    )
+    one = named.join(kept, ["doc_id", "fp"]).dropDuplicates(["doc_id", "fp"])
+    return one.unionByName(tagged.where("doc_id IS NULL").select(*one.columns)).select("whole.*")

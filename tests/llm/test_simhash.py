@@ -87,7 +87,8 @@ def test_rows_without_id_and_repeats(spark, documents, prose):
     assert len(rows) == 5
     assert {r["component_id"] for r in rows if r["doc_id"] == 7} == {7}
     assert sorted(r["component_id"] or -1 for r in rows if r["doc_id"] is None) == [-1, 7]
-    kept = one_of_each_group(docs.selectExpr("*", "1 AS fp", "2 AS component_id"))
+    kept = one_of_each_group(docs.selectExpr("*", "1 AS fp", "2 AS component_id", "3 AS __keep", "4 AS whole"))
+    assert kept.columns[-3:] == ["component_id", "__keep", "whole"]
     assert sorted(r["doc_id"] or -1 for r in kept.collect()) == [-1, -1, 3, 7]
     assert near_duplicates(docs.where("false")).count() == 0
 
@@ -99,3 +100,9 @@ def test_components_of_a_chain_and_a_star(spark):
     got = dict(connected_components(edges).collect())
     assert got == {i: 100 for i in range(100, 161)} | {i: 500 for i in range(500, 600)}
     assert connected_components(edges.where("false")).count() == 0
+
+
+def test_different_texts_of_one_id_both_stay(spark, documents, prose):
+    a, b = prose(1, 80), prose(2, 80)
+    rows = one_of_each_group(documents((1, a), (1, b), (1, a), (4, b), (5, a), (6, prose(3, 80)))).collect()
+    assert sorted((r["doc_id"], r["text"] == a, r["text"] == b) for r in rows) == [(1, False, True), (1, True, False), (6, False, False)]
