@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-from martlet.llm.mixing import mix
+from martlet.llm.mixing import mix, mixed_corpus, sized, with_draws
 
 
 def brute_targets(sizes, weights=(5, 2, 1), budget=1.5, cap=2.0):
@@ -70,3 +70,41 @@ def test_empty_and_wordless_tables(spark, documents):
     assert mix(documents((1, "a")).where("false")).count() == 0
     out = mix(documents((1, None), (2, " "))).collect()
     assert [(r["size"], r["target"], r["taken"]) for r in out] == [(0, 0.0, 0)] * 2
+
+
+def test_rows_of_one_id_have_draws_of_their_own(spark, documents):
+    """20,000 rows that repeat an id fall into blocks like other rows, and the
+    copies of them all come near the target."""
+    docs = documents((1, "one two three"), (2, "four five"), (None, "six")).selectExpr("*", "explode(sequence(1, 20000)) AS i").drop("i")
+    draws = with_draws(sized(docs.repartition(6)).checkpoint())
+    assert draws.select("draw").distinct().count() == 60_000
+    again = with_draws(sized(docs.repartition(3)).checkpoint())
+    assert draws.select("doc_id", "draw").exceptAll(again.select("doc_id", "draw")).count() == 0
+    out = {r["doc_id"]: r for r in mix(docs).groupBy("doc_id").agg({"copies": "avg", "taken": "sum", "copies": "avg"}).collect()}
+    assert all(abs(r["avg(copies)"] - 1.5) < 0.02 for r in out.values())
+
+
+def test_expected_copies_of_a_document_equal_its_rate(spark, documents):
+    """Over many keys (ids), documents of one size are taken at one rate."""
+    docs = documents(*[(i, "w " * (1 + i % 5), "a" if i % 3 else "b") for i in range(6000)])
+    out = mix(docs).groupBy("source", "size").avg("copies").collect()
+    for source in "ab":
+        rates = [r["avg(copies)"] for r in out if r["source"] == source]
+        assert len(rates) == 5 and max(rates) - min(rates) < 0.08, (source, rates)
+
+
+def test_mixed_corpus_keeps_texts_and_any_columns(spark, documents, prose):
+    rows = rows_of(prose, 60)
+    docs = documents(*rows).selectExpr("*", "'x' AS copies", "5 AS row", "6 AS draw", "7 AS __source")
+    out = mixed_corpus(docs)
+    assert set(docs.columns) <= set(out.columns) and {"size", "taken", "target", "source_size"} <= set(out.columns)
+    got = sorted((r["text"] or "", r["row"], r["draw"]) for r in out.collect())
+    assert got == sorted((r[1] or "", 5, 6) for r in rows)
+    key = lambda r: (r["doc_id"] or -1, r["size"], r["taken"])
+    assert sorted(map(key, out.collect())) == sorted(map(key, mix(documents(*rows)).collect()))
+    assert mixed_corpus(docs.where("false")).count() == 0
+
+
+def test_a_very_long_text_is_counted_whole(spark, documents):
+    (r,) = mix(documents((1, "word " * 300_000))).collect()
+    assert r["size"] == 300_000 and r["copies"] in (1, 2)
