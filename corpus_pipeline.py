@@ -4,6 +4,13 @@ Each stage gets what the one before it kept, written as Parquet and read again,
 so a stage never recomputes its predecessors and a lost executor costs tasks of
 one stage only. The stage tables lie in a fresh folder below the shared folder
 of ``spark.checkpoint.dir``.
+
+Defined results: a null or empty text fails the quality rules and goes; rows that
+repeat an id and a text leave one row, different texts of one id both stay; rows
+without an id link and match like others and are never the ones that go for a
+near-duplicate; equal texts get equal surrogates; further columns of any name are
+carried through, but ``size, source_size, target, taken, copies`` are the mix's in
+the last table; an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -14,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from martlet.llm.common import table
 from martlet.llm.decontaminate import without_contaminated
-from martlet.llm.mixing import mix
+from martlet.llm.mixing import mixed_corpus
 from martlet.llm.quality_rules import clean_documents
 from martlet.llm.simhash import one_of_each_group
 from martlet.llm.surrogates import replace_personal_data
@@ -45,8 +52,8 @@ def surrogates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """How many words the mix takes of each document."""
-    return mix(docs)
+    """The corpus with how often the mix takes each document (``copies``, 0 to 2)."""
+    return mixed_corpus(docs)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
