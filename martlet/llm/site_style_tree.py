@@ -10,9 +10,11 @@
    mean entropy of its texts over the pages. They combine as
    ``(1 - decay^children) * presentation + decay^children * content``. Nodes seen
    on fewer than ``min_pages`` pages cannot be judged and count as important.
-4. From each page the branches below the threshold go. Branches whose role is
+4. From each page the branches below the threshold go; an important node within
+   such a branch stays, so the innermost judged node decides. Branches whose role is
    declared (menus, asides, forms, adverts, comments ... by tag, role, class or
-   id) have no importance on any host. What is left inside the article - or the
+   id; within an article only by tag, ARIA role and whole names that can be nothing
+   else) have no importance on any host. What is left inside the article - or the
    main element, or the body, where there is none - is the text.
 
 A page all of whose blocks are below the threshold shows no contrast (copies of
@@ -20,7 +22,7 @@ one page fill the host) and keeps them.
 
 The statistics are aggregates over 64-bit node and text hashes, partially added
 up before the shuffle, so a host that holds a third of all pages is no hot key.
-The unimportant nodes go to the tasks as a broadcast while they number
+The judged nodes go to the tasks as a broadcast while they number
 ``broadcast_nodes`` at most; beyond that they join the pages by host.
 
 Defined results: null or empty html gives an empty text; pages without a host
@@ -69,6 +71,12 @@ ROLE_WORDS = frozenset(
 )
 ROLE_BEGINNINGS = ("adsby", "advert", "breadcrumb", "cookie", "newsletter", "sidebar", "sponsor")
 ROLE_ENDINGS = ("banner", "comments", "footer", "menu", "nav", "navbar", "sidebar")
+#: What can be nothing else even within an article: whole names, and ARIA roles.
+INSIDE_NAMES = frozenset(
+    "ad ads adsbygoogle advert adverts advertisement breadcrumb breadcrumbs comments commentlist navbar"
+    " newsletter-signup share-buttons sidebar social-share sponsored".split()
+)
+INSIDE_ROLES = frozenset("banner complementary contentinfo dialog form menu navigation search".split())
 ROOT_TAGS = frozenset({"html", "body", "article", "main"})
 CONTAINERS = frozenset("div section table ul ol".split())
 
@@ -129,11 +137,18 @@ def _role(tag: str, attributes: dict[str, str], inside_article: bool) -> str:
         return tag
     if "hidden" in attributes or attributes.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none", attributes.get("style", "")):
         return "hidden"
+    if inside_article:
+        # Body text may be called anything; what else is boilerplate shows in the tree.
+        for name in f"{attributes.get('class', '')} {attributes.get('id', '')}".lower().split():
+            if name in INSIDE_NAMES:
+                return name
+        role = attributes.get("role", "").lower()
+        return role if role in INSIDE_ROLES else ""
     names = " ".join(attributes.get(k, "") for k in ("class", "id", "role"))
     for word in map(str.lower, _WORDS.findall(names)):
         if word in ROLE_WORDS or word.startswith(ROLE_BEGINNINGS) or word.endswith(ROLE_ENDINGS):
             return word
-        if word.endswith("header") and not inside_article:
+        if word.endswith("header"):
             return word
     return ""
 
@@ -289,16 +304,18 @@ def importance(seen: DataFrame, params: TreeParams) -> DataFrame:
     ).withColumn("importance", (1 - F.col("weight")) * F.col("presentation") + F.col("weight") * F.col("content"))
 
 
-def page_text(source: str | None, host: str, low: set[int] | frozenset[int]) -> str:
-    """The text of one page without the branches in ``low``."""
+def page_text(source: str | None, host: str, low: set[int] | frozenset[int], high: set[int] | frozenset[int] = frozenset()) -> str:
+    """The text of one page without the branches in ``low``: of a block's element
+    and its ancestors, the innermost that was judged (``low`` or ``high``) decides,
+    so an important branch within a dull one stays."""
     blocks, _ = parse(source)
     if not blocks:
         return ""
     best = max(b.root for b in blocks)
     blocks = [b for b in blocks if b.root == best]
     if host and low:
-        kept = [b for b in blocks if not any(_node(host, path) in low for path in b.paths)]
-        blocks = kept or blocks
+        judged = (next((n in low for path in b.paths if (n := _node(host, path)) in low or n in high), False) for b in blocks)
+        blocks = [b for b, noisy in zip(blocks, judged) if not noisy] or blocks
     return "\n".join(b.text for b in blocks)
 
 
@@ -307,8 +324,8 @@ def extract_main_text(pages: DataFrame, params: TreeParams = TreeParams()) -> Da
     rows = pages.select(
         pages["page_id"].cast("long").alias("page_id"), pages["url"].cast("string").alias("url"), pages["html"].cast("string").alias("html")
     )
-    unimportant = checkpointed(
-        importance(observations(rows), params).where(F.col("importance") < params.threshold).select("node", "host")
+    judged = checkpointed(
+        importance(observations(rows), params).select("node", "host", (F.col("importance") < params.threshold).alias("is_low"))
     )
     schema = "page_id long, url string, text string, n_chars long"
 
@@ -316,23 +333,26 @@ def extract_main_text(pages: DataFrame, params: TreeParams = TreeParams()) -> Da
         columns = [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())]
         return pa.RecordBatch.from_arrays(columns, ["page_id", "url", "text", "n_chars"])
 
-    if unimportant.count() <= params.broadcast_nodes:
-        nodes = unimportant.select("node").toArrow().column("node").to_numpy().view(np.uint64)
-        low = pages.sparkSession.sparkContext.broadcast(frozenset(nodes.tolist()))
+    if judged.count() <= params.broadcast_nodes:
+        found = judged.select("node", "is_low").toArrow()
+        nodes, is_low = found.column("node").to_numpy().view(np.uint64), found.column("is_low").to_numpy()
+        sets = pages.sparkSession.sparkContext.broadcast((frozenset(nodes[is_low].tolist()), frozenset(nodes[~is_low].tolist())))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                yield result(batch, [page_text(h.as_py(), host_of(u.as_py()), low.value) for u, h in zip(batch.column("url"), batch.column("html"))])
+                yield result(batch, [page_text(h.as_py(), host_of(u.as_py()), *sets.value) for u, h in zip(batch.column("url"), batch.column("html"))])
 
         return rows.mapInArrow(run, schema)
 
     def run_joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield result(batch, [
-                page_text(h.as_py(), host_of(u.as_py()), {x % (1 << 64) for x in nodes.as_py() or ()})
-                for u, h, nodes in zip(batch.column("url"), batch.column("html"), batch.column("nodes"))
+                page_text(h.as_py(), host_of(u.as_py()), *({x % (1 << 64) for x in nodes.as_py() or ()} for nodes in (low, high)))
+                for u, h, low, high in zip(*(batch.column(c) for c in ("url", "html", "low", "high")))
             ])
 
     host = F.lower(F.regexp_extract("url", r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]+)", 1))
-    by_host = unimportant.groupBy("host").agg(F.collect_list("node").alias("nodes"))
+    by_host = judged.groupBy("host").agg(
+        F.collect_list(F.when(F.col("is_low"), F.col("node"))).alias("low"), F.collect_list(F.when(~F.col("is_low"), F.col("node"))).alias("high")
+    )
     return rows.withColumn("host", host).join(by_host, "host", "left").mapInArrow(run_joined, schema)

@@ -94,3 +94,35 @@ def test_given_pages_and_empty_table(spark):
 def test_hosts():
     assert host_of("HTTPS://u:p@WWW.Example.org:80/a?b#c") == "www.example.org"
     assert host_of("//x.y/z") == "x.y" and host_of(None) == host_of("") == host_of("/rel") == ""
+
+
+def test_names_of_body_text_within_an_article(prose):
+    from martlet.llm.site_style_tree import page_text
+
+    parts = [
+        '<div class="share-price">Shares rose.</div>', '<section id="form-and-function">Form follows.</section>', '<p class="alert">Mind the gap.</p>',
+        '<div class="related-work">Others wrote.</div>', '<table class="search-results"><tr><td>Found it.</td></tr></table>', '<h2 class="widget-title">Widgets</h2>',
+    ]
+    gone = ['<div class="ad">Buy</div>', '<div class="comments x">First!</div>', '<div role="navigation">Up</div>', "<aside>Other</aside>", '<p hidden>no</p>']
+    html = f"<html><body><div class='share-bar'>Share</div><article>{''.join(parts + gone)}</article></body></html>"
+    assert page_text(html, "", frozenset()).split("\n") == ["Shares rose.", "Form follows.", "Mind the gap.", "Others wrote.", "Found it.", "Widgets"]
+
+
+def test_the_tree_decides_where_names_tell_nothing(spark, prose):
+    """A site without telling tags, classes or ids: with an empty tree the
+    boilerplate stays, with its tree exactly the body text is left."""
+    from martlet.llm.site_style_tree import extract_main_text, page_text
+
+    rows, bodies = [], {}
+    for i in range(24):
+        body = [prose(1000 + 7 * i + j, 30) for j in range(3)]
+        bodies[i] = "\n".join(body)
+        top = "<div class='a1'><p>Start</p><p>About us</p><p>All our topics</p></div>"
+        low = f"<div class='a3'><p>Made with care in our town.</p><p>Read on: {['one', 'two'][i % 2]}</p></div>"
+        main = "<div class='a2'>" + "".join(f"<p>{b}</p>" for b in body) + "</div>"
+        rows.append((i, f"https://plain.example/{i}", f"<html><body>{top}{main}{low}</body></html>"))
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in extract_main_text(pages).collect()}
+    assert got == bodies
+    without = {i: page_text(html, "plain.example", frozenset()) for i, _, html in rows}
+    assert all(without[i] != bodies[i] and "All our topics" in without[i] for i in bodies)
