@@ -11,6 +11,8 @@
    key: digits for digits, letters of the same script for letters, the same
    length, valid check digits where the original has them, given names of the
    same gender.
+   Card, social security and phone numbers are permuted under the key among all
+   numbers of their length (a Feistel network), so no two of them meet.
 4. Collision check: a surrogate shared by two parts, or equal to a part that is
    in the corpus, is drawn again for all but the first of them, with the next
    attempt number, until none is left.
@@ -141,12 +143,45 @@ def _luhn_sum(digits: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.length(digits)), F.lit(0), add)
 
 
-def _card(canon: Column, digest: Column) -> Column:
-    """First digit kept; the check digit holds where the original's does."""
-    body = F.concat(F.left(canon, F.lit(1)), _same_shape(F.substring(canon, F.lit(2), F.length(canon) - 2), digest))
-    check = F.pmod(F.lit(10) - _luhn_sum(F.concat(body, F.lit("0"))) % 10, F.lit(10)).cast("string")
-    free = _pick("0123456789", _draw(digest, F.lit(0)))
-    return F.concat(body, F.when(_luhn_sum(canon) % 10 == 0, check).otherwise(free))
+#: Rounds of the permutation of a number space.
+FEISTEL_ROUNDS = 8
+
+
+def _permuted(digits: Column, key: Column) -> Column:
+    """A keyed permutation of all digit strings of one length: a Feistel network of
+    two halves (of one digit: a keyed shift). Different strings stay different, so a
+    full space needs no second draw."""
+    n = F.length(digits)
+    left_size = F.floor(n / 2).cast("int")
+
+    def shifted(half: Column, by: Column, at: Column) -> Column:
+        """``half`` plus a hash of ``by``, modulo its space; same length."""
+        size = F.length(half)
+        space = F.rpad(F.lit("1"), size + 1, F.lit("0")).cast("decimal(38,0)")
+        drawn = F.conv(F.substring(F.sha2(F.concat_ws("\x1f", key, at.cast("string"), by), 256), 1, 15), 16, 10).cast("decimal(38,0)")
+        moved = (half.cast("decimal(37,0)") + drawn) % space
+        return F.lpad(moved.cast("decimal(38,0)").cast("string"), size, F.lit("0"))
+
+    def step(pair: Column, at: Column) -> Column:
+        moved = shifted(pair["a"], pair["b"], at)
+        return F.struct(pair["b"].alias("a"), moved.alias("b"))
+
+    start = F.struct(F.left(digits, left_size).alias("a"), F.substring(digits, left_size + 1, n).alias("b"))
+    done = F.aggregate(F.sequence(F.lit(1), F.lit(FEISTEL_ROUNDS)), start, step)
+    return F.when(n > 1, F.concat(done["a"], done["b"])).otherwise(shifted(digits, F.lit(""), F.lit(0)))
+
+
+def _card(canon: Column, key: Column) -> Column:
+    """First digit kept, the inner digits permuted; the last digit is as far from
+    the check digit as the original's, so valid numbers stay valid and different
+    numbers different."""
+    def check(body: Column) -> Column:
+        return F.pmod(F.lit(10) - _luhn_sum(F.concat(body, F.lit("0"))) % 10, F.lit(10))
+
+    first, inner = F.left(canon, F.lit(1)), F.substring(canon, F.lit(2), F.length(canon) - 2)
+    off = F.right(canon, F.lit(1)).cast("int") - check(F.concat(first, inner))
+    body = F.concat(first, _permuted(inner, F.concat_ws("\x1f", key, first)))
+    return F.concat(body, F.pmod(check(body) + off, F.lit(10)).cast("string"))
 
 
 def _name(kind: Column, canon: Column, digest: Column, attempt: Column) -> Column:
@@ -173,6 +208,7 @@ def surrogate_of(kind: Column, canon: Column, attempt: Column, key: str) -> Colu
         return F.sha2(F.concat_ws("\x1f", F.lit(key), *parts), 256)
 
     own = digest(kind, canon, attempt.cast("string"))
+    space = digest(kind, F.length(canon).cast("string"), attempt.cast("string"))
     local, domain = F.substring_index(canon, "@", 1), F.substring_index(canon, "@", -1)
     ending = F.concat(F.lit("."), F.substring_index(domain, ".", -1))
     host = F.substring(domain, F.lit(1), F.length(domain) - F.length(ending))
@@ -187,23 +223,34 @@ def surrogate_of(kind: Column, canon: Column, attempt: Column, key: str) -> Colu
         .when(kind == "secret", F.concat(F.left(canon, F.lit(4)), _same_shape(F.substring(canon, F.lit(5), F.length(canon)), own)))
         .when(kind == "iban", F.concat(F.left(canon, F.lit(2)), _same_shape(F.substring(canon, F.lit(3), F.length(canon)), own)))
         .when(kind == "ip4", octets).when(kind == "ip6", hexes)
-        .when(kind == "card", _card(canon, own))
-        .when(kind.isin("ssn", "phone"), _same_shape(canon, own))
+        .when(kind == "card", _card(canon, space))
+        .when(kind.isin("ssn", "phone"), _permuted(canon, space))
         .otherwise(_name(kind, canon, own, attempt))
     )
 
 
 #: From this attempt on a surrogate may equal a part of the corpus (only small,
-#: nearly full spaces of short numbers get that far), never another surrogate.
+#: nearly full spaces get that far), never another surrogate.
 RELAXED = 12
+#: Kinds whose surrogates are a permutation of all numbers of their length. After
+#: ``NUMBER_ATTEMPTS`` a space with a clash left takes one permutation as a whole,
+#: which has none.
+NUMBER_KINDS = ("ssn", "card", "phone")
+NUMBER_ATTEMPTS = 3
+_WHOLE_SPACE = 1000
 
 
 def surrogate_table(parts: DataFrame, key: str) -> DataFrame:
-    """``kind, canon, surrogate`` with every surrogate of a kind distinct."""
+    """``kind, canon, surrogate`` with every surrogate of a kind distinct.
+
+    Numbers are settled after ``NUMBER_ATTEMPTS`` rounds at most, however full their
+    space is; the free-form surrogates grow with the attempts, so they settle, too.
+    """
     def drawn(rows: DataFrame) -> DataFrame:
         return rows.withColumn("surrogate", surrogate_of(F.col("kind"), F.col("canon"), F.col("attempt"), key))
 
     space = F.regexp_replace("kind", "^given_.*", "given").alias("space")
+    number = F.col("kind").isin(*NUMBER_KINDS)
     real = checkpointed(parts.where("kind <> 'title'").select("kind", "canon").distinct())
     now = checkpointed(drawn(real.withColumn("attempt", F.lit(0))))
     while True:
@@ -212,14 +259,22 @@ def surrogate_table(parts: DataFrame, key: str) -> DataFrame:
         judged = (
             now.withColumn("space", space).join(first.where("n > 1"), ["space", "surrogate"], "left")
             .join(taken, ["space", "surrogate"], "left")
-            .withColumn("clash", (F.col("real").isNotNull() & (F.col("attempt") < RELAXED))
-                        | (F.col("n").isNotNull() & (F.struct("attempt", "kind", "canon") != F.col("first"))))
+            .withColumn("clash", (F.col("attempt") < _WHOLE_SPACE) & (
+                (F.col("real").isNotNull() & (F.col("attempt") < RELAXED))
+                | (F.col("n").isNotNull() & (F.struct("attempt", "kind", "canon") != F.col("first")))
+            ))
         )
         bad = checkpointed(judged.where("clash").select("kind", "canon", "attempt"))
         if bad.isEmpty():
             return now.select("kind", "canon", "surrogate")
-        again = drawn(bad.withColumn("attempt", F.col("attempt") + 1))
-        kept = now.join(bad.select("kind", "canon"), ["kind", "canon"], "left_anti")
+        size = F.length("canon").alias("size")
+        # A kind, and a length of its numbers: a few dozen rows.
+        full = bad.where(number & (F.col("attempt") + 1 >= NUMBER_ATTEMPTS)).select("kind", size).distinct()
+        switched = now.withColumn("size", F.length("canon")).join(full, ["kind", "size"], "left_semi").select("kind", "canon")
+        switched = switched.withColumn("attempt", F.lit(_WHOLE_SPACE))
+        bad = bad.withColumn("size", F.length("canon")).join(full, ["kind", "size"], "left_anti").select("kind", "canon", "attempt")
+        again = drawn(bad.withColumn("attempt", F.col("attempt") + 1).unionByName(switched))
+        kept = now.join(again.select("kind", "canon"), ["kind", "canon"], "left_anti")
         now = checkpointed(kept.unionByName(again))
 
 
@@ -257,29 +312,30 @@ def replacements(mentions: DataFrame, key: str) -> DataFrame:
 
 
 def replace_personal_data(docs: DataFrame, key: str) -> DataFrame:
-    """``docs`` with every mention replaced; all columns kept.
+    """``docs`` with every mention replaced; all columns kept, whatever their names.
 
     ``key`` is the secret under which surrogates are drawn: equal keys give
     equal surrogates over equal corpora.
     """
+    # The table's own columns travel as one, so no name of theirs can clash.
+    whole = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("whole"), docs["text"].alias("text"))
     text = F.col("text")
     holds = F.size(mentions_of(text)) > 0
     found = checkpointed(
-        docs.where(holds).select(F.sha2(text, 256).alias("__digest"), F.explode(mentions_of(text)).alias("mention")).distinct()
+        docs.where(holds).select(F.sha2(text, 256).alias("digest"), F.explode(mentions_of(text)).alias("mention")).distinct()
     )
     lists = (
-        found.join(replacements(found, key), "mention").groupBy("__digest")
-        .agg(F.map_from_entries(F.collect_list(F.struct("mention", "replacement"))).alias("__made"))
+        found.join(replacements(found, key), "mention").groupBy("digest")
+        .agg(F.map_from_entries(F.collect_list(F.struct("mention", "replacement"))).alias("made"))
     )
     between = F.split(text, MENTION, -1)
     new = F.array_join(F.concat(
         F.array(between[0]),
-        F.zip_with(mentions_of(text), F.slice(between, 2, F.size(between)), lambda m, s: F.concat(F.col("__made")[m], s)),
+        F.zip_with(mentions_of(text), F.slice(between, 2, F.size(between)), lambda m, s: F.concat(F.col("made")[m], s)),
     ), "")
-    changed = (
-        docs.where(holds).withColumn("__digest", F.sha2(text, 256)).join(lists, "__digest")
-        .withColumn("text", new)
-    )
+    changed = whole.where(holds).withColumn("digest", F.sha2(text, 256)).join(lists, "digest").select("whole", new.alias("new"))
+    written = {"text": F.col("new")}
     if "n_chars" in docs.columns:
-        changed = changed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return docs.where(~holds | text.isNull()).unionByName(changed.select(*docs.columns))
+        written["n_chars"] = F.length("new").cast(docs.schema["n_chars"].dataType)
+    changed = changed.select(*[written.get(c, F.col("whole")[c]).alias(c) for c in docs.columns])
+    return docs.where(~holds | text.isNull()).unionByName(changed)

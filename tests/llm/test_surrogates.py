@@ -61,12 +61,12 @@ def test_small_spaces_stay_distinct(spark):
 
 
 def test_repeats_columns_and_empty_table(spark, documents):
-    docs = documents((1, TEXT), (1, TEXT), (None, TEXT), (2, "clean")).selectExpr("*", "1 AS mention", "2 AS kind")
+    docs = documents((1, TEXT), (1, TEXT), (None, TEXT), (2, "clean")).selectExpr("*", "1 AS mention", "2 AS kind", "3 AS __digest", "4 AS __made", "5 AS whole", "6 AS digest", "7 AS made", "8 AS new")
     out = replace_personal_data(docs, "k")
     rows = out.collect()
     assert out.columns == docs.columns and len(rows) == 4
     assert len({r["text"] for r in rows if r["doc_id"] != 2}) == 1
-    assert all(r["n_chars"] == len(r["text"]) for r in rows)
+    assert all(r["n_chars"] == len(r["text"]) and (r["__digest"], r["__made"], r["new"]) == (3, 4, 8) for r in rows)
     assert replace_personal_data(docs.where("false"), "k").count() == 0
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
@@ -87,3 +87,37 @@ def test_mentions_of_letters_alone_are_searched(spark, documents):
         assert some.where(F.col("text").rlike(KIND_PATTERNS[kind]) & F.col("text").rlike(HINT)).count() == some.count()
     out = replaced(spark, documents, *(f"the key is {x} today" for _, x in found))
     assert not [x for (_, x), text in zip(found, out) if x in text]
+
+
+def test_a_full_number_space_is_settled_in_few_rounds(spark, monkeypatch):
+    from martlet.llm import surrogates as S
+
+    rounds = []
+    drawn = S.surrogate_of
+    monkeypatch.setattr(S, "surrogate_of", lambda *args: rounds.append(1) or drawn(*args))
+    parts = spark.range(1000).selectExpr("'ssn' AS kind", "lpad(string(id), 3, '0') AS canon")
+    rows = S.surrogate_table(parts, "k").collect()
+    assert len({r["surrogate"] for r in rows}) == len(rows) == 1000
+    assert {r["surrogate"] for r in rows} == {f"{i:03d}" for i in range(1000)} and len(rounds) <= S.NUMBER_ATTEMPTS + 1
+
+
+def test_numbers_are_permuted_under_the_key(spark):
+    from martlet.llm.surrogates import _card, _permuted
+
+    for size in (1, 2, 3, 5):
+        all_ = spark.range(10**size).select(F.lpad(F.col("id").cast("string"), size, "0").alias("s"))
+        a, b = ({r[0]: r[1] for r in all_.select("s", _permuted(F.col("s"), F.lit(k))).collect()} for k in "xy")
+        assert set(a.values()) == set(a) and a != b
+    (long,) = spark.range(1).select(_permuted(F.lit("123456789012345678"), F.lit("k"))).first()
+    assert len(long) == 18 and long.isdigit() and long != "123456789012345678"
+    cards = spark.range(20_000).select(F.concat(F.lit("4"), F.lpad(F.col("id").cast("string"), 5, "0")).alias("c"))
+    got = cards.select("c", _card(F.col("c"), F.lit("k")).alias("s")).withColumns({
+        "was": _luhn_sum(F.col("c")) % 10 == 0, "now": _luhn_sum(F.col("s")) % 10 == 0}).collect()
+    assert len({r["s"] for r in got}) == 20_000 and all(r["was"] == r["now"] and r["s"][0] == "4" and len(r["s"]) == 6 for r in got)
+
+
+def test_a_very_long_text_is_replaced_whole(spark, documents, prose):
+    mail = "anna.smith34@mail7.example.org"
+    long = " ".join(prose(i, 500) + f" {mail} " for i in range(200))
+    (out,) = replaced(spark, documents, long)
+    assert mail not in out and len(re.findall("@", out)) == 200 and len(out) > 0.9 * len(long)
