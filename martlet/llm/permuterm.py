@@ -255,7 +255,12 @@ def _with_roots(forms: DataFrame) -> DataFrame:
 def spelling_variants(
     docs: DataFrame, min_length: int = 7, min_count: int = 2, ratio: int = 10, planted_typos: bool = False
 ) -> DataFrame:
-    """``word, n, n_near, form, form_n, root`` of every word of ``docs``."""
+    """``word, n, n_near, form, form_n, root`` of every word of ``docs``.
+
+    ``ratio`` is above 1, so that the counts of a chain of forms grow and it ends.
+    """
+    if ratio <= 1:
+        raise ValueError(f"ratio {ratio}")
     counted = word_counts(docs, min_length, planted_typos).where(F.col("n") >= min_count)
     words = stored(counted, "permuterm-words")
     short = _near_short(words.where(F.char_length("word") < LONG), min_length)

@@ -5,6 +5,7 @@ import re
 import zlib
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from martlet.llm import permuterm as P
@@ -103,9 +104,12 @@ def test_nulls_ties_repeats_and_clashing_columns(spark, documents):
     docs = documents((1, text), (1, text), (None, text), (None, None), (5, "")).selectExpr("*", "'q' AS word", "1 AS n", "2 AS form")
     got = found(P.spelling_variants(docs))
     assert got == {w: (6, 2, None, None, w) for w in ("lettera", "letterb", "letterc")}
-    near = found(P.spelling_variants(docs, ratio=1))
-    # Ties go to the smallest word; a word may not be its own form.
-    assert near["letterb"][2] == "lettera" and near["lettera"][2] == "letterb"
+    more = documents((1, text + "letterd " * 40 + "lettere " * 40))
+    near = found(P.spelling_variants(more))
+    # Ties go to the smallest word.
+    assert near["letterb"] == (2, 4, "letterd", 40, "letterd") and near["letterd"][2:] == (None, None, "letterd")
+    with pytest.raises(ValueError):
+        P.spelling_variants(docs, ratio=1)
 
 
 def test_empty_table(spark, documents):
