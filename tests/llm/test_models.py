@@ -26,8 +26,10 @@ def brute_scores(texts, good, size, prior):
     number = {w: i + 2 for i, w in enumerate(vocabulary)}
     v = len(vocabulary) + 2
 
+    rare = {w for w in counts if w not in number}
+
     def model(docs):
-        pairs, context, unigram = Counter(), Counter(), Counter()
+        pairs, context, unigram, words = Counter(), Counter(), Counter(), Counter()
         for d in docs:
             last = 0
             for w in tokens[d]:
@@ -35,15 +37,21 @@ def brute_scores(texts, good, size, prior):
                 pairs[last, n] += 1
                 context[last] += 1
                 unigram[n] += 1
+                words[w] += 1
                 last = n
         total = sum(unigram.values())
-        return lambda a, b: -math.log2((pairs[a, b] + prior * (unigram[b] + 1) / (total + v)) / (context[a] + prior))
+
+        def loss(a, w):
+            b = number.get(w, 1)
+            p = (pairs[a, b] + prior * (unigram[b] + 1) / (total + v)) / (context[a] + prior)
+            return -math.log2(p * ((words[w] + 1) / (unigram[1] + len(rare)) if b == 1 else 1))
+
+        return loss
 
     target, background = model(good), model(tokens)
     out = {}
     for d, ws in tokens.items():
-        ns = [0] + [number.get(w, 1) for w in ws]
-        steps = list(zip(ns, ns[1:]))
+        steps = list(zip([0] + [number.get(w, 1) for w in ws], ws))
         out[d] = (len(ws), *(sum(m(*s) for s in steps) / len(steps) if steps else None for m in (target, background)))
     return out
 
@@ -68,6 +76,27 @@ def test_scores_match_brute_force(spark, documents, prose):
     assert cross_entropy_difference(docs, labels.where("false"), params).count() == len(texts)
 
 
+def test_words_beyond_the_classes_count_one_by_one(spark, documents, monkeypatch):
+    """More words than classes and than a part holds: every word has its own count."""
+    from martlet.llm import lm_scoring as L
+
+    monkeypatch.setattr(L, "RARE_PER_PART", 700)
+    r = np.random.default_rng(1)
+    texts = {i: " ".join(f"w{x}" for x in r.zipf(1.3, 250) % 5000) for i in range(60)} | {70: None}
+    texts[61] = texts[62] = " ".join(f"only{i}" for i in range(300))  # occurs twice
+    texts[63] = " ".join(f"once{i}" for i in range(300))
+    docs = documents(*texts.items()).repartition(5)
+    params = ModelParams(vocabulary_size=50, prior=7.0)
+    got = {x["doc_id"]: x for x in cross_entropy_difference(docs, labels_of(spark, [(i, 1, 0) for i in range(0, 40, 3)]), params).collect()}
+    expected = brute_scores(texts, range(0, 40, 3), 50, 7.0)
+    assert len({w for t in texts.values() for w in (t or "").split()}) > 2046 / 2
+    for d, (n, target, background) in expected.items():
+        assert got[d]["n_tokens"] == n
+        if n:
+            assert got[d]["target_loss"] == pytest.approx(target, abs=1e-4) and got[d]["background_loss"] == pytest.approx(background, abs=1e-4)
+    assert got[61]["background_loss"] < got[63]["background_loss"] - 0.2
+
+
 def test_scores_tell_quality_apart(spark):
     docs, labels = (spark.read.parquet(f"{MEDIUM}/{t}.parquet") for t in ("documents", "labels"))
     train, held = labels.where("doc_id % 2 = 0"), labels.where("doc_id % 2 = 1")
