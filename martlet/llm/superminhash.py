@@ -13,17 +13,17 @@
 3. Documents of equal sets (128-bit digest) are one class; all later steps work on
    classes, so copies cost a row each and no pairs.
 4. Bands: ``N_BANDS`` buckets of ``BAND_ROWS`` positions each. Two sets 0.8 alike
-   miss each other with probability (1 - 0.8**6)**32, under 1e-4. A bucket also
-   holds one bit of each position; pairs whose 192 bits agree on less than six
-   standard deviations below what 0.8 predicts, or whose sizes alone rule a link
-   out, are no candidates.
+   miss each other with probability (1 - 0.8**6)**32, under 1e-4. Classes that share
+   a bucket get their full sets and a bit map of 4 to 8 bits an element: the bits in
+   which two maps differ are no more than the elements in which the sets do, so a
+   pair with too many (or of too different sizes) is no link for certain.
 5. Candidates without all pairs of a bucket: first every member with its bucket's
-   least one (one bucket a member, the one of the least least). Then, in rounds,
-   leaders: in a bucket whose members are not of one component yet, the members
-   whose hash is among an 8-fold growing share of the bucket lead, and are paired
-   with the members of other components. When the share reaches the whole bucket
-   all its pairs have been tried, or lie in one component and need no trial: no
-   pair of a bucket is left out, and buckets of one component cost nothing.
+   most central one, the one whose buckets hold most (of copies, that is what they
+   were made from). Buckets whose members are of one component then cost nothing
+   more. In those that are still open, every member is compared with the members of
+   other components, each pair in the first bucket that both are in; what the bit
+   maps rule out does not leave the join. So no pair of a bucket is left out, but
+   those that a component joins already or that cannot be links.
 6. Verification: candidates are joined with both full sets; a link is
    ``100 * intersection >= 80 * union``.
 7. Components of links by star contraction (the distributed union-find).
@@ -45,7 +45,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martlet.llm.common import stored, text_bytes
@@ -53,9 +53,6 @@ from martlet.llm.components import connected_components
 
 N_BANDS, BAND_ROWS = 32, 6
 M = N_BANDS * BAND_ROWS
-#: Of M bits, fewer equal ones than this are six deviations off a similarity of 0.8.
-LEAST_BITS = int(M * 0.9 - 6 * (M * 0.09) ** 0.5)
-GROWTH = 8
 #: Elements that walk at once, to bound memory on long texts.
 CHUNK = 4096
 #: Words whose hashes a task remembers.
@@ -120,17 +117,17 @@ def signature(elements: np.ndarray, m: int = M) -> np.ndarray:
     return least
 
 
-_ROW = "doc_id long, text string, digest binary, n long, bands array<long>, b0 long, b1 long, b2 long"
+_ROW = "doc_id long, text string, digest binary, n long, bands array<long>"
 
 
 def documents_with_bands(docs: DataFrame) -> DataFrame:
-    """One row a document: its text, the digest of its set, buckets and bits."""
+    """One row a document: its text, the digest of its set and its buckets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _WordHashes()
         band = np.arange(N_BANDS, dtype=np.uint64)[:, None] * _GOLDEN
         for batch in batches:
-            digests, sizes, bands, bits = [], [], [], []
+            digests, sizes, bands = [], [], []
             for text in batch.column(1):
                 found = shingle_set(text.as_py(), words)
                 values = signature(found)
@@ -138,39 +135,54 @@ def documents_with_bands(docs: DataFrame) -> DataFrame:
                 sizes.append(len(found))
                 held = np.concatenate([band, values.reshape(N_BANDS, BAND_ROWS)], axis=1)
                 bands.append([xxhash.xxh64_intdigest(row) for row in held])
-                bits.append(np.packbits((_mixed(values) & np.uint64(1)).astype(np.uint8)).view(np.int64))
             flat = pa.array(np.array(bands, np.uint64).reshape(-1).view(np.int64))
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(bands) + 1) * N_BANDS, pa.int32()), flat)
-            bits = np.array(bits, np.int64).reshape(-1, 3)
             columns = [batch.column(0), batch.column(1), pa.array(digests, pa.binary()), pa.array(sizes, pa.int64()), lists]
-            columns += [pa.array(np.ascontiguousarray(bits[:, i])) for i in range(3)]
             yield pa.RecordBatch.from_arrays(columns, [f.split()[0] for f in _ROW.split(", ")])
 
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
     return rows.mapInArrow(run, _ROW)
 
 
+def bit_map(elements: np.ndarray) -> np.ndarray:
+    """One bit an element, in the least power of two of longs with 4 bits for each."""
+    longs = 1 << max(0, (len(elements) - 1) // 16).bit_length()
+    flags = np.zeros(64 * longs, np.uint8)
+    flags[(elements & np.uint64(64 * longs - 1)).astype(np.int64)] = 1
+    return np.packbits(flags).view(np.int64)
+
+
 def full_sets(texts: DataFrame) -> DataFrame:
-    """``cid, shingles``: the sets of ``cid, text`` rows."""
+    """``cid, n, shingles, map``: the sets of ``cid, text`` rows and their bit maps."""
+
+    def lists(arrays: list[np.ndarray]) -> pa.Array:
+        ends = np.cumsum([0, *map(len, arrays)])
+        flat = pa.array(np.concatenate([np.empty(0, np.int64), *arrays]))
+        return pa.LargeListArray.from_arrays(pa.array(ends, pa.int64()), flat).cast(pa.list_(pa.int64()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _WordHashes()
         for batch in batches:
-            sets = [shingle_set(text.as_py(), words).view(np.int64) for text in batch.column(1)]
-            ends = np.cumsum([0, *map(len, sets)])
-            flat = pa.array(np.concatenate([np.empty(0, np.int64), *sets]))
-            lists = pa.LargeListArray.from_arrays(pa.array(ends, pa.int64()), flat).cast(pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), lists], ["cid", "shingles"])
+            sets = [shingle_set(text.as_py(), words) for text in batch.column(1)]
+            columns = [pa.array([len(s) for s in sets], pa.int64()), lists([s.view(np.int64) for s in sets]), lists([bit_map(s) for s in sets])]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["cid", "n", "shingles", "map"])
+
+    return texts.select("cid", "text").mapInArrow(run, "cid long, n long, shingles array<long>, map array<long>")
+
 
-    return texts.select("cid", "text").mapInArrow(run, "cid long, shingles array<long>")
+def _might_link(x: str, y: str, percent: int) -> Column:
+    """Sizes and bit maps allow a link of ``x`` and ``y``: true for every link
+    (``percent`` of 50 or more, so that one map is at most twice the other)."""
+    a, b, p, q = F.col(f"{x}.n"), F.col(f"{y}.n"), F.col(f"{x}.map"), F.col(f"{y}.map")
 
+    def folded(m: Column) -> Column:
+        half = (F.size(m) / 2).cast("int")
+        return F.zip_with(F.slice(m, 1, half), F.slice(m, half + 1, half), lambda u, v: u.bitwiseOR(v))
 
-def _might_link(x: str, y: str, percent: int):
-    """Sizes and signature bits allow a link of ``x`` and ``y``."""
-    a, b = F.col(f"{x}.n"), F.col(f"{y}.n")
-    sizes = 100 * F.least(a, b) >= percent * F.greatest(a, b)
-    differ = sum((F.bit_count(F.col(f"{x}.b{i}").bitwiseXOR(F.col(f"{y}.b{i}"))) for i in range(3)), F.lit(0))
-    return sizes & (differ <= M - LEAST_BITS)
+    left = F.when(F.size(p) > F.size(q), folded(p)).otherwise(p)
+    right = F.when(F.size(q) > F.size(p), folded(q)).otherwise(q)
+    differ = F.aggregate(F.zip_with(left, right, lambda u, v: F.bit_count(u.bitwiseXOR(v))), F.lit(0), lambda s, d: s + d)
+    return (100 * F.least(a, b) >= percent * F.greatest(a, b)) & ((100 + percent) * differ <= (100 - percent) * (a + b))
 
 
 def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -186,32 +198,29 @@ def _components(links: DataFrame) -> DataFrame:
     return stored(connected_components(links).select(F.col("node").alias("cid"), "component"), "superminhash-components")
 
 
-def _led_pairs(shared: DataFrame, links: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links found by growing shares of leaders, until no bucket has two members
-    of different components that were not compared."""
-    share = 1
-    while True:
-        share *= GROWTH
-        found = _components(links)
-        placed = shared.join(found, "cid", "left").withColumn("component", F.coalesce("component", "cid"))
-        placed = stored(placed, "superminhash-placed")
-        # Buckets that the round before did not try whole and that are not of one component.
-        open_ = stored(
-            placed.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.max("size").alias("held"))
-            .where((F.col("lo") < F.col("hi")) & (F.col("held") > share // GROWTH)).select("bucket"),
-            "superminhash-open",
-        )
-        if open_.isEmpty():
-            return links
-        members = stored(placed.join(open_, "bucket"), "superminhash-members")
-        chance = F.pmod(F.xxhash64("bucket", "cid"), F.lit(1 << 30)) / float(1 << 30)
-        leaders = members.where(chance * F.col("size") < share)
-        pairs = (
-            members.alias("y").join(leaders.alias("x"), "bucket")
-            .where((F.col("x.component") != F.col("y.component")) & _might_link("x", "y", percent))
-            .select(F.least("x.cid", "y.cid").alias("a"), F.greatest("x.cid", "y.cid").alias("b")).distinct()
+def _links_of_open_buckets(shared: DataFrame, links: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``links`` and those of the buckets that still hold several components."""
+    found = _components(links)
+    placed = shared.join(found, "cid", "left").withColumn("component", F.coalesce("component", "cid"))
+    placed = stored(placed, "superminhash-placed")
+    open_ = stored(
+        placed.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+        .where("lo < hi").select("bucket"),
+        "superminhash-open",
+    )
+    members = placed.join(open_, "bucket")
+    # A pair is tried in the first bucket that both are in, once.
+    own = members.groupBy("cid").agg(F.collect_set("bucket").alias("buckets"))
+    members = stored(members.join(own, "cid"), "superminhash-members")
+    pairs = (
+        members.alias("x").join(members.alias("y"), "bucket")
+        .where(
+            (F.col("x.cid") < F.col("y.cid")) & (F.col("x.component") != F.col("y.component")) & _might_link("x", "y", percent)
+            & (F.array_min(F.array_intersect("x.buckets", "y.buckets")) == F.col("bucket"))
         )
-        links = stored(links.unionByName(_links(pairs, sets, percent)), "superminhash-links")
+        .select(F.col("x.cid").alias("a"), F.col("y.cid").alias("b"))
+    )
+    return links.unionByName(_links(pairs, sets, percent))
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
@@ -219,30 +228,29 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     rows = stored(documents_with_bands(docs).withColumn("row", F.monotonically_increasing_id()), "superminhash-rows")
     classes = stored(
         rows.where("n > 0").groupBy("digest").agg(
-            F.min("doc_id").alias("named"), F.min("row").alias("row"), *[F.first(c).alias(c) for c in ("n", "bands", "b0", "b1", "b2")]
+            F.min("doc_id").alias("named"), F.min("row").alias("row"), F.first("bands").alias("bands")
         ).withColumn("cid", F.monotonically_increasing_id()),
         "superminhash-classes",
     )
     members = classes.select("cid", F.explode("bands").alias("bucket"))
     groups = stored(
-        members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("cid").alias("least")).where("size > 1"),
-        "superminhash-buckets",
-    )
-    shared = stored(
-        members.join(groups, "bucket").join(classes.select("cid", "n", "b0", "b1", "b2"), "cid")
-        .select("bucket", "size", "least", "cid", "n", "b0", "b1", "b2"),
-        "superminhash-shared",
+        members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "superminhash-buckets"
     )
-    wanted = classes.join(shared.select("cid").distinct(), "cid").select("cid", "row")
+    seen = stored(members.join(groups, "bucket").select("bucket", "size", "cid"), "superminhash-seen")
+    # What many buckets share is central: the text that copies were made from.
+    central = stored(seen.groupBy("cid").agg(F.sum("size").alias("central")), "superminhash-central")
+    wanted = classes.join(central, "cid").select("cid", "row")
     sets = stored(full_sets(rows.select("row", "text").join(wanted, "row")), "superminhash-sets")
-    led = shared.groupBy("cid").agg(F.min("least").alias("least")).where("least < cid")
-    sides = classes.select("cid", "n", "b0", "b1", "b2")
+    maps = sets.select("cid", "n", "map")
+    shared = stored(seen.join(central.join(maps, "cid"), "cid"), "superminhash-shared")
+    lead = shared.groupBy("bucket").agg(F.max_by("cid", "central").alias("lead"))
+    lead = stored(lead.join(maps.withColumnRenamed("cid", "lead"), "lead"), "superminhash-leaders")
     pairs = (
-        led.join(sides.alias("y"), "cid").join(sides.withColumnRenamed("cid", "least").alias("x"), "least")
-        .where(_might_link("x", "y", percent)).select(F.col("least").alias("a"), F.col("cid").alias("b"))
+        shared.alias("y").join(lead.alias("x"), "bucket").where((F.col("lead") != F.col("cid")) & _might_link("x", "y", percent))
+        .select(F.least("lead", "cid").alias("a"), F.greatest("lead", "cid").alias("b")).distinct()
     )
     links = stored(_links(pairs, sets, percent), "superminhash-links")
-    found = _components(_led_pairs(shared, links, sets, percent))
+    found = _components(_links_of_open_buckets(shared, links, sets, percent))
     named_class = stored(
         classes.join(found, "cid", "left").select("digest", "named", F.coalesce("component", "cid").alias("component")),
         "superminhash-named",
