@@ -66,11 +66,11 @@ def test_variants_match_brute_force(spark, documents):
             v = variants(r, b, alphabet)
             tokens += [v] * r.randint(1, 30)
             tokens += [variants(r, v, alphabet)] * r.randint(1, 3)
-    tokens += ["chainaaaa"] * 500 + ["chainaaab"] * 40 + ["chainaabb"] * 3
     r.shuffle(tokens)
     sep = [" ", "-", "\n", "7", "ß9", "Ā", "中"]
     rows = [(i, "".join(t.upper() if r.random() < 0.2 else t + r.choice(sep[:4]) + " " for t in tokens[i::7])) for i in range(7)]
     rows.append((7, "x".join([" ".join(tokens[:50]), "Ā".join(tokens[50:90]), "中".join(tokens[90:120])])))
+    rows += [(8 + i, "chainaaaa " * 500 + "chainaaab " * 40 + "chainaabb " * 3) for i in range(3)]
     expected = brute(brute_words(rows))
     got = found(P.spelling_variants(documents(*rows), planted_typos=True))
     assert got == expected
