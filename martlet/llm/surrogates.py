@@ -147,10 +147,19 @@ def _luhn_sum(digits: Column) -> Column:
 FEISTEL_ROUNDS = 8
 
 
+def _once(value: Column, use) -> Column:
+    """``use`` of a value that is computed once, however often ``use`` names it."""
+    return F.transform(F.array(value), use)[0]
+
+
 def _permuted(digits: Column, key: Column) -> Column:
     """A keyed permutation of all digit strings of one length: a Feistel network of
     two halves (of one digit: a keyed shift). Different strings stay different, so a
     full space needs no second draw."""
+    return _once(F.struct(digits.alias("digits"), key.alias("key")), lambda x: _network(x["digits"], x["key"]))
+
+
+def _network(digits: Column, key: Column) -> Column:
     n = F.length(digits)
     left_size = F.floor(n / 2).cast("int")
 
@@ -181,7 +190,7 @@ def _card(canon: Column, key: Column) -> Column:
     first, inner = F.left(canon, F.lit(1)), F.substring(canon, F.lit(2), F.length(canon) - 2)
     off = F.right(canon, F.lit(1)).cast("int") - check(F.concat(first, inner))
     body = F.concat(first, _permuted(inner, F.concat_ws("\x1f", key, first)))
-    return F.concat(body, F.pmod(check(body) + off, F.lit(10)).cast("string"))
+    return _once(body, lambda b: F.concat(b, F.pmod(check(b) + off, F.lit(10)).cast("string")))
 
 
 def _name(kind: Column, canon: Column, digest: Column, attempt: Column) -> Column:
