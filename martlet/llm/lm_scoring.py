@@ -18,8 +18,8 @@ tasks, then by Spark; their two tables of ``(vocabulary_size + 2) ** 2`` losses
 the only broadcast. The other words' counts grow with the corpus and never leave the
 tasks: every batch of documents sends its words, by hash, to the parts of the word
 space (arrays of 64-bit hashes, documents and counts); a part adds up the corpus
-counts of its words and returns what they cost each document; the batch's sums are
-put together. Parts hold ``RARE_PER_PART`` tokens, so their number grows with the
+counts of its words and returns what they cost each document, a range of hashes after the other; the batch's
+sums are put together. Parts hold ``RARE_PER_PART`` tokens, so their number grows with the
 corpus. The labels meet the documents in a merge join at every size.
 
 Defined results: a null or empty text has no tokens and a null score; labels of
@@ -49,6 +49,8 @@ from martlet.llm.common import checkpointed, stored, text_bytes
 FLUSH_WORDS = 500_000
 #: Tokens of the shared class that meet in one part of the word space.
 RARE_PER_PART = 4_000_000
+#: Of these, how many a task sorts at once.
+RARE_AT_ONCE = 500_000
 
 
 @dataclass(frozen=True)
@@ -239,28 +241,45 @@ def _cost_of_part(table: pa.Table) -> pa.Table:
     """What the words of one part save each document of each batch: the sums of
     ``k * log2(n(w) + 1)`` over its words, in both models."""
     blocks = table.column("block").to_pylist()
-    blobs = [table.column(c).to_pylist() for c in ("hashes", "docs", "counts")]
     own = [i for i, b in enumerate(blocks) if b >= 0]
     labelled = [i for i, b in enumerate(blocks) if b < 0]
 
-    def joined(which: int, kind: type, rows: list[int]) -> np.ndarray:
-        return np.concatenate([np.empty(0, kind), *(np.frombuffer(blobs[which][i], kind) for i in rows)])
-
-    h, k = joined(0, np.uint64, own), joined(2, np.uint32, own).astype(np.float64)
-    words, place = np.unique(h, return_inverse=True)
-    background = np.bincount(place, weights=k, minlength=len(words))
-    target = np.zeros(len(words))
-    if len(words):
-        th = joined(0, np.uint64, labelled)
-        np.add.at(target, np.searchsorted(words, th), joined(2, np.uint32, labelled).astype(np.float64))
-    saved = [k * np.log2(model + 1)[place] for model in (target, background)]
-    out, at = [], 0
-    for i in own:
-        docs = np.frombuffer(blobs[1][i], np.uint32)
-        those, row = np.unique(docs, return_inverse=True)
-        sums = [np.bincount(row, weights=s[at : at + len(docs)]).tobytes() for s in saved]
-        out.append((blocks[i], 0 if at else len(words), those.tobytes(), *sums))
-        at += len(docs)
+    def arrays(name: str, kind: type, rows: list[int]) -> list[np.ndarray]:
+        column = table.column(name)  # read where it lies, not copied
+        return [np.frombuffer(column[i].as_buffer(), kind) for i in rows]
+
+    hashes, docs, counts = (arrays(c, kind, own) for c, kind in (("hashes", np.uint64), ("docs", np.uint32), ("counts", np.uint32)))
+    th = np.concatenate([np.empty(0, np.uint64), *arrays("hashes", np.uint64, labelled)])
+    tn = np.concatenate([np.empty(0, np.uint32), *arrays("counts", np.uint32, labelled)])
+    order = np.argsort(th)
+    th, tn = th[order], tn[order]
+    starts = np.cumsum([0, *map(len, hashes)])
+    saved = [np.empty(starts[-1]) for _ in range(2)]
+    # Every batch's hashes are in order: a range of them after the other is added up.
+    ranges = max(1, -(-int(starts[-1]) // RARE_AT_ONCE))
+    edges = np.array([(r << 64) // ranges for r in range(1, ranges)], np.uint64)
+    cuts = [[0, *np.searchsorted(h, edges).tolist(), len(h)] for h in (*hashes, th)]
+    n_words = 0
+    for r in range(ranges):
+        spans = [slice(cut[r], cut[r + 1]) for cut in cuts]
+        words, place = np.unique(np.concatenate([np.empty(0, np.uint64), *(h[x] for h, x in zip(hashes, spans))]), return_inverse=True)
+        k = np.concatenate([np.empty(0), *(n[x] for n, x in zip(counts, spans))])
+        background = np.bincount(place, weights=k, minlength=len(words))
+        target = np.zeros(len(words))
+        if len(words):
+            np.add.at(target, np.searchsorted(words, th[spans[-1]]), tn[spans[-1]].astype(np.float64))
+        for all_, model in zip(saved, (target, background)):
+            values, at = k * np.log2(model + 1)[place], 0
+            for start, x in zip(starts.tolist(), spans[:-1]):
+                n = x.stop - x.start
+                all_[start + x.start : start + x.stop] = values[at : at + n]
+                at += n
+        n_words += len(words)
+    out = []
+    for start, i, of in zip(starts.tolist(), own, docs):
+        those, row = np.unique(of, return_inverse=True)
+        sums = [np.bincount(row, weights=s[start : start + len(of)]).tobytes() for s in saved]
+        out.append((blocks[i], 0 if start else n_words, those.tobytes(), *sums))
     columns = list(zip(*out)) or [()] * 5
     kinds = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
     return pa.Table.from_arrays([pa.array(c, kind) for c, kind in zip(columns, kinds)], ["block", "words", "docs", "target", "background"])

@@ -97,6 +97,46 @@ def test_words_beyond_the_classes_count_one_by_one(spark, documents, monkeypatch
     assert got[61]["background_loss"] < got[63]["background_loss"] - 0.2
 
 
+def test_a_part_is_added_up_range_by_range(monkeypatch):
+    """A full part takes a bounded multiple of its tokens' 16 bytes."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from martlet.llm import lm_scoring as L
+
+    monkeypatch.setattr(L, "RARE_AT_ONCE", 20_000, raising=False)
+    r = np.random.default_rng(2)
+    rows, total, target = [], Counter(), Counter()
+    names = r.integers(0, 1 << 64, 40_000, np.uint64, endpoint=False)
+    for block in range(20):
+        h, d, k = np.sort(names[r.integers(0, len(names), 20_000)]), r.integers(0, 500, 20_000), r.integers(1, 4, 20_000)
+        rows.append((block, h.tobytes(), d.astype(np.uint32).tobytes(), k.astype(np.uint32).tobytes()))
+        for w, n in zip(h.tolist(), k.tolist()):
+            total[w] += n
+        if block < 3:
+            own, at = np.unique(h, return_index=True)
+            mixed = r.permutation(len(own))
+            rows.append((-1, own[mixed].tobytes(), b"", k[at][mixed].astype(np.uint32).tobytes()))
+            for w, n in zip(own.tolist(), k[at].tolist()):
+                target[w] += n
+    kinds = (pa.int64(), pa.binary(), pa.binary(), pa.binary())
+    table = pa.Table.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], ["block", "hashes", "docs", "counts"])
+    tracemalloc.start()
+    out = L._cost_of_part(table)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40 * 400_000
+    assert sum(out.column("words").to_pylist()) == len(total)
+    given = {b: (h, d, k) for b, h, d, k in rows if b >= 0}
+    for row in out.to_pylist():
+        h, d, k = (np.frombuffer(x, t) for x, t in zip(given[row["block"]], (np.uint64, np.uint32, np.uint32)))
+        for name, counts in (("target", target), ("background", total)):
+            saved = np.bincount(d, weights=k * np.log2([counts[w] + 1 for w in h.tolist()]))
+            assert np.frombuffer(row[name]) == pytest.approx(saved[np.frombuffer(row["docs"], np.uint32)])
+    assert len(L._cost_of_part(table.slice(0, 0))) == 0
+
+
 def test_scores_tell_quality_apart(spark):
     docs, labels = (spark.read.parquet(f"{MEDIUM}/{t}.parquet") for t in ("documents", "labels"))
     train, held = labels.where("doc_id % 2 = 0"), labels.where("doc_id % 2 = 1")
